@@ -123,7 +123,7 @@ _QS = "[" + ", ".join(f"{i}/12.0::DOUBLE" for i in range(1, 12)) + "]"
     with_ctes(
         ["scored"],
         """SELECT model, CAST(bin AS INT) AS bin, round(avg(p), 6) AS mean_predicted, round(avg(label), 6) AS fraction_positive, count(*) AS n FROM
-        (SELECT s.*, len(list_filter(e.q, x -> x < s.p)) AS bin FROM scored s JOIN edges e USING (model)) GROUP BY 1, 2""",
+        (SELECT s.*, len(list_filter(e.q, lambda x: x < s.p)) AS bin FROM scored s JOIN edges e USING (model)) GROUP BY 1, 2""",
         edges=f"SELECT model, quantile_cont(p, {_QS}) AS q FROM scored GROUP BY model",
     ),
 )
