@@ -66,12 +66,14 @@ def running_totals(
     descending: bool = True,
     single_range_rows: int = SINGLE_RANGE_ROWS,
     ranges: int = RANGES,
+    next_score: str | None = None,
 ) -> DataFrame:
     """Adds, per group ``by``, the inclusive running total of each expression in (score, key) order.
 
     For every ``name`` in ``totals`` the result has ``name`` and the group total ``name_all``. ``key`` breaks
     ties ascending and must be unique within equal scores; None says that scores are already distinct.
-    ``by`` is for a few groups (models, samples). Rows with a null score are left out.
+    ``by`` is for a few groups (models, samples). Rows with a null score are left out. ``next_score`` names a
+    column for the score of the following row (null at the end).
     """
     by = list(by)
     names = list(totals)
@@ -96,7 +98,7 @@ def running_totals(
         marked = cut_lineage(marked.drop("_cuts"))
         marked = _split_ties(marked, key, by, single_range_rows, ranges)
         place = ["_range", "_part"]
-        marked = _attach_offsets(marked, names, by, place)
+        marked = _attach_offsets(marked, names, by, place, score, descending)
 
     direction = F.col(score).desc() if descending else F.col(score).asc()
     order = [direction] + ([F.col(key).asc()] if key else [])
@@ -110,7 +112,10 @@ def running_totals(
     for n in names:
         run = F.sum(f"_v_{n}").over(window)
         result = result.withColumn(n, run if one_range else run + F.col(f"_off_{n}"))
-    return result.drop("_range", "_part", *[f"_v_{n}" for n in names], *[f"_off_{n}" for n in names])
+    if next_score:
+        following = F.lead(score).over(Window.partitionBy(*(by + place) if by + place else [F.lit(0)]).orderBy(*order))
+        result = result.withColumn(next_score, following if one_range else F.coalesce(following, F.col("_next")))
+    return result.drop("_range", "_part", "_next", *[f"_v_{n}" for n in names], *[f"_off_{n}" for n in names])
 
 
 def _split_ties(df: DataFrame, key: str | None, by: list[str], limit: int, ranges: int) -> DataFrame:
@@ -140,14 +145,21 @@ def _split_ties(df: DataFrame, key: str | None, by: list[str], limit: int, range
     )
 
 
-def _attach_offsets(df: DataFrame, names: list[str], by: list[str], place: list[str]) -> DataFrame:
-    """Total of all earlier ranges of the same group, computed from the bounded range summary."""
-    summary = df.groupBy(*by, *place).agg(*[F.sum(f"_v_{n}").alias(f"_off_{n}") for n in names])
+def _attach_offsets(df: DataFrame, names: list[str], by: list[str], place: list[str], score: str, descending: bool) -> DataFrame:
+    """Total of all earlier ranges of the same group and first score of the next, from the range summary."""
+    first = F.max(score) if descending else F.min(score)
+    summary = df.groupBy(*by, *place).agg(*[F.sum(f"_v_{n}").alias(f"_off_{n}") for n in names], first.alias("_next"))
     frame = pd.DataFrame([r.asDict() for r in summary.collect()]).sort_values([*by, *place])
     offsets = [f"_off_{n}" for n in names]
     grouped = frame.groupby(by, dropna=False)[offsets] if by else frame[offsets]
     frame[offsets] = grouped.cumsum() - frame[offsets]
-    rows = [tuple(v.item() if hasattr(v, "item") else v for v in row) for row in frame[summary.columns].itertuples(index=False)]
+    frame["_next"] = (frame.groupby(by, dropna=False)["_next"] if by else frame["_next"]).shift(-1).astype(object)
+    plain = lambda v: None if pd.isna(v) else v.item() if hasattr(v, "item") else v
+    numeric = {f.name for f in summary.schema if isinstance(f.dataType, T.IntegralType)}
+    rows = [
+        tuple(int(plain(v)) if c in numeric and plain(v) is not None else plain(v) for c, v in zip(summary.columns, row))
+        for row in frame[summary.columns].itertuples(index=False)
+    ]
     return _attach(df, df.sparkSession.createDataFrame(rows, summary.schema), [*by, *place])
 
 

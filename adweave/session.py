@@ -27,19 +27,22 @@ def build_session(app: str = "adweave", master: str | None = None, conf: dict[st
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df``, so a lost executor costs a re-read and not a re-computation.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``. A temporary folder is
-    used only when nothing is configured and the master is local.
+    A temporary folder is used only when nothing is configured and the master is local.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return tempfile.mkdtemp(prefix="adweave-")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df``, so a lost executor costs a re-read and not a re-computation."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="adweave-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
