@@ -224,13 +224,13 @@ CATEGORICAL = ["Contract", "segment"]
     with_ctes(
         ["churn"],
         """SELECT "customerID", round(ln(1 + tenure::DOUBLE), 6) AS tenure_log1p, round("MonthlyCharges" * "MonthlyCharges", 0) AS monthlycharges_sq,
-        round(tenure * "MonthlyCharges", 3) AS tenure_x_monthlycharges, round("TotalCharges" / CASE WHEN tenure = 0 THEN 1 ELSE tenure END, 3) AS avg_charge_per_tenure FROM churn""",
+        round(tenure * "MonthlyCharges", 3) AS tenure_x_monthlycharges, round("TotalCharges" / CASE WHEN tenure = 0 THEN 1 ELSE tenure END, 6) AS avg_charge_per_tenure FROM churn""",
     ),
 )
 def _(spark, d):
     return fea.churn_features(fx.churn(spark, d)).select(
         "customerID", F.round("tenure_log1p", 6).alias("tenure_log1p"), F.round("monthlycharges_sq", 0).alias("monthlycharges_sq"),
-        F.round("tenure_x_monthlycharges", 3).alias("tenure_x_monthlycharges"), F.round("avg_charge_per_tenure", 3).alias("avg_charge_per_tenure"),
+        F.round("tenure_x_monthlycharges", 3).alias("tenure_x_monthlycharges"), F.round("avg_charge_per_tenure", 6).alias("avg_charge_per_tenure"),
     )
 
 
