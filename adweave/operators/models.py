@@ -98,7 +98,7 @@ def grid_search_logistic(train: DataFrame, key: str, grid: Sequence[float] = tup
     judge = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss", probabilityCol="probability")
     search = CrossValidator(estimator=base, estimatorParamMaps=params, evaluator=judge, numFolds=folds, foldCol="_fold", parallelism=parallelism)
     fitted = search.fit(train.withColumn("_fold", fold_number(key, folds)))
-    return fitted, [{"c": c, "log_loss": m} for c, m in zip(grid, fitted.avgMetrics)]
+    return fitted, [{"c": c, "log_loss": float(m)} for c, m in zip(grid, fitted.avgMetrics)]
 
 
 # Candidate lists of the boosted-tree random search.
@@ -122,7 +122,7 @@ def random_search_trees(train: DataFrame, key: str, draws: int = 20, folds: int
     judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     search = CrossValidator(estimator=base, estimatorParamMaps=params, evaluator=judge, numFolds=folds, foldCol="_fold", parallelism=parallelism)
     fitted = search.fit(train.withColumn("_fold", fold_number(key, folds)))
-    return fitted, [dict(combo, roc_auc=m) for combo, m in zip(picked, fitted.avgMetrics)]
+    return fitted, [dict(combo, roc_auc=float(m)) for combo, m in zip(picked, fitted.avgMetrics)]
 
 
 def feature_importance(model: Model, names: Sequence[str], spark, k: int = 10) -> DataFrame:
