@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from adweave.functions import scalar as fn
 from adweave.operators import attribution as att
-from adweave.operators import joins, segments
+from adweave.operators import credit_flow, joins, segments
 from adweave.plans import fixtures as fx
 from adweave.plans.fixtures import with_ctes
 
@@ -121,6 +121,12 @@ def _(spark, d):
     return att.attribute(_measured(spark, d)).select("method", "channel", F.round("credit", 6).alias("credit"))
 
 
+@_register("att9_all_methods_without_pairs", with_ctes(BASE, f"SELECT method, channel, round(credit, 6) AS credit FROM ({all_credit_sql()})"))
+def _(spark, d):
+    table = credit_flow.attribute_timelines(fx.exposures(spark, d), fx.conversions(spark, d), 7)
+    return table.select("method", "channel", F.round("credit", 6).alias("credit"))
+
+
 _PIVOT = ", ".join(f"round(coalesce(sum(credit) FILTER (method = '{m}'), 0), 6) AS {m}" for m in att.METHODS)
 
 

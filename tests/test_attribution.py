@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adweave.operators import attribution as att
-from adweave.operators import joins, segments
+from adweave.operators import credit_flow, joins, segments
 
 T0 = dt.datetime(2024, 1, 10)
 HOUR = dt.timedelta(hours=1)
@@ -109,3 +109,17 @@ def test_touch_log_shape(spark):
     exp, conv = joins.shape_touch_log(raw)
     assert exp.count() == 4 and conv.count() == 1
     assert exp.select("exposure_id").distinct().count() == 4
+
+
+@pytest.mark.parametrize("days, lag, bucket", [(3, 0, credit_flow.DAY), (7, 6, 5 * credit_flow.HOUR), (1, 0, credit_flow.HOUR // 2)])
+def test_timelines_equal_pairs(spark, days, lag, bucket):
+    """Ties in time, null channels and a user with most of the data."""
+    rows = [(i, 1 if i % 3 else i % 11, T0 - dt.timedelta(minutes=(i * 37 % 900) * 10), None if i % 17 == 0 else f"c{i % 4}") for i in range(700)]
+    exp = exposures(spark, rows)
+    conv = conversions(spark, [(i, 1 if i % 2 else i % 11, T0 - i * 5 * HOUR, 1.0 + i) for i in range(40)])
+    pairs = att.attribute(joins.measurement_table(exp, conv, days, lag))
+    flow = credit_flow.attribute_timelines(exp, conv, days, lag, bucket_micros=bucket)
+    table = lambda df: {(r["method"], r["channel"]): r["credit"] for r in df.collect() if abs(r["credit"]) > 1e-9}
+    want, got = table(pairs), table(flow)
+    assert set(got) == set(want)
+    assert all(got[k] == pytest.approx(want[k], rel=1e-7) for k in want)
