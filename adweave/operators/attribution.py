@@ -8,7 +8,7 @@ stay small even for a conversion with a huge number of touches.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,30 +20,39 @@ WINDOWS = (1, 3, 7, 14, 30)
 LAGS = (0, 6, 24)
 
 
-def _per_channel(joined: DataFrame, by: list[str], half_life: float) -> DataFrame:
+def _per_channel(joined: DataFrame, keys: list[str], half_life: float) -> DataFrame:
     decay = F.exp(F.lit(-math.log(2) / half_life) * F.col("hours_before_conversion"))
-    return joined.groupBy(*by, "conversion_id", "channel").agg(
+    return joined.groupBy(*keys, "conversion_id", "channel").agg(
         F.first("conversion_value").alias("value"),
         F.count(F.lit(1)).alias("touches"),
         F.sum(decay).alias("decay"),
         F.min("touch_pos").alias("lo"),
         F.max("touch_pos").alias("hi"),
         # latest time; among equal times the lowest position, i.e. the lowest exposure id
-        F.max(F.struct("ts_exposure", -F.col("touch_pos"))).alias("latest"),
+        F.max(F.struct("ts_exposure", (-F.col("touch_pos")).alias("back"))).alias("latest"),
+    )
+
+
+def _merge(parts: DataFrame, keys: list[str]) -> DataFrame:
+    return parts.groupBy(*keys, "conversion_id", "channel").agg(
+        F.first("value").alias("value"),
+        F.sum("touches").alias("touches"),
+        F.sum("decay").alias("decay"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.max("latest").alias("latest"),
     )
 
 
 def _middle_channels(joined: DataFrame, conv: list[str], per_channel: DataFrame) -> DataFrame:
-    """Channel at position n div 2 of each conversion with three or more touches."""
+    """Channel at position n div 2 of each conversion with three or more touches.
+
+    The channel at a position is the same in every slice, so the pairs are looked up as they are.
+    """
     spots = per_channel.groupBy(*conv).agg(F.min("lo").alias("first_pos"), F.sum("touches").alias("n"))
-    spots = spots.where("n > 2").select(
-        *conv, (F.col("first_pos") + F.floor(F.col("n") / 2)).alias("touch_pos")
-    )
-    return (
-        joined.select(*conv, "touch_pos", "channel")
-        .join(spots, [*conv, "touch_pos"])
-        .select(*conv, F.col("channel").alias("mid_channel"))
-    )
+    spots = spots.where("n > 2").select(*conv, (F.col("first_pos") + F.floor(F.col("n") / 2)).alias("touch_pos"))
+    pairs = joined.select("conversion_id", "touch_pos", F.col("channel").alias("mid_channel"))
+    return spots.join(pairs, ["conversion_id", "touch_pos"]).select(*conv, "mid_channel")
 
 
 def conversion_credit(
@@ -52,19 +61,26 @@ def conversion_credit(
     by: Sequence[str] = (),
     half_life_hours: float = 48.0,
     renormalize_w: bool = False,
+    carry: Sequence[str] = (),
+    expand: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per (by…, conversion, channel) with one credit column per method.
 
     ``markov_proxy`` holds the presence flag and ``shapley_proxy`` the share, both skipping null channels.
     With three touches ``w_shape`` hands out only 0.9 of the value; ``renormalize_w`` hands out all of it.
+
+    Slices are made from the reduced rows, not from pairs: pairs are reduced per (carry…, conversion,
+    channel), ``expand`` turns the carried columns into the ``by`` columns, and the parts are merged.
     """
     by = list(by)
     conv = [*by, "conversion_id"]
-    table = _per_channel(joined, by, half_life_hours)
+    if expand is None:
+        table = _per_channel(joined, by, half_life_hours)
+    else:
+        table = _merge(expand(_per_channel(joined, list(carry), half_life_hours)), by)
     need_middle = "w_shape" in methods
-    source = table
     if need_middle:
-        table = table.join(_middle_channels(joined, conv, source), conv, "left")
+        table = table.join(_middle_channels(joined, conv, table), conv, "left")
     whole = Window.partitionBy(*conv)
     table = table.select(
         "*",
@@ -147,22 +163,32 @@ def robustness_grid(
 ) -> DataFrame:
     """Credit total, coverage and top channel per (window, lag, method) from one join at the widest window.
 
-    Every pair is repeated for the cells whose window and lag it meets; cells without pairs are absent.
+    Windows and lags must be ascending. Pairs are reduced per first window and lag they meet, and those parts
+    are summed into the cells that hold them; cells without pairs are absent.
     Ties for the top channel go to the smaller name.
     """
     hours = F.col("hours_before_conversion")
-    cells = F.array(
-        *[
-            F.when((hours >= float(lag)) & (hours <= w * 24.0), F.struct(F.lit(w).alias("w"), F.lit(lag).alias("lag")))
-            for w in windows
-            for lag in lags
-        ]
-    )
-    exploded = joined.withColumn("_cell", F.explode(F.array_compact(cells)))
-    exploded = exploded.withColumns({"window_days": F.col("_cell.w"), "min_lag": F.col("_cell.lag")}).drop("_cell")
+    inside = sum(((hours > w * 24.0).cast("int") for w in windows), F.lit(0))  # first window that holds the pair
+    late = sum(((hours >= float(lag)).cast("int") for lag in lags), F.lit(0))  # lags that the pair meets
+    marked = joined.withColumns({"_w": inside, "_l": late})
     cell = ["window_days", "min_lag"]
-    credits = attribute(exploded, methods, by=cell)
-    covered = exploded.groupBy(*cell).agg(F.count_distinct("conversion_id").alias("covered"))
+
+    def cells(parts: DataFrame) -> DataFrame:
+        grid = F.array(
+            *[
+                F.when(
+                    (F.col("_w") <= i) & (F.col("_l") > k),
+                    F.struct(F.lit(w).alias("window_days"), F.lit(lag).alias("min_lag")),
+                )
+                for i, w in enumerate(windows)
+                for k, lag in enumerate(lags)
+            ]
+        )
+        return parts.withColumn("_cell", F.explode(F.array_compact(grid))).select("*", "_cell.*").drop("_cell", "_w", "_l")
+
+    credits = attribute(marked, methods, by=cell, carry=["_w", "_l"], expand=cells)
+    seen = marked.select("conversion_id", "_w", "_l").distinct()
+    covered = cells(seen).groupBy(*cell).agg(F.count_distinct("conversion_id").alias("covered"))
     report = credits.groupBy(*cell, "method").agg(
         F.sum("credit").alias("total_credit"),
         F.min_by("channel", F.struct(-F.round("credit", 9), "channel")).alias("top_channel"),
@@ -190,9 +216,12 @@ def stability(grid: DataFrame) -> DataFrame:
 def segment_slices(joined: DataFrame, segment_cols: Sequence[str], methods: Sequence[str] = METHODS) -> DataFrame:
     """All rules inside each value of each segment column; a missing segment is the value 'nan'."""
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-    labels = F.array(*[F.struct(F.lit(c).alias("segment_col"), value(c).alias("segment_value")) for c in segment_cols])
-    rows = joined.withColumn("_s", F.explode(labels)).select("*", "_s.*").drop("_s")
-    return attribute(rows, methods, by=["segment_col", "segment_value"])
+
+    def slices(parts: DataFrame) -> DataFrame:
+        labels = F.array(*[F.struct(F.lit(c).alias("segment_col"), value(c).alias("segment_value")) for c in segment_cols])
+        return parts.withColumn("_s", F.explode(labels)).select("*", "_s.*").drop("_s", *segment_cols)
+
+    return attribute(joined, methods, by=["segment_col", "segment_value"], carry=list(segment_cols), expand=slices)
 
 
 def top_channel_per_slice(slices: DataFrame) -> DataFrame:
@@ -203,13 +232,12 @@ def top_channel_per_slice(slices: DataFrame) -> DataFrame:
     )
 
 
-def coverage_summary(joined: DataFrame, conversions: DataFrame, lookback_days: int) -> DataFrame:
-    """Total and matched conversions and the matched percentage (2 places)."""
-    tagged = conversions.select("conversion_id", F.lit(0).alias("hit")).unionByName(
-        joined.select("conversion_id", F.lit(1).alias("hit"))
-    )
-    per_conv = tagged.groupBy("conversion_id").agg(F.max("hit").alias("hit"))
-    counts = per_conv.agg(F.count(F.lit(1)).alias("t"), F.coalesce(F.sum("hit"), F.lit(0)).alias("m"))
+def coverage_summary(per_conversion: DataFrame, lookback_days: int) -> DataFrame:
+    """Total and matched conversions and the matched percentage (2 places).
+
+    ``per_conversion`` is (conversion_id, n) from ``window_counts``, so no pair is built.
+    """
+    counts = per_conversion.agg(F.count(F.lit(1)).alias("t"), F.count_if(F.col("n") > 0).alias("m"))
     return counts.select(
         F.lit(lookback_days).alias("lookback_days"),
         F.col("t").alias("total_conversions"),
@@ -218,40 +246,27 @@ def coverage_summary(joined: DataFrame, conversions: DataFrame, lookback_days: i
     )
 
 
-def coverage_operations(joined: DataFrame, exposures: DataFrame, conversions: DataFrame, days: int) -> DataFrame:
-    """Nine (metric, value) rows: conversions, users and exposures, total, matched and unmatched."""
-    parts = [
-        conversions.select(F.lit("c").alias("kind"), F.col("conversion_id").cast("string").alias("id"), F.lit(0).alias("hit")),
-        exposures.select(F.lit("e"), F.col("exposure_id").cast("string"), F.lit(0)),
-        exposures.select(F.lit("u"), F.col("user_id").cast("string"), F.lit(0)),
-        conversions.select(F.lit("u"), F.col("user_id").cast("string"), F.lit(0)),
-        joined.select(
-            F.explode(
-                F.array(
-                    F.struct(F.lit("c").alias("kind"), F.col("conversion_id").cast("string").alias("id")),
-                    F.struct(F.lit("e").alias("kind"), F.col("exposure_id").cast("string").alias("id")),
-                    F.struct(F.lit("u").alias("kind"), F.col("user_id").cast("string").alias("id")),
-                )
-            ).alias("s")
-        ).select("s.kind", "s.id", F.lit(1)),
-    ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    flags = rows.groupBy("kind", "id").agg(F.max("hit").alias("hit"))
-    count = lambda kind, hit=None: F.count_if(
-        (F.col("kind") == kind) if hit is None else ((F.col("kind") == kind) & (F.col("hit") == hit))
+def coverage_operations(per_conversion: DataFrame, per_exposure: DataFrame, days: int) -> DataFrame:
+    """Nine (metric, value) rows: conversions, users and exposures, total, matched and unmatched.
+
+    Inputs are the two tables of ``window_counts``.
+    """
+    side = lambda df, kind: df.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias(f"{kind}_all"), F.count_if(F.col("n") > 0).alias(f"{kind}_hit")
     )
-    wide = flags.agg(
-        count("c").alias("conversions_total"),
-        count("c", 1).alias(f"conversions_attributed_{days}d"),
-        count("c", 0).alias(f"conversions_unattributed_{days}d"),
-        count("u").alias("users_total_union"),
-        count("u", 1).alias(f"users_matched_{days}d"),
-        count("u", 0).alias(f"users_unmatched_{days}d"),
-        count("e").alias("exposure_events_total"),
-        count("e", 1).alias(f"exposure_events_matched_{days}d"),
-        count("e", 0).alias(f"exposure_events_unmatched_{days}d"),
+    users = side(per_conversion, "c").join(side(per_exposure, "e"), "user_id", "full").fillna(0)
+    matched = F.col("c_hit") > 0
+    less = lambda a, b: F.sum(a) - F.sum(b)
+    wide = users.agg(
+        F.sum("c_all").alias("conversions_total"),
+        F.sum("c_hit").alias(f"conversions_attributed_{days}d"),
+        less("c_all", "c_hit").alias(f"conversions_unattributed_{days}d"),
+        F.count(F.lit(1)).alias("users_total_union"),
+        F.count_if(matched).alias(f"users_matched_{days}d"),
+        F.count_if(~matched).alias(f"users_unmatched_{days}d"),
+        F.sum("e_all").alias("exposure_events_total"),
+        F.sum("e_hit").alias(f"exposure_events_matched_{days}d"),
+        less("e_all", "e_hit").alias(f"exposure_events_unmatched_{days}d"),
     )
     pairs = ", ".join(f"'{c}', {c}" for c in wide.columns)
     return wide.select(F.expr(f"stack({len(wide.columns)}, {pairs}) as (metric, value)"))

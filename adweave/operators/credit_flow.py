@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adweave.operators.attribution import METHODS
+from adweave.operators.attribution import METHODS, attribute
+from adweave.operators.joins import measurement_table
 
 DAY = 86_400_000_000
 HOUR = 3_600_000_000
@@ -113,6 +114,53 @@ def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: int, la
     )
 
 
+def window_counts(
+    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float = 0.0, bucket_micros: int = DAY
+) -> tuple[DataFrame, DataFrame]:
+    """How many partners each conversion and each exposure has in the window, without pairing them.
+
+    Returns (user_id, conversion_id, n) and (user_id, exposure_id, n), zero counts included.
+    """
+    reach, lag = int(lookback_days * DAY), int(min_lag_hours * HOUR)
+
+    def counts(points: DataFrame, seekers: DataFrame, low: Column, high: Column) -> DataFrame:
+        mark = lambda kind, axis, turn: F.struct(F.lit(kind).alias("kind"), axis.alias("axis"), F.lit(turn).alias("turn"))
+        asked = seekers.select("user_id", "id", F.explode(F.array(mark("lo", low, 0), mark("hi", high, 2))).alias("m")).select(
+            "user_id", "m.axis", "m.turn", "id", "m.kind", F.lit(0.0).alias("amount"), F.lit(0.0).alias("count")
+        )
+        given = points.select(
+            "user_id", F.col("t").alias("axis"), F.lit(1).alias("turn"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("kind"),
+            F.lit(0.0).alias("amount"), F.lit(1.0).alias("count"),
+        )
+        sums = _running(given.unionByName(asked), ["count"], bucket_micros)
+        signed = F.when(F.col("kind") == "hi", F.col("count")).otherwise(-F.col("count"))
+        return sums.groupBy("user_id", "id").agg(F.greatest(F.sum(signed), F.lit(0.0)).cast("long").alias("n"))
+
+    shown = exposures.select("user_id", F.col("exposure_id").alias("id"), _micros("ts_exposure").alias("t"))
+    bought = conversions.select("user_id", F.col("conversion_id").alias("id"), _micros("ts_conversion").alias("t"))
+    t = F.col("t")
+    per_conversion = counts(shown, bought.withColumns({"lo": t - reach, "hi": t - lag}), F.col("lo"), F.col("hi"))
+    per_exposure = counts(bought, shown.withColumns({"lo": t + lag, "hi": t + reach}), F.col("lo"), F.col("hi"))
+    return per_conversion.withColumnRenamed("id", "conversion_id"), per_exposure.withColumnRenamed("id", "exposure_id")
+
+
+def credit_by_channel(
+    exposures: DataFrame, conversions: DataFrame, lookback_days: int, min_lag_hours: float = 0.0, blowup: float = 50.0, **kwargs
+) -> DataFrame:
+    """(method, channel, credit), from pairs when they are few and from timelines otherwise.
+
+    One light count per user bounds the number of pairs; above ``blowup`` times the input rows nothing is
+    paired.
+    """
+    per_user = exposures.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("e")).join(
+        conversions.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("c")), "user_id", "full"
+    )
+    size = per_user.agg(F.sum(F.col("e") * F.col("c")).alias("pairs"), F.sum("e").alias("e"), F.sum("c").alias("c")).first()
+    if (size["pairs"] or 0.0) > blowup * ((size["e"] or 0.0) + (size["c"] or 0.0)):
+        return attribute_timelines(exposures, conversions, lookback_days, min_lag_hours, **kwargs)
+    return attribute(measurement_table(exposures, conversions, lookback_days, min_lag_hours))
+
+
 def _rest_shares(stats: DataFrame) -> DataFrame:
     """Adds what a touch that is no anchor gets under the two position rules."""
     n, value = F.col("n"), F.col("value")

@@ -216,9 +216,9 @@ def train_linker(features: DataFrame, columns: Sequence[str] = PAIR_FEATURES, sh
     split = models.stratified_holdout(pair_key(features), "pair_id", "same_person", share)
     columns = [c for c in columns if c in features.columns]
     ready = models.assemble(split, columns).withColumn("label", F.col("same_person").cast("double"))
-    train = models.balanced_weights(ready.where(~F.col("is_test")), "label")
-    rows = train.count()
-    model = models.logistic(rows, max_iter=200, weight="weight").fit(train)
+    train = models.balanced_weights(ready.where(~F.col("is_test")), "label").select("label", "weight", "features").persist()
+    model = models.logistic(train.count(), max_iter=100, weight="weight").fit(train)
+    train.unpersist()
     return model, models.positive_probability(model, ready.where("is_test")), columns
 
 

@@ -131,17 +131,17 @@ def feature_importance(model: Model, names: Sequence[str], spark, k: int = 10) -
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def permutation_importance(model: Model, df: DataFrame, columns: Sequence[str], key: str, label: str = "label") -> DataFrame:
+def permutation_importance(model: Model, df: DataFrame, columns: Sequence[str], key: str, label: str = "label", buckets: int = 4096) -> DataFrame:
     """Mean absolute change of the predicted probability when one column takes another row's value.
 
-    Rows are paired through a second hash order inside hash buckets, so no shuffle of the whole table per
-    column is needed: every row carries the values of its neighbour and one scoring pass is made per column.
+    It takes the place of per-row tree attributions. Each row is given the values of the row after it in a
+    hash order inside hash buckets, so one shuffle serves all columns; take more ``buckets`` for more rows.
     """
     from pyspark.sql import Window
 
-    bucket = F.pmod(F.xxhash64(key), F.lit(4096))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
     ring = Window.partitionBy("_b").orderBy(F.xxhash64(F.lit(7), F.col(key)), key)
-    start = Window.partitionBy("_b").orderBy(F.xxhash64(F.lit(7), F.col(key)), key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    start = ring.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     neighbour = F.struct(*columns)
     paired = df.withColumn("_b", bucket).withColumn("_swap", F.coalesce(F.lead(neighbour).over(ring), F.first(neighbour).over(start)))
     score = lambda frame: positive_probability(model, assemble(frame.drop("features"), columns))

@@ -118,7 +118,8 @@ for _number, _method in enumerate(att.METHODS, start=1):
 
 @_register("att9_all_methods", with_ctes(BASE, f"SELECT method, channel, round(credit, 6) AS credit FROM ({all_credit_sql()})"))
 def _(spark, d):
-    return att.attribute(_measured(spark, d)).select("method", "channel", F.round("credit", 6).alias("credit"))
+    table = credit_flow.credit_by_channel(fx.exposures(spark, d), fx.conversions(spark, d), 7)
+    return table.select("method", "channel", F.round("credit", 6).alias("credit"))
 
 
 @_register("att9_all_methods_without_pairs", with_ctes(BASE, f"SELECT method, channel, round(credit, 6) AS credit FROM ({all_credit_sql()})"))
@@ -232,7 +233,7 @@ def _(spark, d):
       / (SELECT count(DISTINCT conversion_id) FROM conversions), 2) AS coverage_pct FROM joined"""),
 )
 def _(spark, d):
-    return att.coverage_summary(joins.window_join(fx.exposures(spark, d), fx.conversions(spark, d), 7), fx.conversions(spark, d), 7)
+    return att.coverage_summary(credit_flow.window_counts(fx.exposures(spark, d), fx.conversions(spark, d), 7)[0], 7)
 
 
 @_register(
@@ -248,8 +249,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    exp, conv = fx.exposures(spark, d), fx.conversions(spark, d)
-    return att.coverage_operations(joins.window_join(exp, conv, 7), exp, conv, 7)
+    return att.coverage_operations(*credit_flow.window_counts(fx.exposures(spark, d), fx.conversions(spark, d), 7), 7)
 
 
 @_register("seg1_touch_cohort", with_ctes(BASE[:1], "SELECT * FROM cohort", **{k: SEGMENT_SQL[k] for k in ("touch", "pct", "cohort")}))
