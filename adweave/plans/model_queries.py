@@ -194,12 +194,12 @@ def _(spark, d):
 @_register(
     "ops2_latest_version",
     """SELECT p_brand AS model, CAST(max(n) AS INT) AS version FROM (SELECT p_brand, TRY_CAST(split_part(name, '-', 2) AS INT) AS n, has_metadata FROM (
-      SELECT p_brand, CASE WHEN p_size > 45 THEN 'tmp' ELSE 'version-' || p_size END AS name, p_retailprice >= 920 AS has_metadata FROM part)) WHERE has_metadata GROUP BY 1""",
+      SELECT p_brand, CASE WHEN p_size > 45 THEN 'tmp' ELSE 'version-' || p_size END AS name, p_size BETWEEN 3 AND 40 AS has_metadata FROM part)) WHERE has_metadata GROUP BY 1""",
 )
 def _(spark, d):
     """Version folders derived from parts: some names are no version, some versions lack metadata."""
     name = F.when(F.col("p_size") > 45, "tmp").otherwise(F.concat(F.lit("version-"), F.col("p_size").cast("string")))
-    entries = fx.table(spark, d, "part").select(F.col("p_brand").alias("model"), name.alias("name"), (F.col("p_retailprice") >= 920).alias("has_metadata"))
+    entries = fx.table(spark, d, "part").select(F.col("p_brand").alias("model"), name.alias("name"), F.col("p_size").between(3, 40).alias("has_metadata"))
     return registry.latest_versions(entries)
 
 
