@@ -21,21 +21,27 @@ LAGS = (0, 6, 24)
 
 
 def _per_channel(joined: DataFrame, keys: list[str], half_life: float) -> DataFrame:
+    """Pairs reduced to (keys…, user, conversion, channel); all buffers are plain numbers, so it hashes.
+
+    The user is a key although the conversion implies it: after a join on user the rows are already
+    where this aggregate and the windows after it need them.
+    """
     decay = F.exp(F.lit(-math.log(2) / half_life) * F.col("hours_before_conversion"))
-    return joined.groupBy(*keys, "conversion_id", "channel").agg(
-        F.first("conversion_value").alias("value"),
+    position = F.col("touch_pos")
+    return joined.groupBy(*keys, "user_id", "conversion_id", "channel").agg(
+        F.max("conversion_value").alias("value"),
         F.count(F.lit(1)).alias("touches"),
         F.sum(decay).alias("decay"),
-        F.min("touch_pos").alias("lo"),
-        F.max("touch_pos").alias("hi"),
-        # latest time; among equal times the lowest position, i.e. the lowest exposure id
-        F.max(F.struct("ts_exposure", (-F.col("touch_pos")).alias("back"))).alias("latest"),
+        F.min(position).alias("lo"),
+        F.max(position).alias("hi"),
+        # latest touch that comes first among the user's touches of the same instant (lowest exposure id)
+        F.max(F.when(position == F.col("peer_pos"), position)).alias("latest"),
     )
 
 
 def _merge(parts: DataFrame, keys: list[str]) -> DataFrame:
-    return parts.groupBy(*keys, "conversion_id", "channel").agg(
-        F.first("value").alias("value"),
+    return parts.groupBy(*keys, "user_id", "conversion_id", "channel").agg(
+        F.max("value").alias("value"),
         F.sum("touches").alias("touches"),
         F.sum("decay").alias("decay"),
         F.min("lo").alias("lo"),
@@ -44,15 +50,18 @@ def _merge(parts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _middle_channels(joined: DataFrame, conv: list[str], per_channel: DataFrame) -> DataFrame:
-    """Channel at position n div 2 of each conversion with three or more touches.
+def _with_middle(table: DataFrame, joined: DataFrame, touches: DataFrame | None) -> DataFrame:
+    """Adds the channel at position n div 2, looked up by (user, position).
 
-    The channel at a position is the same in every slice, so the pairs are looked up as they are.
+    ``touches`` are the ranked exposures; without them the positions are looked up in the pairs, which
+    evaluates the join once more.
     """
-    spots = per_channel.groupBy(*conv).agg(F.min("lo").alias("first_pos"), F.sum("touches").alias("n"))
-    spots = spots.where("n > 2").select(*conv, (F.col("first_pos") + F.floor(F.col("n") / 2)).alias("touch_pos"))
-    pairs = joined.select("conversion_id", "touch_pos", F.col("channel").alias("mid_channel"))
-    return spots.join(pairs, ["conversion_id", "touch_pos"]).select(*conv, "mid_channel")
+    source = joined if touches is None else touches
+    spots = source.select("user_id", F.col("touch_pos").alias("mid_pos"), F.col("channel").alias("mid_channel"))
+    if touches is None:
+        spots = spots.distinct()
+    middle = F.when(F.col("n") > 2, F.col("first_pos") + F.floor(F.col("n") / 2))
+    return table.withColumn("mid_pos", middle).join(spots, ["user_id", "mid_pos"], "left")
 
 
 def conversion_credit(
@@ -63,8 +72,9 @@ def conversion_credit(
     renormalize_w: bool = False,
     carry: Sequence[str] = (),
     expand: Callable[[DataFrame], DataFrame] | None = None,
+    touches: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per (by…, conversion, channel) with one credit column per method.
+    """One row per (by…, user, conversion, channel) with one credit column per method.
 
     ``markov_proxy`` holds the presence flag and ``shapley_proxy`` the share, both skipping null channels.
     With three touches ``w_shape`` hands out only 0.9 of the value; ``renormalize_w`` hands out all of it.
@@ -73,14 +83,11 @@ def conversion_credit(
     channel), ``expand`` turns the carried columns into the ``by`` columns, and the parts are merged.
     """
     by = list(by)
-    conv = [*by, "conversion_id"]
+    conv = [*by, "user_id", "conversion_id"]
     if expand is None:
         table = _per_channel(joined, by, half_life_hours)
     else:
         table = _merge(expand(_per_channel(joined, list(carry), half_life_hours)), by)
-    need_middle = "w_shape" in methods
-    if need_middle:
-        table = table.join(_middle_channels(joined, conv, table), conv, "left")
     whole = Window.partitionBy(*conv)
     table = table.select(
         "*",
@@ -91,6 +98,9 @@ def conversion_credit(
         F.max("latest").over(whole).alias("last_row"),
         F.count("channel").over(whole).alias("channels"),
     )
+    need_middle = "w_shape" in methods
+    if need_middle:
+        table = _with_middle(table, joined, touches)
     value, n, touches = F.col("value"), F.col("n"), F.col("touches")
     is_first = (F.col("lo") == F.col("first_pos")).cast("int")
     is_last = (F.col("hi") == F.col("last_pos")).cast("int")
@@ -126,7 +136,7 @@ def attribute(joined: DataFrame, methods: Sequence[str] = METHODS, by: Sequence[
     sums = [F.sum(m).alias(m) for m in methods]
     if "markov_proxy" in methods:
         # value of a conversion, counted once: spread over its rows (null channels included)
-        per_conv = Window.partitionBy(*by, "conversion_id")
+        per_conv = Window.partitionBy(*by, "user_id", "conversion_id")
         rows = rows.withColumn("_part", F.col("value") / F.count(F.lit(1)).over(per_conv))
         sums.append(F.sum("_part").alias("_value"))
     per_channel = rows.groupBy(*by, "channel").agg(*sums)  # (slices × channels) rows from here on
@@ -160,6 +170,7 @@ def robustness_grid(
     windows: Sequence[int] = WINDOWS,
     lags: Sequence[int] = LAGS,
     methods: Sequence[str] = METHODS,
+    touches: DataFrame | None = None,
 ) -> DataFrame:
     """Credit total, coverage and top channel per (window, lag, method) from one join at the widest window.
 
@@ -186,7 +197,7 @@ def robustness_grid(
         )
         return parts.withColumn("_cell", F.explode(F.array_compact(grid))).select("*", "_cell.*").drop("_cell", "_w", "_l")
 
-    credits = attribute(marked, methods, by=cell, carry=["_w", "_l"], expand=cells)
+    credits = attribute(marked, methods, by=cell, carry=["_w", "_l"], expand=cells, touches=touches)
     seen = marked.select("conversion_id", "_w", "_l").distinct()
     covered = cells(seen).groupBy(*cell).agg(F.count_distinct("conversion_id").alias("covered"))
     report = credits.groupBy(*cell, "method").agg(
@@ -213,7 +224,9 @@ def stability(grid: DataFrame) -> DataFrame:
     )
 
 
-def segment_slices(joined: DataFrame, segment_cols: Sequence[str], methods: Sequence[str] = METHODS) -> DataFrame:
+def segment_slices(
+    joined: DataFrame, segment_cols: Sequence[str], methods: Sequence[str] = METHODS, touches: DataFrame | None = None
+) -> DataFrame:
     """All rules inside each value of each segment column; a missing segment is the value 'nan'."""
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
 
@@ -221,7 +234,7 @@ def segment_slices(joined: DataFrame, segment_cols: Sequence[str], methods: Sequ
         labels = F.array(*[F.struct(F.lit(c).alias("segment_col"), value(c).alias("segment_value")) for c in segment_cols])
         return parts.withColumn("_s", F.explode(labels)).select("*", "_s.*").drop("_s", *segment_cols)
 
-    return attribute(joined, methods, by=["segment_col", "segment_value"], carry=list(segment_cols), expand=slices)
+    return attribute(joined, methods, by=["segment_col", "segment_value"], carry=list(segment_cols), expand=slices, touches=touches)
 
 
 def top_channel_per_slice(slices: DataFrame) -> DataFrame:

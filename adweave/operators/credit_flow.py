@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adweave.operators.attribution import METHODS, attribute
-from adweave.operators.joins import measurement_table
+from adweave.operators.joins import measurement_table, rank_touches
 
 DAY = 86_400_000_000
 HOUR = 3_600_000_000
@@ -158,7 +158,8 @@ def credit_by_channel(
     size = per_user.agg(F.sum(F.col("e") * F.col("c")).alias("pairs"), F.sum("e").alias("e"), F.sum("c").alias("c")).first()
     if (size["pairs"] or 0.0) > blowup * ((size["e"] or 0.0) + (size["c"] or 0.0)):
         return attribute_timelines(exposures, conversions, lookback_days, min_lag_hours, **kwargs)
-    return attribute(measurement_table(exposures, conversions, lookback_days, min_lag_hours))
+    touches = rank_touches(exposures)
+    return attribute(measurement_table(touches, conversions, lookback_days, min_lag_hours), touches=touches)
 
 
 def _rest_shares(stats: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def _in_window(lookback_days: float, min_lag_hours: float) -> Column:
 
 
 def _shape(pairs: DataFrame, lookback_days: int, min_lag_hours: float) -> DataFrame:
-    extra = [c for c in ("touch_pos",) if c in pairs.columns]
+    extra = [c for c in ("touch_pos", "peer_pos") if c in pairs.columns]
     return pairs.select(
         F.lit(lookback_days).alias("lookback_days"),
         F.lit(float(min_lag_hours)).alias("min_lag_hours"),
@@ -85,6 +85,12 @@ def bucketed_window_join(
     return _shape(pairs, lookback_days, min_lag_hours)
 
 
+def rank_touches(exposures: DataFrame) -> DataFrame:
+    """Exposures with ``touch_pos``, the position in the user's history, and ``peer_pos``, the position of the
+    user's first touch of the same instant."""
+    return rank_in_groups(exposures, "user_id", "ts_exposure", "exposure_id", peers="peer_pos")
+
+
 def measurement_table(
     exposures: DataFrame,
     conversions: DataFrame,
@@ -93,13 +99,13 @@ def measurement_table(
     bucketed: bool | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Window join plus ``touch_pos``, the position of each exposure in its user's history.
+    """Window join plus the positions of :func:`rank_touches` (worked out here unless they are present).
 
     The touches of one conversion are neighbours in that history, so ``touch_pos`` gives every position rule
     its answer from per-conversion minima and counts, with no sort of the pairs. With ``bucketed=None`` one
     light count decides between the two physical joins.
     """
-    ranked = rank_in_groups(exposures, "user_id", "ts_exposure", "exposure_id")
+    ranked = exposures if "touch_pos" in exposures.columns else rank_touches(exposures)
     if bucketed is None:
         per_user = exposures.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
         bucketed = (per_user.agg(F.max("n")).first()[0] or 0) > hot_rows

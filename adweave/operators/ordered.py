@@ -207,9 +207,13 @@ def exact_quantiles(
     return picked.select(*by, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("quantile"))
 
 
-def rank_in_groups(df: DataFrame, group: str, time: str, key: str, name: str = "touch_pos") -> DataFrame:
+def rank_in_groups(
+    df: DataFrame, group: str, time: str, key: str, name: str = "touch_pos", peers: str | None = None
+) -> DataFrame:
     """1-based position of each row within its group by (time, key), for any number of groups.
 
+    ``peers`` names a column for the position of the first row of the same time.
+
     The window runs inside (group, day); the count of earlier days is added from a table with one row per
     group and day, so a group holding much of the data is spread over its days.
     """
@@ -218,10 +222,11 @@ def rank_in_groups(df: DataFrame, group: str, time: str, key: str, name: str = "
     per_day = base.groupBy(group, "_day").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_day.select(group, "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(group, "_day").orderBy(time, key)
-    return (
-        base.withColumn("_rn", F.row_number().over(inside))
-        .join(offsets, [group, "_day"])
-        .withColumn(name, F.col("_rn") + F.col("_off"))
-        .drop("_day", "_rn", "_off")
-    )
+    day_rows = Window.partitionBy(group, "_day")
+    ranked = base.withColumn("_rn", F.row_number().over(day_rows.orderBy(time, key)))
+    if peers:
+        ranked = ranked.withColumn("_peer", F.rank().over(day_rows.orderBy(time)))
+    placed = ranked.join(offsets, [group, "_day"]).withColumn(name, F.col("_rn") + F.col("_off"))
+    if peers:
+        placed = placed.withColumn(peers, F.col("_peer") + F.col("_off"))
+    return placed.drop("_day", "_rn", "_peer", "_off")

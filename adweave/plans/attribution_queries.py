@@ -25,7 +25,9 @@ def _register(name, sql=None):
 
 
 def _measured(spark, sf_dir, days=7, lag=0):
-    return joins.measurement_table(fx.exposures(spark, sf_dir), fx.conversions(spark, sf_dir), days, lag)
+    """Pairs of the window and the ranked exposures they were made from."""
+    touches = joins.rank_touches(fx.exposures(spark, sf_dir))
+    return joins.measurement_table(touches, fx.conversions(spark, sf_dir), days, lag), touches
 
 
 _PAIRS = """SELECT conversion_id, user_id, exposure_id, channel, round(conversion_value, 6) AS conversion_value,
@@ -109,7 +111,8 @@ def _single(number: int, method: str) -> None:
 
     @_register(f"att{number}_{method}", with_ctes(BASE, body))
     def _(spark, d):
-        return att.credit_for(_measured(spark, d), method).select("channel", F.round("credit", 6).alias("credit"))
+        joined, touches = _measured(spark, d)
+        return att.credit_for(joined, method, touches=touches).select("channel", F.round("credit", 6).alias("credit"))
 
 
 for _number, _method in enumerate(att.METHODS, start=1):
@@ -133,7 +136,8 @@ _PIVOT = ", ".join(f"round(coalesce(sum(credit) FILTER (method = '{m}'), 0), 6)
 
 @_register("att10_method_pivot", with_ctes(BASE, f"SELECT channel, {_PIVOT} FROM ({all_credit_sql()}) GROUP BY channel"))
 def _(spark, d):
-    pivot = att.method_pivot(att.attribute(_measured(spark, d)))
+    joined, touches = _measured(spark, d)
+    pivot = att.method_pivot(att.attribute(joined, touches=touches))
     return pivot.select("channel", *[F.round(m, 6).alias(m) for m in att.METHODS])
 
 
@@ -156,7 +160,8 @@ def _grid_sql(body: str) -> str:
 def _grid(spark, d):
     conv = fx.conversions(spark, d)
     total = conv.select(F.count_distinct("conversion_id")).first()[0]
-    return att.robustness_grid(_measured(spark, d, 30), total)
+    joined, touches = _measured(spark, d, 30)
+    return att.robustness_grid(joined, total, touches=touches)
 
 
 @_register(
@@ -200,17 +205,19 @@ _SLICES = dict(SEGMENT_SQL, sliced=_SLICED, slices=all_credit_sql("sliced", _SLI
 
 
 def _labelled(spark, d):
-    return joins.attach_labels(_measured(spark, d), segments.user_segments(fx.exposures(spark, d)), "user_id")
+    joined, touches = _measured(spark, d)
+    return joins.attach_labels(joined, segments.user_segments(fx.exposures(spark, d)), "user_id"), touches
 
 
 @_register("jn4_attach_segments", with_ctes(BASE, "SELECT exposure_id, conversion_id, touch_count, touch_cohort, dominant_channel, campaign_cohort FROM joined LEFT JOIN segments USING (user_id)", **SEGMENT_SQL))
 def _(spark, d):
-    return _labelled(spark, d).select("exposure_id", "conversion_id", "touch_count", *_SEG_COLS)
+    return _labelled(spark, d)[0].select("exposure_id", "conversion_id", "touch_count", *_SEG_COLS)
 
 
 @_register("att13_segment_slices", with_ctes(BASE, "SELECT segment_col, segment_value, method, channel, round(credit, 6) AS credit FROM slices", **_SLICES))
 def _(spark, d):
-    return att.segment_slices(_labelled(spark, d), _SEG_COLS).withColumn("credit", F.round("credit", 6)).where("credit <> 0")
+    joined, touches = _labelled(spark, d)
+    return att.segment_slices(joined, _SEG_COLS, touches=touches).withColumn("credit", F.round("credit", 6)).where("credit <> 0")
 
 
 ORACLE["att13_segment_slices"] += " WHERE round(credit, 6) <> 0"
@@ -222,7 +229,8 @@ ORACLE["att13_segment_slices"] += " WHERE round(credit, 6) <> 0"
       (PARTITION BY segment_col, segment_value, method ORDER BY round(credit, 9) DESC, channel) AS rn FROM slices) WHERE rn = 1""", **_SLICES),
 )
 def _(spark, d):
-    slices = att.segment_slices(_labelled(spark, d), _SEG_COLS)
+    joined, touches = _labelled(spark, d)
+    slices = att.segment_slices(joined, _SEG_COLS, touches=touches)
     return att.top_channel_per_slice(slices).withColumn("credit", F.round("credit", 6))
 
 
