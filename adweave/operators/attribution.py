@@ -200,6 +200,12 @@ def robustness_grid(
     credits = attribute(marked, methods, by=cell, carry=["_w", "_l"], expand=cells, touches=touches)
     seen = marked.select("conversion_id", "_w", "_l").distinct()
     covered = cells(seen).groupBy(*cell).agg(F.count_distinct("conversion_id").alias("covered"))
+    return grid_report(credits, covered, total_conversions)
+
+
+def grid_report(credits: DataFrame, covered: DataFrame, total_conversions: int) -> DataFrame:
+    """Grid rows from credit per (window_days, min_lag, method, channel) and covered conversions per cell."""
+    cell = ["window_days", "min_lag"]
     report = credits.groupBy(*cell, "method").agg(
         F.sum("credit").alias("total_credit"),
         F.min_by("channel", F.struct(-F.round("credit", 9), "channel")).alias("top_channel"),

@@ -16,12 +16,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adweave.operators.attribution import METHODS, attribute
-from adweave.operators.joins import measurement_table, rank_touches
+from adweave.operators.attribution import LAGS, METHODS, WINDOWS, attribute, grid_report, robustness_grid, segment_slices
+from adweave.operators.joins import attach_labels, measurement_table, rank_touches
+from adweave.session import cut_lineage
 
 DAY = 86_400_000_000
 HOUR = 3_600_000_000
 MAX_HALF_LIVES = 1_000
+DUST = 1e-12  # differences of running sums leave rounding residue where the credit is nothing
 
 
 def _micros(ts: str) -> Column:
@@ -144,24 +146,6 @@ def window_counts(
     return per_conversion.withColumnRenamed("id", "conversion_id"), per_exposure.withColumnRenamed("id", "exposure_id")
 
 
-def credit_by_channel(
-    exposures: DataFrame, conversions: DataFrame, lookback_days: int, min_lag_hours: float = 0.0, blowup: float = 50.0, **kwargs
-) -> DataFrame:
-    """(method, channel, credit), from pairs when they are few and from timelines otherwise.
-
-    One light count per user bounds the number of pairs; above ``blowup`` times the input rows nothing is
-    paired.
-    """
-    per_user = exposures.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("e")).join(
-        conversions.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("c")), "user_id", "full"
-    )
-    size = per_user.agg(F.sum(F.col("e") * F.col("c")).alias("pairs"), F.sum("e").alias("e"), F.sum("c").alias("c")).first()
-    if (size["pairs"] or 0.0) > blowup * ((size["e"] or 0.0) + (size["c"] or 0.0)):
-        return attribute_timelines(exposures, conversions, lookback_days, min_lag_hours, **kwargs)
-    touches = rank_touches(exposures)
-    return attribute(measurement_table(touches, conversions, lookback_days, min_lag_hours), touches=touches)
-
-
 def _rest_shares(stats: DataFrame) -> DataFrame:
     """Adds what a touch that is no anchor gets under the two position rules."""
     n, value = F.col("n"), F.col("value")
@@ -186,12 +170,13 @@ def _anchor_credit(stats: DataFrame, touches: DataFrame) -> DataFrame:
     is_first, is_last = F.col("spot") == "first", F.col("spot") == "last"
     ends = is_first | is_last
     own = found.select(
+        "user_id",
         "channel",
         F.when(is_first, value).alias("first_touch"),
         F.when(many & ends, 0.4 * value - F.col("u_rest")).alias("u_shape"),
         F.when(many, 0.3 * value - F.col("w_rest")).alias("w_shape"),
     )
-    last = found.where(is_last).select(F.col("peer_channel").alias("channel"), F.col("value").alias("last_touch"))
+    last = found.where(is_last).select("user_id", F.col("peer_channel").alias("channel"), F.col("value").alias("last_touch"))
     return own.unionByName(last, allowMissingColumns=True)
 
 
@@ -219,38 +204,123 @@ def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFram
     every = [(at("from", c) - at("past", c)).alias(c) for c in names[:4]]
     once = [(at("from", c) - at("gone", c)).alias(c) for c in names[4:]]
     per_touch = sums.groupBy(F.col("id").alias("exposure_id")).agg(F.max("amount").alias("amount"), *every, *once)
-    known = touches.select("exposure_id", "channel").where(F.col("channel").isNotNull())
+    known = touches.select("user_id", "exposure_id", "channel").where(F.col("channel").isNotNull())
     return per_touch.join(known, "exposure_id").select(
-        "channel", "linear", (F.col("time_decay") * F.col("amount")).alias("time_decay"), *names[2:]
+        "user_id", "channel", "linear", (F.col("time_decay") * F.col("amount")).alias("time_decay"), *names[2:]
     )
 
 
-def attribute_timelines(
-    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float = 0.0, half_life_hours: float = 48.0, bucket_micros: int = DAY
+def _credit_rows(
+    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float, half_life_hours: float, bucket_micros: int
 ) -> DataFrame:
-    """(method, channel, credit) of all eight rules, equal to ``attribute`` over the window join.
-
-    ``exposure_id`` and ``conversion_id`` must be unique. ``bucket_micros`` is the width of a time bucket;
-    make it small when one user has very many touches a day.
-    """
+    """Rows (user_id, channel, one column per rule, all_value, covered) whose sums are the credit."""
     reach, lag = int(lookback_days * DAY), int(min_lag_hours * HOUR)
     span = exposures.agg(F.min(_micros("ts_exposure")).alias("a"), F.max(_micros("ts_exposure")).alias("b")).first()
-    if span["a"] is None:
-        return exposures.sparkSession.createDataFrame([], "method string, channel string, credit double")
     half_life = half_life_hours * HOUR
-    if (span["b"] - span["a"]) / half_life > MAX_HALF_LIVES:
+    start, end = span["a"] or 0, span["b"] or 0
+    if (end - start) / half_life > MAX_HALF_LIVES:
         raise ValueError("history is too long for one decay scale; run it in overlapping time slices")
-    middle = (span["a"] + span["b"]) // 2
-    grow = F.exp((F.col("t") - F.lit(middle)) * (math.log(2) / half_life))
+    grow = F.exp((F.col("t") - F.lit((start + end) // 2)) * (math.log(2) / half_life))
     touches = _touches(exposures, bucket_micros)
     stats = _rest_shares(_conversion_stats(touches, conversions, reach, lag, grow, bucket_micros))
     rows = _exposure_credit(stats, conversions, touches, reach, lag, grow, bucket_micros)
     rows = rows.unionByName(_anchor_credit(stats, touches), allowMissingColumns=True)
-    rows = rows.unionByName(stats.select(F.col("value").alias("all_value")), allowMissingColumns=True)
-    table = rows.groupBy("channel").agg(*[F.sum(m).alias(m) for m in [*METHODS, "all_value"]])  # one row per channel
-    everyone = Window.partitionBy(F.lit(0))
-    presence = F.nullif(F.sum("markov_proxy").over(everyone), F.lit(0.0))
-    table = table.withColumn("markov_proxy", F.col("markov_proxy") / presence * F.sum("all_value").over(everyone))
+    return rows.unionByName(stats.select("user_id", F.col("value").alias("all_value"), F.lit(1).alias("covered")), allowMissingColumns=True)
+
+
+def _credit_table(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by…, method, channel, credit, covered) from credit rows; ``covered`` counts matched conversions."""
+    by = list(by)
+    table = rows.groupBy(*by, "channel").agg(*[F.sum(m).alias(m) for m in [*METHODS, "all_value", "covered"]])
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # one row per channel of a slice
+    presence = F.nullif(F.sum("markov_proxy").over(group), F.lit(0.0))
+    table = table.withColumns(
+        {
+            "markov_proxy": F.col("markov_proxy") / presence * F.sum("all_value").over(group),
+            "covered": F.sum("covered").over(group),
+        }
+    )
     pairs = ", ".join(f"'{m}', {m}" for m in METHODS)
-    stacked = table.where(F.col("channel").isNotNull()).select("channel", F.expr(f"stack({len(METHODS)}, {pairs}) as (method, credit)"))
-    return stacked.select("method", "channel", "credit").where(F.col("credit").isNotNull())
+    known = table.where(F.col("channel").isNotNull())
+    stacked = known.select(*by, "channel", "covered", F.expr(f"stack({len(METHODS)}, {pairs}) as (method, credit)"))
+    return stacked.where(F.abs("credit") > DUST).select(*by, "method", "channel", "credit", "covered")
+
+
+def attribute_timelines(
+    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float = 0.0, half_life_hours: float = 48.0, bucket_micros: int = DAY
+) -> DataFrame:
+    """(method, channel, credit) of all eight rules, equal to ``attribute`` over the window join.
+
+    ``exposure_id`` and ``conversion_id`` must be unique. ``bucket_micros`` is the width of a time bucket;
+    make it small when one user has very many touches a day.
+    """
+    rows = _credit_rows(exposures, conversions, lookback_days, min_lag_hours, half_life_hours, bucket_micros)
+    return _credit_table(rows).drop("covered")
+
+
+def slices_timelines(
+    exposures: DataFrame, conversions: DataFrame, labels: DataFrame, segment_cols: Sequence[str], lookback_days: float, min_lag_hours: float = 0.0,
+    half_life_hours: float = 48.0, bucket_micros: int = DAY,
+) -> DataFrame:
+    """``segment_slices`` without pairs, for user-level segment labels; a missing label is 'nan'."""
+    rows = _credit_rows(exposures, conversions, lookback_days, min_lag_hours, half_life_hours, bucket_micros)
+    per_user = rows.groupBy("user_id", "channel").agg(*[F.sum(m).alias(m) for m in [*METHODS, "all_value", "covered"]])
+    named = per_user.join(labels.select("user_id", *segment_cols), "user_id", "left")
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
+    cells = F.array(*[F.struct(F.lit(c).alias("segment_col"), value(c).alias("segment_value")) for c in segment_cols])
+    sliced = named.withColumn("_s", F.explode(cells)).select("*", "_s.*").drop("_s", *segment_cols)
+    return _credit_table(sliced, ["segment_col", "segment_value"]).drop("covered")
+
+
+def grid_timelines(
+    exposures: DataFrame, conversions: DataFrame, total_conversions: int, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, **kwargs
+) -> DataFrame:
+    """``robustness_grid`` without pairs: one linear pass per cell, whose few result rows are written out at
+    once so that the plans do not pile up."""
+    parts = None
+    for window in windows:
+        for lag in lags:
+            rows = _credit_rows(exposures, conversions, window, lag, kwargs.get("half_life_hours", 48.0), kwargs.get("bucket_micros", DAY))
+            cell = _credit_table(rows).withColumns({"window_days": F.lit(window), "min_lag": F.lit(lag)})
+            cell = cut_lineage(cell)
+            parts = cell if parts is None else parts.unionByName(cell)
+    covered = parts.groupBy("window_days", "min_lag").agg(F.max("covered").alias("covered"))
+    return grid_report(parts, covered, total_conversions)
+
+
+def too_many_pairs(exposures: DataFrame, conversions: DataFrame, blowup: float = 50.0) -> bool:
+    """True when same-user pairs could exceed ``blowup`` times the input rows (one light count per user)."""
+    count = lambda df, name: df.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias(name))
+    per_user = count(exposures, "e").join(count(conversions, "c"), "user_id", "full")
+    size = per_user.agg(F.sum(F.col("e") * F.col("c")).alias("pairs"), (F.coalesce(F.sum("e"), F.lit(0.0)) + F.coalesce(F.sum("c"), F.lit(0.0))).alias("rows")).first()
+    return (size["pairs"] or 0.0) > blowup * size["rows"]
+
+
+def credit_by_channel(
+    exposures: DataFrame, conversions: DataFrame, lookback_days: int, min_lag_hours: float = 0.0, methods: Sequence[str] = METHODS, blowup: float = 50.0
+) -> DataFrame:
+    """(method, channel, credit), from pairs when they are few and from timelines otherwise."""
+    if too_many_pairs(exposures, conversions, blowup):
+        return attribute_timelines(exposures, conversions, lookback_days, min_lag_hours).where(F.col("method").isin(*methods))
+    touches = rank_touches(exposures)
+    return attribute(measurement_table(touches, conversions, lookback_days, min_lag_hours), methods, touches=touches)
+
+
+def credit_by_segment(
+    exposures: DataFrame, conversions: DataFrame, labels: DataFrame, segment_cols: Sequence[str], lookback_days: int, blowup: float = 50.0
+) -> DataFrame:
+    """Segment slices, from pairs when they are few and from timelines otherwise."""
+    if too_many_pairs(exposures, conversions, blowup):
+        return slices_timelines(exposures, conversions, labels, segment_cols, lookback_days)
+    touches = rank_touches(exposures)
+    joined = attach_labels(measurement_table(touches, conversions, lookback_days), labels, "user_id")
+    return segment_slices(joined, segment_cols, touches=touches)
+
+
+def robustness(exposures: DataFrame, conversions: DataFrame, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, blowup: float = 50.0) -> DataFrame:
+    """Robustness grid, from pairs when they are few and from timelines otherwise."""
+    total = conversions.select(F.count_distinct("conversion_id")).first()[0]
+    if too_many_pairs(exposures, conversions, blowup):
+        return grid_timelines(exposures, conversions, total, windows, lags)
+    touches = rank_touches(exposures)
+    return robustness_grid(measurement_table(touches, conversions, max(windows)), total, windows, lags, touches=touches)

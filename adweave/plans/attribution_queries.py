@@ -24,12 +24,6 @@ def _register(name, sql=None):
     return wrap
 
 
-def _measured(spark, sf_dir, days=7, lag=0):
-    """Pairs of the window and the ranked exposures they were made from."""
-    touches = joins.rank_touches(fx.exposures(spark, sf_dir))
-    return joins.measurement_table(touches, fx.conversions(spark, sf_dir), days, lag), touches
-
-
 _PAIRS = """SELECT conversion_id, user_id, exposure_id, channel, round(conversion_value, 6) AS conversion_value,
   epoch_us(ts_exposure) AS exposure_us, epoch_us(ts_conversion) AS conversion_us, round(hours, 6) AS hours_before_conversion FROM joined"""
 
@@ -111,8 +105,8 @@ def _single(number: int, method: str) -> None:
 
     @_register(f"att{number}_{method}", with_ctes(BASE, body))
     def _(spark, d):
-        joined, touches = _measured(spark, d)
-        return att.credit_for(joined, method, touches=touches).select("channel", F.round("credit", 6).alias("credit"))
+        table = credit_flow.credit_by_channel(fx.exposures(spark, d), fx.conversions(spark, d), 7, methods=[method])
+        return table.where("credit <> 0").select("channel", F.round("credit", 6).alias("credit"))
 
 
 for _number, _method in enumerate(att.METHODS, start=1):
@@ -136,8 +130,7 @@ _PIVOT = ", ".join(f"round(coalesce(sum(credit) FILTER (method = '{m}'), 0), 6)
 
 @_register("att10_method_pivot", with_ctes(BASE, f"SELECT channel, {_PIVOT} FROM ({all_credit_sql()}) GROUP BY channel"))
 def _(spark, d):
-    joined, touches = _measured(spark, d)
-    pivot = att.method_pivot(att.attribute(joined, touches=touches))
+    pivot = att.method_pivot(credit_flow.credit_by_channel(fx.exposures(spark, d), fx.conversions(spark, d), 7))
     return pivot.select("channel", *[F.round(m, 6).alias(m) for m in att.METHODS])
 
 
@@ -158,10 +151,7 @@ def _grid_sql(body: str) -> str:
 
 
 def _grid(spark, d):
-    conv = fx.conversions(spark, d)
-    total = conv.select(F.count_distinct("conversion_id")).first()[0]
-    joined, touches = _measured(spark, d, 30)
-    return att.robustness_grid(joined, total, touches=touches)
+    return credit_flow.robustness(fx.exposures(spark, d), fx.conversions(spark, d))
 
 
 @_register(
@@ -204,23 +194,32 @@ _SLICE_BY = ("segment_col", "segment_value")
 _SLICES = dict(SEGMENT_SQL, sliced=_SLICED, slices=all_credit_sql("sliced", _SLICE_BY))
 
 
-def _labelled(spark, d):
-    joined, touches = _measured(spark, d)
-    return joins.attach_labels(joined, segments.user_segments(fx.exposures(spark, d)), "user_id"), touches
+def _slices(spark, d):
+    exp = fx.exposures(spark, d)
+    return credit_flow.credit_by_segment(exp, fx.conversions(spark, d), segments.user_segments(exp), _SEG_COLS, 7)
 
 
 @_register("jn4_attach_segments", with_ctes(BASE, "SELECT exposure_id, conversion_id, touch_count, touch_cohort, dominant_channel, campaign_cohort FROM joined LEFT JOIN segments USING (user_id)", **SEGMENT_SQL))
 def _(spark, d):
-    return _labelled(spark, d)[0].select("exposure_id", "conversion_id", "touch_count", *_SEG_COLS)
+    exp = fx.exposures(spark, d)
+    joined = joins.window_join(exp, fx.conversions(spark, d), 7)
+    return joins.attach_labels(joined, segments.user_segments(exp), "user_id").select("exposure_id", "conversion_id", "touch_count", *_SEG_COLS)
 
 
 @_register("att13_segment_slices", with_ctes(BASE, "SELECT segment_col, segment_value, method, channel, round(credit, 6) AS credit FROM slices", **_SLICES))
 def _(spark, d):
-    joined, touches = _labelled(spark, d)
-    return att.segment_slices(joined, _SEG_COLS, touches=touches).withColumn("credit", F.round("credit", 6)).where("credit <> 0")
+    return _slices(spark, d).withColumn("credit", F.round("credit", 6)).where("credit <> 0")
 
 
 ORACLE["att13_segment_slices"] += " WHERE round(credit, 6) <> 0"
+ORACLE["att13_segment_slices_without_pairs"] = ORACLE["att13_segment_slices"]
+
+
+@_register("att13_segment_slices_without_pairs")
+def _(spark, d):
+    exp = fx.exposures(spark, d)
+    table = credit_flow.slices_timelines(exp, fx.conversions(spark, d), segments.user_segments(exp), _SEG_COLS, 7)
+    return table.withColumn("credit", F.round("credit", 6)).where("credit <> 0")
 
 
 @_register(
@@ -229,9 +228,7 @@ ORACLE["att13_segment_slices"] += " WHERE round(credit, 6) <> 0"
       (PARTITION BY segment_col, segment_value, method ORDER BY round(credit, 9) DESC, channel) AS rn FROM slices) WHERE rn = 1""", **_SLICES),
 )
 def _(spark, d):
-    joined, touches = _labelled(spark, d)
-    slices = att.segment_slices(joined, _SEG_COLS, touches=touches)
-    return att.top_channel_per_slice(slices).withColumn("credit", F.round("credit", 6))
+    return att.top_channel_per_slice(_slices(spark, d)).withColumn("credit", F.round("credit", 6))
 
 
 @_register(

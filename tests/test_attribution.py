@@ -123,3 +123,13 @@ def test_timelines_equal_pairs(spark, days, lag, bucket):
     want, got = table(pairs), table(flow)
     assert set(got) == set(want)
     assert all(got[k] == pytest.approx(want[k], rel=1e-7) for k in want)
+
+
+def test_grid_without_pairs(spark):
+    exp = exposures(spark, [(i, i % 4, T0 - dt.timedelta(minutes=i * 97), f"c{i % 3}") for i in range(80)])
+    conv = conversions(spark, [(i, i % 4, T0 - i * 9 * HOUR, 1.0 + i) for i in range(12)])
+    grid = lambda blowup: {
+        (r["window_days"], r["min_lag_hours"], r["method"]): (round(r["total_credit"], 7), r["coverage_pct"], r["top_channel"])
+        for r in credit_flow.robustness(exp, conv, (1, 3), (0, 6), blowup).collect()
+    }
+    assert grid(0.0) == grid(1e9)
