@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from adweave.session import cut_lineage
 
 RANGES = 64
+MAX_RANGES = 4_096
+ROWS_PER_RANGE = 5_000_000
 SINGLE_RANGE_ROWS = 200_000
 MAX_GROUPS = 2_000
 
@@ -78,24 +80,23 @@ def running_totals(
     by = list(by)
     names = list(totals)
     base = df.where(F.col(score).isNotNull()).select("*", *[e.alias(f"_v_{n}") for n, e in totals.items()])
-    probs = [i / ranges for i in range(1, ranges)]
-    sums = [F.sum(f"_v_{n}").alias(f"{n}_all") for n in names]
-    summary = base.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.array_distinct(F.percentile_approx(score, probs, 10_000)).alias("_cuts"),
-        *sums,
-    )
+    summary = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_v_{n}").alias(f"{n}_all") for n in names])
     groups = _collect_groups(summary)
     spark = df.sparkSession
     one_range = sum(r["_rows"] for r in groups) <= single_range_rows
     schema = summary.drop("_rows").schema
     per_group = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in groups], schema)
     if one_range:
-        marked = _attach(base, per_group.drop("_cuts"), by)
+        marked = _attach(base, per_group, by)
         place: list[str] = []
     else:
-        marked = _attach(base, per_group, by).withColumn("_range", _range_no("_cuts", score, descending))
-        marked = cut_lineage(marked.drop("_cuts"))
+        # more rows, more ranges; the cut points are collected, so a re-run task sees the same ranges
+        ranges = max(ranges, min(MAX_RANGES, max(r["_rows"] for r in groups) // ROWS_PER_RANGE))
+        base = cut_lineage(base)
+        sketch = base.groupBy(*by).agg(F.array_distinct(_cut_points(score, ranges)).alias("_cuts"))
+        cuts = spark.createDataFrame([tuple(r) for r in sketch.collect()], sketch.schema)
+        marked = _attach(_attach(base, per_group, by), cuts, by)
+        marked = marked.withColumn("_range", _range_no("_cuts", score, descending)).drop("_cuts")
         marked = _split_ties(marked, key, by, single_range_rows, ranges)
         place = ["_range", "_part"]
         marked = _attach_offsets(marked, names, by, place, score, descending)
@@ -118,17 +119,20 @@ def running_totals(
     return result.drop("_range", "_part", "_next", *[f"_v_{n}" for n in names], *[f"_off_{n}" for n in names])
 
 
+def _cut_points(column: str, ranges: int) -> Column:
+    return F.percentile_approx(column, [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges))
+
+
 def _split_ties(df: DataFrame, key: str | None, by: list[str], limit: int, ranges: int) -> DataFrame:
     """Second split, by key, of single-value ranges that hold more rows than ``limit``."""
     if key is None or not isinstance(df.schema[key].dataType, T.NumericType):
         return df.withColumn("_part", F.lit(0))
-    probs = [i / ranges for i in range(1, ranges)]
     heavy = (
         df.where(F.col("_range") % 2 == 1)
         .groupBy(*by, "_range")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
-            F.array_distinct(F.percentile_approx(key, probs, 10_000)).alias("_key_cuts"),
+            F.array_distinct(_cut_points(key, ranges)).alias("_key_cuts"),
         )
         .where(F.col("_rows") > limit)
         .drop("_rows")
