@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adweave.llm import packing, token_files
+from adweave.llm import packing, substring_dedup, token_files
 from adweave.llm.common import scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_windows(table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
 
@@ -21,5 +27,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_index(spark, path)
 
 
-QUERIES = {"op5_packing": op5_packing, "op10_token_files": op10_token_files}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op5_packing": op5_packing, "op10_token_files": op10_token_files}
 ORACLE: dict[str, str] = {}
