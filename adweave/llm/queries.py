@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import packing, substring_dedup, token_files
+from adweave.llm import ngram_join, packing, substring_dedup, token_files
 from adweave.llm.common import scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,11 +21,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_windows(table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     token_files.write_token_ids(table(spark, sf_dir, "documents"), path, WORD_BPE)
     return token_files.written_index(spark, path)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op5_packing": op5_packing, "op10_token_files": op10_token_files}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op5_packing": op5_packing, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
 ORACLE: dict[str, str] = {}
