@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import ngram_join, packing, substring_dedup, token_files
-from adweave.llm.common import scratch, table
+from adweave.llm import ngram_join, packing, substring_dedup, token_files, toxicity
+from adweave.llm.common import fold_of, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +17,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), held_fold=0))
+    return scored.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_windows(table(spark, sf_dir, "documents"), WORD_BPE, with_ids=False)
 
@@ -31,5 +37,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_index(spark, path)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op5_packing": op5_packing, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
 ORACLE: dict[str, str] = {}
