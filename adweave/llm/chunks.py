@@ -65,14 +65,17 @@ def in_chunks(docs: DataFrame, id_col: str, text_col: str) -> Chunks:
     return Chunks(spark.table(name), max(8, total // RANGE_BYTES), name)
 
 
-def answered(lists: DataFrame, merge, name: str) -> DataFrame:
-    """(chunk, range, answer) for lists (range, chunk, …): ``merge`` turns the lists of a range into one answer each."""
+def answered(lists: DataFrame, merge, name: str, more: str = "") -> DataFrame:
+    """(chunk, range, answer) for lists (range, chunk, …): ``merge`` turns the lists of a range into one answer each.
+
+    With the schema of ``more`` columns, ``merge`` gives (answers, {column: values}).
+    """
 
     def of_range(table: pa.Table) -> pa.Table:
-        answers = merge(table)
-        return pa.table({"chunk": table["chunk"], "range": table["range"], "answer": pa.array(answers, pa.binary())})
+        answers, extra = merge(table) if more else (merge(table), {})
+        return pa.table({"chunk": table["chunk"], "range": table["range"], "answer": pa.array(answers, pa.binary()), **extra})
 
-    return saved(lists.groupBy("range").applyInArrow(of_range, "chunk long, range int, answer binary"), name)
+    return saved(lists.groupBy("range").applyInArrow(of_range, "chunk long, range int, answer binary" + more), name)
 
 
 def with_answers(chunks: Chunks, answers: DataFrame, work, schema: str) -> DataFrame:
