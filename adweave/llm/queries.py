@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import lm_scoring, ngram_join, packing, substring_dedup, token_files, toxicity
+from adweave.llm import lm_scoring, ngram_join, packing, substring_dedup, token_files, toxicity, vector_neardup
 from adweave.llm.common import fold_of, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"), folds=5, held_fold=1)
 
 
+def op7_vector_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_neardup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
 
@@ -41,5 +45,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_index(spark, path)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
 ORACLE: dict[str, str] = {}
