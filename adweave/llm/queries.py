@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import lm_scoring, ngram_join, packing, substring_dedup, token_files, toxicity, vector_neardup
+from adweave.llm import decontamination, lm_scoring, ngram_join, packing, substring_dedup, token_files, toxicity, vector_neardup
 from adweave.llm.common import fold_of, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), errors=0.2)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), held_fold=0))
@@ -45,5 +49,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_index(spark, path)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
 ORACLE: dict[str, str] = {}
