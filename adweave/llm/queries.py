@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import decontamination, lm_scoring, ngram_join, packing, substring_dedup, token_files, toxicity, vector_neardup
+from adweave.llm import decontamination, lm_scoring, ngram_join, packing, pii, substring_dedup, token_files, toxicity, vector_neardup
 from adweave.llm.common import fold_of, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -43,11 +43,22 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def _is(kind: str):
+    return lambda k: k == kind
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter(F.col("base")["kind"], _is(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    base, spans = pii.listed(F.col("base")), pii.listed(F.concat("base", "terms"))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     token_files.write_token_ids(table(spark, sf_dir, "documents"), path, WORD_BPE)
     return token_files.written_index(spark, path)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op10_token_files": op10_token_files}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files}
 ORACLE: dict[str, str] = {}
