@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adweave.llm.common import saved
-from adweave.llm.spans import WORD_MARKS, matches, trimmed
+from adweave.llm.spans import WORD_MARKS, matches, replace_in, word_counts
 
 KINDS = ("email", "ip", "card", "phone")
 AROUND = 120  # code points on each side of an entity that are its surroundings
@@ -110,8 +110,7 @@ def find_personal_data(
     seen = near.groupBy("kind", "entity").agg(F.count_distinct("doc_id", "text_key", "start").alias("words_near"))
     wanted = pairs.select("term").distinct()
     # every word of every text is counted, before the join with the terms that matter
-    corpus = rows.select(F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("w")).groupBy(trimmed(F.col("w")).alias("term")).agg(F.count(F.lit(1)).alias("n"))
-    corpus = corpus.where("term <> ''")
+    corpus = word_counts(F.col("text"), rows)
     counted = saved(corpus.join(wanted.withColumn("wanted", F.lit(True)), "term", "left").groupBy(F.when(F.col("wanted"), F.col("term")).alias("term")).agg(F.sum("n").alias("n")), "term-counts")
     total = counted.agg(F.sum("n")).first()[0] or 0
     told = pairs.join(counted, "term").join(seen, ["kind", "entity"])
@@ -135,16 +134,4 @@ def sanitised(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_co
 
     Of overlapping spans the one that begins first is replaced, of those the longest. Rows without spans stay as they are.
     """
-    spans = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.concat("base", "terms").alias("_spans")).where(F.size("_spans") > 0).dropDuplicates(["_id", "_key"])
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.col(text_col).cast("string")))
-    both = keyed.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
-    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("back"), F.upper(s["kind"]).alias("kind"))))
-    text = F.col(text_col)
-
-    def cut(state, s):
-        piece = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit("["), s["kind"], F.lit("]"))
-        return F.when(s["start"] >= state["at"], F.struct((-s["back"]).alias("at"), piece.alias("out"))).otherwise(state)
-
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(ordered, begin, cut, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return both.withColumn(text_col, F.when(F.col("_spans").isNotNull(), clean).otherwise(text)).select(docs.columns)
+    return replace_in(docs, found.select("doc_id", "text_key", F.concat("base", "terms").alias("spans")), id_col, text_col)
