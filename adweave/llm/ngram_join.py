@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,8 +122,12 @@ def _merge_counts(table: pa.Table) -> list[bytes]:
     return [answer[b - r["size"] : b].tobytes() for b, r in zip(ends, rows, strict=True)]
 
 
-def _fits(a: str, b: str, percent: int) -> F.Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _fits(i: str, j: str, percent: int) -> F.Column:
+    """Whether two sets may reach the threshold by their sizes and by what each holds that no other set does."""
+    size_i, size_j, alone_i, alone_j = F.col(f"size_{i}"), F.col(f"size_{j}"), F.col(f"alone_{i}"), F.col(f"alone_{j}")
+    both = size_i + size_j
+    shared = F.least(size_i - alone_i, size_j - alone_j, F.floor((both - alone_i - alone_j) / 2))
+    return shared * 100 >= (both - shared) * percent
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,11 +140,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row; rows link when Jaccard similarity reaches ``percent``.
+    """(doc_id, n_shingles, component_id, text_key, component) for every row; rows link when Jaccard similarity reaches ``percent``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after folding A-Z; a text with fewer words than a shingle is one shingle; a text
     without words, or null, has none and links with nothing. Equal ids are separate rows; ``component_id`` is the
-    smallest id reachable by links (null ids count only if no other is). Other columns are not read. An empty table
+    smallest id reachable by links (null ids count only if no other is). ``text_key`` (xxhash64 of the text) tells rows of
+    one id apart and ``component`` names the group, null without words. Other columns are not read. An empty table
     gives no rows. ``percent`` is at least 50.
     """
     if not 50 <= percent <= 100:
@@ -156,7 +162,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def describe(rows: pa.Table, found: pa.Table) -> pa.Table:
         """A row per document (sig null) and a row per signature of a distinct set (doc_id null)."""
-        schema = pa.schema([("is_doc", pa.bool_()), ("doc_id", pa.int64()), ("size", pa.int64()), ("node", pa.binary()), ("sig", pa.int64()), ("alone", pa.int64()), ("chunk", pa.int64())])
+        schema = pa.schema([("is_doc", pa.bool_()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int64()), ("node", pa.binary()), ("sig", pa.int64()), ("alone", pa.int64()), ("chunk", pa.int64())])
         if not len(rows):
             return schema.empty_table()
         sets = _Sets(rows, words, ranges)
@@ -165,24 +171,29 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         nodes = pa.array(sets.nodes, pa.binary())
         none = lambda k, kind=pa.int64(): pa.nulls(k, kind)
         chunk = rows["chunk"][0].as_py()
-        per_doc = pa.table([pa.array(np.ones(n, bool)), rows["doc_id"], pa.array(sets.sizes.astype(np.int64)), nodes, none(n), none(n), none(n)], schema=schema)
+        keys = np.asarray([42 if t is None else xxhash.xxh64_intdigest(t, 42) for t in rows["text"].to_pylist()], np.uint64).view(np.int64)  # as Spark's xxhash64
+        per_doc = pa.table([pa.array(np.ones(n, bool)), rows["doc_id"], pa.array(keys), pa.array(sets.sizes.astype(np.int64)), nodes, none(n), none(n), none(n)], schema=schema)
         per_sig = pa.table(
             [
-                pa.array(np.zeros(m, bool)), none(m), pa.array(sets.sizes[doc].astype(np.int64)), nodes.take(pa.array(doc)), pa.array(sig.view(np.int64)),
+                pa.array(np.zeros(m, bool)), none(m), none(m), pa.array(sets.sizes[doc].astype(np.int64)), nodes.take(pa.array(doc)), pa.array(sig.view(np.int64)),
                 pa.array(alone[doc].astype(np.int64)), pa.array(np.full(m, chunk)),
             ],
             schema=schema,
         )
         return pa.concat_tables([per_doc, per_sig])
 
-    found = saved(C.with_answers(chunks, frequencies, describe, "is_doc boolean, doc_id long, size long, node binary, sig long, alone long, chunk long"), "signatures")
-    rows = found.where("is_doc").select("doc_id", F.col("size").alias("n_shingles"), "node")
+    found = saved(C.with_answers(chunks, frequencies, describe, "is_doc boolean, doc_id long, text_key long, size long, node binary, sig long, alone long, chunk long"), "signatures")
+    rows = found.where("is_doc").select("doc_id", "text_key", F.col("size").alias("n_shingles"), "node")
     entries = found.where("not is_doc").groupBy("sig", "node").agg(F.min("size").alias("size"), F.min("alone").alias("alone"), F.min("chunk").alias("chunk"))
     entries = saved(entries, "entries")
     centre = entries.groupBy("sig").agg(F.min(F.struct("alone", "node", "size")).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sig", "c")
-    grouped = saved(entries.join(centre, "sig").select("sig", "node", "size", "chunk", F.col("c.node").alias("i"), F.col("c.size").alias("size_i")), "grouped")
+    grouped = entries.join(centre, "sig").select(
+        "sig", "chunk", F.col("node").alias("j"), F.col("size").alias("size_j"), F.col("alone").alias("alone_j"),
+        F.col("c.node").alias("i"), F.col("c.size").alias("size_i"), F.col("c.alone").alias("alone_i"),
+    )
+    grouped = saved(grouped, "grouped")
 
-    wanted = grouped.groupBy("node").agg(F.min("chunk").alias("chunk"))
+    wanted = grouped.groupBy(F.col("j").alias("node")).agg(F.min("chunk").alias("chunk"))
 
     def take(rows: pa.Table, wanted: pa.Table) -> pa.Table:
         schema = pa.schema([("node", pa.binary()), ("held", pa.list_(pa.int64()))])
@@ -195,22 +206,45 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     sets = saved(C.with_answers(chunks, wanted, take, "node binary, held array<long>"), "sets")
 
-    stars = grouped.where(F.col("node") != F.col("i")).where(_fits("size", "size_i", percent)).select("i", F.col("node").alias("j")).distinct()
+    others = grouped.where(F.col("j") != F.col("i"))
+    stars = others.where(_fits("i", "j", percent)).select("i", "j").distinct()
     first = saved(_linked(stars, sets, percent), "star-links")
-    nodes = grouped.select("node").distinct()
+    nodes = wanted.select("node")
     resolved = saved(connected_components(nodes, first, "node"), "star-components")
 
     # sets that share a signature and still are in different components
-    placed = grouped.where(F.col("node") != F.col("i")).join(resolved, "node").select("sig", "node", "size", "resolved_id")
+    placed = others.select("sig", F.col("j").alias("node"), F.col("size_j").alias("size"), F.col("alone_j").alias("alone")).join(resolved, "node")
     mixed = placed.groupBy("sig").agg(F.min("resolved_id").alias("low"), F.max("resolved_id").alias("high")).where("low <> high").select("sig")
     placed = saved(placed.join(mixed, "sig"), "unsettled")
-    other = placed.select("sig", F.col("node").alias("j"), F.col("size").alias("size_j"), F.col("resolved_id").alias("to_j"))
-    rest = (
-        placed.withColumnsRenamed({"node": "i", "size": "size_i"}).join(other, "sig")
-        .where((F.col("i") < F.col("j")) & (F.col("resolved_id") != F.col("to_j")) & _fits("size_i", "size_j", percent)).select("i", "j").distinct()
-    )
+    side = lambda k: placed.select("sig", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "alone", "resolved_id")))
+    rest = side("i").join(side("j"), "sig").where((F.col("node_i") < F.col("node_j")) & (F.col("resolved_id_i") != F.col("resolved_id_j")) & _fits("i", "j", percent))
+    rest = rest.select(F.col("node_i").alias("i"), F.col("node_j").alias("j")).distinct()
     links = first.unionByName(_linked(rest, sets, percent))
     resolved = connected_components(nodes, saved(links, "links"), "node")
     named = rows.join(resolved, "node", "left").withColumn("component", F.coalesce("resolved_id", "node"))
     lowest = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(lowest, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return named.join(lowest, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", "component")
+
+
+def one_per_component(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without all but one of each component of ``groups``, which came from the same rows.
+
+    The row with the smallest id stays (null ids come first), of equal ids the one with the smallest hash of its text, of equal texts
+    any one. Rows without words all stay.
+    """
+    groups = saved(groups.select("doc_id", "text_key", "component"), "groups")
+    first = groups.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k"), F.count(F.lit(1)).alias("n"))
+    copies = groups.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"), F.count("component").alias("worded"))
+    chosen = first.select("k.*").unionByName(groups.where("component is null").select("doc_id", "text_key")).distinct()
+    chosen = saved(
+        chosen.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
+        .join(copies, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))).select("_id", "_key", ((F.col("rows") > 1) & (F.col("worded") > 0)).alias("_again")),
+        "chosen",
+    )
+    match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_key"))
+    kept = docs.join(chosen.where("not _again"), match, "left_semi")
+    again = chosen.where("_again")
+    if again.isEmpty():
+        return kept
+    repeated = docs.join(again, match, "left_semi").withColumn("_key", F.xxhash64(F.col(text_col).cast("string"))).dropDuplicates([id_col, "_key"]).drop("_key")
+    return kept.unionByName(repeated)
