@@ -13,13 +13,10 @@ from adweave.functions import scalar as fn
 from adweave.operators import models
 from adweave.operators.components import connected_components
 from adweave.operators.metrics import classification_report, confusion, ranking_metrics
-from adweave.session import cut_lineage
 
-# Blocking keys, then the further evidence used only to narrow large blocks.
+# Blocking keys.
 BLOCKING = ("domain", "phone4", "city_ua")
-EVIDENCE = BLOCKING + ("email_hash", "name")
 PROFILE = ("name", "email", "phone", "city", "user_agent")
-MAX_BLOCK = 120
 LINK_THRESHOLD = 0.70
 PAIR_FEATURES = [
     "cosine_profile_emb", "email_hash_match", "email_domain_match", "phone_last4_match", "city_match", "ua_match", "name_jaccard",
@@ -42,18 +39,20 @@ def _clean(column: str) -> Column:
 
 
 def blocking_keys(records: DataFrame) -> DataFrame:
-    """record_id with the blocking keys and evidence; an empty key is null.
+    """record_id with the blocking keys, e-mail hash, name and its distinct tokens; an empty key is null.
 
     A missing city with a known agent still gives a city|agent key; only the fully empty key is dropped.
     """
     place = F.concat(_clean("city"), F.lit("|"), _clean("user_agent"))
+    name = F.lower(F.trim(_clean("name")))
     return records.select(
         "record_id",
         F.nullif(fn.email_domain("email"), F.lit("")).alias("domain"),
         F.nullif(fn.phone_last4("phone"), F.lit("")).alias("phone4"),
         F.nullif(place, F.lit("|")).alias("city_ua"),
         F.nullif(_clean("email_hash"), F.lit("")).alias("email_hash"),
-        F.nullif(F.lower(F.trim(_clean("name"))), F.lit("")).alias("name"),
+        F.nullif(name, F.lit("")).alias("name"),
+        F.array_distinct(F.array_remove(F.split(name, r"\s+"), "")).alias("tokens"),
     )
 
 
@@ -85,52 +84,28 @@ def blocking_counts(records: DataFrame) -> DataFrame:
     )
 
 
-def _block_key(mask: Column) -> Column:
-    parts = [F.when(mask.bitwiseAND(1 << b) != 0, F.col(c)) for b, c in enumerate(EVIDENCE)]
-    return F.concat_ws("\u0001", mask.cast("string"), *parts)
+def candidate_pairs(records: DataFrame) -> DataFrame:
+    """Distinct (i, j), i < j, of all record pairs that meet one fixed rule, whatever the sizes of the blocks.
 
-
-def candidate_pairs(records: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    """Distinct (i, j), i < j: pairs in blocks of at most ``max_block`` records, found by narrowing blocks.
-
-    A block up to the limit gives all its pairs. A larger one is narrowed by every further piece of
-    evidence its records have (the other keys, e-mail hash, name) until the parts are within the limit. So
-    a pair is a candidate exactly when it shares a blocking key and all that the two records agree on is
-    common to at most ``max_block`` records; agreement on something commoner alone is no evidence. Records
-    equal in all evidence beyond the limit are tied to their first record, which keeps them one component.
-    The work is linear in the records times the limit.
+    A pair is a candidate if the e-mail hashes are equal, or the names are equal together with the e-mail domain or with
+    city and agent, or the phone ends are equal together with a token of the names. A common domain or place alone is
+    no evidence, so no block is the share of a mail provider. Blocks are join keys, and an adaptive plan splits the
+    partitions of large ones.
     """
     keys = blocking_keys(records)
-    full = (1 << len(EVIDENCE)) - 1
-    starts = F.array(*[F.when(F.col(c).isNotNull(), F.lit(1 << EVIDENCE.index(c))) for c in BLOCKING])
-    level = keys.withColumn("mask", F.explode(F.array_compact(starts)))
-    found = None
-    while True:
-        blocks = level.withColumn("block", _block_key(F.col("mask")))
-        sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        sized = blocks.join(sizes, "block")
-        small = sized.where(F.col("size") <= max_block)
-        members = small.groupBy("block").agg(F.sort_array(F.collect_list("record_id")).alias("ids"))
-        later = lambda x, p: F.transform(F.slice("ids", p + 2, F.size("ids")), lambda y: F.struct(x.alias("i"), y.alias("j")))
-        pairs = members.select(F.explode(F.flatten(F.transform("ids", later))).alias("pair")).select("pair.*")
-        large = cut_lineage(sized.where(F.col("size") > max_block).select(*keys.columns, "mask", "block"))
-        alike = large.where(F.col("mask") == full)
-        firsts = alike.groupBy("block").agg(F.min("record_id").alias("i"))
-        ties = alike.join(firsts, "block").where("record_id > i").select("i", F.col("record_id").alias("j"))
-        step = pairs.unionByName(ties)
-        found = step if found is None else found.unionByName(step)
-        rest = large.where(F.col("mask") != full)
-        if rest.isEmpty():
-            break
-        wider = [
-            F.when(
-                F.col(c).isNotNull() & (F.col("mask").bitwiseAND(1 << b) == 0), F.col("mask").bitwiseOR(F.lit(1 << b))
-            )
-            for b, c in enumerate(EVIDENCE)
-        ]
-        grown = rest.withColumn("mask", F.explode(F.array_compact(F.array(*wider)))).drop("block")
-        level = grown.dropDuplicates(["record_id", "mask"])
-    return found.distinct()
+    key = lambda kind, *parts: F.when(F.coalesce(*[F.when(p.isNull(), 1) for p in parts], F.lit(0)) == 0, F.concat_ws("\u0001", F.lit(kind), *parts))
+    exact = F.array(key("mail", F.col("email_hash")), key("domain", F.col("domain"), F.col("name")), key("place", F.col("city_ua"), F.col("name")))
+    phone = F.transform("tokens", lambda t: F.when(F.col("phone4").isNotNull(), F.concat_ws("\u0001", F.lit("phone"), F.col("phone4"), t)))
+    blocks = keys.select("record_id", F.explode(F.array_compact(F.concat(exact, phone))).alias("block"))
+    sides = blocks.withColumnRenamed("record_id", "i").join(blocks.withColumnRenamed("record_id", "j"), "block")
+    return sides.where("i < j").select("i", "j").distinct()
+
+
+def key_edges(records: DataFrame, column: str) -> DataFrame:
+    """(i, j) from the first record of each non-empty value of ``column`` to its others: the same components as all pairs, without them."""
+    held = records.select("record_id", F.nullif(_clean(column), F.lit("")).alias("value")).where("value is not null")
+    firsts = held.groupBy("value").agg(F.min("record_id").alias("i"))
+    return held.join(firsts, "value").where("record_id > i").select("i", F.col("record_id").alias("j"))
 
 
 def label_pairs(pairs: DataFrame, records: DataFrame) -> DataFrame:
@@ -268,7 +243,8 @@ def signal_loss(features: DataFrame, columns: Sequence[str] = PAIR_FEATURES) ->
         parts = (parts or []) + [(scenario, row["roc_auc"], row["pr_auc"])]
     cached.unpersist()
     full = parts[0]
-    rows = [(s, r, p, full[1] - r, full[2] - p) for s, r, p in parts]
+    less = lambda a, b: None if a is None or b is None else a - b  # noqa: E731  a holdout of one class has no area
+    rows = [(s, r, p, less(full[1], r), less(full[2], p)) for s, r, p in parts]
     schema = "scenario string, roc_auc double, pr_auc double, roc_drop_vs_full double, pr_drop_vs_full double"
     return features.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("pr_drop_vs_full"))
 

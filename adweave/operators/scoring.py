@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, IndexToString, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +17,19 @@ from adweave.sources.sinks import append_stream
 def scoring_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str, estimator) -> Pipeline:
     """Impute, encode, classify and turn the class index back into its label.
 
-    Unknown categories go to their own level, so scoring never fails on a new value.
+    Unknown categories go to their own level, so scoring never fails on a new value; rows without a label are not
+    trained on. Numbers are scaled, so a penalty treats them alike.
     """
     numeric, categorical = list(numeric), list(categorical)
     stages = [
-        StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"),
         Imputer(inputCols=numeric, outputCols=[f"{c}_filled" for c in numeric], strategy="median", relativeError=0.001),
     ]
     if categorical:
         stages.append(StringIndexer(inputCols=categorical, outputCols=[f"{c}_ix" for c in categorical], stringOrderType="alphabetAsc", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in categorical], outputCols=[f"{c}_oh" for c in categorical]))
-    inputs = [f"{c}_filled" for c in numeric] + [f"{c}_oh" for c in categorical]
+    stages += [VectorAssembler(inputCols=[f"{c}_filled" for c in numeric], outputCol="numbers"), StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True)]
+    inputs = ["scaled"] + [f"{c}_oh" for c in categorical]
     stages += [VectorAssembler(inputCols=inputs, outputCol="features"), estimator]
     return Pipeline(stages=stages)
 

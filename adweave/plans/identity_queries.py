@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import functions as F
 
 from adweave.functions import scalar as fn
@@ -11,6 +9,7 @@ from adweave.operators import identity as idn
 from adweave.operators import segments
 from adweave.plans import fixtures as fx
 from adweave.plans.fixtures import with_ctes
+from adweave.session import cut_lineage
 
 QUERIES, ORACLE = {}, {}
 
@@ -27,21 +26,12 @@ def _register(name, sql=None):
 
 _DOMAIN = "CASE WHEN email LIKE '%@%' THEN split_part(email, '@', 2) ELSE '' END"
 _KEYS = f"""SELECT record_id, person_id, nullif({_DOMAIN}, '') AS domain, nullif(CASE WHEN length(phone) >= 4 THEN right(phone, 4) ELSE '' END, '') AS phone4,
-  nullif(city || '|' || user_agent, '|') AS city_ua, nullif(email_hash, '') AS email_hash, nullif(lower(name), '') AS name FROM identity"""
-_ALL_PAIRS = """SELECT a.record_id AS i, b.record_id AS j, a.person_id = b.person_id AS same,
-  CASE WHEN a.domain = b.domain THEN a.domain END AS domain, CASE WHEN a.phone4 = b.phone4 THEN a.phone4 END AS phone4,
-  CASE WHEN a.city_ua = b.city_ua THEN a.city_ua END AS city_ua, CASE WHEN a.email_hash = b.email_hash THEN a.email_hash END AS email_hash,
-  CASE WHEN a.name = b.name THEN a.name END AS name FROM keys a JOIN keys b ON a.record_id < b.record_id
+  nullif(city || '|' || user_agent, '|') AS city_ua, nullif(email_hash, '') AS email_hash, nullif(lower(name), '') AS name, string_split(lower(name), ' ') AS tokens FROM identity"""
+_ALL_PAIRS = """SELECT a.person_id = b.person_id AS same FROM keys a JOIN keys b ON a.record_id < b.record_id
   AND (a.domain = b.domain OR a.phone4 = b.phone4 OR a.city_ua = b.city_ua)"""
-_SETS = [c for k in range(1, 6) for c in combinations(idn.EVIDENCE, k) if set(c) & set(idn.BLOCKING)]
-_GROUPS = " UNION ALL ".join(
-    "SELECT " + ", ".join(c if c in s else f"NULL AS {c}" for c in idn.EVIDENCE) + f", count(*) AS size FROM keys WHERE "
-    + " AND ".join(f"{c} IS NOT NULL" for c in s) + " GROUP BY " + ", ".join(s)
-    for s in _SETS
-)
-_MATCH = " AND ".join(f"p.{c} IS NOT DISTINCT FROM g.{c}" for c in idn.EVIDENCE)
-_PAIRS = f"SELECT i, j, CAST(same AS INT) AS same_person FROM everyone p JOIN groups g ON {_MATCH} WHERE size <= {idn.MAX_BLOCK}"
-PAIR_CTES = {"keys": _KEYS, "everyone": _ALL_PAIRS, "groups": _GROUPS, "pairs": _PAIRS}
+_PAIRS = """SELECT a.record_id AS i, b.record_id AS j, CAST(a.person_id = b.person_id AS INT) AS same_person FROM keys a JOIN keys b ON a.record_id < b.record_id
+  AND (a.email_hash = b.email_hash OR (a.name = b.name AND (a.domain = b.domain OR a.city_ua = b.city_ua)) OR (a.phone4 = b.phone4 AND len(list_intersect(a.tokens, b.tokens)) > 0))"""
+PAIR_CTES = {"keys": _KEYS, "pairs": _PAIRS}
 
 
 @_register(
@@ -92,7 +82,7 @@ _COS = """SELECT i, j, round(coalesce(c, 0), 6) AS cosine FROM pairs LEFT JOIN (
   JOIN vectors a ON a.record_id = i JOIN vectors b ON b.record_id = j AND b.term = a.term GROUP BY 1, 2) USING (i, j)"""
 
 
-@_register("idn4_pair_cosine", with_ctes(["identity"], _COS, **PAIR_CTES, **TFIDF_CTES))
+@_register("idn4_pair_cosine", with_ctes(["identity"], _COS, **PAIR_CTES, **TFIDF_CTES).replace(" AS (", " AS MATERIALIZED ("))
 def _(spark, d):
     records = fx.identity_records(spark, d)
     return idn.sparse_cosine(idn.candidate_pairs(records), idn.tfidf(records)).withColumn("cosine", F.round("cosine", 6))
@@ -130,12 +120,13 @@ def _features(spark, d):
 @_register("idn7_linkage_model")
 def _(spark, d):
     _, features = _features(spark, d)
-    _, holdout, _ = idn.train_linker(features.persist())
+    _, holdout, _ = idn.train_linker(cut_lineage(features))
     return idn.linker_report(holdout)
 
 
 # Deterministic link rule for the checkable cluster queries: shared e-mail hash, or shared phone end and a close name.
-_RULE = "email_hash_match = 1 OR (phone_last4_match = 1 AND name_jaccard >= 0.5)"
+_CLOSE = "phone_last4_match = 1 AND name_jaccard >= 0.5"
+_RULE = f"email_hash_match = 1 OR ({_CLOSE})"
 RESOLVE_CTES = dict(
     FEATURE_CTES,
     links="SELECT i, j FROM features WHERE email_hash_match = 1 OR (phone_last4_match = 1 AND jac >= 0.5)",
@@ -152,7 +143,8 @@ def _recursive(body: str) -> str:
 
 def _resolved(spark, d):
     records, pairs = _labelled(spark, d)
-    return idn.resolve(records, idn.pair_features(pairs, records).where(_RULE))
+    close = idn.pair_features(pairs, records).where(_CLOSE).select("i", "j")
+    return idn.resolve(records, idn.key_edges(records, "email_hash").unionByName(close))
 
 
 @_register("idn8_resolved_ids", _recursive("SELECT record_id, resolved_id FROM people"))
@@ -189,6 +181,16 @@ def _(spark, d):
     return idn.signal_loss(_features(spark, d)[1])
 
 
+@_register("idn8_linked_by_model")
+def _(spark, d):
+    """Scores all candidates with the linkage model, links from 0.70 on and resolves."""
+    records, features = _features(spark, d)
+    features = cut_lineage(features)
+    model, _, columns = idn.train_linker(features)
+    links = idn.link_pairs(model, features, columns).where("pred_match = 1").select("i", "j")
+    return idn.cluster_purity(idn.resolve(records, links))
+
+
 _SHARE = " + ".join(f"CAST({c} <> '' AS INT)" for c in idn.COMPLETENESS_FIELDS)
 
 

@@ -18,6 +18,9 @@ DEFAULTS = {
 }
 
 
+_local_folder: tempfile.TemporaryDirectory | None = None
+
+
 def build_session(app: str = "adweave", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """Session with the library defaults; cluster sizing stays with spark-submit."""
     builder = SparkSession.builder.appName(app)
@@ -31,14 +34,18 @@ def build_session(app: str = "adweave", master: str | None = None, conf: dict[st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    A temporary folder is used only when nothing is configured and the master is local.
+    Only when nothing is configured and the master is local, as in tests, one temporary folder of this process is used;
+    it goes when the process ends.
     """
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="adweave-")
+    if _local_folder is None:
+        _local_folder = tempfile.TemporaryDirectory(prefix="adweave-")
+    return _local_folder.name
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

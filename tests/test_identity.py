@@ -21,41 +21,59 @@ def sample(spark, n=60):
     return records(spark, rows)
 
 
-def brute(rows, limit):
-    """Pairs that share a blocking key and whose whole agreement is common to at most ``limit`` records."""
-    keys = {r["record_id"]: [r[c] for c in idn.EVIDENCE] for r in rows}
-    shared = lambda a, b: tuple(x if x is not None and x == y else None for x, y in zip(keys[a], keys[b]))
-    fits = lambda k, s: all(x is None or x == y for x, y in zip(s, k))
+def brute(rows):
+    """Pairs that share a blocking key, and those that meet the rule."""
+    both = lambda a, b, c: a[c] is not None and a[c] == b[c]
     full, found = 0, set()
-    for a, b in combinations(sorted(keys), 2):
-        s = shared(a, b)
-        if not any(s[: len(idn.BLOCKING)]):
-            continue
-        full += 1
-        if sum(fits(k, s) for k in keys.values()) <= limit:
-            found.add((a, b))
+    for a, b in combinations(sorted(rows, key=lambda r: r["record_id"]), 2):
+        full += any(both(a, b, c) for c in idn.BLOCKING)
+        named = both(a, b, "name") and (both(a, b, "domain") or both(a, b, "city_ua"))
+        if both(a, b, "email_hash") or named or (both(a, b, "phone4") and set(a["tokens"]) & set(b["tokens"])):
+            found.add((a["record_id"], b["record_id"]))
     return full, found
 
 
-def test_candidates_match_brute_force_at_every_limit(spark):
+def test_candidates_match_brute_force(spark):
     table = sample(spark)
-    rows = idn.blocking_keys(table).collect()
-    for limit in (2, 5, 12, 120):
-        full, want = brute(rows, limit)
-        got = {(r["i"], r["j"]) for r in idn.candidate_pairs(table, limit).collect()}
-        assert got == want, limit
+    full, want = brute(idn.blocking_keys(table).collect())
+    got = [(r["i"], r["j"]) for r in idn.candidate_pairs(table).collect()]
+    assert set(got) == want and len(got) == len(want)
     assert idn.blocking_counts(table).first()["candidate_pairs"] == full
 
 
-def test_identical_records_beyond_the_limit_stay_together(spark):
-    rows = [(i, 1, "a b", "x@y.com", "5551234", "c", "ua", "h", "k") for i in range(30)]
-    pairs = {(r["i"], r["j"]) for r in idn.candidate_pairs(records(spark, rows), 10).collect()}
-    assert pairs == {(0, i) for i in range(1, 30)}
+def test_further_records_never_remove_a_pair(spark):
+    few = {(r["i"], r["j"]) for r in idn.candidate_pairs(sample(spark, 40)).collect()}
+    many = {(r["i"], r["j"]) for r in idn.candidate_pairs(sample(spark, 400)).collect()}
+    assert few and few <= many
+
+
+def test_key_edges_give_the_components_of_all_pairs(spark):
+    table = sample(spark, 30)
+    rows = [r for r in table.collect() if r["email_hash"]]
+    pairs = [(a["record_id"], b["record_id"]) for a, b in combinations(rows, 2) if a["email_hash"] == b["email_hash"]]
+    ids = table.select("record_id")
+    resolved = [sorted(map(tuple, connected_components(ids, e).collect())) for e in (idn.key_edges(table, "email_hash"), spark.createDataFrame(pairs, "i long, j long"))]
+    assert resolved[0] == resolved[1]
+
+
+def test_links_of_the_model_resolve_as_a_plain_union(spark):
+    table = sample(spark, 90)
+    pairs = idn.label_pairs(idn.candidate_pairs(table), table)
+    features = idn.pair_features(pairs, table)
+    model, _, columns = idn.train_linker(features)
+    links = [(r["i"], r["j"]) for r in idn.link_pairs(model, features, columns).where("p >= 0.70").collect()]
+    root = {r["record_id"]: r["record_id"] for r in table.collect()}
+    for i, j in sorted(links):
+        low, high = sorted((root[i], root[j]))
+        root = {k: low if v == high else v for k, v in root.items()}
+    edges = idn.link_pairs(model, features, columns).where("pred_match = 1")
+    assert {r["record_id"]: r["resolved_id"] for r in idn.resolve(table, edges).collect()} == root and links
 
 
 def test_missing_city_blocks_but_fully_empty_does_not(spark):
     base = ("n", "", "")
     rows = [(1, 1, *base, "", "ua", "", ""), (2, 1, *base, "", "ua", "", ""), (3, 1, *base, "", "", "", ""), (4, 1, *base, "", "", "", "")]
+    assert idn.blocking_counts(records(spark, rows)).first()["candidate_pairs"] == 1
     assert {(r["i"], r["j"]) for r in idn.candidate_pairs(records(spark, rows)).collect()} == {(1, 2)}
 
 
