@@ -30,3 +30,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def fold_of(id_col: str, folds: int = 5) -> F.Column:
     """crc32 of the id as text, modulo ``folds`` (null id: that of the empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with underscores after it, so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

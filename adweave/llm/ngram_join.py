@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adweave.llm import chunks as C
-from adweave.llm.common import saved
+from adweave.llm.common import saved, unused
 from adweave.operators.components import connected_components
 
 FREQUENT = 16  # document frequency above which shingles are indexed in pairs
@@ -232,19 +232,17 @@ def one_per_component(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id"
     The row with the smallest id stays (null ids come first), of equal ids the one with the smallest hash of its text, of equal texts
     any one. Rows without words all stay.
     """
+    own_id, key = unused(docs, "_id"), unused(docs, "_key")
     groups = saved(groups.select("doc_id", "text_key", "component"), "groups")
-    first = groups.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k"), F.count(F.lit(1)).alias("n"))
-    copies = groups.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"), F.count("component").alias("worded"))
-    chosen = first.select("k.*").unionByName(groups.where("component is null").select("doc_id", "text_key")).distinct()
-    chosen = saved(
-        chosen.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-        .join(copies, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))).select("_id", "_key", ((F.col("rows") > 1) & (F.col("worded") > 0)).alias("_again")),
-        "chosen",
-    )
-    match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_key"))
-    kept = docs.join(chosen.where("not _again"), match, "left_semi")
-    again = chosen.where("_again")
+    first = groups.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
+    copies = groups.groupBy("doc_id", "text_key").agg(((F.count(F.lit(1)) > 1) & (F.count("component") > 0)).alias("again"))
+    chosen = first.select("k.*").unionByName(groups.where("component is null").select("doc_id", "text_key")).distinct().toDF(own_id, key)
+    chosen = chosen.join(copies, F.col(own_id).eqNullSafe(F.col("doc_id")) & (F.col(key) == F.col("text_key"))).select(own_id, key, "again")
+    chosen = saved(chosen, "chosen")
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(key))
+    kept = docs.join(chosen.where("not again").select(own_id, key), match, "left_semi")
+    again = chosen.where("again").select(own_id, key)
     if again.isEmpty():
         return kept
-    repeated = docs.join(again, match, "left_semi").withColumn("_key", F.xxhash64(F.col(text_col).cast("string"))).dropDuplicates([id_col, "_key"]).drop("_key")
+    repeated = docs.join(again, match, "left_semi").withColumn(key, F.xxhash64(F.col(text_col).cast("string"))).dropDuplicates([id_col, key]).drop(key)
     return kept.unionByName(repeated)

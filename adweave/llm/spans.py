@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adweave.llm.common import unused
+
 BROADCAST_SPANS = 100_000  # most spans that are broadcast, about 10 MB
 WORD_MARKS = ".,;:!?|\"'()[]{}<>%$#&*=`"  # trimmed off both ends of a word
 
@@ -55,13 +57,14 @@ def replace_in(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) ->
 
     A few spans are broadcast after they are counted; more are joined by a shuffle.
     """
-    found = spans.where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_key"])
-    held = found.agg(F.sum(F.size("_spans"))).first()[0] or 0
+    own_id, key, held_spans = (unused(docs, n) for n in ("_id", "_key", "_spans"))
+    found = spans.where(F.size("spans") > 0).select(F.col("doc_id").alias(own_id), F.col("text_key").alias(key), F.col("spans").alias(held_spans)).dropDuplicates([own_id, key])
+    held = found.agg(F.sum(F.size(held_spans))).first()[0] or 0
     found = F.broadcast(found) if held <= BROADCAST_SPANS else found
     text = F.col(text_col)
-    match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text.cast("string")) == F.col("_key"))
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text.cast("string")) == F.col(key))
     both = docs.join(found, match, "left")
-    return both.withColumn(text_col, F.when(F.col("_spans").isNotNull(), replaced(text, F.col("_spans"))).otherwise(text)).select(docs.columns)
+    return both.withColumn(text_col, F.when(F.col(held_spans).isNotNull(), replaced(text, F.col(held_spans))).otherwise(text)).select(docs.columns)
 
 
 def trimmed(word: Column) -> Column:

@@ -170,10 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """The rows of ``docs`` with a score from 0 to 1 of their whole texts; null texts count as empty.
 
-    All columns stay as they are; ``score_col`` must be a new name. An empty table gives no rows.
+    All other columns stay as they are; one named ``score_col`` is replaced. An empty table gives no rows.
     """
-    if score_col in docs.columns:
-        raise ValueError(f"docs already has a column {score_col}")
+    docs = docs.drop(score_col)
     at = docs.columns.index(text_col)
 
     def run(batches):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adweave.llm import decontamination, ngram_join, packing, secret_scan, toxicity
-from adweave.llm.common import saved, table
+from adweave.llm.common import saved, table, unused
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -19,7 +19,8 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores below 0.5. It is fitted to ``labels`` outside fold 0."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, score_col="_toxicity").where("_toxicity < 0.5").select(docs.columns)
+    score = unused(docs, "_toxicity")
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < 0.5).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
