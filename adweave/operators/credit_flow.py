@@ -16,14 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adweave.operators.attribution import LAGS, METHODS, WINDOWS, attribute, grid_report, robustness_grid, segment_slices
-from adweave.operators.joins import attach_labels, measurement_table, rank_touches
-from adweave.session import cut_lineage
+from adweave.operators.attribution import LAGS, METHODS, WINDOWS, grid_report
 
 DAY = 86_400_000_000
 HOUR = 3_600_000_000
 MAX_HALF_LIVES = 1_000
-DUST = 1e-12  # differences of running sums leave rounding residue where the credit is nothing
+SUMMED = [*METHODS, "seen", "firsts", "lasts", "all_value", "covered"]
 
 
 def _micros(ts: str) -> Column:
@@ -77,8 +75,11 @@ def _touches(exposures: DataFrame, bucket: int) -> DataFrame:
     )
 
 
-def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: int, lag: int, grow: Column, bucket: int) -> DataFrame:
-    """(user_id, conversion_id, value, first_pos, n, decay, channels) of conversions with a touch."""
+def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: Column, lag: Column, grow: Column, bucket: int) -> DataFrame:
+    """(user_id, conversion_id, value, first_pos, n, decay, channels) of conversions with a touch.
+
+    ``reach`` and ``lag`` are columns of both sides, in microseconds.
+    """
     known = F.col("channel").isNotNull()
     none = F.lit(None).cast("string")
     zero = F.lit(0.0)
@@ -173,23 +174,24 @@ def _anchor_credit(stats: DataFrame, touches: DataFrame) -> DataFrame:
         "user_id",
         "channel",
         F.when(is_first, value).alias("first_touch"),
+        F.when(is_first, 1.0).alias("firsts"),
         F.when(many & ends, 0.4 * value - F.col("u_rest")).alias("u_shape"),
         F.when(many, 0.3 * value - F.col("w_rest")).alias("w_shape"),
     )
-    last = found.where(is_last).select("user_id", F.col("peer_channel").alias("channel"), F.col("value").alias("last_touch"))
+    last = found.where(is_last).select("user_id", F.col("peer_channel").alias("channel"), F.col("value").alias("last_touch"), F.lit(1.0).alias("lasts"))
     return own.unionByName(last, allowMissingColumns=True)
 
 
-def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFrame, reach: int, lag: int, grow: Column, bucket: int) -> DataFrame:
+def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFrame, reach: Column, lag: Column, grow: Column, bucket: int) -> DataFrame:
     """Credit each exposure collects from the conversions that can see it, summed from the latest backwards
     (decay terms shrink with time, so the sums stay accurate)."""
-    times = conversions.select("conversion_id", _micros("ts_conversion").alias("axis"))
-    names = ["linear", "time_decay", "u_shape", "w_shape", "shapley_proxy", "markov_proxy"]
+    times = conversions.select("user_id", "conversion_id", _micros("ts_conversion").alias("axis"))
+    names = ["linear", "time_decay", "u_shape", "w_shape", "seen", "shapley_proxy", "markov_proxy"]
     value, some = F.col("value"), F.col("channels") > 0
     none = F.lit(None)
-    givers = stats.join(times, "conversion_id").select(
+    givers = stats.join(times, ["user_id", "conversion_id"]).select(
         "user_id", "axis", F.lit(0).alias("turn"), none.cast("long").alias("id"), none.cast("string").alias("kind"), F.lit(0.0).alias("amount"),
-        (value / F.col("n")).alias("linear"), (value / F.col("decay")).alias("time_decay"), F.col("u_rest").alias("u_shape"), F.col("w_rest").alias("w_shape"),
+        (value / F.col("n")).alias("linear"), (value / F.col("decay")).alias("time_decay"), F.col("u_rest").alias("u_shape"), F.col("w_rest").alias("w_shape"), F.lit(1.0).alias("seen"),
         F.when(some, value / F.nullif(F.col("channels"), F.lit(0))).otherwise(0.0).alias("shapley_proxy"), some.cast("double").alias("markov_proxy"),
     )
     t = F.col("t")
@@ -201,37 +203,51 @@ def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFram
     )
     sums = _running(givers.unionByName(takers), names, bucket, descending=True)
     at = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
-    every = [(at("from", c) - at("past", c)).alias(c) for c in names[:4]]
-    once = [(at("from", c) - at("gone", c)).alias(c) for c in names[4:]]
-    per_touch = sums.groupBy(F.col("id").alias("exposure_id")).agg(F.max("amount").alias("amount"), *every, *once)
+    every = [(at("from", c) - at("past", c)).alias(c) for c in names[:5]]
+    once = [(at("from", c) - at("gone", c)).alias(c) for c in names[5:]]
+    per_touch = sums.groupBy("user_id", F.col("id").alias("exposure_id")).agg(F.max("amount").alias("amount"), *every, *once)
     known = touches.select("user_id", "exposure_id", "channel").where(F.col("channel").isNotNull())
-    return per_touch.join(known, "exposure_id").select(
+    return per_touch.join(known, ["user_id", "exposure_id"]).select(
         "user_id", "channel", "linear", (F.col("time_decay") * F.col("amount")).alias("time_decay"), *names[2:]
     )
 
 
-def _credit_rows(
-    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float, half_life_hours: float, bucket_micros: int
-) -> DataFrame:
-    """Rows (user_id, channel, one column per rule, all_value, covered) whose sums are the credit."""
-    reach, lag = int(lookback_days * DAY), int(min_lag_hours * HOUR)
+def _credit_rows(exposures: DataFrame, conversions: DataFrame, cells: Sequence[tuple[float, float]], half_life_hours: float, bucket_micros: int) -> DataFrame:
+    """Rows (user_id, cell, channel, one column per rule, all_value, covered) whose sums are the credit.
+
+    A cell is a lookback in days and a least lag in hours. All cells go through the same passes: histories are sorted
+    once, then a (cell, user) takes the place of a user.
+    """
     span = exposures.agg(F.min(_micros("ts_exposure")).alias("a"), F.max(_micros("ts_exposure")).alias("b")).first()
     half_life = half_life_hours * HOUR
     start, end = span["a"] or 0, span["b"] or 0
     if (end - start) / half_life > MAX_HALF_LIVES:
         raise ValueError("history is too long for one decay scale; run it in overlapping time slices")
     grow = F.exp((F.col("t") - F.lit((start + end) // 2)) * (math.log(2) / half_life))
-    touches = _touches(exposures, bucket_micros)
+    grid = F.array(*[F.struct(F.lit(k).alias("cell"), F.lit(int(days * DAY)).alias("reach"), F.lit(int(hours * HOUR)).alias("lag")) for k, (days, hours) in enumerate(cells)])
+
+    def in_cells(rows: DataFrame) -> DataFrame:
+        wide = rows.select("*", F.explode(grid).alias("_c"))
+        others = [c for c in rows.columns if c != "user_id"]
+        return wide.select(F.struct(F.col("_c.cell").alias("cell"), F.col("user_id").alias("user")).alias("user_id"), *others, "_c.reach", "_c.lag")
+
+    touches = in_cells(_touches(exposures, bucket_micros))
+    conversions = in_cells(conversions.select("user_id", "conversion_id", "conversion_value", "ts_conversion"))
+    reach, lag = F.col("reach"), F.col("lag")
     stats = _rest_shares(_conversion_stats(touches, conversions, reach, lag, grow, bucket_micros))
     rows = _exposure_credit(stats, conversions, touches, reach, lag, grow, bucket_micros)
     rows = rows.unionByName(_anchor_credit(stats, touches), allowMissingColumns=True)
-    return rows.unionByName(stats.select("user_id", F.col("value").alias("all_value"), F.lit(1).alias("covered")), allowMissingColumns=True)
+    rows = rows.unionByName(stats.select("user_id", F.col("value").alias("all_value"), F.lit(1).alias("covered")), allowMissingColumns=True)
+    return rows.withColumn("cell", F.col("user_id.cell")).withColumn("user_id", F.col("user_id.user"))
 
 
 def _credit_table(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """(by…, method, channel, credit, covered) from credit rows; ``covered`` counts matched conversions."""
+    """(by…, method, channel, credit, covered) from credit rows; ``covered`` counts matched conversions.
+
+    Whether a channel has a row is decided by counts of its touches, which are exact, and not by the size of its credit.
+    """
     by = list(by)
-    table = rows.groupBy(*by, "channel").agg(*[F.sum(m).alias(m) for m in [*METHODS, "all_value", "covered"]])
+    table = rows.groupBy(*by, "channel").agg(*[F.sum(m).alias(m) for m in SUMMED])
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # one row per channel of a slice
     presence = F.nullif(F.sum("markov_proxy").over(group), F.lit(0.0))
     table = table.withColumns(
@@ -240,10 +256,11 @@ def _credit_table(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             "covered": F.sum("covered").over(group),
         }
     )
-    pairs = ", ".join(f"'{m}', {m}" for m in METHODS)
+    support = {"first_touch": "firsts", "last_touch": "lasts"}
+    pairs = ", ".join(f"'{m}', {m}, {support.get(m, 'seen')}" for m in METHODS)
     known = table.where(F.col("channel").isNotNull())
-    stacked = known.select(*by, "channel", "covered", F.expr(f"stack({len(METHODS)}, {pairs}) as (method, credit)"))
-    return stacked.where(F.abs("credit") > DUST).select(*by, "method", "channel", "credit", "covered")
+    stacked = known.select(*by, "channel", "covered", F.expr(f"stack({len(METHODS)}, {pairs}) as (method, credit, touches)"))
+    return stacked.where("touches > 0.5").select(*by, "method", "channel", "credit", "covered")
 
 
 def attribute_timelines(
@@ -254,7 +271,7 @@ def attribute_timelines(
     ``exposure_id`` and ``conversion_id`` must be unique. ``bucket_micros`` is the width of a time bucket;
     make it small when one user has very many touches a day.
     """
-    rows = _credit_rows(exposures, conversions, lookback_days, min_lag_hours, half_life_hours, bucket_micros)
+    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours, bucket_micros)
     return _credit_table(rows).drop("covered")
 
 
@@ -263,8 +280,8 @@ def slices_timelines(
     half_life_hours: float = 48.0, bucket_micros: int = DAY,
 ) -> DataFrame:
     """``segment_slices`` without pairs, for user-level segment labels; a missing label is 'nan'."""
-    rows = _credit_rows(exposures, conversions, lookback_days, min_lag_hours, half_life_hours, bucket_micros)
-    per_user = rows.groupBy("user_id", "channel").agg(*[F.sum(m).alias(m) for m in [*METHODS, "all_value", "covered"]])
+    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours, bucket_micros)
+    per_user = rows.groupBy("user_id", "channel").agg(*[F.sum(m).alias(m) for m in SUMMED])
     named = per_user.join(labels.select("user_id", *segment_cols), "user_id", "left")
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
     cells = F.array(*[F.struct(F.lit(c).alias("segment_col"), value(c).alias("segment_value")) for c in segment_cols])
@@ -272,55 +289,25 @@ def slices_timelines(
     return _credit_table(sliced, ["segment_col", "segment_value"]).drop("covered")
 
 
-def grid_timelines(
-    exposures: DataFrame, conversions: DataFrame, total_conversions: int, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, **kwargs
-) -> DataFrame:
-    """``robustness_grid`` without pairs: one linear pass per cell, whose few result rows are written out at
-    once so that the plans do not pile up."""
-    parts = None
-    for window in windows:
-        for lag in lags:
-            rows = _credit_rows(exposures, conversions, window, lag, kwargs.get("half_life_hours", 48.0), kwargs.get("bucket_micros", DAY))
-            cell = _credit_table(rows).withColumns({"window_days": F.lit(window), "min_lag": F.lit(lag)})
-            cell = cut_lineage(cell)
-            parts = cell if parts is None else parts.unionByName(cell)
-    covered = parts.groupBy("window_days", "min_lag").agg(F.max("covered").alias("covered"))
-    return grid_report(parts, covered, total_conversions)
-
-
-def too_many_pairs(exposures: DataFrame, conversions: DataFrame, blowup: float = 50.0) -> bool:
-    """True when same-user pairs could exceed ``blowup`` times the input rows (one light count per user)."""
-    count = lambda df, name: df.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias(name))
-    per_user = count(exposures, "e").join(count(conversions, "c"), "user_id", "full")
-    size = per_user.agg(F.sum(F.col("e") * F.col("c")).alias("pairs"), (F.coalesce(F.sum("e"), F.lit(0.0)) + F.coalesce(F.sum("c"), F.lit(0.0))).alias("rows")).first()
-    return (size["pairs"] or 0.0) > blowup * size["rows"]
-
-
-def credit_by_channel(
-    exposures: DataFrame, conversions: DataFrame, lookback_days: int, min_lag_hours: float = 0.0, methods: Sequence[str] = METHODS, blowup: float = 50.0
-) -> DataFrame:
-    """(method, channel, credit), from pairs when they are few and from timelines otherwise."""
-    if too_many_pairs(exposures, conversions, blowup):
-        return attribute_timelines(exposures, conversions, lookback_days, min_lag_hours).where(F.col("method").isin(*methods))
-    touches = rank_touches(exposures)
-    return attribute(measurement_table(touches, conversions, lookback_days, min_lag_hours), methods, touches=touches)
+def credit_by_channel(exposures: DataFrame, conversions: DataFrame, lookback_days: int, min_lag_hours: float = 0.0, methods: Sequence[str] = METHODS) -> DataFrame:
+    """(method, channel, credit) of the chosen rules, from timelines."""
+    return attribute_timelines(exposures, conversions, lookback_days, min_lag_hours).where(F.col("method").isin(*methods))
 
 
-def credit_by_segment(
-    exposures: DataFrame, conversions: DataFrame, labels: DataFrame, segment_cols: Sequence[str], lookback_days: int, blowup: float = 50.0
-) -> DataFrame:
-    """Segment slices, from pairs when they are few and from timelines otherwise."""
-    if too_many_pairs(exposures, conversions, blowup):
-        return slices_timelines(exposures, conversions, labels, segment_cols, lookback_days)
-    touches = rank_touches(exposures)
-    joined = attach_labels(measurement_table(touches, conversions, lookback_days), labels, "user_id")
-    return segment_slices(joined, segment_cols, touches=touches)
+def credit_by_segment(exposures: DataFrame, conversions: DataFrame, labels: DataFrame, segment_cols: Sequence[str], lookback_days: int) -> DataFrame:
+    """Segment slices, from timelines."""
+    return slices_timelines(exposures, conversions, labels, segment_cols, lookback_days)
 
 
-def robustness(exposures: DataFrame, conversions: DataFrame, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, blowup: float = 50.0) -> DataFrame:
-    """Robustness grid, from pairs when they are few and from timelines otherwise."""
+def robustness(
+    exposures: DataFrame, conversions: DataFrame, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, half_life_hours: float = 48.0, bucket_micros: int = DAY
+) -> DataFrame:
+    """Robustness grid without pairs, all cells in one pass."""
     total = conversions.select(F.count_distinct("conversion_id")).first()[0]
-    if too_many_pairs(exposures, conversions, blowup):
-        return grid_timelines(exposures, conversions, total, windows, lags)
-    touches = rank_touches(exposures)
-    return robustness_grid(measurement_table(touches, conversions, max(windows)), total, windows, lags, touches=touches)
+    grid = [(w, lag) for w in windows for lag in lags]
+    rows = _credit_rows(exposures, conversions, grid, half_life_hours, bucket_micros)
+    table = _credit_table(rows, ["cell"])
+    pick = lambda k: F.element_at(F.array(*[F.lit(c[k]) for c in grid]), F.col("cell") + 1)
+    cells = table.select(pick(0).alias("window_days"), pick(1).alias("min_lag"), "method", "channel", "credit", "covered")
+    covered = cells.groupBy("window_days", "min_lag").agg(F.max("covered").alias("covered"))
+    return grid_report(cells, covered, total)

@@ -128,8 +128,16 @@ def test_timelines_equal_pairs(spark, days, lag, bucket):
 def test_grid_without_pairs(spark):
     exp = exposures(spark, [(i, i % 4, T0 - dt.timedelta(minutes=i * 97), f"c{i % 3}") for i in range(80)])
     conv = conversions(spark, [(i, i % 4, T0 - i * 9 * HOUR, 1.0 + i) for i in range(12)])
-    grid = lambda blowup: {
-        (r["window_days"], r["min_lag_hours"], r["method"]): (round(r["total_credit"], 7), r["coverage_pct"], r["top_channel"])
-        for r in credit_flow.robustness(exp, conv, (1, 3), (0, 6), blowup).collect()
+    rounded = lambda grid: {
+        (r["window_days"], r["min_lag_hours"], r["method"]): (round(r["total_credit"], 7), r["coverage_pct"], r["top_channel"]) for r in grid.collect()
     }
-    assert grid(0.0) == grid(1e9)
+    pairs = att.robustness_grid(joins.measurement_table(exp, conv, 3), conv.count(), (1, 3), (0, 6))
+    assert rounded(credit_flow.robustness(exp, conv, (1, 3), (0, 6))) == rounded(pairs)
+
+
+def test_small_credit_stays_and_no_dust_appears(spark):
+    """A channel with tiny credit beside large totals has its row, one without touches in the window has none."""
+    rows = [(i, 1, T0 - i * HOUR, "big") for i in range(50)] + [(90, 2, T0 - HOUR, "tiny"), (91, 1, T0 - 2_000 * HOUR, "old")]
+    conv = conversions(spark, [(i, 1, T0 - i * HOUR, 1e15) for i in range(40)] + [(99, 2, T0, 1e-15)])
+    got = {(r["method"], r["channel"]): r["credit"] for r in credit_flow.attribute_timelines(exposures(spark, rows), conv, 7).collect()}
+    assert got["linear", "tiny"] == pytest.approx(1e-15) and not [k for k in got if k[1] == "old"]
