@@ -1,6 +1,6 @@
 """Secret scan with a random forest against false positives (operator 3), with DataFrame functions only.
 
-Findings are runs of token characters with a digit in them. The forest judges them by length, character mix and
+Findings are runs of token characters with a digit or sixteen capitals in a row. The forest judges them by length, character mix and
 transitions, what common words and letter pairs of the corpus explain of them, the path they stand in and the words
 around them. It is trained on labelled findings; ``weak_labels`` labels those whose format or surroundings leave no doubt.
 """
@@ -21,7 +21,7 @@ WORDS, PAIRS = 500, 400  # most frequent words and letter pairs of the corpus th
 AROUND = 40  # code points before and after a finding that are looked at
 
 _TOKEN = "A-Za-z0-9+/_-"
-PATTERN = rf"(?<![{_TOKEN}])(?=[A-Za-z+/_-]*+[0-9])[{_TOKEN}]{{12,}}+={{0,2}}"
+PATTERN = rf"(?<![{_TOKEN}])(?:(?=[A-Za-z+/_-]*+[0-9])|(?=[A-Z]{{16}}))[{_TOKEN}]{{12,}}+={{0,2}}"
 # formats of common providers' keys (fixed values)
 FORMATS = r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35})$"
 _SECRET_WORD = r"(?i)(?:token|secret|passw|passwd|pwd|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private)"
@@ -47,7 +47,7 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     dictionary = F.array(*[F.lit(r["term"]) for r in common]).cast("array<string>")
     pair_set = F.array(*[F.lit(r["pair"]) for r in pairs]).cast("array<string>")
 
-    spans = F.when(F.col("text").rlike("[0-9]"), matches(F.col("text"), PATTERN)).otherwise(F.array().cast("array<struct<start:int,stop:int,found:string>>"))
+    spans = F.when(F.col("text").rlike("[0-9]|[A-Z]{16}"), matches(F.col("text"), PATTERN)).otherwise(F.array().cast("array<struct<start:int,stop:int,found:string>>"))
     around = F.transform(
         spans,
         lambda s: F.struct(

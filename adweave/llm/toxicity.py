@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,8 @@ from adweave.llm.common import fold_of
 
 SAMPLE = 2_000  # labelled documents of each class that the dictionaries are built from
 GRAMS = (4, 5, 6)
-EVIDENCE = 28.0  # least log-likelihood ratio of a byte run and the label
+EVIDENCE = 45.0  # least log-likelihood ratio of a byte run and the label
+CLEARLY = 4  # times that a byte run must be more frequent in toxic documents
 STEPS = (2, 3, 4, 5, 6, 8)
 
 
@@ -74,12 +76,15 @@ def features(gain: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _distinct(rows: list[tuple]) -> list[tuple]:
-    """Without documents that share their long words with an earlier one: copies say nothing new about a word."""
+    """Without documents that share a third of their long words with earlier ones: copies say nothing new about a word.
+
+    Compared are the smallest hashes; a text with fewer than six long words is no copy.
+    """
     seen: set = set()
     out = []
     for row in rows:
-        keys = sorted({hash(w) for w in row[0].lower().split() if len(w) > 6})[:12]
-        if sum(k in seen for k in keys) < max(1, len(keys) // 3) or not keys:
+        keys = sorted({crc32(w) for w in row[0].lower().encode("utf-8", "surrogatepass").split() if len(w) > 6})[:12]
+        if len(keys) < 6 or 3 * sum(k in seen for k in keys) < len(keys):
             out.append(row)
         seen.update(keys)
     return out
@@ -91,7 +96,7 @@ def _grams(word: bytes) -> set[bytes]:
 
 def _ratio(a: int, b: int, n1: int, n0: int) -> float:
     """Log-likelihood ratio of a count in two classes, 0 if it isn't clearly higher in the first."""
-    if a / n1 < 4 * (b + 0.5) / n0:
+    if a / n1 < CLEARLY * (b + 0.5) / n0:
         return 0.0
     p = (a + b) / (n1 + n0)
     return 2 * (a * math.log(a / n1 / p) + (b * math.log(b / n0 / p) if b else 0.0))
