@@ -96,32 +96,23 @@ def measurement_table(
     conversions: DataFrame,
     lookback_days: int,
     min_lag_hours: float = 0.0,
-    bucketed: bool | None = None,
+    bucketed: bool = True,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Window join plus the positions of :func:`rank_touches` (worked out here unless they are present).
 
     The touches of one conversion are neighbours in that history, so ``touch_pos`` gives every position rule
-    its answer from per-conversion minima and counts, with no sort of the pairs. With ``bucketed=None`` one
-    light count decides between the two physical joins.
+    its answer from per-conversion minima and counts, with no sort of the pairs.
     """
     ranked = exposures if "touch_pos" in exposures.columns else rank_touches(exposures)
-    if bucketed is None:
-        per_user = exposures.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-        bucketed = (per_user.agg(F.max("n")).first()[0] or 0) > hot_rows
     if bucketed:
         return bucketed_window_join(ranked, conversions, lookback_days, min_lag_hours, hot_rows)
     return window_join(ranked, conversions, lookback_days, min_lag_hours)
 
 
-def restrict_to_converters(touches: DataFrame, max_users: int | None = None) -> DataFrame:
-    """All rows of users with at least one conversion row (``conversion`` = 1).
-
-    ``max_users`` keeps the cohort sample of the original workflow: the users with the lowest hash.
-    """
+def restrict_to_converters(touches: DataFrame) -> DataFrame:
+    """All rows of users with at least one conversion row (``conversion`` = 1)."""
     users = touches.where(F.col("conversion") == 1).select("user_id").distinct()
-    if max_users is not None:
-        users = users.orderBy(F.xxhash64("user_id"), "user_id").limit(max_users)
     return touches.join(users, "user_id", "left_semi")
 
 

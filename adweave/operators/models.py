@@ -145,13 +145,13 @@ def permutation_importance(model: Model, df: DataFrame, columns: Sequence[str],
     neighbour = F.struct(*columns)
     paired = df.withColumn("_b", bucket).withColumn("_swap", F.coalesce(F.lead(neighbour).over(ring), F.first(neighbour).over(start)))
     score = lambda frame: positive_probability(model, assemble(frame.drop("features"), columns))
-    result = None
-    base = score(paired).withColumnRenamed("p", "_p0")
-    for c in columns:
-        changed = score(base.drop("features").withColumn(c, F.col(f"_swap.{c}")))
-        part = changed.agg(F.lit(c).alias("feature"), F.avg(F.abs(F.col("p") - F.col("_p0"))).alias("mean_abs_change"))
-        result = part if result is None else result.unionByName(part)
-    return result
+    frame = score(paired).withColumnRenamed("p", "_p0")
+    for k, c in enumerate(columns):  # all changes of a row are scored in the same pass
+        frame = score(frame.withColumnRenamed(c, "_own").withColumn(c, F.col(f"_swap.{c}")))
+        frame = frame.withColumn(f"_change{k}", F.abs(F.col("p") - F.col("_p0"))).drop("p", c).withColumnRenamed("_own", c)
+    means = frame.agg(*[F.avg(f"_change{k}").alias(f"_change{k}") for k in range(len(columns))])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_change{k}").alias("mean_abs_change")) for k, c in enumerate(columns)])
+    return means.select(F.inline(cells))
 
 
 def auc_gap(scored: DataFrame) -> DataFrame:

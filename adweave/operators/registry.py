@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_LOG = "run_id string, kind string, key string, value string"
-CHECKLIST = ["scoring_model_used", "xgb_roc_auc", "best_threshold", "best_profit", "risk_top20_capture_rate", "uplift_data_source", "uplift_demo_only"]
+CHECKLIST = ["scoring_model_used", "boosted_roc_auc", "best_threshold", "best_profit", "risk_top20_capture_rate", "uplift_data_source", "uplift_demo_only"]
 
 
 def run_rows(spark: SparkSession, run_id: str, params: Mapping | None = None, metrics: Mapping | None = None, tables: Mapping[str, Sequence[Mapping]] | None = None) -> DataFrame:

@@ -235,7 +235,7 @@ def _(spark, d):
     auc = met.ranking_metrics(scored).first()
     rows = registry.run_rows(
         spark, "run-1", params={"scoring_model_used": "b"},
-        metrics={"xgb_roc_auc": auc["roc_auc"], "best_threshold": best["threshold"], "best_profit": best["profit"], "risk_top20_capture_rate": capture["capture_rate"]},
+        metrics={"boosted_roc_auc": auc["roc_auc"], "best_threshold": best["threshold"], "best_profit": best["profit"], "risk_top20_capture_rate": capture["capture_rate"]},
     )
     return registry.verification_checklist(rows)
 
@@ -348,13 +348,24 @@ def _(spark, d):
     name = f"orders_{uuid.uuid4().hex[:8]}"
     table = catalog.register_table(spark, "adweave_demo", name, f"{d}/orders.parquet")
     rows = catalog.register_table(spark, "adweave_demo", name, f"{d}/orders.parquet") and spark.table(table)
+    catalog.drop_table(spark, "adweave_demo", name)
     return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@_register("cat2_list_tables")
+@_register("cat2_list_tables", "SELECT count(*) AS rows, true AS listed FROM events")
 def _(spark, d):
     name = f"events_{uuid.uuid4().hex[:8]}"
     catalog.register_table(spark, "adweave_demo", name, f"{d}/events.parquet")
     listed = name in catalog.list_tables(spark, "adweave_demo")
     counts = spark.table(f"adweave_demo.{name}").agg(F.count(F.lit(1)).alias("rows"))
+    catalog.drop_table(spark, "adweave_demo", name)
     return counts.withColumn("listed", F.lit(listed))
+
+
+@_register("cat2_preview", "SELECT least(10, count(*)) AS previewed FROM orders")
+def _(spark, d):
+    name = f"orders_{uuid.uuid4().hex[:8]}"
+    table = catalog.register_table(spark, "adweave_demo", name, f"{d}/orders.parquet")
+    rows = catalog.preview(spark, table)
+    catalog.drop_table(spark, "adweave_demo", name)
+    return rows.agg(F.count(F.lit(1)).alias("previewed"))

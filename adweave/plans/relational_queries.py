@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adweave.functions import scalar as fn
+from adweave.operators import credit_flow, joins
 from adweave.operators import features as fea
-from adweave.operators import joins
 from adweave.operators import relational as rel
 from adweave.plans import fixtures as fx
 from adweave.plans.fixtures import with_ctes
@@ -175,7 +175,7 @@ def _(spark, d):
 @_register("set2_union_and_difference", with_ctes(["exposures", "conversions", "joined"], "SELECT user_id FROM (SELECT user_id FROM exposures UNION SELECT user_id FROM conversions) WHERE user_id NOT IN (SELECT user_id FROM joined WHERE hours <= 2)"))
 def _(spark, d):
     exp, conv = fx.exposures(spark, d), fx.conversions(spark, d)
-    matched = joins.window_join(exp, conv, 7).where("hours_before_conversion <= 2").select("user_id").distinct()
+    matched = credit_flow.window_counts(exp, conv, 2 / 24)[0].where("n > 0").select("user_id").distinct()
     return rel.difference(rel.distinct_union(exp, conv, "user_id"), matched, "user_id")
 
 

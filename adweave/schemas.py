@@ -15,24 +15,12 @@ def struct(text: str) -> T.StructType:
 
 
 USER_EVENT = struct("username string, action string, timestamp double, event_date string")
-USER_EVENT_FULL = struct(
-    "username string, action string, timestamp double, event_date string, product_id string, product_name string, "
-    "product_category string, product_subcategory1 string, product_subcategory2 string, price double, quantity int, "
-    "total_price double"
-).add("delivery_address", struct("street string, city string, state string"))
 TOUCH_RAW = struct("timestamp string, uid string, campaign string, conversion string, conversion_timestamp string, conversion_id string")
-IDENTITY_RECORD = struct(
-    "record_id string, person_id string, name string, email string, email_hash string, phone string, city string, user_agent string, ip string, cookie_id string"
-)
-TOUCH_EVENT = struct("record_id string, resolved_id long, event_order int, channel string, conversion_event int")
-MIX_WIDE = struct("date date, revenue double, spend_search double, spend_social double, spend_display double, spend_email double")
-MIX_LONG = struct("date date, channel string, spend double, revenue double")
 TELCO_CUSTOMER = struct(
     "gender string, SeniorCitizen long, Partner string, Dependents string, tenure long, PhoneService string, MultipleLines string, "
     "InternetService string, OnlineSecurity string, OnlineBackup string, DeviceProtection string, TechSupport string, StreamingTV string, "
     "StreamingMovies string, Contract string, PaperlessBilling string, PaymentMethod string, MonthlyCharges double, TotalCharges double"
 )
-HILLSTROM = struct("segment string, conversion int, visit int, spend double")
 SCORED_LOG = T.StructType(
     [*TELCO_CUSTOMER.fields, *struct("timestamp_utc string, prediction_label string, churn_probability double").fields]
 )

@@ -12,6 +12,11 @@ def register_table(spark: SparkSession, database: str, name: str, path: str, fmt
     return f"{database}.{name}"
 
 
+def drop_table(spark: SparkSession, database: str, name: str) -> None:
+    """Removes the catalog's entry of an external table; its files stay, and tables already read keep working."""
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+
+
 def list_tables(spark: SparkSession, database: str) -> list[str]:
     """Table names: second column of SHOW TABLES, or the first when there is only one."""
     rows = spark.sql(f"SHOW TABLES IN `{database}`").collect()
