@@ -216,9 +216,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     placed = others.select("sig", F.col("j").alias("node"), F.col("size_j").alias("size"), F.col("alone_j").alias("alone")).join(resolved, "node")
     mixed = placed.groupBy("sig").agg(F.min("resolved_id").alias("low"), F.max("resolved_id").alias("high")).where("low <> high").select("sig")
     placed = saved(placed.join(mixed, "sig"), "unsettled")
-    side = lambda k: placed.select("sig", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "alone", "resolved_id")))
-    rest = side("i").join(side("j"), "sig").where((F.col("node_i") < F.col("node_j")) & (F.col("resolved_id_i") != F.col("resolved_id_j")) & _fits("i", "j", percent))
-    rest = rest.select(F.col("node_i").alias("i"), F.col("node_j").alias("j")).distinct()
+    held = placed.groupBy("node").agg(F.collect_set("sig").alias("sigs"))
+    placed = placed.join(held, "node")
+    side = lambda k: placed.select("sig", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "alone", "resolved_id", "sigs")))
+    # a pair comes out at the first signature that both have, not at all of them
+    once = F.array_min(F.array_intersect("sigs_i", "sigs_j")) == F.col("sig")
+    rest = side("i").join(side("j"), "sig").where((F.col("node_i") < F.col("node_j")) & (F.col("resolved_id_i") != F.col("resolved_id_j")) & _fits("i", "j", percent) & once)
+    rest = rest.select(F.col("node_i").alias("i"), F.col("node_j").alias("j"))
     links = first.unionByName(_linked(rest, sets, percent))
     resolved = connected_components(nodes, saved(links, "links"), "node")
     named = rows.join(resolved, "node", "left").withColumn("component", F.coalesce("resolved_id", "node"))
