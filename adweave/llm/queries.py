@@ -67,4 +67,31 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files, "pipeline": corpus_pipeline.run}
-ORACLE: dict[str, str] = {}
+_WORDS = r"[^\x20\x09-\x0D]+"
+_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+  places AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35),
+  windows AS MATERIALIZED (SELECT r, p, array_to_string(w[p:p + 34], ' ') AS s FROM places),
+  again AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+  gone AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS i FROM windows JOIN again USING (s)),
+  every AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+  kept AS (SELECT r, count(*) AS n, string_agg(w[i], ' ' ORDER BY i) AS t FROM every ANTI JOIN gone USING (r, i) GROUP BY r)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
+    "op7_vector_neardup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  links AS MATERIALIZED (SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+  reach AS (SELECT vec_id AS n, vec_id AS r FROM embeddings UNION SELECT l.j, reach.r FROM reach JOIN links l ON l.i = reach.n),
+  low AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n)
+  SELECT vec_id, (SELECT count(*) FROM links WHERE i = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN low ON n = vec_id""",
+    "op8_ngram_join": rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_AZ}, '{_WORDS}') AS w FROM documents),
+  shingles AS MATERIALIZED (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda p: array_to_string(w[p:p + 2], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d)),
+  sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+  shared AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  links AS MATERIALIZED (SELECT i, j FROM shared JOIN sizes x ON x.doc_id = i JOIN sizes y ON y.doc_id = j WHERE 100 * c >= 90 * (x.n + y.n - c)),
+  reach AS (SELECT doc_id AS n, doc_id AS r FROM documents UNION SELECT l.j, reach.r FROM reach JOIN links l ON l.i = reach.n),
+  low AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n)
+  SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id FROM d JOIN low ON low.n = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id""",
+}
