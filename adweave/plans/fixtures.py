@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 from adweave.functions import scalar as fn
 
-# Channel, e-mail provider and device lists of the derived tables, in index order.
+# Channels of the derived tables, in index order.
 CHANNELS = ["search", "social", "display", "email", "direct"]
-DOMAINS = ["gmail.com", "yahoo.com", "outlook.com", "company.com"]
-DEVICES = ["ios_safari", "android_chrome", "mac_chrome", "windows_edge", "ipad_safari"]
 UPLIFT_DAY = "2001-03-01"
 
 
@@ -69,7 +67,7 @@ def identity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     person = F.floor(key / 3).cast("long")
     email = F.concat(
-        F.lit("user"), person.cast("string"), F.when(key % 3 == 1, "+promo").otherwise(""), F.lit("@"), _pick(DOMAINS, person % 4)
+        F.lit("user"), person.cast("string"), F.when(key % 3 == 1, ".2").otherwise(""), F.lit("@mail"), (person % 4).cast("string"), F.lit(".example")
     )
     return (
         table(spark, sf_dir, "customer")
@@ -82,7 +80,7 @@ def identity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.lpad(((person * 7919 + 1234567) % 10_000_000_000).cast("string"), 10, "0"))
             .alias("phone"),
             F.when(key % 11 == 0, "").otherwise(F.concat(F.lit("city"), (person % 6).cast("string"))).alias("city"),
-            _pick(DEVICES, key % 5).alias("user_agent"),
+            F.lower("c_mktsegment").alias("user_agent"),
         )
         .withColumn("email_hash", fn.email_hash("email"))
         .withColumn("cookie_id", F.when(F.col("record_id") % 13 == 0, "").otherwise(F.concat(F.lit("ck"), F.col("record_id").cast("string"))))
@@ -94,13 +92,12 @@ SQL["identity"] = """SELECT *, CASE WHEN email = '' THEN '' ELSE left(sha256(ema
   SELECT c_custkey AS record_id, person AS person_id,
   'first' || (person % 20) || ' last' || (person % 11) AS name,
   CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'user' || person ||
-    CASE WHEN c_custkey % 3 = 1 THEN '+promo' ELSE '' END || '@' ||
-    (['gmail.com','yahoo.com','outlook.com','company.com'])[person % 4 + 1] END AS email,
+    CASE WHEN c_custkey % 3 = 1 THEN '.2' ELSE '' END || '@mail' || (person % 4) || '.example' END AS email,
   CASE WHEN c_custkey % 5 = 0 THEN '' ELSE
     lpad(CAST((person * 7919 + 1234567) % 10000000000 AS VARCHAR), 10, '0') END AS phone,
   CASE WHEN c_custkey % 11 = 0 THEN '' ELSE 'city' || (person % 6) END AS city,
-  (['ios_safari','android_chrome','mac_chrome','windows_edge','ipad_safari'])[c_custkey % 5 + 1] AS user_agent
-  FROM (SELECT c_custkey, c_custkey // 3 AS person FROM customer))"""
+  lower(c_mktsegment) AS user_agent
+  FROM (SELECT c_custkey, c_mktsegment, c_custkey // 3 AS person FROM customer))"""
 
 
 def mix_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
