@@ -84,22 +84,28 @@ def log_probs(net: Net, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(net: Net, stream: np.ndarray, end: int, updates: int = 1_500, batch: int = 64, rate: float = 0.01) -> None:
-    """Fits ``net`` in place to a stream of documents, each closed by ``end``. The state is carried from window to window and starts anew after an end."""
-    length = len(stream) // batch
-    if length < 2:
+def train(net: Net, stream: np.ndarray, end: int, updates: int = 1_500, batch: int = 64, rate: float = 0.01, last: float = 1e-4) -> None:
+    """Fits ``net`` in place to a stream of documents, each closed by ``end``. The state is carried from window to window and starts anew after an end.
+
+    ``batch`` lanes share the stream; the last is filled up with tokens that count nothing. The step size falls from
+    ``rate`` to ``last``. Rows of words and classes that a window doesn't meet keep their weights and moments.
+    """
+    if not len(stream):
         return
+    length = -(-len(stream) // batch)
     w = net.weights
-    tokens = stream[: length * batch].reshape(batch, length).T
+    filled = np.concatenate([stream, np.full(length * batch - len(stream), end, stream.dtype)])
+    tokens = filled.reshape(batch, length).T
+    real = (np.arange(length * batch) < len(stream)).reshape(batch, length).T
     before = np.concatenate([np.full((1, batch), end), tokens[:-1]])
-    updates = min(updates, 20 * (1 + length // WINDOW))
+    updates = min(updates, 20 * -(-length // WINDOW))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
     h, at = np.zeros((batch, HIDDEN), np.float32), 0
     k = HIDDEN
     for turn in range(updates):
         if at >= length:
             at, h = 0, np.zeros_like(h)
-        given, wanted = before[at : at + WINDOW], tokens[at : at + WINDOW]
+        given, wanted, counted = before[at : at + WINDOW], tokens[at : at + WINDOW], real[at : at + WINDOW].ravel()
         at += WINDOW
         gate_table = net.gates()
         trace, states = [], []
@@ -109,21 +115,26 @@ def train(net: Net, stream: np.ndarray, end: int, updates: int = 1_500, batch: i
             trace.append((h, z, r, c))
             states.append(new)
             h = new
-        flat, ids = np.concatenate(states), wanted.ravel()
+        flat, ids = np.concatenate(states)[counted], wanted.ravel()[counted]
         size = np.float32(len(ids))
-        grads = {name: np.zeros_like(v) for name, v in w.items()}
         owner, groups = _by_class(ids, net)
+        met = np.asarray([c for c, _ in groups], np.int64)
+        grads = {name: np.zeros_like(w[name]) for name in ("recur",)}
+        grads["to_word"] = np.empty((len(met), *w["to_word"].shape[1:]), np.float32)
+        grads["word_bias"] = np.empty((len(met), w["word_bias"].shape[1]), np.float32)
         d = np.exp(log_softmax(flat @ w["to_class"] + w["class_bias"]))
         d[np.arange(len(ids)), owner] -= 1
         d /= size
         grads["to_class"], grads["class_bias"] = flat.T @ d, d.sum(axis=0)
-        back = d @ w["to_class"].T
-        for c, rows in groups:
+        inner = d @ w["to_class"].T
+        for i, (c, rows) in enumerate(groups):
             d = np.exp(log_softmax(flat[rows] @ w["to_word"][c] + w["word_bias"][c]))
             d[np.arange(len(rows)), ids[rows] - c * net.per_class] -= 1
             d /= size
-            grads["to_word"][c], grads["word_bias"][c] = flat[rows].T @ d, d.sum(axis=0)
-            back[rows] += d @ w["to_word"][c].T
+            grads["to_word"][i], grads["word_bias"][i] = flat[rows].T @ d, d.sum(axis=0)
+            inner[rows] += d @ w["to_word"][c].T
+        back = np.zeros((len(counted), k), np.float32)
+        back[counted] = inner
         back = back.reshape(len(given), batch, k)
         carry = np.zeros((batch, k), np.float32)
         gate_grad = np.zeros((len(given), batch, 3 * k), np.float32)
@@ -143,17 +154,62 @@ def train(net: Net, stream: np.ndarray, end: int, updates: int = 1_500, batch: i
         flat_grad, used = gate_grad.reshape(-1, 3 * k), given.ravel()
         grads["bias"] = flat_grad.sum(axis=0)
         grads["inward"] = w["embed"][used].T @ flat_grad
-        np.add.at(grads["embed"], used, flat_grad @ w["inward"].T)
+        order = np.argsort(used, kind="stable")
+        first = np.flatnonzero(np.diff(used[order], prepend=-1))
+        words = used[order][first]
+        grads["embed"] = np.add.reduceat(flat_grad[order], first) @ w["inward"].T
+        places = {"embed": words, "to_word": met, "word_bias": met}
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         scale = min(1.0, 1.0 / (norm + 1e-9))
-        pace = rate * (1 - turn / updates) + 1e-4
+        pace = last + (rate - last) * (1 - turn / updates)
+        fix = np.sqrt(1 - 0.99 ** (turn + 1)) / (1 - 0.9 ** (turn + 1))
         for name, g in grads.items():
             g = g * np.float32(scale)
-            m, v = moments[name]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            fix = np.sqrt(1 - 0.99 ** (turn + 1)) / (1 - 0.9 ** (turn + 1))
-            w[name] -= np.float32(pace * fix) * m / (np.sqrt(v) + 1e-6)
+            part = places.get(name, slice(None))
+            m, v = (x[part] for x in moments[name])
+            m = m + np.float32(0.1) * (g - m)
+            v = v + np.float32(0.01) * (g * g - v)
+            moments[name][0][part], moments[name][1][part] = m, v
+            w[name][part] -= np.float32(pace * fix) * m / (np.sqrt(v) + np.float32(1e-6))
+
+
+class Mean:
+    """Weights of copies of a net trained apart, averaged: each word's and each class's by the tokens that taught it."""
+
+    def __init__(self, net: Net):
+        self.net = net
+        self.sums = {k: np.zeros(v.shape, np.float32) for k, v in net.weights.items()}
+        self.shares = {k: np.zeros(self._share(k), np.float32) for k in net.weights}
+
+    def _share(self, name: str) -> tuple[int, ...]:
+        shape = self.net.weights[name].shape
+        return (shape[0], *[1] * (len(shape) - 1)) if name in ("embed", "to_word", "word_bias") else (1,) * len(shape)
+
+    def learn(self, stream: np.ndarray, end: int, rate: float, last: float) -> None:
+        """Adds what a copy learns in one pass over ``stream``; a stream has 32 updates or more, of up to 256 lanes."""
+        net = Net(self.net.n, self.net.per_class, {k: v.copy() for k, v in self.net.weights.items()})
+        lanes = min(max(len(stream) // (32 * WINDOW), 1), 256)
+        train(net, stream, end, -(-len(stream) // (lanes * WINDOW)), lanes, rate, last)
+        met = np.bincount(stream, minlength=net.n + 1).astype(np.float32)
+        of_class = np.bincount(np.minimum(np.arange(net.n) // net.per_class, net.classes), met[: net.n], net.classes)
+        for name, old in self.net.weights.items():
+            share = {"embed": met, "to_word": of_class, "word_bias": of_class}.get(name, np.float32(len(stream)))
+            share = np.asarray(share, np.float32).reshape(self._share(name))
+            self.sums[name] += share * (net.weights[name] - old)
+            self.shares[name] += share
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for held in (self.sums, self.shares) for x in held.values()])
+
+    def apply(self, flat: np.ndarray) -> None:
+        """Moves the net by the sum of the ``flat`` of all tasks."""
+        at = 0
+        for held in (self.sums, self.shares):
+            for name, x in held.items():
+                held[name] = flat[at : at + x.size].reshape(x.shape)
+                at += x.size
+        for name, x in self.sums.items():
+            self.net.weights[name] += x / np.maximum(self.shares[name], 1)
 
 
 def score(net: Net, sequences: list[np.ndarray], end: int) -> np.ndarray:

@@ -1,8 +1,9 @@
 """Language-model scores of whole documents (operator 6).
 
-Word counts come from all training documents. The most frequent words are the vocabulary of a recurrent net, which is
-trained on a bounded sample; every other word gets the net's probability of another word times its share among them
-by corpus counts. So the scores are those of one distribution over all words, comparable with the unigram base.
+Word counts come from all training documents. The words that occur often enough are the vocabulary of a recurrent net,
+which learns from every training document: in each round tasks train copies of it on the next piece of their chunks and
+the copies are averaged. Every other word gets the net's probability of another word times its share among them by
+corpus counts. So the scores are those of one distribution over all words, comparable with the unigram base.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 
 from adweave.llm import chunks as C
 from adweave.llm import gru
-from adweave.llm.common import fold_of
+from adweave.llm.common import fold_of, saved
 
-VOCABULARY = 4_096  # words of the net
-SAMPLE = 1_500  # training documents the net is fitted to
+VOCABULARY = 4_096  # words of the net at least, if there are so many
+OFTEN = 1_000  # occurrences from which a word is in the net, however many words there are
+ROUNDS = 8  # pieces of a chunk, and times that the copies are averaged
+SLICE = 1 << 18  # weights that are summed together
 LOG10 = float(np.log(10))
 
 
@@ -42,8 +45,8 @@ class _Counts:
         ]
 
 
-def _merge(table: pa.Table, most: int):
-    """The corpus count of every entry; the range's sums and most frequent words stand in its first row."""
+def _merge(table: pa.Table, least: int, often: int):
+    """The corpus count of every entry; the range's sums and frequent words (``least`` of them, and all with ``often``) stand in its first row."""
     rows = table.select(["size", "hashes", "counts"]).to_pylist()
     values = np.concatenate([C.decoded(r["hashes"], 8) for r in rows])
     counts = np.concatenate([C.from_planes(r["counts"], 4) for r in rows])
@@ -52,7 +55,7 @@ def _merge(table: pa.Table, most: int):
     answer = np.empty(len(values), np.uint64)
     answer[order] = total[run]
     ends = np.cumsum([r["size"] for r in rows]).tolist()
-    top = np.argsort(-total.astype(np.int64), kind="stable")[:most]
+    top = np.argsort(-total.astype(np.int64), kind="stable")[: max(least, int((total >= often).sum()))]
     top = top[total[top] > 0]
     names = values[order[starts]].view(np.int64)
     listed = [{"hash": int(names[k]), "count": int(total[k])} for k in top]
@@ -70,15 +73,56 @@ def _trained(ids: pa.ChunkedArray, folds: int, held_fold: int) -> np.ndarray:
     return np.asarray([crc32(b"" if i is None else str(i).encode()) % folds != held_fold for i in ids.to_pylist()], bool)
 
 
+def _learn(net: gru.Net, chunks: C.Chunks, numbered, end: int, folds: int, held_fold: int, passes: int) -> None:
+    """Trains ``net`` in ``ROUNDS`` on all training tokens of all chunks, ``passes`` times.
+
+    Each chunk's tokens are written once as ``ROUNDS`` pieces. In a round every chunk trains a copy of the net on its next
+    ``passes`` pieces; tasks add up what their copies learned, and slices of these sums are added up over the tasks.
+    """
+    names = [f"p{k}" for k in range(ROUNDS)]
+
+    def encode(rows: pa.Table) -> pa.Table:
+        rows = C.in_order(rows)
+        use = _trained(rows["doc_id"], folds, held_fold)
+        words = C.words_of(rows["text"].filter(pa.array(use)), lower=True)
+        stream = np.insert(numbered(words.lanes[0]), words.offsets[1:], end)
+        return pa.table({k: pa.array([C.planes(x, 4)], pa.binary()) for k, x in zip(names, np.array_split(stream, ROUNDS), strict=True)})
+
+    pieces = saved(chunks.rows.groupBy("chunk").applyInArrow(encode, ", ".join(f"{k} binary" for k in names)), "pieces")
+    tasks = 2 * pieces.sparkSession.sparkContext.defaultParallelism  # each moves one net
+    for turn in range(ROUNDS):
+        these = [names[k % ROUNDS] for k in range(turn * passes, (turn + 1) * passes)]
+        rate, last = (0.05 * (1 - x / ROUNDS) + 1e-4 for x in (turn, turn + 1))
+
+        def learn(batches, these=these, rate=rate, last=last):
+            mean = gru.Mean(net)
+            for batch in batches:
+                for row in batch.to_pylist():
+                    mean.learn(np.concatenate([C.from_planes(row[k], 4) for k in these]).astype(np.int64), end, rate, last)
+            flat = mean.flat()
+            for k in range(0, len(flat), SLICE):
+                yield pa.RecordBatch.from_arrays([pa.array([k // SLICE], pa.int32()), pa.array([flat[k : k + SLICE].tobytes()], pa.binary())], names=["slice", "sums"])
+
+        def add(rows: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in rows["sums"])
+            return pa.table({"slice": rows["slice"][:1], "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+        found = pieces.select(*sorted(set(these))).coalesce(tasks).mapInArrow(learn, "slice int, sums binary")
+        slices = sorted(found.groupBy("slice").applyInArrow(add, "slice int, sums binary").collect())
+        if slices:
+            gru.Mean(net).apply(np.concatenate([np.frombuffer(r["sums"], np.float32) for r in slices]))
+
+
 def score_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, vocabulary: int = VOCABULARY, sample: int = SAMPLE, updates: int = 1_500,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, vocabulary: int = VOCABULARY, updates: int = 1_500, often: int = OFTEN,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, scores as log10 probabilities.
 
     Tokens are the words after folding A-Z, then one end. A null or empty text is the end alone. Rows with equal ids
     are scored each; other columns are not read; an empty table gives no rows. Without training documents every count
-    is 0. Only documents outside the held-out fold are counted or learned from; the net sees at most ``sample`` of
-    them, those with the smallest hashes of their ids.
+    is 0. Only documents outside the held-out fold are counted or learned from, and all of them are. The net's words are
+    all that occur ``often`` times, filled up to ``vocabulary`` with the most frequent of the others. It sees each training
+    token once; fewer tokens than ``updates`` windows of 64 lanes are seen again, up to 20 times.
     """
     chunks = C.in_chunks(docs, id_col, text_col)
     ranges = chunks.ranges
@@ -91,13 +135,16 @@ def score_documents(
 
     lists = chunks.rows.groupBy("chunk").applyInArrow(ask, "range int, chunk long, size int, hashes binary, counts binary")
     more = ", tokens long, kinds long, top array<struct<hash: long, count: long>>"
-    answers = C.answered(lists, lambda t: _merge(t, vocabulary), "counts", more)
+    answers = C.answered(lists, lambda t: _merge(t, vocabulary, often), "counts", more)
     sums = answers.agg(F.sum("tokens"), F.sum("kinds")).first()
     ends = outside.count()
     tokens, kinds = (sums[0] or 0) + ends, (sums[1] or 0) + (ends > 0)
-    top = answers.select(F.explode("top").alias("t")).select("t.hash", "t.count").orderBy(F.desc("count"), "hash").limit(vocabulary - 1).collect()
+    listed = answers.select(F.explode("top").alias("t")).select("t.hash", "t.count")
+    top = listed.where(F.col("count") >= often).collect()
+    if len(top) < vocabulary - 1:
+        top = listed.orderBy(F.desc("count"), "hash").limit(vocabulary - 1).collect()
     # the end is a word of the vocabulary; its hash is none of the others'
-    ranked = sorted([*((r["count"], r["hash"]) for r in top), (ends, None)], key=lambda x: -x[0])
+    ranked = sorted([*((r["count"], r["hash"]) for r in top), (ends, None)], key=lambda x: (-x[0], x[1] is not None, x[1] or 0))
     end = next(k for k, (_, name) in enumerate(ranked) if name is None)
     counts = np.asarray([c for c, _ in ranked], float)
     others = tokens - int(counts.sum())
@@ -114,10 +161,7 @@ def score_documents(
         return np.where(hashes[at] == values, places[at], n)
 
     net = gru.new_net(counts, others)
-    picked = outside.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    texts = [r["text"] for r in outside.join(F.broadcast(picked), "doc_id").select("text").orderBy(F.xxhash64("text")).limit(sample).collect()]
-    words = C.words_of(pa.array(texts, pa.string()), lower=True)
-    gru.train(net, np.insert(numbered(words.lanes[0]), words.offsets[1:], end), end, updates)
+    _learn(net, chunks, numbered, end, folds, held_fold, min(20, -(-updates * 64 * gru.WINDOW // max(tokens, 1))) or 1)
 
     scale = tokens + 0.5 * (kinds + 1)
     other_scale = others + 0.5 * (kinds - int((counts > 0).sum())) + 0.5

@@ -142,6 +142,30 @@ def test_lm_scoring(spark):
     assert alone["n_tokens"] == 1
 
 
+def test_lm_learns_from_every_training_document(spark):
+    from pyspark.sql import functions as F
+
+    ids = [r[0] for r in spark.range(2_200).orderBy(F.xxhash64("id"), "id").collect()]
+    late = set([i for i in ids if zlib.crc32(str(i).encode()) % 5 != 1][1_500:])
+    rows = [(i, " ".join(["uno", "dos", "tres"] * 30) if i in late else cases.prose(i, 20)) for i in ids]
+    got = lm_scoring.score_documents(cases.table(spark, rows), vocabulary=50).where(F.col("doc_id").isin(*late)).collect()
+    assert len(got) == len(late) > 100 and all(r["score"] > 0.5 * r["base_score"] for r in got)
+
+
+def test_words_of_the_net_follow_their_counts(spark):
+    from adweave.llm import gru
+
+    rows = [(k, "alfa beta gamma delta rara" + str(k)) for k in range(60)]
+    sizes = []
+    held = gru.new_net
+    try:
+        gru.new_net = lambda counts, others: sizes.append(len(counts)) or held(counts, others)
+        lm_scoring.score_documents(cases.table(spark, rows), vocabulary=2, often=20, updates=10)
+    finally:
+        gru.new_net = held
+    assert sizes == [5]  # four words and the end
+
+
 def test_net_is_a_distribution_and_carries_its_state():
     from adweave.llm import gru
 
