@@ -24,8 +24,8 @@ from adweave.llm.common import fold_of
 
 SAMPLE = 2_000  # labelled documents of each class that the dictionaries are built from
 GRAMS = (4, 5, 6)
-EVIDENCE = 45.0  # least log-likelihood ratio of a byte run and the label
 CLEARLY = 4  # times that a byte run must be more frequent in toxic documents
+CHANCE = 0.03  # of taking a run that is not
 STEPS = (2, 3, 4, 5, 6, 8)
 
 
@@ -94,12 +94,17 @@ def _grams(word: bytes) -> set[bytes]:
     return {word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1)}
 
 
-def _ratio(a: int, b: int, n1: int, n0: int) -> float:
-    """Log-likelihood ratio of a count in two classes, 0 if it isn't clearly higher in the first."""
-    if a / n1 < CLEARLY * (b + 0.5) / n0:
-        return 0.0
-    p = (a + b) / (n1 + n0)
-    return 2 * (a * math.log(a / n1 / p) + (b * math.log(b / n0 / p) if b else 0.0))
+def _clearly(a: int, b: int, n1: int, n0: int) -> bool:
+    """Whether a of n1 against b of n0 documents is ``CLEARLY`` more often: if it weren't, so many would be in the first with a chance under ``CHANCE``."""
+    p = CLEARLY * n1 / (CLEARLY * n1 + n0)
+    if a <= p * (a + b):
+        return False
+    term = math.exp(math.lgamma(a + b + 1) - math.lgamma(a + 1) - math.lgamma(b + 1) + a * math.log(p) + b * math.log1p(-p))
+    chance = 0.0
+    for k in range(b, -1, -1):  # of the a + b documents, k in the second class or fewer
+        chance += term
+        term *= k / (a + b - k + 1) * p / (1 - p)
+    return chance < CHANCE
 
 
 def train(sample: list[tuple[str, int]], share: float, window: int = 4, level: int = 6) -> Model:
@@ -126,7 +131,7 @@ def train(sample: list[tuple[str, int]], share: float, window: int = 4, level: i
                     of_word[w] = _grams(w)
                 grams |= of_word[w]
         seen[y].update(grams)
-    tied = {g for g, a in seen[1].items() if a >= 4 and _ratio(a, seen[0][g], totals[1], totals[0]) >= EVIDENCE}
+    tied = {g for g, a in seen[1].items() if a >= 2 and _clearly(a, seen[0][g], totals[1], totals[0])}
     of_class = [(a, w) for w, a in words[1].items() if not of_word.get(w, tied).isdisjoint(tied) and words[0][w] * totals[1] <= a * totals[0] / 4]
     ordinary = b" ".join(w for w, _ in words[0].most_common(1_500))
     toxic = b" ".join(w for _, w in sorted(of_class)[-400:])

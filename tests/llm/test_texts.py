@@ -118,6 +118,15 @@ def test_toxicity(spark):
     assert {r["score"] < 1e-3 for r in toxicity.score(docs.limit(3), nothing).collect()} == {True}
 
 
+def test_toxic_words_of_few_documents_count():
+    for bad, good, held in ((10, 58, 4), (40, 240, 6), (400, 400, 20)):
+        text = lambda k, more: " ".join(w + chr(97 + k % 26) + chr(97 + k // 26) for w in ("ab", "cd", "ef")) + more
+        sample = [(text(k, " grumbol" * (k < held)), 1) for k in range(bad)] + [(text(k, ""), 0) for k in range(good)]
+        model = toxicity.train(sample, 0.1)
+        assert b"grumbol" in model.toxic and b"grumbol" not in model.ordinary
+    assert not toxicity._clearly(3, 0, 2_000, 2_000) and not toxicity._clearly(400, 100, 2_000, 2_000)
+
+
 def test_held_out_labels_do_not_matter(spark):
     docs = cases.table(spark, [(k, cases.prose(k, 30)) for k in range(60)])
     fold = [zlib.crc32(str(k).encode()) % 5 for k in range(60)]
