@@ -107,7 +107,7 @@ def _(spark, d):
 @_register("mdl9_learning_curve")
 def _(spark, d):
     train, _, _ = _churn_split(spark, d)
-    return models.learning_curve(train, "customerID", lambda rows: models.logistic(rows.count(), max_iter=30).fit(rows))
+    return models.learning_curve(train, "customerID", lambda rows: models.logistic(rows.count()).fit(rows))
 
 
 @_register("fea5_sparse_svd")
@@ -139,7 +139,7 @@ def _(spark, d):
 @_register("cal3_fold_ensemble")
 def _(spark, d):
     train, test, _ = _churn_split(spark, d)
-    fit = lambda rows: models.logistic(rows.count(), max_iter=30).fit(rows)
+    fit = lambda rows: models.logistic(rows.count()).fit(rows)
     return cal.fold_ensemble(train, test, "customerID", fit).select("customerID", "label", "p_calibrated")
 
 
@@ -206,7 +206,7 @@ def _(spark, d):
 def _pipeline(spark, d):
     table = fx.churn(spark, d)
     train = table.where(~models.holdout_flag("customerID", 0.2))
-    estimator = models.logistic(train.count(), max_iter=30)
+    estimator = models.logistic(train.count())
     model = scoring.scoring_pipeline(NUMERIC, CATEGORICAL, "Churn", estimator).fit(train)
     root = _folder(spark, "registry")
     registry.register_model(model, root, "churn", spark)

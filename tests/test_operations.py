@@ -130,3 +130,13 @@ def test_gzip_touch_log_and_schema_evolution(spark, tmp_path):
     spark.range(1).write.parquet(out)
     spark.range(1).withColumn("extra", F.lit("x")).write.mode("append").parquet(out)
     assert sinks.read_evolving(spark, out).columns == ["id", "extra"]
+
+
+@pytest.mark.parametrize("name", ["mdl9_learning_curve", "cal3_fold_ensemble", "ops3_batch_scoring"])
+def test_logistic_queries_run_to_the_default_iterations(spark, sf_dir, monkeypatch, name):
+    from adweave.plans.catalog import QUERIES
+
+    made, logistic = [], models.logistic
+    monkeypatch.setattr(models, "logistic", lambda *a, **k: made.append(logistic(*a, **k)) or made[-1])
+    QUERIES[name](spark, sf_dir)
+    assert made and {m.getMaxIter() for m in made} == {100}
