@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import decontamination, lm_scoring, ngram_join, packing, pii, secret_scan, substring_dedup, token_files, toxicity, vector_neardup
+from adweave.llm import decontamination, lm_scoring, ngram_join, packing, periodic_runs, pii, secret_scan, substring_dedup, token_files, toxicity, vector_neardup
 from adweave.llm.common import fold_of, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -66,10 +66,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_index(spark, path)
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files, "pipeline": corpus_pipeline.run}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.looped("doc_id", "text").alias("text"))
+    found = periodic_runs.find_runs(docs).withColumn("top", periodic_runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period", F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files, "op13_periodic_runs": op13_periodic_runs, "pipeline": corpus_pipeline.run}
 _WORDS = r"[^\x20\x09-\x0D]+"
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# crc32 of a text bit by bit: every byte is followed by eight shifts, written as -1
+_CRC = """xor(list_reduce(flatten(list_transform(string_split({0}, ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END, CAST(4294967295 AS BIGINT)), 4294967295)"""
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
   places AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35),
@@ -94,4 +109,19 @@ ORACLE: dict[str, str] = {
   reach AS (SELECT doc_id AS n, doc_id AS r FROM documents UNION SELECT l.j, reach.r FROM reach JOIN links l ON l.i = reach.n),
   low AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n)
   SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id FROM d JOIN low ON low.n = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id""",
+    "op13_periodic_runs": rf"""WITH h AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w, {_CRC.format("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+  g AS (SELECT r, doc_id, w, len(w) AS n, h, h // 10 AS g FROM h),
+  p AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM g),
+  d AS MATERIALIZED (SELECT r, doc_id, CASE WHEN a IS NULL THEN w ELSE w[1:a] || list_transform(range(0, n - a), lambda i: w[1 + a + i % (1 + (n - a) // (3 + g % 8))]) END AS w FROM p),
+  t AS MATERIALIZED (SELECT r, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM d),
+  e AS (SELECT x.r, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.r = y.r AND x.x = y.x AND y.i > x.i),
+  o AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS stretch FROM e),
+  s AS (SELECT r, min(i) AS start, count(*) + q AS length, q FROM o GROUP BY r, q, stretch HAVING count(*) + q >= greatest(6, 4 * q)),
+  runs AS MATERIALIZED (SELECT r, start, length, min(q) AS period FROM s GROUP BY r, start, length),
+  top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DECIMAL(18, 0)) / period DESC, start, period) AS k FROM runs) WHERE k = 1),
+  lines AS (SELECT r, count(*) AS c, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS l FROM runs GROUP BY r),
+  gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+  kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS l FROM t ANTI JOIN gone USING (r, i) GROUP BY r)
+  SELECT doc_id, coalesce(c, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(lines.l, '')) AS runs_sha256, sha256(coalesce(kept.l, '')) AS collapsed_sha256
+  FROM d LEFT JOIN top USING (r) LEFT JOIN lines USING (r) LEFT JOIN kept USING (r)""",
 }
