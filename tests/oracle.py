@@ -25,13 +25,17 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def canonical(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
-    cell = lambda v: "∅" if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else (f"{v:.6f}" if isinstance(v, float) else str(v))
+    cell = lambda v: "∅" if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v) else (f"{v:.6f}" if isinstance(v, float) else str(v))
     clean = lambda v: v.item() if hasattr(v, "item") else v
     return sorted(tuple(cell(clean(v)).replace("-0.000000", "0.000000") for v in row) for row in frame.itertuples(index=False))
 
 
 def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
-    got = entry_points.queries()[name](spark, sf_dir).toPandas()
+    result = entry_points.queries()[name](spark, sf_dir)
+    got = result.toPandas()
+    for column, kind in result.dtypes:
+        if kind in ("bigint", "int") and got[column].dtype == "float64":  # whole numbers with nulls
+            got[column] = got[column].astype("Int64")
     sql = entry_points.oracle_sql().get(name)
     if sql is None:
         return len(got) > 0, f"rows-only rows={len(got)}"
