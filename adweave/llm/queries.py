@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import decontamination, lm_scoring, ngram_join, packing, periodic_runs, pii, secret_scan, substring_dedup, token_files, toxicity, vector_neardup
+from adweave.llm import decontamination, language_id, lm_scoring, ngram_join, packing, periodic_runs, pii, secret_scan, substring_dedup, token_files, toxicity, vector_neardup
 from adweave.llm.common import fold_of, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -66,6 +66,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_index(spark, path)
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, folds=5, held_fold=0)
+    return language_id.identify(docs, model).select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.looped("doc_id", "text").alias("text"))
     found = periodic_runs.find_runs(docs).withColumn("top", periodic_runs.strongest(F.col("runs")))
@@ -77,7 +83,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files, "op13_periodic_runs": op13_periodic_runs, "pipeline": corpus_pipeline.run}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files, "op12_language_id": op12_language_id, "op13_periodic_runs": op13_periodic_runs, "pipeline": corpus_pipeline.run}
 _WORDS = r"[^\x20\x09-\x0D]+"
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
