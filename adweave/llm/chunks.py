@@ -33,7 +33,7 @@ _POWERS: dict = {}
 
 @dataclass(frozen=True)
 class Chunks:
-    rows: DataFrame  # chunk, doc_id, text
+    rows: DataFrame  # chunk, doc_id, text and what else was asked for
     ranges: int
     name: str
 
@@ -42,25 +42,26 @@ class Chunks:
         self.rows.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def in_chunks(docs: DataFrame, id_col: str, text_col: str) -> Chunks:
-    """Writes (chunk, doc_id, text) bucketed by chunk to the warehouse."""
+def in_chunks(docs: DataFrame, id_col: str, text_col: str, more: tuple[F.Column, ...] = (), chunk_bytes: int = CHUNK_BYTES) -> Chunks:
+    """Writes (chunk, doc_id, text, …) bucketed by chunk to the warehouse; ``more`` are named text columns to keep."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    names = ["chunk", *rows.columns]
 
     def number(batches):
         chunk, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for part in slices(batch, "text", CHUNK_BYTES):
+            for part in slices(batch, "text", chunk_bytes):
                 size = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
-                if held and held + size > CHUNK_BYTES:
+                if held and held + size > chunk_bytes:
                     chunk, held = chunk + 1, 0
                 held += size
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), chunk)), *part.columns], names=["chunk", "doc_id", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), chunk)), *part.columns], names=names)
 
     name = f"llm_chunks_{uuid.uuid4().hex}"
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * total // CHUNK_BYTES)
-    chunks = rows.mapInArrow(number, "chunk long, doc_id long, text string")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * total // chunk_bytes)
+    chunks = rows.mapInArrow(number, "chunk long, " + ", ".join(f"{n} {kind}" for n, kind in rows.dtypes))
     chunks.write.option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name)
     return Chunks(spark.table(name), max(8, total // RANGE_BYTES), name)
 

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adweave.llm import decontamination, language_id, lm_scoring, ngram_join, packing, periodic_runs, pii, secret_scan, substring_dedup, token_files, toxicity, vector_neardup
+from adweave.llm import collocations, decontamination, language_id, lm_scoring, ngram_join, packing, periodic_runs, pii, secret_scan, substring_dedup, token_files, toxicity, vector_neardup
 from adweave.llm.common import fold_of, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -66,6 +66,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_index(spark, path)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, most=2_000)
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs, folds=5, held_fold=0)
@@ -83,7 +87,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files, "op12_language_id": op12_language_id, "op13_periodic_runs": op13_periodic_runs, "pipeline": corpus_pipeline.run}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_decontamination": op2_decontamination, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_packing": op5_packing, "op6_lm_scoring": op6_lm_scoring, "op7_vector_neardup": op7_vector_neardup, "op8_ngram_join": op8_ngram_join, "op9_pii": op9_pii, "op10_token_files": op10_token_files, "op11_collocations": op11_collocations, "op12_language_id": op12_language_id, "op13_periodic_runs": op13_periodic_runs, "pipeline": corpus_pipeline.run}
 _WORDS = r"[^\x20\x09-\x0D]+"
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -115,6 +119,18 @@ ORACLE: dict[str, str] = {
   reach AS (SELECT doc_id AS n, doc_id AS r FROM documents UNION SELECT l.j, reach.r FROM reach JOIN links l ON l.i = reach.n),
   low AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n)
   SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id FROM d JOIN low ON low.n = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id""",
+    "op11_collocations": rf"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_AZ}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+  w AS MATERIALIZED (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+  grams AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM w, range(1, 4) t(m) WHERE len(w) >= m),
+  f AS MATERIALIZED (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10),
+  cuts AS (SELECT lang, m, phrase, w, a, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+  priced AS (SELECT c.lang, c.m, c.phrase, c.a, k, l.a AS l, r.a AS r, CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.a AS HUGEINT) * r.a) AS score FROM cuts c
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+  lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM priced) WHERE o = 1),
+  covers AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM f WHERE m = 3) GROUP BY ALL),
+  n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+  ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM lowest LEFT JOIN covers USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+  SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_periodic_runs": rf"""WITH h AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w, {_CRC.format("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
   g AS (SELECT r, doc_id, w, len(w) AS n, h, h // 10 AS g FROM h),
   p AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM g),
