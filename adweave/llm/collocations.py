@@ -65,7 +65,7 @@ def _numbered(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 class _Grams:
     """The words and pairs of a chunk, numbered by (language, word) and by pair."""
 
-    def __init__(self, rows: pa.Table):
+    def __init__(self, rows: pa.Table, sample: float = 0.0):
         texts = pc.fill_null(rows["text"].combine_chunks().cast(pa.large_string()), "")
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
         ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -95,7 +95,7 @@ class _Grams:
         self.langs = langs.dictionary.take(pa.array(distinct // vocabulary))
         self.words = coded.dictionary.take(pa.array(distinct % vocabulary))
         self.n_words = len(distinct)
-        sampled = C.mixed(pc.fill_null(rows["doc_id"], -1).to_numpy().astype(np.uint64) + _PAIR) < np.uint64(int(SAMPLE * 2**64))
+        sampled = C.mixed(pc.fill_null(rows["doc_id"], -1).to_numpy().astype(np.uint64) + _PAIR) < np.uint64(int(min(sample, 1 - 2**-50) * 2**64))
         self.sampled = sampled[owner]
         at = np.flatnonzero(self.joined)
         pairs, number = np.unique(self.word[at] * self.n_words + self.word[at + 1], return_inverse=True)
@@ -196,9 +196,10 @@ def _known_lists(frequent: DataFrame, ranges: int) -> DataFrame:
     return rows.groupBy("range").applyInArrow(listed, _LISTS)
 
 
-def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10) -> DataFrame:
+def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10, sample: float = SAMPLE, lowered: float = LOWERED) -> DataFrame:
     """(lang, phrase, size, n, turn) of all phrases of 1 to 3 words with ``least`` occurrences or more in their language.
 
+    ``sample`` is the share of the documents that proposes, ``lowered`` the part of the expected count that suffices there.
     ``turn`` is the pass that counted the phrase. A row of size 0 with a null phrase has the number of words of the
     language. A phrase lies within a piece: texts (A-Z folded) are cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those
     into words ``[^\\x20\\x09]+``; occurrences overlap. Null languages are ``und``. The counts do not depend on the
@@ -206,10 +207,10 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang")
     chunks = C.in_chunks(docs, id_col, text_col, more=(lang,), chunk_bytes=CHUNK_BYTES)
-    ranges, threshold = chunks.ranges, max(1, round(LOWERED * SAMPLE * least))
+    ranges, threshold = chunks.ranges, max(1, round(lowered * sample * least))
 
     def ask(rows: pa.Table) -> pa.Table:
-        return _Grams(C.in_order(rows)).lists(rows["chunk"][0].as_py(), ranges)
+        return _Grams(C.in_order(rows), sample).lists(rows["chunk"][0].as_py(), ranges)
 
     lists = saved(chunks.rows.groupBy("chunk").applyInArrow(ask, _LISTS), "lists")
     frequent = None
@@ -254,7 +255,7 @@ def scored(frequent: DataFrame, inside_percent: int = 50) -> DataFrame:
     return kept.join(totals, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
-def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10, most: int = 2_000) -> DataFrame:
+def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10, most: int = 2_000, sample: float = SAMPLE, lowered: float = LOWERED) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``most`` phrases of 2 or 3 words.
 
     They come by score, then ``a``, both descending, then the phrase in byte order. ``a``, ``l`` and ``r`` are the
@@ -263,6 +264,6 @@ def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table, gives no rows.
     """
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    found = scored(frequent_phrases(docs, id_col, text_col, lang_col, least))
+    found = scored(frequent_phrases(docs, id_col, text_col, lang_col, least, sample, lowered))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
     return ranked.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

@@ -192,7 +192,7 @@ def _of_slice(ids: pa.Array, texts: pa.Array, times: int, least: int) -> pa.Reco
     return pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offsets)), lists, collapsed.cast(pa.string())], names=["doc_id", "n_words", "runs", "collapsed_text"])
 
 
-def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", times: int = 4, least: int = 6) -> DataFrame:
+def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", times: int = 4, least: int = 6, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, n_words, runs, collapsed_text) for every row of ``docs``, repeated rows and ids too.
 
     A run (start, length, period), in words ``[^\\x20\\x09-\\x0D]+`` numbered from 0, is a stretch of ``least`` words and
@@ -200,14 +200,14 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     period. ``collapsed_text`` has the words that no run holds after its first period, joined by one space. Null, empty
     and blank texts have no words, no runs and an empty ``collapsed_text``; a null id stays null; other columns are not
     read; an empty table gives no rows. Rows are worked on where they are read, without a shuffle. A task holds about
-    500 bytes for each word of a slice of 2 MB, or of a longer document.
+    500 bytes for each word of ``slice_bytes`` of text, or of a longer document.
     """
     if times < 2:
         raise ValueError("a run has two periods at least")
 
     def work(batches):
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
+            for part in slices(batch, "text", slice_bytes):
                 yield _of_slice(part.column(0), part.column(1), times, least)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

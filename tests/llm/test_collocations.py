@@ -55,19 +55,16 @@ def frame(spark, rows: list[tuple]):
 
 @pytest.mark.parametrize(("sample", "lowered", "chunk_bytes"), [(0.25, 0.8, 900), (0.02, 0.8, 6 << 20), (0.6, 0.1, 4_000)])
 def test_collocations(spark, monkeypatch, sample, lowered, chunk_bytes):
-    monkeypatch.setattr(collocations, "SAMPLE", sample)
-    monkeypatch.setattr(collocations, "LOWERED", lowered)
     monkeypatch.setattr(collocations, "CHUNK_BYTES", chunk_bytes)
     rows = texts(1)
-    got = collocations.collocations(frame(spark, rows), least=5, most=15).collect()
+    got = collocations.collocations(frame(spark, rows), least=5, most=15, sample=sample, lowered=lowered).collect()
     assert cases.ordered(got) == cases.ordered(plain(rows, 5, 15))
     assert {r["lang"] for r in got} == {"en", "fr", "und"}
 
 
-def test_every_frequent_phrase_is_counted_once_and_wholly(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "SAMPLE", 1e-12)  # proposes nothing, so passes go on to the end
+def test_every_frequent_phrase_is_counted_once_and_wholly(spark):
     rows = texts(2)
-    got = collocations.frequent_phrases(frame(spark, rows), least=4).collect()
+    got = collocations.frequent_phrases(frame(spark, rows), least=4, sample=0.0).collect()  # nothing is proposed
     want = plain_counts(rows)
     assert cases.ordered((r["lang"], r["phrase"], r["n"]) for r in got if r["size"]) == cases.ordered((x, " ".join(p), c) for (x, p), c in want.items() if c >= 4)
     assert {r["turn"] for r in got} == {1, 2, 3}
@@ -78,10 +75,8 @@ def test_every_frequent_phrase_is_counted_once_and_wholly(spark, monkeypatch):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_chunks")]
 
 
-def test_everything_proposed_needs_one_pass(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "SAMPLE", 0.9999)
-    monkeypatch.setattr(collocations, "LOWERED", 0.05)
-    got = collocations.frequent_phrases(frame(spark, texts(3)), least=4).collect()
+def test_everything_proposed_needs_one_pass(spark):
+    got = collocations.frequent_phrases(frame(spark, texts(3)), least=4, sample=1.0, lowered=0.05).collect()
     assert {r["turn"] for r in got} == {1}
 
 

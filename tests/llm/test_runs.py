@@ -86,14 +86,13 @@ def test_common_prefixes_and_order():
 
 
 @pytest.mark.parametrize("slice_bytes", [300, 2 << 20])
-def test_find_runs(spark, slice_bytes, monkeypatch):
-    monkeypatch.setattr(periodic_runs, "SLICE_BYTES", slice_bytes)
+def test_find_runs(spark, slice_bytes):
     rows = cases.odd_texts()
     rng = random.Random(9)
     for k in range(30):
         block = cases.prose(k, rng.randrange(1, 9), 6)
         rows.append((50 + k // 2, f"{cases.prose(90 + k, 7)} {' '.join([block] * rng.randrange(3, 9))}\n{cases.prose(k, 5)}"))
-    got = periodic_runs.find_runs(cases.table(spark, rows)).collect()
+    got = periodic_runs.find_runs(cases.table(spark, rows), slice_bytes=slice_bytes).collect()
     want = []
     for i, text in rows:
         w = cases.words(text)
