@@ -149,13 +149,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Windows:
-    """Hashes of word windows by prefix sums: a window of any length costs one subtraction and one product."""
+    """Hashes of word windows by prefix sums: a window of any length costs one subtraction and one product.
 
-    def __init__(self, words: Words):
+    Only the lanes asked for are built.
+    """
+
+    def __init__(self, words: Words, lanes: int = 2):
         n = len(words.lanes[0])
         self.n = n
         self.sums, self.inverse = [], []
-        for lane in (0, 1):
+        for lane in range(lanes):
             power, inverse = _powers(lane, n + 1)
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(words.lanes[lane] * power[:n], out=sums[1:])

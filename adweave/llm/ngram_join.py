@@ -22,29 +22,32 @@ from pyspark.sql import functions as F
 
 from adweave.llm import chunks as C
 from adweave.llm.common import saved, unused
+from adweave.llm.tokens import slices
 from adweave.operators.components import connected_components
 
 FREQUENT = 16  # document frequency above which shingles are indexed in pairs
 SUBCLASSES = 8
+SLICE_BYTES = 3 << 20  # text of the documents whose words are held at once
 _SMALL_SALT, _PAIR_SALT = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Sets:
-    """The distinct shingle sets of a chunk: entries sorted by document and hash."""
+    """The distinct shingle sets of a chunk: entries sorted by document and hash.
 
-    def __init__(self, rows: pa.Table, size: int, ranges: int):
-        words = C.words_of(rows["text"], lower=True)
-        windows = C.Windows(words)
-        counts = np.diff(words.offsets)
-        self.n_docs = len(counts)
-        place = np.arange(windows.n)
-        owner = np.repeat(np.arange(self.n_docs), counts)
-        starts = np.flatnonzero(place + size <= words.ends)
-        short = np.flatnonzero((counts > 0) & (counts < size))
-        hashes = np.concatenate([windows.at(starts, size), windows.at(words.offsets[short], counts[short])])
-        doc = np.concatenate([owner[starts], short])
-        order, _, first = C.runs(doc, hashes)
-        self.doc, self.hash = doc[order[first]], hashes[order[first]]
+    Words and windows are held for a slice of the chunk's documents at a time, the hashes of the sets for all of them.
+    """
+
+    def __init__(self, rows: pa.Table, size: int):
+        self.n_docs, at, docs, hashes = len(rows), 0, [], []
+        for part in slices(rows, "text", SLICE_BYTES):
+            doc, found = self._of_slice(part["text"], size)
+            docs.append((doc + at).astype(np.int32))
+            hashes.append(found)
+            at += len(part)
+        self.doc = np.concatenate(docs) if docs else np.empty(0, np.int32)
+        self.hash = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        del docs, hashes
+        pa.default_memory_pool().release_unused()
         self.bounds = np.searchsorted(self.doc, np.arange(self.n_docs + 1))
         self.sizes = np.diff(self.bounds)
         lanes = []
@@ -58,14 +61,35 @@ class _Sets:
             if node is not None:
                 seen.setdefault(node, k)
         self.firsts = np.asarray(sorted(seen.values()), np.int64)  # one document of each distinct set
+
+    @staticmethod
+    def _of_slice(texts: pa.ChunkedArray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        words = C.words_of(texts, lower=True)
+        windows = C.Windows(words, lanes=1)
+        counts = np.diff(words.offsets)
+        place = np.arange(windows.n)
+        owner = np.repeat(np.arange(len(counts)), counts)
+        starts = np.flatnonzero(place + size <= words.ends)
+        short = np.flatnonzero((counts > 0) & (counts < size))
+        hashes = np.concatenate([windows.at(starts, size), windows.at(words.offsets[short], counts[short])])
+        doc = np.concatenate([owner[starts], short])
+        order, _, first = C.runs(doc, hashes)
+        return doc[order[first]], hashes[order[first]]
+
+    def ask(self, ranges: int) -> None:
+        """Makes the sorted distinct hashes of the distinct sets, cut at the hash ranges."""
         chosen = np.zeros(self.n_docs, bool)
         chosen[self.firsts] = True
-        self.own = np.flatnonzero(chosen[self.doc]) if len(self.doc) else np.empty(0, np.int64)
+        self.own = chosen[self.doc]
         values = self.hash[self.own] >> np.uint64(16)
-        order, run, begin = C.runs(values)
-        self.run = np.empty(len(order), np.int64)
-        self.run[order] = run
-        self.distinct, self.counts = values[order[begin]], np.diff(np.concatenate([begin, [len(order)]]))
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        new = np.ones(len(values), bool)
+        new[1:] = values[1:] != values[:-1]
+        begin = np.flatnonzero(new)
+        self.run = np.empty(len(order), np.int32)
+        self.run[order] = np.cumsum(new) - 1
+        self.distinct, self.counts = values[begin], np.diff(np.concatenate([begin, [len(order)]]))
         self.range_ids, self.cuts = C.cut_points(self.distinct, 48, ranges)
 
     def lists(self, chunk: int) -> list[dict]:
@@ -78,10 +102,11 @@ class _Sets:
     def signatures(self, found: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, signature) entries and the number of shingles of its own for each document."""
         answer = C.gathered(found, self.cuts, self.range_ids, lambda data, n: np.frombuffer(data, np.uint8), np.uint8)
-        df = answer[self.run].astype(np.int64)
-        doc, hashes = self.doc[self.own], self.hash[self.own]
-        order = np.lexsort((hashes, df, doc))
+        df = answer[self.run]
+        doc, hashes = self.doc[self.own].astype(np.int64), self.hash[self.own]
+        order = np.argsort(doc << 8 | df, kind="stable")  # hashes ascend within a document
         doc, hashes, df = doc[order], hashes[order], df[order]
+        del order, answer
         alone = np.bincount(doc[df == 1], minlength=self.n_docs)
         spare = self.sizes - (self.sizes * percent + 99) // 100
         begin = np.searchsorted(doc, np.arange(self.n_docs))
@@ -154,7 +179,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ranges = chunks.ranges
 
     def ask(rows: pa.Table) -> pa.Table:
-        lists = _Sets(C.in_order(rows), words, ranges).lists(rows["chunk"][0].as_py())
+        sets = _Sets(C.in_order(rows), words)
+        sets.ask(ranges)
+        lists = sets.lists(rows["chunk"][0].as_py())
         return pa.Table.from_pylist(lists, schema=pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("size", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())]))
 
     lists = chunks.rows.groupBy("chunk").applyInArrow(ask, "range int, chunk long, size int, hashes binary, counts binary")
@@ -165,7 +192,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         schema = pa.schema([("is_doc", pa.bool_()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int64()), ("node", pa.binary()), ("sig", pa.int64()), ("alone", pa.int64()), ("chunk", pa.int64())])
         if not len(rows):
             return schema.empty_table()
-        sets = _Sets(rows, words, ranges)
+        sets = _Sets(rows, words)
+        sets.ask(ranges)
         doc, sig, alone = sets.signatures(found, percent)
         n, m = sets.n_docs, len(doc)
         nodes = pa.array(sets.nodes, pa.binary())
@@ -199,12 +227,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         schema = pa.schema([("node", pa.binary()), ("held", pa.list_(pa.int64()))])
         if not len(rows) or not len(wanted):
             return schema.empty_table()
-        sets, names = _Sets(rows, words, ranges), set(wanted["node"].to_pylist())
+        sets, names = _Sets(rows, words), set(wanted["node"].to_pylist())
         at = [k for k in sets.firsts.tolist() if sets.nodes[k] in names]
         lists = [sets.hash[sets.bounds[k] : sets.bounds[k + 1]].view(np.int64) for k in at]
         return pa.table([pa.array([sets.nodes[k] for k in at], pa.binary()), pa.array(lists, pa.list_(pa.int64()))], schema=schema)
 
     sets = saved(C.with_answers(chunks, wanted, take, "node binary, held array<long>"), "sets")
+    chunks.drop()
 
     others = grouped.where(F.col("j") != F.col("i"))
     stars = others.where(_fits("i", "j", percent)).select("i", "j").distinct()
