@@ -99,9 +99,14 @@ def in_order(rows: pa.Table) -> pa.Table:
 @dataclass
 class Words:
     offsets: np.ndarray  # of the documents' first words, and the end
-    lanes: tuple[np.ndarray, np.ndarray]  # 2 x 64 bits for each word
+    table: np.ndarray  # 2 x 64 bits for each distinct word
+    at: np.ndarray  # the row of ``table`` of each word
     flat: pa.Array  # the words
 
+    def lane(self, k: int) -> np.ndarray:
+        """64 bits for each word."""
+        return np.ascontiguousarray(self.table[:, k])[self.at]
+
     @property
     def ends(self) -> np.ndarray:
         """For each word the end of its document."""
@@ -121,10 +126,8 @@ def words_of(texts, lower: bool = False) -> Words:
     offsets = np.concatenate([[0], np.cumsum(full)])[bounds - bounds[0]]
     flat = flat.filter(pa.array(full))
     coded = flat.dictionary_encode()
-    digests = b"".join(xxhash.xxh3_128_digest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist())
-    table = np.frombuffer(digests, "<u8").reshape(-1, 2)
-    at = coded.indices.to_numpy(zero_copy_only=False)
-    return Words(offsets, (table[at, 0], table[at, 1]), flat)
+    digests = b"".join(map(xxhash.xxh3_128_digest, coded.dictionary.cast(pa.large_binary()).to_pylist()))
+    return Words(offsets, np.frombuffer(digests, "<u8").reshape(-1, 2), coded.indices.to_numpy(zero_copy_only=False), flat)
 
 
 def _powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,13 +158,13 @@ class Windows:
     """
 
     def __init__(self, words: Words, lanes: int = 2):
-        n = len(words.lanes[0])
+        n = len(words.at)
         self.n = n
         self.sums, self.inverse = [], []
         for lane in range(lanes):
             power, inverse = _powers(lane, n + 1)
             sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(words.lanes[lane] * power[:n], out=sums[1:])
+            np.cumsum(words.lane(lane) * power[:n], out=sums[1:])
             self.sums.append(sums)
             self.inverse.append(inverse)
 

@@ -78,7 +78,7 @@ class Items:
 
 def prepare(rows: list[tuple], errors: float) -> Items:
     held = plain_words(pa.array([t for _, t in rows], pa.string()))
-    windows = C.Windows(held)
+    windows, first = C.Windows(held), held.lane(0)
     ids, words, budgets = [], [], []
     found: dict[int, list[tuple]] = {}
     for (key, _), a, b in zip(rows, held.offsets[:-1].tolist(), held.offsets[1:].tolist(), strict=True):
@@ -89,9 +89,9 @@ def prepare(rows: list[tuple], errors: float) -> Items:
         cuts = [m * x // (k + 1) for x in range(k + 2)]
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             h = int(windows.at(np.asarray([a + lo]), hi - lo)[0])
-            found.setdefault(hi - lo, []).append((h, len(ids), lo, int(held.lanes[0][a + lo])))
+            found.setdefault(hi - lo, []).append((h, len(ids), lo, int(first[a + lo])))
         ids.append(key)
-        words.append(held.lanes[0][a:b].tolist())
+        words.append(first[a:b].tolist())
         budgets.append(k)
     pieces = {}
     for length, entries in found.items():
@@ -103,12 +103,12 @@ def prepare(rows: list[tuple], errors: float) -> Items:
 
 def _matches(words: C.Words, items: Items):
     """(document, item, distance, start, length) of the best match of each item in each document it is found in."""
-    windows = C.Windows(words)
+    windows, lane = C.Windows(words), words.lane(0)
     ends = words.ends
     regions: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for length, (hashes, owner, offset, firsts) in items.pieces.items():
-        at = np.searchsorted(firsts, words.lanes[0])
-        starts = np.flatnonzero(firsts[np.minimum(at, len(firsts) - 1)] == words.lanes[0])
+        at = np.searchsorted(firsts, lane)
+        starts = np.flatnonzero(firsts[np.minimum(at, len(firsts) - 1)] == lane)
         starts = starts[starts + length <= ends[starts]]
         seen = windows.at(starts, length)
         low, high = np.searchsorted(hashes, seen, "left"), np.searchsorted(hashes, seen, "right")
@@ -133,7 +133,7 @@ def _matches(words: C.Words, items: Items):
         best = None
         for a, b in merged:
             if b - a >= len(pattern) - budget:
-                text = words.lanes[0][a:b].tolist()
+                text = lane[a:b].tolist()
                 hit = myers(pattern, text, budget)
                 if hit and (best is None or hit[0] < best[0]):
                     back = myers(pattern[::-1], text[: hit[1]][::-1], hit[0])

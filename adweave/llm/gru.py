@@ -7,7 +7,8 @@ from dataclasses import dataclass
 import numpy as np
 
 HIDDEN, EMBED = 16, 16
-WINDOW = 32  # steps of one truncated backpropagation, and of one scoring window
+WINDOW = 32  # steps of one truncated backpropagation
+TOGETHER = 1 << 15  # states that are scored together
 
 
 @dataclass
@@ -46,44 +47,149 @@ def new_net(counts: np.ndarray, others: int, seed: int = 7) -> Net:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """Of ``x``, in its place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def step(gate: np.ndarray, h: np.ndarray, recur: np.ndarray) -> tuple:
     """One step of the unit: (new state, update gate, reset gate, candidate)."""
     k = h.shape[1]
-    inner = h @ recur[:, : 2 * k]
-    both = _sigmoid(gate[:, : 2 * k] + inner)
+    both = h @ recur[:, : 2 * k]
+    both += gate[:, : 2 * k]
+    both = _sigmoid(both)
     z, r = both[:, :k], both[:, k:]
-    c = np.tanh(gate[:, 2 * k :] + (r * h) @ recur[:, 2 * k :])
+    c = (r * h) @ recur[:, 2 * k :]
+    c += gate[:, 2 * k :]
+    c = np.tanh(c, out=c)
     return h + z * (c - h), z, r, c
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exponents(logits: np.ndarray) -> np.ndarray | float:
+    """Replaces logits by their exponentials, less what is returned: 0, or each row's largest where one is large."""
+    top = 0.0
+    if logits.size and logits.max() > 60:
+        top = logits.max(axis=1)
+        logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return top
 
 
-def _by_class(ids: np.ndarray, net: Net):
-    """(class, positions) of the ids, without other words."""
-    owner = np.minimum(ids // net.per_class, net.classes)
-    owner[ids == net.n] = net.classes
-    order = np.argsort(owner, kind="stable")
-    edges = np.searchsorted(owner[order], np.arange(net.classes + 1))
-    return owner, [(c, order[edges[c] : edges[c + 1]]) for c in range(net.classes) if edges[c + 1] > edges[c]]
+class _Targets:
+    """Ids in the order of their classes, so that the ids of a class are a slice."""
+
+    def __init__(self, ids: np.ndarray, net: Net):
+        owner = np.minimum(ids // net.per_class, net.classes)
+        owner[ids == net.n] = net.classes
+        self.order = np.argsort(owner.astype(np.int32), kind="stable")
+        self.owner, ids = owner[self.order], ids[self.order]
+        self.within = ids - self.owner * net.per_class
+        edges = np.searchsorted(self.owner, np.arange(net.classes + 1)).tolist()
+        self.groups = [(c, a, b) for c, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        self.rows = np.arange(len(ids))
 
 
 def log_probs(net: Net, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of each id given its state; for another word that of being one."""
-    w = net.weights
-    owner, groups = _by_class(ids, net)
-    out = log_softmax(states @ w["to_class"] + w["class_bias"])[np.arange(len(ids)), owner].astype(np.float64)
-    for c, at in groups:
-        logits = log_softmax(states[at] @ w["to_word"][c] + w["word_bias"][c])
-        out[at] += logits[np.arange(len(at)), ids[at] - c * net.per_class]
+    w, t = net.weights, _Targets(ids, net)
+    states = states[t.order]
+
+    def chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+        value = logits[t.rows[: len(at)], at]
+        top = _exponents(logits)
+        return value - top - np.log(logits.sum(axis=1))
+
+    logits = states @ w["to_class"]
+    logits += w["class_bias"]
+    found = chosen(logits, t.owner).astype(np.float64)
+    for c, a, b in t.groups:
+        logits = states[a:b] @ w["to_word"][c]
+        logits += w["word_bias"][c]
+        found[a:b] += chosen(logits, t.within[a:b])
+    out = np.empty(len(ids))
+    out[t.order] = found
     return out
 
 
+def gradients(net: Net, given: np.ndarray, wanted: np.ndarray, real: np.ndarray, h: np.ndarray, end: int) -> tuple[dict, dict, np.ndarray]:
+    """(gradients, their rows, last state) of the mean negative log probability of one window.
+
+    ``given`` and ``wanted`` are ids by step and lane, ``real`` says which of the wanted count, ``h`` is the state before.
+    Gradients of words and classes have only the rows that the window meets, named in the second result.
+    """
+    w, k = net.weights, h.shape[1]
+    steps, batch = given.shape
+    kind = h.dtype
+    met_words, place = np.unique(given, return_inverse=True)
+    gates = (w["embed"][met_words] @ w["inward"] + w["bias"])[place.reshape(given.shape)]
+    alive = (given != end)[:, :, None].astype(kind)
+    old, new, z, r, c = (np.empty((steps, batch, k), kind) for _ in range(5))
+    for t in range(steps):
+        old[t] = h * alive[t]
+        h, z[t], r[t], c[t] = step(gates[t], old[t], w["recur"])
+        new[t] = h
+
+    counted = np.flatnonzero(real.ravel())
+    targets = _Targets(wanted.ravel()[counted], net)
+    at = counted[targets.order]
+    states, size = new.reshape(-1, k)[at], kind.type(max(len(at), 1))
+    grads: dict = {}
+    d = states @ w["to_class"]
+    d += w["class_bias"]
+    _exponents(d)
+    d /= d.sum(axis=1, keepdims=True)
+    d[targets.rows, targets.owner] -= 1
+    grads["to_class"], grads["class_bias"] = states.T @ d, d.sum(axis=0)
+    inner = d @ w["to_class"].T
+    met = np.asarray([c for c, _, _ in targets.groups], np.int64)
+    grads["to_word"] = np.empty((len(met), *w["to_word"].shape[1:]), kind)
+    grads["word_bias"] = np.empty((len(met), w["word_bias"].shape[1]), kind)
+    for i, (group, a, b) in enumerate(targets.groups):
+        here = states[a:b]
+        d = here @ w["to_word"][group]
+        d += w["word_bias"][group]
+        _exponents(d)
+        d /= d.sum(axis=1, keepdims=True)
+        d[targets.rows[: b - a], targets.within[a:b]] -= 1
+        np.matmul(here.T, d, out=grads["to_word"][i])
+        np.sum(d, axis=0, out=grads["word_bias"][i])
+        inner[a:b] += d @ w["to_word"][group].T
+
+    back = np.zeros((steps * batch, k), kind)
+    back[at] = inner
+    back = back.reshape(steps, batch, k)
+    of_c, of_z, of_r, stay = z * (1 - c * c), (c - old) * z * (1 - z), old * r * (1 - r), 1 - z
+    turned, both_turned = w["recur"][:, 2 * k :].T.copy(), w["recur"][:, : 2 * k].T.copy()
+    gate_grad = np.empty((steps, batch, 3 * k), kind)
+    carry = np.zeros((batch, k), kind)
+    for t in range(steps - 1, -1, -1):
+        dh = back[t] + carry
+        g = gate_grad[t]
+        dc = np.multiply(dh, of_c[t], out=g[:, 2 * k :])
+        np.multiply(dh, of_z[t], out=g[:, :k])
+        drh = dc @ turned
+        np.multiply(drh, of_r[t], out=g[:, k : 2 * k])
+        dh *= stay[t]
+        drh *= r[t]
+        dh += drh
+        dh += g[:, : 2 * k] @ both_turned
+        carry = np.multiply(dh, alive[t], out=dh)
+    flat = gate_grad.reshape(-1, 3 * k)
+    grads["recur"] = np.concatenate([old.reshape(-1, k).T @ flat[:, : 2 * k], (r * old).reshape(-1, k).T @ flat[:, 2 * k :]], axis=1)
+    grads["bias"] = flat.sum(axis=0)
+    order = np.argsort(place.ravel(), kind="stable")
+    first = np.searchsorted(place.ravel()[order], np.arange(len(met_words)))
+    by_word = np.add.reduceat(flat[order], first)
+    grads["inward"] = w["embed"][met_words].T @ by_word
+    grads["embed"] = by_word @ w["inward"].T
+    for g in grads.values():
+        g /= size
+    everything = slice(None) if len(met) == net.classes else met
+    return grads, {"embed": met_words, "to_word": everything, "word_bias": everything}, h
+
+
 def train(net: Net, stream: np.ndarray, end: int, updates: int = 1_500, batch: int = 64, rate: float = 0.01, last: float = 1e-4) -> None:
     """Fits ``net`` in place to a stream of documents, each closed by ``end``. The state is carried from window to window and starts anew after an end.
 
@@ -101,76 +207,32 @@ def train(net: Net, stream: np.ndarray, end: int, updates: int = 1_500, batch: i
     updates = min(updates, 20 * -(-length // WINDOW))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
     h, at = np.zeros((batch, HIDDEN), np.float32), 0
-    k = HIDDEN
     for turn in range(updates):
         if at >= length:
             at, h = 0, np.zeros_like(h)
-        given, wanted, counted = before[at : at + WINDOW], tokens[at : at + WINDOW], real[at : at + WINDOW].ravel()
+        grads, rows, h = gradients(net, before[at : at + WINDOW], tokens[at : at + WINDOW], real[at : at + WINDOW], h, end)
         at += WINDOW
-        gate_table = net.gates()
-        trace, states = [], []
-        for t in range(len(given)):
-            h = h * (given[t] != end)[:, None].astype(np.float32)
-            new, z, r, c = step(gate_table[given[t]], h, w["recur"])
-            trace.append((h, z, r, c))
-            states.append(new)
-            h = new
-        flat, ids = np.concatenate(states)[counted], wanted.ravel()[counted]
-        size = np.float32(len(ids))
-        owner, groups = _by_class(ids, net)
-        met = np.asarray([c for c, _ in groups], np.int64)
-        grads = {name: np.zeros_like(w[name]) for name in ("recur",)}
-        grads["to_word"] = np.empty((len(met), *w["to_word"].shape[1:]), np.float32)
-        grads["word_bias"] = np.empty((len(met), w["word_bias"].shape[1]), np.float32)
-        d = np.exp(log_softmax(flat @ w["to_class"] + w["class_bias"]))
-        d[np.arange(len(ids)), owner] -= 1
-        d /= size
-        grads["to_class"], grads["class_bias"] = flat.T @ d, d.sum(axis=0)
-        inner = d @ w["to_class"].T
-        for i, (c, rows) in enumerate(groups):
-            d = np.exp(log_softmax(flat[rows] @ w["to_word"][c] + w["word_bias"][c]))
-            d[np.arange(len(rows)), ids[rows] - c * net.per_class] -= 1
-            d /= size
-            grads["to_word"][i], grads["word_bias"][i] = flat[rows].T @ d, d.sum(axis=0)
-            inner[rows] += d @ w["to_word"][c].T
-        back = np.zeros((len(counted), k), np.float32)
-        back[counted] = inner
-        back = back.reshape(len(given), batch, k)
-        carry = np.zeros((batch, k), np.float32)
-        gate_grad = np.zeros((len(given), batch, 3 * k), np.float32)
-        for t in range(len(given) - 1, -1, -1):
-            old, z, r, c = trace[t]
-            dh = back[t] + carry
-            dc = dh * z * (1 - c * c)
-            dz = dh * (c - old) * z * (1 - z)
-            drh = dc @ w["recur"][:, 2 * k :].T
-            dr = drh * old * r * (1 - r)
-            both = np.concatenate([dz, dr], axis=1)
-            carry = dh * (1 - z) + drh * r + both @ w["recur"][:, : 2 * k].T
-            carry *= (given[t] != end)[:, None]
-            grads["recur"][:, : 2 * k] += old.T @ both
-            grads["recur"][:, 2 * k :] += (r * old).T @ dc
-            gate_grad[t] = np.concatenate([both, dc], axis=1)
-        flat_grad, used = gate_grad.reshape(-1, 3 * k), given.ravel()
-        grads["bias"] = flat_grad.sum(axis=0)
-        grads["inward"] = w["embed"][used].T @ flat_grad
-        order = np.argsort(used, kind="stable")
-        first = np.flatnonzero(np.diff(used[order], prepend=-1))
-        words = used[order][first]
-        grads["embed"] = np.add.reduceat(flat_grad[order], first) @ w["inward"].T
-        places = {"embed": words, "to_word": met, "word_bias": met}
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        scale = min(1.0, 1.0 / (norm + 1e-9))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
+        scale = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
         pace = last + (rate - last) * (1 - turn / updates)
-        fix = np.sqrt(1 - 0.99 ** (turn + 1)) / (1 - 0.9 ** (turn + 1))
+        pace = np.float32(pace * np.sqrt(1 - 0.99 ** (turn + 1)) / (1 - 0.9 ** (turn + 1)))
         for name, g in grads.items():
-            g = g * np.float32(scale)
-            part = places.get(name, slice(None))
-            m, v = (x[part] for x in moments[name])
-            m = m + np.float32(0.1) * (g - m)
-            v = v + np.float32(0.01) * (g * g - v)
-            moments[name][0][part], moments[name][1][part] = m, v
-            w[name][part] -= np.float32(pace * fix) * m / (np.sqrt(v) + np.float32(1e-6))
+            part = rows.get(name, slice(None))
+            m, v = (x[part] for x in moments[name])  # views, or copies of the rows met
+            g *= scale
+            m *= np.float32(0.9)
+            v *= np.float32(0.99)
+            m += np.float32(0.1) * g
+            g *= g
+            g *= np.float32(0.01)
+            v += g
+            if not isinstance(part, slice):
+                moments[name][0][part], moments[name][1][part] = m, v
+            np.sqrt(v, out=g)
+            g += np.float32(1e-6)
+            np.divide(m, g, out=g)
+            g *= pace
+            w[name][part] -= g
 
 
 class Mean:
@@ -215,7 +277,7 @@ class Mean:
 def score(net: Net, sequences: list[np.ndarray], end: int) -> np.ndarray:
     """Natural log probability of each whole sequence (others only as being other words).
 
-    Sequences run side by side, the longest first; windows end where memory asks for it and the state goes on.
+    Sequences run side by side, the longest first; the states of some steps are scored together, and the state goes on.
     """
     sizes = np.asarray([len(s) for s in sequences])
     order = np.argsort(-sizes, kind="stable")
@@ -228,16 +290,16 @@ def score(net: Net, sequences: list[np.ndarray], end: int) -> np.ndarray:
     h = np.zeros((len(order), HIDDEN), np.float32)
     gate_table, recur = net.gates(), net.weights["recur"]
     given = np.full(len(order), end)
-    for start in range(0, int(ordered[0]), WINDOW):
-        states, ids, owner = [], [], []
-        for t in range(start, min(start + WINDOW, int(ordered[0]))):
-            live = int(np.searchsorted(-ordered, -t, side="left"))
-            h = step(gate_table[given[:live]], h[:live], recur)[0]
-            given = flat[begin[:live] + t]
-            states.append(h)
-            ids.append(given)
-            owner.append(np.arange(live))
-        found = log_probs(net, np.concatenate(states), np.concatenate(ids))
-        owner = np.concatenate(owner)
-        total[order[: len(states[0])]] += np.bincount(owner, found, minlength=len(states[0]))
+    live_at = np.searchsorted(-ordered, -np.arange(int(ordered[0])), side="left").tolist()
+    states, ids, owner, held = [], [], [], 0
+    for t, live in enumerate(live_at):
+        h = step(gate_table[given[:live]], h[:live], recur)[0]
+        given = flat[begin[:live] + t]
+        states.append(h)
+        ids.append(given)
+        owner.append(order[:live])
+        held += live
+        if held >= TOGETHER or t + 1 == len(live_at):
+            total += np.bincount(np.concatenate(owner), log_probs(net, np.concatenate(states), np.concatenate(ids)), minlength=len(total))
+            states, ids, owner, held = [], [], [], 0
     return total

@@ -8,6 +8,8 @@ corpus counts. So the scores are those of one distribution over all words, compa
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,7 +20,7 @@ from adweave.llm import gru
 from adweave.llm.common import fold_of, saved
 
 VOCABULARY = 4_096  # words of the net at least, if there are so many
-OFTEN = 1_000  # occurrences from which a word is in the net, however many words there are
+PASSES = 1  # times that every training token is learned from
 ROUNDS = 8  # pieces of a chunk, and times that the copies are averaged
 SLICE = 1 << 18  # weights that are summed together
 LOG10 = float(np.log(10))
@@ -29,11 +31,8 @@ class _Counts:
 
     def __init__(self, rows: pa.Table, ranges: int):
         self.words = C.words_of(rows["text"], lower=True)
-        values = self.words.lanes[0]
-        order, run, begin = C.runs(values)
-        self.run = np.empty(len(order), np.int64)
-        self.run[order] = run
-        self.distinct = values[order[begin]]
+        self.distinct, number = np.unique(self.words.table[:, 0], return_inverse=True)
+        self.run = number[self.words.at]
         self.range_ids, self.cuts = C.cut_points(self.distinct, 64, ranges)
 
     def lists(self, chunk: int, trained: np.ndarray) -> list[dict]:
@@ -45,8 +44,8 @@ class _Counts:
         ]
 
 
-def _merge(table: pa.Table, least: int, often: int):
-    """The corpus count of every entry; the range's sums and frequent words (``least`` of them, and all with ``often``) stand in its first row."""
+def _merge(table: pa.Table, most: int):
+    """The corpus count of every entry; the range's sums and its ``most`` most frequent words stand in its first row."""
     rows = table.select(["size", "hashes", "counts"]).to_pylist()
     values = np.concatenate([C.decoded(r["hashes"], 8) for r in rows])
     counts = np.concatenate([C.from_planes(r["counts"], 4) for r in rows])
@@ -55,7 +54,7 @@ def _merge(table: pa.Table, least: int, often: int):
     answer = np.empty(len(values), np.uint64)
     answer[order] = total[run]
     ends = np.cumsum([r["size"] for r in rows]).tolist()
-    top = np.argsort(-total.astype(np.int64), kind="stable")[: max(least, int((total >= often).sum()))]
+    top = np.argsort(-total.astype(np.int64), kind="stable")[:most]
     top = top[total[top] > 0]
     names = values[order[starts]].view(np.int64)
     listed = [{"hash": int(names[k]), "count": int(total[k])} for k in top]
@@ -85,7 +84,7 @@ def _learn(net: gru.Net, chunks: C.Chunks, numbered, end: int, folds: int, held_
         rows = C.in_order(rows)
         use = _trained(rows["doc_id"], folds, held_fold)
         words = C.words_of(rows["text"].filter(pa.array(use)), lower=True)
-        stream = np.insert(numbered(words.lanes[0]), words.offsets[1:], end)
+        stream = np.insert(numbered(words.table[:, 0])[words.at], words.offsets[1:], end)
         return pa.table({k: pa.array([C.planes(x, 4)], pa.binary()) for k, x in zip(names, np.array_split(stream, ROUNDS), strict=True)})
 
     pieces = saved(chunks.rows.groupBy("chunk").applyInArrow(encode, ", ".join(f"{k} binary" for k in names)), "pieces")
@@ -114,15 +113,15 @@ def _learn(net: gru.Net, chunks: C.Chunks, numbered, end: int, folds: int, held_
 
 
 def score_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, vocabulary: int = VOCABULARY, updates: int = 1_500, often: int = OFTEN,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, vocabulary: int = VOCABULARY, passes: int = PASSES,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, scores as log10 probabilities.
 
     Tokens are the words after folding A-Z, then one end. A null or empty text is the end alone. Rows with equal ids
     are scored each; other columns are not read; an empty table gives no rows. Without training documents every count
-    is 0. Only documents outside the held-out fold are counted or learned from, and all of them are. The net's words are
-    all that occur ``often`` times, filled up to ``vocabulary`` with the most frequent of the others. It sees each training
-    token once; fewer tokens than ``updates`` windows of 64 lanes are seen again, up to 20 times.
+    is 0. Only documents outside the held-out fold are counted or learned from, and all of them are, ``passes`` times. The
+    net's words are all that make up more than 1 / sqrt(training tokens) of them, so the net grows slower than the corpus, and
+    at least the ``vocabulary`` most frequent (ties by hash).
     """
     chunks = C.in_chunks(docs, id_col, text_col)
     ranges = chunks.ranges
@@ -135,12 +134,13 @@ def score_documents(
 
     lists = chunks.rows.groupBy("chunk").applyInArrow(ask, "range int, chunk long, size int, hashes binary, counts binary")
     more = ", tokens long, kinds long, top array<struct<hash: long, count: long>>"
-    answers = C.answered(lists, lambda t: _merge(t, vocabulary, often), "counts", more)
+    answers = C.answered(lists, lambda t: _merge(t, max(vocabulary, VOCABULARY)), "counts", more)
     sums = answers.agg(F.sum("tokens"), F.sum("kinds")).first()
     ends = outside.count()
     tokens, kinds = (sums[0] or 0) + ends, (sums[1] or 0) + (ends > 0)
     listed = answers.select(F.explode("top").alias("t")).select("t.hash", "t.count")
-    top = listed.where(F.col("count") >= often).collect()
+    # a range has some 650,000 tokens, so far fewer words above the root of all than it lists
+    top = listed.where(F.col("count") >= math.isqrt(tokens)).collect()
     if len(top) < vocabulary - 1:
         top = listed.orderBy(F.desc("count"), "hash").limit(vocabulary - 1).collect()
     # the end is a word of the vocabulary; its hash is none of the others'
@@ -161,7 +161,7 @@ def score_documents(
         return np.where(hashes[at] == values, places[at], n)
 
     net = gru.new_net(counts, others)
-    _learn(net, chunks, numbered, end, folds, held_fold, min(20, -(-updates * 64 * gru.WINDOW // max(tokens, 1))) or 1)
+    _learn(net, chunks, numbered, end, folds, held_fold, passes)
 
     scale = tokens + 0.5 * (kinds + 1)
     other_scale = others + 0.5 * (kinds - int((counts > 0).sum())) + 0.5
@@ -184,4 +184,6 @@ def score_documents(
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return C.with_answers(chunks, answers.select("chunk", "range", "answer"), judge, schema)
+    scores = saved(C.with_answers(chunks, answers.select("chunk", "range", "answer"), judge, schema), "scores")
+    chunks.drop()
+    return scores

@@ -137,7 +137,7 @@ def test_held_out_labels_do_not_matter(spark):
 
 def test_lm_scoring(spark):
     rows = [*cases.odd_texts(), *((300 + k, cases.prose(k % 5, 40)) for k in range(40))]
-    got = lm_scoring.score_documents(cases.table(spark, rows), vocabulary=100, updates=200).collect()
+    got = lm_scoring.score_documents(cases.table(spark, rows), vocabulary=100, passes=12).collect()
     tokens = [[*cases.words(cases.lower(t)), None] for _, t in rows]
     trained = [zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1 for i, _ in rows]
     counts = Counter(w for t, use in zip(tokens, trained, strict=True) if use for w in t)
@@ -157,7 +157,7 @@ def test_lm_learns_from_every_training_document(spark):
     ids = [r[0] for r in spark.range(2_200).orderBy(F.xxhash64("id"), "id").collect()]
     late = set([i for i in ids if zlib.crc32(str(i).encode()) % 5 != 1][1_500:])
     rows = [(i, " ".join(["uno", "dos", "tres"] * 30) if i in late else cases.prose(i, 20)) for i in ids]
-    got = lm_scoring.score_documents(cases.table(spark, rows), vocabulary=50).where(F.col("doc_id").isin(*late)).collect()
+    got = lm_scoring.score_documents(cases.table(spark, rows), vocabulary=50, passes=10).where(F.col("doc_id").isin(*late)).collect()
     assert len(got) == len(late) > 100 and all(r["score"] > 0.5 * r["base_score"] for r in got)
 
 
@@ -169,7 +169,7 @@ def test_words_of_the_net_follow_their_counts(spark):
     held = gru.new_net
     try:
         gru.new_net = lambda counts, others: sizes.append(len(counts)) or held(counts, others)
-        lm_scoring.score_documents(cases.table(spark, rows), vocabulary=2, often=20, updates=10)
+        lm_scoring.score_documents(cases.table(spark, rows), vocabulary=2)
     finally:
         gru.new_net = held
     assert sizes == [5]  # four words and the end
@@ -197,6 +197,39 @@ def test_net_is_a_distribution_and_carries_its_state():
         assert abs(want - found) < 1e-3
 
 
+def test_gradients_are_the_slopes_of_the_loss():
+    from adweave.llm import gru
+
+    rng = np.random.default_rng(2)
+    net = gru.new_net(rng.integers(1, 40, 11).astype(float), 5)
+    for name, x in net.weights.items():
+        net.weights[name] = np.where(x < -1e8, x, x + rng.standard_normal(x.shape) * 0.3).astype(np.float64)
+    given, wanted = rng.integers(0, 12, (7, 5)), rng.integers(0, 12, (7, 5))
+    real, h = rng.random((7, 5)) < 0.8, rng.standard_normal((5, gru.HIDDEN)) * 0.5
+
+    def loss() -> float:
+        state, total, gates = h, 0.0, net.gates()
+        for t in range(7):
+            state = gru.step(gates[given[t]], state * (given[t] != 3)[:, None], net.weights["recur"])[0]
+            total -= gru.log_probs(net, state, wanted[t])[real[t]].sum()
+        return total / real.sum()
+
+    grads, rows, last = gru.gradients(net, given, wanted, real, h, 3)
+    assert last.shape == h.shape
+    for name, x in net.weights.items():
+        whole = np.zeros_like(x)
+        whole[rows.get(name, slice(None))] = grads[name]
+        for place in rng.permutation(x.size)[:25]:
+            at, kept = np.unravel_index(place, x.shape), x.ravel()[place]
+            if kept < -1e8:
+                continue
+            x[at] = kept + 1e-5
+            up = loss()
+            x[at] = kept - 1e-5
+            slope, x[at] = (up - loss()) / 2e-5, kept
+            assert abs(slope - whole[at]) < 1e-6 + 1e-4 * abs(slope), (name, at)
+
+
 def test_training_lowers_the_loss():
     from adweave.llm import gru
 
