@@ -29,14 +29,14 @@ def plain_words(texts: pa.Array) -> C.Words:
     lists = pc.utf8_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
     names = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"[^\p{L}\p{N}]+", "")
-    digests = b"".join(xxhash.xxh3_128_digest(w) for w in names.cast(pa.large_binary()).to_pylist())
+    digests = b"".join(map(xxhash.xxh3_128_digest, names.cast(pa.large_binary()).to_pylist()))
     table = np.frombuffer(digests, "<u8").reshape(-1, 2)
     at = coded.indices.to_numpy(zero_copy_only=False)
     full = (pc.binary_length(names).to_numpy(zero_copy_only=False) > 0)[at] if len(at) else np.empty(0, bool)
     bounds = lists.offsets.to_numpy().astype(np.int64)
     offsets = np.concatenate([[0], np.cumsum(full)])[bounds - bounds[0]]
     at = at[full]
-    return C.Words(offsets, (table[at, 0], table[at, 1]), pa.nulls(0))
+    return C.Words(offsets, table, at, pa.nulls(0))
 
 
 def myers(pattern: list, text: list, most: int) -> tuple[int, int] | None:

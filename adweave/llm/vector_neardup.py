@@ -107,46 +107,51 @@ def near_duplicates(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row; rows of one label link at cosine ``least`` or more.
 
-    A null label, a null or zero vector, or one with null or non-finite components links with nothing, and so does a
-    vector of another length than most have. Equal vectors link with each other; rows with equal ids are rows of their
+    A null label, a null or zero vector, or one with null or non-finite components links with nothing. Vectors of one
+    length are compared with each other, each length by an index of its own. Equal vectors link with each other; rows with equal ids are rows of their
     own, whose component is the smallest id reached. Other columns are not read; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
     fine = F.coalesce(
-        F.col("label").isNotNull() & (F.size("vector") > 1) & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0),
+        F.col("label").isNotNull() & (F.size("vector") > 0) & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0),
         F.lit(False),
     )
     name = F.concat(F.hex(F.xxhash64("label", "vector")), F.lit("-"), F.hex(F.xxhash64("vector", "label", F.lit(1))))
     rows = rows.withColumn("node", F.when(fine, name))
     nodes = rows.where("node is not null").groupBy("node").agg(F.first("label").alias("label"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"))
-    usual = nodes.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    nodes = saved(nodes.withColumn("dim", F.size("vector")), "vectors")
     nothing = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if usual is None:
+    lengths = nodes.groupBy("dim").count().orderBy("dim").collect()
+    if not lengths:
         return nothing
-    nodes = saved(nodes.where(F.size("vector") == usual["n"]), "vectors")
-    picked = nodes.select("node", "vector").orderBy("node").limit(sample).collect()
-    index = build_index(np.asarray([r["vector"] for r in picked], float), int(usual["count"]), least, recall)
+    indexes = {}
+    for dim, count in lengths:  # the sample is shared out among the lengths
+        picked = nodes.where(F.col("dim") == dim).select("node", "vector").orderBy("node").limit(max(sample // len(lengths), CELL_ROWS)).collect()
+        indexes[dim] = build_index(np.asarray([r["vector"] for r in picked], float), count, least, recall)
 
     def place(batches):
         for batch in batches:
-            held = np.asarray(batch.column("vector").flatten().to_numpy(zero_copy_only=False)).reshape(len(batch), -1)
-            cells = multi_sequence(index.books, _units(held), index.visits)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * cells.shape[1]), pa.array(cells.ravel().astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells[:, 0].astype(np.int32)), lists], names=[*batch.schema.names, "home", "visited"])
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part, index = batch.filter(pa.array(dims == dim)), indexes[dim]
+                held = np.asarray(part.column("vector").flatten().to_numpy(zero_copy_only=False)).reshape(len(part), dim)
+                cells = multi_sequence(index.books, _units(held), index.visits)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * cells.shape[1]), pa.array(cells.ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells[:, 0].astype(np.int32)), lists], names=[*part.schema.names, "home", "visited"])
 
     kind = dict(nodes.dtypes)["label"]
-    fields = f"node string, label {kind}, vector array<double>, copies long, home int, visited array<int>"
-    placed = saved(nodes.select("node", "label", "vector", "copies").mapInArrow(place, fields), "placed")
+    fields = f"node string, label {kind}, vector array<double>, copies long, dim int, home int, visited array<int>"
+    placed = saved(nodes.select("node", "label", "vector", "copies", "dim").mapInArrow(place, fields), "placed")
     # a cell's stored vectors and probes are cut into blocks; each probe block meets each stored block once
-    stored = placed.groupBy("label", F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / STORED_BLOCK).cast("int").alias("stored_blocks"))
-    probes = placed.select("label", F.explode("visited").alias("cell")).groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / PROBE_BLOCK).cast("int").alias("probe_blocks"))
-    blocks = stored.join(probes, ["label", "cell"])
+    stored = placed.groupBy("label", "dim", F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / STORED_BLOCK).cast("int").alias("stored_blocks"))
+    probes = placed.select("label", "dim", F.explode("visited").alias("cell")).groupBy("label", "dim", "cell").agg(F.ceil(F.count(F.lit(1)) / PROBE_BLOCK).cast("int").alias("probe_blocks"))
+    blocks = stored.join(probes, ["label", "dim", "cell"])
     shuffled = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["label", "cell", "sb", "pb", "node", "vector", "copies", "home", "visited"]
-    left = placed.withColumn("cell", F.col("home")).join(blocks, ["label", "cell"]).withColumn("sb", shuffled("stored_blocks")).withColumn("pb", every("probe_blocks")).select(columns)
-    right = placed.withColumn("cell", F.explode("visited")).join(blocks, ["label", "cell"]).withColumn("pb", shuffled("probe_blocks")).withColumn("sb", every("stored_blocks")).select(columns)
+    columns = ["label", "dim", "cell", "sb", "pb", "node", "vector", "copies", "home", "visited"]
+    left = placed.withColumn("cell", F.col("home")).join(blocks, ["label", "dim", "cell"]).withColumn("sb", shuffled("stored_blocks")).withColumn("pb", every("probe_blocks")).select(columns)
+    right = placed.withColumn("cell", F.explode("visited")).join(blocks, ["label", "dim", "cell"]).withColumn("pb", shuffled("probe_blocks")).withColumn("sb", every("stored_blocks")).select(columns)
     right = right.toDF(*[f"probe_{c}" for c in columns])
 
     def verify(stored: pa.Table, probes: pa.Table) -> pa.Table:
@@ -174,7 +179,7 @@ def near_duplicates(
         edges = pa.table([pa.array([both[x] for x, _ in tree], pa.string()), pa.array(np.zeros(len(tree), np.int64)), pa.array([both[y] for _, y in tree], pa.string())], schema=schema)
         return pa.concat_tables([counted.filter(pa.array(np.concatenate([links, back]) > 0)), edges])
 
-    keys = ["label", "cell", "sb", "pb"]
+    keys = ["label", "dim", "cell", "sb", "pb"]
     found = saved(left.groupBy(*keys).cogroup(right.groupBy(*[f"probe_{k}" for k in keys])).applyInArrow(verify, "node string, links long, other string"), "vector-links")
     links = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
     edges = found.where("other is not null").select(F.col("node").alias("i"), F.col("other").alias("j"))

@@ -12,7 +12,7 @@ SCHEMA = "vec_id long, embedding array<float>, label int, node string, cell int,
 def brute(rows, least):
     keep = []
     for i, v, label in rows:
-        fine = label is not None and v is not None and len(v) == 16 and all(x is not None and math.isfinite(x) for x in v) and any(v)
+        fine = label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
         keep.append(np.asarray(v, np.float32).astype(float) if fine else None)
     root = list(range(len(rows)))
 
@@ -25,7 +25,7 @@ def brute(rows, least):
     for a in range(len(rows)):
         for b in range(a):
             x, y = keep[a], keep[b]
-            if x is not None and y is not None and rows[a][2] == rows[b][2] and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= least:
+            if x is not None and y is not None and rows[a][2] == rows[b][2] and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= least:
                 links[a] += 1
                 links[b] += 1
                 root[find(a)] = find(b)
@@ -42,6 +42,7 @@ def test_near_duplicates(spark, monkeypatch):
     rows = [(k, (centres[k % 40] + 0.03 * rng.standard_normal(16)).tolist(), int(k % 3)) for k in range(400)]
     rows += [(1_000, rows[0][1], 0), (1_001, rows[0][1], 0), (1_001, rows[0][1], 0), (1_002, rows[0][1], 1), (1_003, rows[0][1], None), (None, rows[3][1], 0)]
     rows += [(1_004, None, 0), (1_005, [0.0] * 16, 0), (1_005, [0.0] * 16, 0), (1_006, [float("nan"), *[1.0] * 15], 0), (1_007, [float("inf"), *[1.0] * 15], 0), (1_008, [None, *[1.0] * 15], 0), (1_009, [], 0), (1_010, [1.0] * 8, 0), (1_011, [2 * x for x in rows[5][1]], 2)]
+    rows += [(1_012, [1.0, 2.0], 0), (1_013, [10.0, 20.0], 0), (1_014, [2.0, -1.0], 0), (1_015, [10.0, 20.0], 1), (1_016, [3.0], 0), (1_017, [0.5], 0), (1_018, [-3.0], 0), (1_019, [1.0] * 8, 0), (1_020, [2.0] * 8, 0), (1_021, [1.0] * 3, 0)]
     monkeypatch.setattr(vector_neardup, "STORED_BLOCK", 7)  # cells of many blocks
     monkeypatch.setattr(vector_neardup, "PROBE_BLOCK", 11)
     got = vector_neardup.near_duplicates(spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA), recall=1.0)
