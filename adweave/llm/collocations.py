@@ -7,9 +7,10 @@ proposed pairs. A phrase of the border that turns out frequent is a failure: it
 counts what has become a candidate by it, until no pass finds a failure.
 
 Which parts are known is asked by chunk (``chunks``): the distinct words and pairs of a chunk travel once as hashes,
-with their counts in the sample; each pass answers them with the round in which they became known. A phrase is counted in
-the pass in which its last part became known, so in one pass only and by all chunks alike. Hashes decide only what is
-counted (two that collide make a count that nobody needs); the counts themselves are kept by the phrase's words.
+with their counts there and in the sample; each pass answers them with the round in which they became known, and whether
+all occurrences of the hash together reach the threshold. A phrase is counted in the pass in which its last part became
+known, so in one pass only and by all chunks alike. Phrases that cannot reach the threshold, because their hash or that
+of a part does not, are counted out by that; all others by their words, so two that share a hash are told apart.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ LOWERED = 0.8  # the sample's threshold is this part of the expected count
 CHUNK_BYTES = 6 << 20
 NO_LANG = "und"
 BITS = 48  # of a hash that travels
+_ENOUGH = 128  # added to a round
 
 _BLANKS, _MARKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 _KIND = np.zeros(256, np.uint8)
@@ -36,9 +38,9 @@ _KIND[list(_BLANKS)], _KIND[list(_MARKS)] = 1, 2
 _LOW = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(_MARKS, b" " * len(_MARKS))), np.uint8)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
-LISTS = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("size", pa.int32()), ("hashes", pa.binary()), ("values", pa.binary())])
+LISTS = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("size", pa.int32()), ("hashes", pa.binary()), ("values", pa.binary()), ("counts", pa.binary())])
 COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64()), ("known", pa.bool_())])
-_LISTS, _COUNTS = "range int, chunk long, size int, hashes binary, values binary", "lang string, phrase string, size int, n long, known boolean"
+_LISTS, _COUNTS = "range int, chunk long, size int, hashes binary, values binary, counts binary", "lang string, phrase string, size int, n long, known boolean"
 
 
 def _word_hashes(langs: list[str], words: list[str]) -> np.ndarray:
@@ -107,32 +109,37 @@ class _Grams:
         values = np.concatenate([hashes, _pair_hashes(hashes[self.first], hashes[self.second])]) >> np.uint64(64 - BITS)
         self.hashes, self.place = np.unique(values, return_inverse=True)
 
-    def lists(self, chunk: int, ranges: int) -> pa.Table:
+    def lists(self, chunk: int, ranges: int, least: int) -> pa.Table:
+        n = np.concatenate([np.bincount(self.word, minlength=self.n_words), np.bincount(self.pair[self.pair >= 0], minlength=len(self.first))])
+        n = np.bincount(self.place, weights=n, minlength=len(self.hashes)).astype(np.int64)
         at = np.flatnonzero(self.joined & self.sampled[:-1]) if len(self.word) else np.empty(0, np.int64)
-        n = np.concatenate([np.bincount(self.word[self.sampled], minlength=self.n_words), np.bincount(self.pair[at], minlength=len(self.first))])
-        n = np.bincount(self.place, weights=n, minlength=len(self.hashes))
-        return _lists(self.hashes, np.minimum(n, 255).astype(np.uint8), chunk, ranges)
+        sampled = np.concatenate([np.bincount(self.word[self.sampled], minlength=self.n_words), np.bincount(self.pair[at], minlength=len(self.first))])
+        sampled = np.bincount(self.place, weights=sampled, minlength=len(self.hashes))
+        return _lists(self.hashes, np.minimum(sampled, 255).astype(np.uint8), np.minimum(n, least), chunk, ranges, _width(least))
 
     def counts(self, found: pa.Table, turn: int, ranges: int) -> pa.Table:
         """What is counted in the pass ``turn``, by ``found``, the answers to ``lists``."""
         owners, cuts = C.cut_points(self.hashes, BITS, ranges)
         level = C.gathered(found, cuts, owners, lambda data, n: np.frombuffer(data, np.uint8), np.uint8)[self.place]
+        enough, level = level >= _ENOUGH, level % _ENOUGH
         word_level, pair_level = level[: self.n_words], level[self.n_words :]
         out = []
         if turn == 1:
             totals = pc.value_counts(self.langs.take(pa.array(self.word)))
             out.append(_rows(totals.field("values"), pa.nulls(len(totals), pa.string()), 0, totals.field("counts"), False))
-            out.append(_rows(self.langs, self.words, 1, np.bincount(self.word, minlength=self.n_words), word_level > 0))
+            at = np.flatnonzero(enough[: self.n_words])
+            n = np.bincount(self.word, minlength=self.n_words)[at]
+            out.append(_rows(self.langs.take(pa.array(at)), self.words.take(pa.array(at)), 1, n, word_level[at] > 0))
 
-        a, b = word_level[self.first], word_level[self.second]
-        wanted = (np.minimum(a, b) > 0) & (np.maximum(a, b) == turn)
+        a, b, enough = word_level[self.first], word_level[self.second], enough[self.n_words :]
+        wanted = (np.minimum(a, b) > 0) & (np.maximum(a, b) == turn) & enough
         n = np.bincount(self.pair[self.pair >= 0], minlength=len(self.first))[wanted]
         first, second = self.first[wanted], self.second[wanted]
         out.append(_rows(self.langs.take(pa.array(first)), self._phrase(first, second), 2, n, pair_level[wanted] > 0))
 
         at = np.flatnonzero(self.joined[:-1] & self.joined[1:]) if len(self.word) > 2 else np.empty(0, np.int64)
         a, b = pair_level[self.pair[at]], pair_level[self.pair[at + 1]]
-        at = at[(np.minimum(a, b) > 0) & (np.maximum(a, b) == turn)]
+        at = at[(np.minimum(a, b) > 0) & (np.maximum(a, b) == turn) & enough[self.pair[at]] & enough[self.pair[at + 1]]]
         triples, n = np.unique(self.pair[at] * max(self.n_words, 1) + self.word[at + 2], return_counts=True)
         pair, third = triples // max(self.n_words, 1), triples % max(self.n_words, 1)
         out.append(_rows(self.langs.take(pa.array(third)), self._phrase(self.first[pair], self.second[pair], third), 3, n, False))
@@ -147,30 +154,43 @@ def _rows(langs, phrases, size: int, n, known) -> pa.Table:
     return pa.table([langs.cast(pa.string()), phrases.cast(pa.string()), pa.array(np.full(len(langs), size, np.int32)), pa.array(n).cast(pa.int64()), pa.array(known)], schema=COUNTS)
 
 
-def _lists(hashes: np.ndarray, values: np.ndarray, chunk: int, ranges: int) -> pa.Table:
-    """A row for each hash range of sorted hashes, with a byte for each hash."""
+def _width(least: int) -> int:
+    """Bytes of a count up to ``least``."""
+    return max(1, (int(least).bit_length() + 7) // 8)
+
+
+def _lists(hashes: np.ndarray, values: np.ndarray, counts: np.ndarray, chunk: int, ranges: int, width: int) -> pa.Table:
+    """A row for each hash range of sorted hashes, with a byte and a count for each hash."""
     owners, cuts = C.cut_points(hashes, BITS, ranges)
-    rows = [{"range": int(r), "chunk": chunk, "size": int(b - a), "hashes": C.coded(hashes[a:b], BITS // 8), "values": values[a:b].tobytes()} for r, a, b in zip(owners, cuts[:-1], cuts[1:], strict=True)]
+    rows = [
+        {"range": int(r), "chunk": chunk, "size": int(b - a), "hashes": C.coded(hashes[a:b], BITS // 8), "values": values[a:b].tobytes(), "counts": C.planes(counts[a:b], width)}
+        for r, a, b in zip(owners, cuts[:-1], cuts[1:], strict=True)
+    ]
     return pa.Table.from_pylist(rows, schema=LISTS)
 
 
-def _levels(table: pa.Table, threshold: int) -> list[bytes]:
-    """For the lists of a range the round in which each hash became known: 0 not yet, 1 by the sample, else as the list of a round (chunk -1) says."""
-    rows = table.select(["chunk", "size", "hashes", "values"]).to_pylist()
+def _levels(table: pa.Table, threshold: int, least: int) -> list[bytes]:
+    """For the lists of a range the round in which each hash became known, with ``_ENOUGH`` more if its counts reach ``least``.
+
+    The round is 0 if the hash is not known yet, 1 by the sample, else what the list of a round (chunk -1) says.
+    """
+    rows = table.select(["chunk", "size", "hashes", "values", "counts"]).to_pylist()
+    counts = np.concatenate([C.from_planes(r["counts"], _width(least)) for r in rows]).astype(np.int64)
     hashes = np.concatenate([C.decoded(r["hashes"], BITS // 8) for r in rows])
     values = np.concatenate([np.frombuffer(r["values"], np.uint8) for r in rows]).astype(np.int64)
     told = np.repeat([r["chunk"] < 0 for r in rows], [r["size"] for r in rows])
     order, run, starts = C.runs(hashes)
     sampled = np.add.reduceat(np.where(told, 0, values)[order], starts)
     level = np.minimum.reduceat(np.where(told, values, 255)[order], starts)
-    level = np.where(sampled >= threshold, 1, np.where(level == 255, 0, level)).astype(np.uint8)
+    level = np.where(sampled >= threshold, 1, np.where(level == 255, 0, level))
+    level = (level + np.where(np.add.reduceat(counts[order], starts) >= least, _ENOUGH, 0)).astype(np.uint8)
     answer = np.empty(len(hashes), np.uint8)
     answer[order] = level[run]
     ends = np.cumsum([r["size"] for r in rows]).tolist()
     return [b"" if r["chunk"] < 0 else answer[b - r["size"] : b].tobytes() for b, r in zip(ends, rows, strict=True)]
 
 
-def _known_lists(frequent: DataFrame, ranges: int) -> DataFrame:
+def _known_lists(frequent: DataFrame, ranges: int, width: int) -> DataFrame:
     """Lists (chunk -1) of the words and pairs of (lang, phrase, turn), each with the round after its own."""
 
     def hashed(batches):
@@ -190,7 +210,7 @@ def _known_lists(frequent: DataFrame, ranges: int) -> DataFrame:
         hashes, levels = hashes[order], levels[order].astype(np.uint8)
         new = np.ones(len(hashes), bool)
         new[1:] = hashes[1:] != hashes[:-1]
-        return _lists(hashes[new], levels[new], -1, ranges)
+        return _lists(hashes[new], levels[new], np.zeros(int(new.sum()), np.int64), -1, ranges, width)
 
     rows = frequent.select("lang", "phrase", F.col("turn").cast("int")).mapInArrow(hashed, "range int, hash long, level int")
     return rows.groupBy("range").applyInArrow(listed, _LISTS)
@@ -210,13 +230,13 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ranges, threshold = chunks.ranges, max(1, round(lowered * sample * least))
 
     def ask(rows: pa.Table) -> pa.Table:
-        return _Grams(C.in_order(rows), sample).lists(rows["chunk"][0].as_py(), ranges)
+        return _Grams(C.in_order(rows), sample).lists(rows["chunk"][0].as_py(), ranges, least)
 
     lists = saved(chunks.rows.groupBy("chunk").applyInArrow(ask, _LISTS), "lists")
     frequent = None
     for turn in (1, 2, 3):
-        told = lists if frequent is None else lists.unionByName(_known_lists(frequent.where("size in (1, 2)"), ranges))
-        levels = C.answered(told, lambda table: _levels(table, threshold), "levels")
+        told = lists if frequent is None else lists.unionByName(_known_lists(frequent.where("size in (1, 2)"), ranges, _width(least)))
+        levels = C.answered(told, lambda table: _levels(table, threshold, least), "levels")
 
         def count(rows: pa.Table, found: pa.Table, turn: int = turn) -> pa.Table:
             return _Grams(rows).counts(found, turn, ranges) if len(rows) else COUNTS.empty_table()

@@ -75,6 +75,13 @@ def test_every_frequent_phrase_is_counted_once_and_wholly(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_chunks")]
 
 
+def test_thresholds_of_more_than_a_byte(spark):
+    rows = texts(4) + [(900 + k, "New York City, " * 40, "en") for k in range(12)]
+    got = collocations.frequent_phrases(frame(spark, rows), least=400).collect()
+    assert cases.ordered((r["lang"], r["phrase"], r["n"]) for r in got if r["size"]) == cases.ordered((x, " ".join(p), c) for (x, p), c in plain_counts(rows).items() if c >= 400)
+    assert len(got) > 6
+
+
 def test_everything_proposed_needs_one_pass(spark):
     got = collocations.frequent_phrases(frame(spark, texts(3)), least=4, sample=1.0, lowered=0.05).collect()
     assert {r["turn"] for r in got} == {1}
