@@ -4,23 +4,24 @@ The window join has one row per (exposure, conversion) in the lookback, which is
 holds much of the data. Here nothing is paired. The touches of a conversion are a run of neighbours in the
 user's history, so their number, decay total and distinct channels are differences of running sums; and
 the credit of an exposure is a sum over the conversions that can see it, again a difference of running
-sums. First, last and middle touch are looked up by position. A user's timeline is cut into time buckets
-whose totals are carried over, so no task needs the whole of one user.
+sums. First, last and middle touch are looked up by position. The running sums are those of ``scan.running``, which cuts
+a timeline anywhere, so no task needs the whole of one user or of one of a user's days. Decay totals are as of the asking
+row's own time, so a history may be of any length.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adweave.operators import scan
 from adweave.operators.attribution import LAGS, METHODS, WINDOWS, grid_report
+from adweave.session import cut_lineage
 
 DAY = 86_400_000_000
 HOUR = 3_600_000_000
-MAX_HALF_LIVES = 1_000
 SUMMED = [*METHODS, "seen", "firsts", "lasts", "all_value", "covered"]
 
 
@@ -28,66 +29,30 @@ def _micros(ts: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP'1970-01-01 00:00:00', {ts})")
 
 
-def _running(rows: DataFrame, values: Sequence[str], bucket: int, descending: bool = False) -> DataFrame:
-    """Running sums of ``values`` per user in (axis, turn) order, replacing the values.
-
-    The sums run inside (user, bucket); totals of the buckets before are added from a table with one row per
-    user and bucket.
-    """
-    marked = rows.withColumn("_b", F.floor(F.col("axis") / bucket))
-    way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    totals = marked.groupBy("user_id", "_b").agg(*[F.sum(v).alias(v) for v in values])
-    before = Window.partitionBy("user_id").orderBy(way("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("user_id", "_b", *[F.coalesce(F.sum(v).over(before), F.lit(0.0)).alias(f"_c_{v}") for v in values])
-    inside = Window.partitionBy("user_id", "_b").orderBy(way("axis"), "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = marked.select("user_id", "_b", "id", "kind", "amount", *[F.sum(v).over(inside).alias(v) for v in values])
-    joined = summed.where("kind is not null").join(carried, ["user_id", "_b"])
-    return joined.select("user_id", "id", "kind", "amount", *[(F.col(v) + F.col(f"_c_{v}")).alias(v) for v in values])
-
-
-def _touches(exposures: DataFrame, bucket: int) -> DataFrame:
+def _touches(exposures: DataFrame) -> DataFrame:
     """Exposures with 0-based position, the channel of the first touch at the same instant, and the time of
     the user's next touch of the same channel."""
     base = exposures.select("user_id", "exposure_id", "channel", _micros("ts_exposure").alias("t"))
-    base = base.withColumn("_b", F.floor(F.col("t") / bucket))
-    first = base.groupBy("user_id", "channel", "_b").agg(F.min("t").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    next_first = first.select(
-        "user_id", "channel", "_b", F.lead("_first").over(Window.partitionBy("user_id", "channel").orderBy("_b")).alias("_later")
-    ).where("_later is not null")
-    per_bucket = first.groupBy("user_id", "_b").agg(F.sum("_n").alias("_n"))
-    before = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("user_id", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    place = Window.partitionBy("user_id", "_b")
-    ranked = base.select(
-        "*",
-        F.row_number().over(place.orderBy("t", "exposure_id")).alias("_rn"),
-        F.first("channel").over(Window.partitionBy("user_id", "_b", "t").orderBy("exposure_id")).alias("peer_channel"),
-        F.lead("t").over(Window.partitionBy("user_id", "_b", "channel").orderBy("t", "exposure_id")).alias("_next"),
-    )
-    return (
-        ranked.join(offsets, ["user_id", "_b"])
-        .join(next_first, ["user_id", "channel", "_b"], "left")
-        .select(
-            "user_id", "exposure_id", "channel", "t", "peer_channel",
-            (F.col("_rn") + F.col("_off") - 1).alias("pos"),
-            F.coalesce("_next", "_later").alias("next_t"),
-        )
-    )
+    order = [F.col("t"), F.col("exposure_id")]
+    placed = scan.running(base, ["user_id"], order, {"pos": F.lit(1).cast("long")}).withColumn("pos", F.col("pos") - 1)
+    placed = scan.running(placed, ["user_id", "channel"], order, {}, following={"next_t": ("t", False)})
+    peers = base.groupBy("user_id", "t").agg(F.min_by("channel", "exposure_id").alias("peer_channel"))
+    return placed.join(peers, ["user_id", "t"])
 
 
-def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: Column, lag: Column, grow: Column, bucket: int) -> DataFrame:
+def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: Column, lag: Column, half_life: float) -> DataFrame:
     """(user_id, conversion_id, value, first_pos, n, decay, channels) of conversions with a touch.
 
-    ``reach`` and ``lag`` are columns of both sides, in microseconds.
+    ``reach`` and ``lag`` are columns of both sides, in microseconds. ``decay`` is as of the latest moment that a touch may have.
     """
     known = F.col("channel").isNotNull()
     none = F.lit(None).cast("string")
     zero = F.lit(0.0)
     shape = lambda axis, turn, count, decay, alive: [
-        "user_id", axis.alias("axis"), F.lit(turn).alias("turn"), F.lit(None).cast("long").alias("id"), none.alias("kind"),
-        zero.alias("amount"), count.alias("count"), decay.alias("decay"), alive.alias("alive"),
+        "user_id", axis.alias("axis"), F.lit(turn).alias("turn"), F.col("exposure_id").alias("tie"), F.lit(None).cast("long").alias("id"), none.alias("kind"),
+        zero.alias("amount"), zero.alias("span"), count.alias("count"), decay.alias("decay"), alive.alias("alive"),
     ]
-    starts = touches.select(*shape(F.col("t"), 1, F.lit(1.0), grow, known.cast("double")))
+    starts = touches.select(*shape(F.col("t"), 1, F.lit(1.0), F.lit(1.0), known.cast("double")))
     # a touch stands for its channel until the lookback has passed or the channel is touched again
     over = F.least(F.col("t") + reach - lag + 1, F.col("next_t"))
     ends = touches.where(known).select(*shape(over, 1, zero, zero, F.lit(-1.0)))
@@ -98,11 +63,11 @@ def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: Column,
             F.struct((at - lag).alias("axis"), F.lit(2).alias("turn"), F.lit("hi").alias("kind")),
         )
     )
-    seekers = conversions.select("user_id", "conversion_id", "conversion_value", marks.alias("m")).select(
-        "user_id", "m.axis", "m.turn", F.col("conversion_id").alias("id"), "m.kind", F.col("conversion_value").cast("double").alias("amount"),
-        zero.alias("count"), zero.alias("decay"), zero.alias("alive"),
+    seekers = conversions.select("user_id", "conversion_id", "conversion_value", (reach - lag).cast("double").alias("span"), marks.alias("m")).select(
+        "user_id", "m.axis", "m.turn", F.col("conversion_id").alias("tie"), F.col("conversion_id").alias("id"), "m.kind", F.col("conversion_value").cast("double").alias("amount"),
+        "span", zero.alias("count"), zero.alias("decay"), zero.alias("alive"),
     )
-    sums = _running(starts.unionByName(ends).unionByName(seekers), ["count", "decay", "alive"], bucket)
+    sums = _running(starts.unionByName(ends).unionByName(seekers), ["count", "alive"], ["decay"], half_life)
     pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
     return (
         sums.groupBy("user_id", F.col("id").alias("conversion_id"))
@@ -110,16 +75,22 @@ def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: Column,
             F.max("amount").alias("value"),
             pick("lo", "count").cast("long").alias("first_pos"),
             (pick("hi", "count") - pick("lo", "count")).cast("long").alias("n"),
-            (pick("hi", "decay") - pick("lo", "decay")).alias("decay"),
+            (pick("hi", "decay") - pick("lo", "decay") * F.pow(F.lit(2.0), -F.max("span") / half_life)).alias("decay"),
             F.round(pick("hi", "alive")).cast("long").alias("channels"),
         )
         .where("n > 0")
     )
 
 
-def window_counts(
-    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float = 0.0, bucket_micros: int = DAY
-) -> tuple[DataFrame, DataFrame]:
+def _running(rows: DataFrame, sums: Sequence[str], decays: Sequence[str] = (), half_life: float | None = None) -> DataFrame:
+    """Running values of ``sums`` and ``decays`` per user in (axis, turn) order in the rows that ask (those with a kind), replacing the values."""
+    named = rows.select(*[c for c in rows.columns if c not in (*sums, *decays)], *[F.col(c).alias(f"_{c}") for c in (*sums, *decays)])
+    order = [F.col("axis"), F.col("turn"), F.col("tie")]
+    run = scan.running(named, ["user_id"], order, {c: F.col(f"_{c}") for c in sums}, {c: F.col(f"_{c}") for c in decays}, "axis", half_life)
+    return run.where("kind is not null")
+
+
+def window_counts(exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """How many partners each conversion and each exposure has in the window, without pairing them.
 
     Returns (user_id, conversion_id, n) and (user_id, exposure_id, n), zero counts included.
@@ -129,13 +100,13 @@ def window_counts(
     def counts(points: DataFrame, seekers: DataFrame, low: Column, high: Column) -> DataFrame:
         mark = lambda kind, axis, turn: F.struct(F.lit(kind).alias("kind"), axis.alias("axis"), F.lit(turn).alias("turn"))
         asked = seekers.select("user_id", "id", F.explode(F.array(mark("lo", low, 0), mark("hi", high, 2))).alias("m")).select(
-            "user_id", "m.axis", "m.turn", "id", "m.kind", F.lit(0.0).alias("amount"), F.lit(0.0).alias("count")
+            "user_id", "m.axis", "m.turn", F.col("id").alias("tie"), "id", "m.kind", F.lit(0.0).alias("count")
         )
         given = points.select(
-            "user_id", F.col("t").alias("axis"), F.lit(1).alias("turn"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("kind"),
-            F.lit(0.0).alias("amount"), F.lit(1.0).alias("count"),
+            "user_id", F.col("t").alias("axis"), F.lit(1).alias("turn"), F.col("id").alias("tie"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("kind"),
+            F.lit(1.0).alias("count"),
         )
-        sums = _running(given.unionByName(asked), ["count"], bucket_micros)
+        sums = _running(given.unionByName(asked), ["count"])
         signed = F.when(F.col("kind") == "hi", F.col("count")).otherwise(-F.col("count"))
         return sums.groupBy("user_id", "id").agg(F.greatest(F.sum(signed), F.lit(0.0)).cast("long").alias("n"))
 
@@ -182,48 +153,42 @@ def _anchor_credit(stats: DataFrame, touches: DataFrame) -> DataFrame:
     return own.unionByName(last, allowMissingColumns=True)
 
 
-def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFrame, reach: Column, lag: Column, grow: Column, bucket: int) -> DataFrame:
-    """Credit each exposure collects from the conversions that can see it, summed from the latest backwards
-    (decay terms shrink with time, so the sums stay accurate)."""
-    times = conversions.select("user_id", "conversion_id", _micros("ts_conversion").alias("axis"))
-    names = ["linear", "time_decay", "u_shape", "w_shape", "seen", "shapley_proxy", "markov_proxy"]
+def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFrame, reach: Column, lag: Column, half_life: float) -> DataFrame:
+    """Credit each exposure collects from the conversions that can see it, summed from the latest backwards (the axis is time with its sign turned)."""
+    times = conversions.select("user_id", "conversion_id", (-_micros("ts_conversion")).alias("axis"))
+    names = ["linear", "u_shape", "w_shape", "seen", "shapley_proxy", "markov_proxy"]
     value, some = F.col("value"), F.col("channels") > 0
     none = F.lit(None)
     givers = stats.join(times, ["user_id", "conversion_id"]).select(
-        "user_id", "axis", F.lit(0).alias("turn"), none.cast("long").alias("id"), none.cast("string").alias("kind"), F.lit(0.0).alias("amount"),
+        "user_id", "axis", F.lit(0).alias("turn"), F.col("conversion_id").alias("tie"), none.cast("long").alias("id"), none.cast("string").alias("kind"), F.lit(0.0).alias("span"),
         (value / F.col("n")).alias("linear"), (value / F.col("decay")).alias("time_decay"), F.col("u_rest").alias("u_shape"), F.col("w_rest").alias("w_shape"), F.lit(1.0).alias("seen"),
         F.when(some, value / F.nullif(F.col("channels"), F.lit(0))).otherwise(0.0).alias("shapley_proxy"), some.cast("double").alias("markov_proxy"),
     )
     t = F.col("t")
     beyond = t + reach + 1
-    mark = lambda kind, axis: F.struct(F.lit(kind).alias("kind"), axis.alias("axis"))
+    mark = lambda kind, axis: F.struct(F.lit(kind).alias("kind"), (-axis).alias("axis"))
     marks = F.array(mark("from", t + lag), mark("past", beyond), mark("gone", F.least(beyond, F.col("next_t") + lag)))
-    takers = touches.select("user_id", F.col("exposure_id").alias("id"), grow.alias("amount"), F.explode(marks).alias("m")).select(
-        "user_id", "m.axis", F.lit(1).alias("turn"), "id", "m.kind", "amount", *[F.lit(0.0).alias(n) for n in names]
+    takers = touches.select("user_id", F.col("exposure_id").alias("id"), (reach + 1 - lag).cast("double").alias("span"), F.explode(marks).alias("m")).select(
+        "user_id", "m.axis", F.lit(1).alias("turn"), F.col("id").alias("tie"), "id", "m.kind", "span", *[F.lit(0.0).alias(n) for n in ("time_decay", *names)]
     )
-    sums = _running(givers.unionByName(takers), names, bucket, descending=True)
+    sums = _running(givers.unionByName(takers), names, ["time_decay"], half_life)
     at = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
-    every = [(at("from", c) - at("past", c)).alias(c) for c in names[:5]]
-    once = [(at("from", c) - at("gone", c)).alias(c) for c in names[5:]]
-    per_touch = sums.groupBy("user_id", F.col("id").alias("exposure_id")).agg(F.max("amount").alias("amount"), *every, *once)
+    every = [(at("from", c) - at("past", c)).alias(c) for c in names[:4]]
+    once = [(at("from", c) - at("gone", c)).alias(c) for c in names[4:]]
+    faded = at("from", "time_decay") - at("past", "time_decay") * F.pow(F.lit(2.0), -F.max("span") / half_life)
+    per_touch = sums.groupBy("user_id", F.col("id").alias("exposure_id")).agg(faded.alias("time_decay"), *every, *once)
     known = touches.select("user_id", "exposure_id", "channel").where(F.col("channel").isNotNull())
-    return per_touch.join(known, ["user_id", "exposure_id"]).select(
-        "user_id", "channel", "linear", (F.col("time_decay") * F.col("amount")).alias("time_decay"), *names[2:]
-    )
+    return per_touch.join(known, ["user_id", "exposure_id"]).select("user_id", "channel", "time_decay", *names)
 
 
-def _credit_rows(exposures: DataFrame, conversions: DataFrame, cells: Sequence[tuple[float, float]], half_life_hours: float, bucket_micros: int) -> DataFrame:
+def _credit_rows(exposures: DataFrame, conversions: DataFrame, cells: Sequence[tuple[float, float]], half_life_hours: float) -> DataFrame:
     """Rows (user_id, cell, channel, one column per rule, all_value, covered) whose sums are the credit.
 
-    A cell is a lookback in days and a least lag in hours. All cells go through the same passes: histories are sorted
-    once, then a (cell, user) takes the place of a user.
+    A cell is a lookback in days and a least lag in hours. All cells go through the same passes: touches are placed once,
+    then a (cell, user) takes the place of a user. Touches, conversions and their statistics are written once and read by
+    all branches.
     """
-    span = exposures.agg(F.min(_micros("ts_exposure")).alias("a"), F.max(_micros("ts_exposure")).alias("b")).first()
     half_life = half_life_hours * HOUR
-    start, end = span["a"] or 0, span["b"] or 0
-    if (end - start) / half_life > MAX_HALF_LIVES:
-        raise ValueError("history is too long for one decay scale; run it in overlapping time slices")
-    grow = F.exp((F.col("t") - F.lit((start + end) // 2)) * (math.log(2) / half_life))
     grid = F.array(*[F.struct(F.lit(k).alias("cell"), F.lit(int(days * DAY)).alias("reach"), F.lit(int(hours * HOUR)).alias("lag")) for k, (days, hours) in enumerate(cells)])
 
     def in_cells(rows: DataFrame) -> DataFrame:
@@ -231,11 +196,11 @@ def _credit_rows(exposures: DataFrame, conversions: DataFrame, cells: Sequence[t
         others = [c for c in rows.columns if c != "user_id"]
         return wide.select(F.struct(F.col("_c.cell").alias("cell"), F.col("user_id").alias("user")).alias("user_id"), *others, "_c.reach", "_c.lag")
 
-    touches = in_cells(_touches(exposures, bucket_micros))
-    conversions = in_cells(conversions.select("user_id", "conversion_id", "conversion_value", "ts_conversion"))
+    touches = in_cells(cut_lineage(_touches(exposures)))
+    conversions = in_cells(cut_lineage(conversions.select("user_id", "conversion_id", "conversion_value", "ts_conversion")))
     reach, lag = F.col("reach"), F.col("lag")
-    stats = _rest_shares(_conversion_stats(touches, conversions, reach, lag, grow, bucket_micros))
-    rows = _exposure_credit(stats, conversions, touches, reach, lag, grow, bucket_micros)
+    stats = cut_lineage(_rest_shares(_conversion_stats(touches, conversions, reach, lag, half_life)))
+    rows = _exposure_credit(stats, conversions, touches, reach, lag, half_life)
     rows = rows.unionByName(_anchor_credit(stats, touches), allowMissingColumns=True)
     rows = rows.unionByName(stats.select("user_id", F.col("value").alias("all_value"), F.lit(1).alias("covered")), allowMissingColumns=True)
     return rows.withColumn("cell", F.col("user_id.cell")).withColumn("user_id", F.col("user_id.user"))
@@ -264,23 +229,22 @@ def _credit_table(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def attribute_timelines(
-    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float = 0.0, half_life_hours: float = 48.0, bucket_micros: int = DAY
+    exposures: DataFrame, conversions: DataFrame, lookback_days: float, min_lag_hours: float = 0.0, half_life_hours: float = 48.0
 ) -> DataFrame:
     """(method, channel, credit) of all eight rules, equal to ``attribute`` over the window join.
 
-    ``exposure_id`` and ``conversion_id`` must be unique. ``bucket_micros`` is the width of a time bucket;
-    make it small when one user has very many touches a day.
+    ``exposure_id`` and ``conversion_id`` must be unique. Histories may be of any length, and one user may hold all rows.
     """
-    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours, bucket_micros)
+    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours)
     return _credit_table(rows).drop("covered")
 
 
 def slices_timelines(
     exposures: DataFrame, conversions: DataFrame, labels: DataFrame, segment_cols: Sequence[str], lookback_days: float, min_lag_hours: float = 0.0,
-    half_life_hours: float = 48.0, bucket_micros: int = DAY,
+    half_life_hours: float = 48.0,
 ) -> DataFrame:
     """``segment_slices`` without pairs, for user-level segment labels; a missing label is 'nan'."""
-    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours, bucket_micros)
+    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours)
     per_user = rows.groupBy("user_id", "channel").agg(*[F.sum(m).alias(m) for m in SUMMED])
     named = per_user.join(labels.select("user_id", *segment_cols), "user_id", "left")
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
@@ -300,12 +264,12 @@ def credit_by_segment(exposures: DataFrame, conversions: DataFrame, labels: Data
 
 
 def robustness(
-    exposures: DataFrame, conversions: DataFrame, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, half_life_hours: float = 48.0, bucket_micros: int = DAY
+    exposures: DataFrame, conversions: DataFrame, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, half_life_hours: float = 48.0
 ) -> DataFrame:
     """Robustness grid without pairs, all cells in one pass."""
     total = conversions.select(F.count_distinct("conversion_id")).first()[0]
     grid = [(w, lag) for w in windows for lag in lags]
-    rows = _credit_rows(exposures, conversions, grid, half_life_hours, bucket_micros)
+    rows = _credit_rows(exposures, conversions, grid, half_life_hours)
     table = _credit_table(rows, ["cell"])
     pick = lambda k: F.element_at(F.array(*[F.lit(c[k]) for c in grid]), F.col("cell") + 1)
     cells = table.select(pick(0).alias("window_days"), pick(1).alias("min_lag"), "method", "channel", "credit", "covered")

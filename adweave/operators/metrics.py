@@ -22,15 +22,15 @@ EPS_DOUBLE = float(np.finfo(np.float64).eps)
 EPS_SINGLE = float(np.finfo(np.float32).eps)
 
 
-def _cumulative(scored: DataFrame, by: Sequence[str], **kwargs) -> DataFrame:
+def _cumulative(scored: DataFrame, by: Sequence[str]) -> DataFrame:
     pos = F.sum(F.col("label").cast("long"))
     per_score = scored.groupBy(*by, "p").agg(pos.alias("pos"), (F.count(F.lit(1)) - pos).alias("neg"))
-    return running_totals(per_score, "p", None, {"tp": F.col("pos"), "fp": F.col("neg")}, by, **kwargs)
+    return running_totals(per_score, "p", None, {"tp": F.col("pos"), "fp": F.col("neg")}, by)
 
 
-def ranking_metrics(scored: DataFrame, by: Sequence[str] = ("model",), **kwargs) -> DataFrame:
+def ranking_metrics(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """ROC-AUC (ties count half) and PR-AUC as average precision, per model."""
-    cum = _cumulative(scored, by, **kwargs)
+    cum = _cumulative(scored, by)
     # a positive at this score beats every negative below it and half of those level with it
     beaten = F.col("pos") * (F.col("fp_all") - F.col("fp") + F.col("neg") / 2.0)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
@@ -178,9 +178,9 @@ def threshold_scan(
     return counts.withColumn("profit", profit_expr(**value)).withColumn("best", F.row_number().over(best) == 1)
 
 
-def top_fraction_capture(scored: DataFrame, key: str, fraction: float = 0.20, by: Sequence[str] = ("model",), **kwargs) -> DataFrame:
+def top_fraction_capture(scored: DataFrame, key: str, fraction: float = 0.20, by: Sequence[str] = ("model",)) -> DataFrame:
     """Positives captured by the top ``max(1, int(fraction·n))`` rows by score; ties by key."""
-    ranked = positional_rank(scored, "p", key, by, **kwargs)
+    ranked = positional_rank(scored, "p", key, by)
     size = F.greatest(F.lit(1), F.floor(F.lit(fraction) * F.col("rank_all")))
     inside = F.col("rank") <= size
     table = ranked.groupBy(*by).agg(

@@ -1,236 +1,92 @@
 """Whole-table order without a single-task sort: running totals, positional ranks, exact quantiles.
 
-``Window.orderBy`` with no partition moves the table to one task. Here the rows are first split into score
-ranges; the running total is taken inside each range and the total of all earlier ranges is added. Only
-the summary of the ranges (at most a few hundred rows per group) passes through the driver.
+Order comes from ``scan.running``, which deals rows to tasks by ranges that may cut a group or a tie. Quantiles need no
+order of the table: a sketch gives a bracket for each, one scan counts what lies outside the brackets and keeps the
+distinct values inside, and only those are ordered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from adweave.session import cut_lineage
+from adweave.operators import scan
 
-RANGES = 64
-MAX_RANGES = 4_096
-ROWS_PER_RANGE = 5_000_000
-SINGLE_RANGE_ROWS = 200_000
-MAX_GROUPS = 2_000
-
-
-def _same(left: str, right: str, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond
-
-
-def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Null-safe left join of a bounded, driver-built table; without keys its one row becomes literals."""
-    extra = [c for c in small.columns if c not in keys]
-    if not keys:
-        row = small.collect()[0]
-        return df.select("*", *[_literal(row[c], small.schema[c].dataType).alias(c) for c in extra])
-    joined = df.alias("l").join(F.broadcast(small.alias("r")), _same("l", "r", keys), "left")
-    return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
-
-
-def _literal(value, kind: T.DataType) -> Column:
-    if isinstance(value, list):
-        return F.array(*[F.lit(v) for v in value]).cast(kind)
-    return F.lit(value).cast(kind)
-
-
-def _collect_groups(summary: DataFrame) -> list:
-    rows = summary.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; pass only a low-cardinality column in `by`")
-    return rows
-
-
-def _range_no(cuts: str, value: str, descending: bool) -> Column:
-    """Even numbers: open range between two cuts; odd: exactly the cut value (so heavy ties stand alone)."""
-    beyond = F.filter(F.col(cuts), lambda c: (c > F.col(value)) if descending else (c < F.col(value)))
-    return 2 * F.size(beyond) + F.array_contains(F.col(cuts), F.col(value)).cast("int")
+ACCURACY = 1_000  # a bracket reaches two of the sketch's rank errors, 1 / ACCURACY of the rows each, to either side
 
 
 def running_totals(
-    df: DataFrame,
-    score: str,
-    key: str | None,
-    totals: Mapping[str, Column],
-    by: Sequence[str] = (),
-    descending: bool = True,
-    single_range_rows: int = SINGLE_RANGE_ROWS,
-    ranges: int = RANGES,
-    next_score: str | None = None,
-) -> DataFrame:
+    df: DataFrame, score: str, key: str | None, totals: Mapping[str, Column], by: Sequence[str] = (), descending: bool = True, next_score: str | None = None,
+) -> DataFrame:
     """Adds, per group ``by``, the inclusive running total of each expression in (score, key) order.
 
     For every ``name`` in ``totals`` the result has ``name`` and the group total ``name_all``. ``key`` breaks
-    ties ascending and must be unique within equal scores; None says that scores are already distinct.
-    ``by`` is for a few groups (models, samples). Rows with a null score are left out. ``next_score`` names a
-    column for the score of the following row (null at the end).
+    ties ascending and must be unique within equal scores; None says that scores are already distinct. Rows with a null
+    score are left out. ``next_score`` names a column for the score of the following row (null at the end). Groups
+    may be many or large.
     """
-    by = list(by)
-    names = list(totals)
-    base = df.where(F.col(score).isNotNull()).select("*", *[e.alias(f"_v_{n}") for n, e in totals.items()])
-    summary = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_v_{n}").alias(f"{n}_all") for n in names])
-    groups = _collect_groups(summary)
-    spark = df.sparkSession
-    one_range = sum(r["_rows"] for r in groups) <= single_range_rows
-    schema = summary.drop("_rows").schema
-    per_group = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in groups], schema)
-    if one_range:
-        marked = _attach(base, per_group, by)
-        place: list[str] = []
-    else:
-        # more rows, more ranges; the cut points are collected, so a re-run task sees the same ranges
-        ranges = max(ranges, min(MAX_RANGES, max(r["_rows"] for r in groups) // ROWS_PER_RANGE))
-        base = cut_lineage(base)
-        sketch = base.groupBy(*by).agg(F.array_distinct(_cut_points(score, ranges)).alias("_cuts"))
-        cuts = spark.createDataFrame([tuple(r) for r in sketch.collect()], sketch.schema)
-        marked = _attach(_attach(base, per_group, by), cuts, by)
-        marked = marked.withColumn("_range", _range_no("_cuts", score, descending)).drop("_cuts")
-        marked = _split_ties(marked, key, by, single_range_rows, ranges)
-        place = ["_range", "_part"]
-        marked = _attach_offsets(marked, names, by, place, score, descending)
-
-    direction = F.col(score).desc() if descending else F.col(score).asc()
-    order = [direction] + ([F.col(key).asc()] if key else [])
-    # With one range the partition holds at most `single_range_rows` rows, so a plain window is safe.
-    window = (
-        Window.partitionBy(*(by + place) if by + place else [F.lit(0)])
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    result = marked
-    for n in names:
-        run = F.sum(f"_v_{n}").over(window)
-        result = result.withColumn(n, run if one_range else run + F.col(f"_off_{n}"))
-    if next_score:
-        following = F.lead(score).over(Window.partitionBy(*(by + place) if by + place else [F.lit(0)]).orderBy(*order))
-        result = result.withColumn(next_score, following if one_range else F.coalesce(following, F.col("_next")))
-    return result.drop("_range", "_part", "_next", *[f"_v_{n}" for n in names], *[f"_off_{n}" for n in names])
-
-
-def _cut_points(column: str, ranges: int) -> Column:
-    return F.percentile_approx(column, [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges))
-
-
-def _split_ties(df: DataFrame, key: str | None, by: list[str], limit: int, ranges: int) -> DataFrame:
-    """Second split, by key, of single-value ranges that hold more rows than ``limit``."""
-    if key is None or not isinstance(df.schema[key].dataType, T.NumericType):
-        return df.withColumn("_part", F.lit(0))
-    heavy = (
-        df.where(F.col("_range") % 2 == 1)
-        .groupBy(*by, "_range")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.array_distinct(_cut_points(key, ranges)).alias("_key_cuts"),
-        )
-        .where(F.col("_rows") > limit)
-        .drop("_rows")
-    )
-    rows = heavy.collect()  # at most one row per cut and group
-    if not rows:
-        return df.withColumn("_part", F.lit(0))
-    small = df.sparkSession.createDataFrame([tuple(r) for r in rows], heavy.schema)
-    part = F.size(F.filter(F.col("_key_cuts"), lambda c: c < F.col(key)))
-    return (
-        _attach(df, small, [*by, "_range"])
-        .withColumn("_part", F.when(F.col("_key_cuts").isNull(), 0).otherwise(part))
-        .drop("_key_cuts")
-    )
-
-
-def _attach_offsets(df: DataFrame, names: list[str], by: list[str], place: list[str], score: str, descending: bool) -> DataFrame:
-    """Total of all earlier ranges of the same group and first score of the next, from the range summary."""
-    first = F.max(score) if descending else F.min(score)
-    summary = df.groupBy(*by, *place).agg(*[F.sum(f"_v_{n}").alias(f"_off_{n}") for n in names], first.alias("_next"))
-    frame = pd.DataFrame([r.asDict() for r in summary.collect()]).sort_values([*by, *place])
-    offsets = [f"_off_{n}" for n in names]
-    grouped = frame.groupby(by, dropna=False)[offsets] if by else frame[offsets]
-    frame[offsets] = grouped.cumsum() - frame[offsets]
-    frame["_next"] = (frame.groupby(by, dropna=False)["_next"] if by else frame["_next"]).shift(-1).astype(object)
-    plain = lambda v: None if pd.isna(v) else v.item() if hasattr(v, "item") else v
-    numeric = {f.name for f in summary.schema if isinstance(f.dataType, T.IntegralType)}
-    rows = [
-        tuple(int(plain(v)) if c in numeric and plain(v) is not None else plain(v) for c, v in zip(summary.columns, row))
-        for row in frame[summary.columns].itertuples(index=False)
-    ]
-    return _attach(df, df.sparkSession.createDataFrame(rows, summary.schema), [*by, *place])
-
-
-def positional_rank(
-    df: DataFrame,
-    score: str,
-    key: str,
-    by: Sequence[str] = (),
-    descending: bool = True,
-    name: str = "rank",
-    **kwargs,
-) -> DataFrame:
+    order = [F.col(score).desc() if descending else F.col(score).asc(), *([F.col(key).asc()] if key else [])]
+    following = {next_score: (score, descending)} if next_score else None
+    return scan.running(df.where(F.col(score).isNotNull()), by, order, totals, following=following, totals=True)
+
+
+def positional_rank(df: DataFrame, score: str, key: str, by: Sequence[str] = (), descending: bool = True, name: str = "rank") -> DataFrame:
     """1-based position in (score, key) order over the whole table, plus the row count as ``<name>_all``."""
-    return running_totals(df, score, key, {name: F.lit(1).cast("long")}, by, descending, **kwargs)
+    return running_totals(df, score, key, {name: F.lit(1).cast("long")}, by, descending)
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), **kwargs
-) -> DataFrame:
-    """Linear-interpolated quantiles as rows (by…, prob, quantile), without holding a group in one task.
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Linear-interpolated quantiles as rows (by…, prob, quantile), for any number of groups.
 
-    Equal values are counted together first, so the order step sees each distinct value once.
+    The table is read twice and not shuffled: for the sketch, and for the counts of the distinct values in the brackets and
+    of everything between two brackets. Groups are told apart with nulls as a value of their own.
     """
-    by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = running_totals(counts, "_value", None, {"_cum": F.col("_n")}, by, descending=False, **kwargs)
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    first, last = F.col("_cum") - F.col("_n"), F.col("_cum") - 1
-    position = lambda p: p * (F.col("_cum_all") - 1)
+    by, probs = list(by), [float(p) for p in probs]
+    named = F.struct(*by) if by else F.lit(0)
+    rows = df.where(F.col(value).isNotNull()).select(named.alias("_g"), F.col(value).cast("double").alias("_value"))
+    reach = 2 / ACCURACY
+    edges = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
+    sketch = rows.groupBy("_g").agg(F.percentile_approx("_value", edges, ACCURACY).alias("_e"), F.min("_value").alias("_least"), F.max("_value").alias("_most"), (F.count(F.lit(1)) < 4 * ACCURACY).alias("_few"))
+    k = len(probs)
+    low = [F.col("_least") if edges[i] == 0 else F.when(F.col("_few"), F.col("_least")).otherwise(F.col("_e")[i]) for i in range(k)]
+    high = [F.col("_most") if edges[k + i] == 1 else F.when(F.col("_few"), F.col("_most")).otherwise(F.col("_e")[k + i]) for i in range(k)]
+    brackets = sketch.select("_g", *[c.alias(f"_lo{i}") for i, c in enumerate(low)], *[c.alias(f"_hi{i}") for i, c in enumerate(high)])
+    # values between two bracket ends share a slot, and slots rise with the values
+    over = lambda i: (F.col("_value") >= F.col(f"_lo{i}"))
+    past = lambda i: (F.col("_value") > F.col(f"_hi{i}"))
+    slot = sum((over(i).cast("int") + past(i).cast("int") for i in range(k)), F.lit(0))
+    inside = F.lit(False)
+    for i in range(k):
+        inside = inside | (over(i) & ~past(i))
+    counts = rows.join(brackets, "_g").select("_g", slot.alias("_slot"), F.when(inside, F.col("_value")).alias("_value")).groupBy("_g", "_slot", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = scan.running(counts, ["_g"], [F.col("_slot"), F.col("_value")], {"_cum": F.col("_n")}, totals=True).where("_value is not null")
+    picked = quantiles_of_counts(ranked, "_g", "_value", "_n", "_cum", "_cum_all", probs)
+    return picked.select(*[F.col(f"_g.{c}").alias(c) for c in by], "prob", "quantile")
+
+
+def quantiles_of_counts(ranked: DataFrame, by: str, value: str, n: str, upto: str, every: str, probs: Sequence[float]) -> DataFrame:
+    """(by, prob, quantile), interpolated, of values that occur ``n`` times, ``upto`` of ``every`` up to and with them."""
+    first, last = F.col(upto) - F.col(n), F.col(upto) - 1
+    position = lambda p: p * (F.col(every) - 1)
     covers = lambda at: (at >= first) & (at <= last)
-    hits = ranked.withColumn(
-        "prob",
-        F.explode(F.filter(grid, lambda p: covers(F.floor(position(p))) | covers(F.ceil(position(p))))),
-    )
+    grid = F.array(*[F.lit(float(p)) for p in probs])
+    hits = ranked.withColumn("prob", F.explode(F.filter(grid, lambda p: covers(F.floor(position(p))) | covers(F.ceil(position(p))))))
     at = position(F.col("prob"))
-    picked = hits.groupBy(*by, "prob").agg(
-        F.max(F.when(covers(F.floor(at)), F.col("_value"))).alias("_lo"),
-        F.max(F.when(covers(F.ceil(at)), F.col("_value"))).alias("_hi"),
-        F.max(at - F.floor(at)).alias("_frac"),
-    )
-    return picked.select(*by, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("quantile"))
+    picked = hits.groupBy(by, "prob").agg(
+        F.max(F.when(covers(F.floor(at)), F.col(value))).alias("_lo"), F.max(F.when(covers(F.ceil(at)), F.col(value))).alias("_hi"), F.max(at - F.floor(at)).alias("_frac"),
+    )
+    return picked.select(by, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("quantile"))
 
 
-def rank_in_groups(
-    df: DataFrame, group: str, time: str, key: str, name: str = "touch_pos", peers: str | None = None
-) -> DataFrame:
-    """1-based position of each row within its group by (time, key), for any number of groups.
+def rank_in_groups(df: DataFrame, group: str, time: str, key: str, name: str = "touch_pos", peers: str | None = None) -> DataFrame:
+    """1-based position of each row within its group by (time, key), for any number and size of groups.
 
     ``peers`` names a column for the position of the first row of the same time.
-
-    The window runs inside (group, day); the count of earlier days is added from a table with one row per
-    group and day, so a group holding much of the data is spread over its days.
     """
-    day = F.to_date(F.col(time))
-    base = df.withColumn("_day", day)
-    per_day = base.groupBy(group, "_day").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(group).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_day.select(group, "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    day_rows = Window.partitionBy(group, "_day")
-    ranked = base.withColumn("_rn", F.row_number().over(day_rows.orderBy(time, key)))
-    if peers:
-        ranked = ranked.withColumn("_peer", F.rank().over(day_rows.orderBy(time)))
-    placed = ranked.join(offsets, [group, "_day"]).withColumn(name, F.col("_rn") + F.col("_off"))
-    if peers:
-        placed = placed.withColumn(peers, F.col("_peer") + F.col("_off"))
-    return placed.drop("_day", "_rn", "_peer", "_off")
+    ranked = scan.running(df, [group], [F.col(time), F.col(key)], {name: F.lit(1).cast("long")})
+    if not peers:
+        return ranked
+    first = ranked.groupBy(F.struct(group, time).alias("_at")).agg(F.min(name).alias(peers))
+    return ranked.withColumn("_at", F.struct(group, time)).join(first, "_at").drop("_at")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adweave.operators.features import _long
-from adweave.operators.ordered import exact_quantiles, positional_rank, running_totals
+from adweave.operators.ordered import exact_quantiles, positional_rank, quantiles_of_counts, running_totals
+from adweave.session import cut_lineage
 
 # Columns compared between the halves of a scored log, and the fewest rows for it.
 LOG_COLUMNS = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges", "churn_probability"]
@@ -59,33 +60,30 @@ def _divergences(table: DataFrame) -> DataFrame:
     )
 
 
-def numeric_drift(df: DataFrame, columns: Sequence[str], bins: int = PSI_BINS, **kwargs) -> DataFrame:
+def numeric_drift(df: DataFrame, columns: Sequence[str], bins: int = PSI_BINS) -> DataFrame:
     """KS statistic, Wasserstein distance over the reference deviation, PSI and Jensen-Shannon per column.
 
-    ``part`` is reference or current. Equal values are counted first; the two distribution functions are
-    running totals over the distinct values.
+    ``part`` is reference or current. Equal values are counted first and ordered once; both distribution functions, the
+    reference's quantiles for the PSI bins and its deviation all come from these counts.
     """
     counts = _counts(df, columns, "double")
-    cum = running_totals(
-        counts, "value", None, {"cr": F.col("r"), "cc": F.col("c")}, ["column"], descending=False, next_score="_to", **kwargs
+    cum = cut_lineage(
+        running_totals(counts, "value", None, {"cr": F.col("r"), "cc": F.col("c"), "vr": F.col("r") * F.col("value")}, ["column"], descending=False, next_score="_to")
     )
     gap = F.abs(F.col("cr") / F.col("cr_all") - F.col("cc") / F.col("cc_all"))
+    off = F.col("value") - F.col("vr_all") / F.col("cr_all")
     distances = cum.groupBy("column").agg(
-        F.max(gap).alias("ks"), F.sum(gap * (F.coalesce("_to", "value") - F.col("value"))).alias("w1")
+        F.max(gap).alias("ks"), F.sum(gap * (F.coalesce("_to", "value") - F.col("value"))).alias("w1"), F.sqrt(F.sum(F.col("r") * off * off) / F.max("cr_all")).alias("sd")
     )
-    long_ref = _long(df.where("part = 'reference'"), columns, "double").where("value is not null")
-    spread = long_ref.groupBy("column").agg(F.stddev_pop("value").alias("sd"))
-    edges = exact_quantiles(long_ref, "value", [i / bins for i in range(1, bins)], ["column"], **kwargs)
+    edges = quantiles_of_counts(cum.where("r > 0"), "column", "value", "r", "cr", "cr_all", [i / bins for i in range(1, bins)])
     edges = edges.groupBy("column").agg(F.sort_array(F.collect_list("quantile")).alias("_e"))  # one short array per column
     binned = (
-        counts.join(F.broadcast(edges), "column")
+        cum.join(F.broadcast(edges), "column")
         .groupBy("column", F.size(F.filter("_e", lambda e: e < F.col("value"))).alias("value"))
         .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     )
-    return (
-        distances.join(spread, "column")
-        .join(_divergences(binned), "column")
-        .select("column", "ks", (F.col("w1") / F.nullif(F.col("sd"), F.lit(0.0))).alias("wasserstein_norm"), "psi", "js_distance")
+    return distances.join(_divergences(binned), "column").select(
+        "column", "ks", (F.col("w1") / F.nullif(F.col("sd"), F.lit(0.0))).alias("wasserstein_norm"), "psi", "js_distance"
     )
 
 

@@ -50,13 +50,13 @@ def _prefix_counts(ranked: DataFrame, upto: Column, cells: Column) -> DataFrame:
     )
 
 
-def lift_table(df: DataFrame, key: str = "key", **kwargs) -> DataFrame:
+def lift_table(df: DataFrame, key: str = "key") -> DataFrame:
     """Ten cumulative cut-offs: rates per arm, incremental lift, random line, Qini gain and coefficient.
 
     The cut holds ``max(1, int(N·fraction))`` rows by score. A rate is null when its arm is empty. The
     coefficient is the trapezoid over the ten points, which start at 0.1 and not at the origin.
     """
-    ranked = positional_rank(df, "score", key, **kwargs)
+    ranked = positional_rank(df, "score", key)
     cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("f")) for i, f in enumerate(FRACTIONS)])
     size = lambda c: F.greatest(F.lit(1), F.floor(F.col("rank_all") * c["f"]))
     counts = _prefix_counts(ranked, size, cells)  # ten rows from here on
@@ -79,9 +79,9 @@ def lift_table(df: DataFrame, key: str = "key", **kwargs) -> DataFrame:
     return table.withColumn("_s", step).withColumn("qini_coefficient", F.sum("_s").over(whole)).drop("_s")
 
 
-def lift_summary(df: DataFrame, key: str = "key", model: str = "model", **kwargs) -> DataFrame:
+def lift_summary(df: DataFrame, key: str = "key", model: str = "model") -> DataFrame:
     """Top-20 % rates, lift and capture share, top-decile lift and Qini coefficient in one row."""
-    table = lift_table(df, key, **kwargs)
+    table = lift_table(df, key)
     pick = lambda c, d: F.max(F.when(F.col("decile") == d, F.col(c)))
     final = F.nullif(pick("incremental_lift", 10), F.lit(0.0))
     return table.agg(
@@ -96,14 +96,14 @@ def lift_summary(df: DataFrame, key: str = "key", model: str = "model", **kwargs
     )
 
 
-def qini_curve(df: DataFrame, key: str = "key", **kwargs) -> DataFrame:
+def qini_curve(df: DataFrame, key: str = "key") -> DataFrame:
     """Per-row curve: rank, arm rates so far, lift, random line and gain."""
     t, y = F.col("treatment"), F.col("outcome")
     sums = {
         "rank": F.lit(1).cast("long"), "n1": t.cast("long"), "n0": (1 - t).cast("long"),
         "y1": (t * y).cast("long"), "y0": ((1 - t) * y).cast("long"),
     }
-    cum = running_totals(df, "score", key, sums, **kwargs)
+    cum = running_totals(df, "score", key, sums)
     rates = cum.withColumns(
         {
             "top_fraction": F.col("rank") / F.col("rank_all"),

@@ -119,12 +119,6 @@ def _(spark, d):
     return table.select("method", "channel", F.round("credit", 6).alias("credit"))
 
 
-@_register("att9_all_methods_without_pairs", with_ctes(BASE, f"SELECT method, channel, round(credit, 6) AS credit FROM ({all_credit_sql()})"))
-def _(spark, d):
-    table = credit_flow.attribute_timelines(fx.exposures(spark, d), fx.conversions(spark, d), 7)
-    return table.select("method", "channel", F.round("credit", 6).alias("credit"))
-
-
 _PIVOT = ", ".join(f"round(coalesce(sum(credit) FILTER (method = '{m}'), 0), 6) AS {m}" for m in att.METHODS)
 
 
@@ -212,14 +206,6 @@ def _(spark, d):
 
 
 ORACLE["att13_segment_slices"] += " WHERE round(credit, 6) <> 0"
-ORACLE["att13_segment_slices_without_pairs"] = ORACLE["att13_segment_slices"]
-
-
-@_register("att13_segment_slices_without_pairs")
-def _(spark, d):
-    exp = fx.exposures(spark, d)
-    table = credit_flow.slices_timelines(exp, fx.conversions(spark, d), segments.user_segments(exp), _SEG_COLS, 7)
-    return table.withColumn("credit", F.round("credit", 6)).where("credit <> 0")
 
 
 @_register(

@@ -32,7 +32,7 @@ _RANKED = "SELECT *, row_number() OVER (PARTITION BY model ORDER BY p DESC, key)
 @_register("rnk1_global_rank", with_ctes(["scored"], f"SELECT model, key, rank FROM ({_RANKED})"))
 def _(spark, d):
     # a low single-range limit runs the range-split path at every scale
-    return ordered.positional_rank(fx.scored(spark, d), "p", "key", ["model"], single_range_rows=1000).select("model", "key", "rank")
+    return ordered.positional_rank(fx.scored(spark, d), "p", "key", ["model"]).select("model", "key", "rank")
 
 
 @_register(
@@ -43,7 +43,7 @@ def _(spark, d):
 def _(spark, d):
     label = F.col("label").cast("long")
     sums = {"positives": label, "negatives": 1 - label}
-    return ordered.running_totals(fx.scored(spark, d), "p", "key", sums, ["model"], single_range_rows=1000).select("model", "key", *sums)
+    return ordered.running_totals(fx.scored(spark, d), "p", "key", sums, ["model"]).select("model", "key", *sums)
 
 
 @_register(
@@ -374,7 +374,7 @@ _CURVE = {
     ),
 )
 def _(spark, d):
-    curve = uplift.qini_curve(fx.uplift(spark, d), single_range_rows=500)
+    curve = uplift.qini_curve(fx.uplift(spark, d))
     names = ["top_fraction", "treated_rate", "control_rate", "incremental_lift", "random_incremental_lift", "qini_gain"]
     return rounded(curve, *names).select("key", "rank", *names)
 

@@ -383,7 +383,7 @@ _NUM_CTES = {
       JOIN edges USING ("column") JOIN divs USING ("column")""", **_NUM_CTES),
 )
 def _(spark, d):
-    table = dq.numeric_drift(_halves(spark, d), _NUM, single_range_rows=2000)
+    table = dq.numeric_drift(_halves(spark, d), _NUM)
     return rounded(table, "ks", "wasserstein_norm", "psi", "js_distance")
 
 

@@ -111,20 +111,32 @@ def test_touch_log_shape(spark):
     assert exp.select("exposure_id").distinct().count() == 4
 
 
-@pytest.mark.parametrize("days, lag, bucket", [(3, 0, credit_flow.DAY), (7, 6, 5 * credit_flow.HOUR), (1, 0, credit_flow.HOUR // 2)])
-def test_timelines_equal_pairs(spark, days, lag, bucket):
+@pytest.mark.parametrize("days, lag", [(3, 0), (7, 6), (1, 0)])
+def test_timelines_equal_pairs(spark, days, lag):
     """Ties in time, null channels and a user with most of the data."""
     rows = [(i, 1 if i % 3 else i % 11, T0 - dt.timedelta(minutes=(i * 37 % 900) * 10), None if i % 17 == 0 else f"c{i % 4}") for i in range(700)]
     exp = exposures(spark, rows)
     conv = conversions(spark, [(i, 1 if i % 2 else i % 11, T0 - i * 5 * HOUR, 1.0 + i) for i in range(40)])
     pairs = att.attribute(joins.measurement_table(exp, conv, days, lag))
-    flow = credit_flow.attribute_timelines(exp, conv, days, lag, bucket_micros=bucket)
+    flow = credit_flow.attribute_timelines(exp, conv, days, lag)
     table = lambda df: {(r["method"], r["channel"]): r["credit"] for r in df.collect() if abs(r["credit"]) > 1e-9}
     want, got = table(pairs), table(flow)
     assert set(got) == set(want)
     assert all(got[k] == pytest.approx(want[k], rel=1e-7) for k in want)
 
 
+def test_twenty_years_and_one_day_with_most_rows(spark):
+    rows = [(i, 1, T0 - i * 90 * 24 * HOUR - dt.timedelta(minutes=i), f"c{i % 3}") for i in range(80)]
+    rows += [(100 + i, 1, T0 - 4_000 * 24 * HOUR + dt.timedelta(seconds=i // 3), f"c{i % 4}") for i in range(900)]
+    exp = exposures(spark, rows)
+    conv = conversions(spark, [(i, 1, T0 - i * 90 * 24 * HOUR, 1.0 + i) for i in range(80)] + [(200 + i, 1, T0 - 4_000 * 24 * HOUR + i * HOUR, 5.0 + i) for i in range(30)])
+    pairs = att.attribute(joins.measurement_table(exp, conv, 7, 0))
+    table = lambda df: {(r["method"], r["channel"]): r["credit"] for r in df.collect() if abs(r["credit"]) > 1e-9}
+    want, got = table(pairs), table(credit_flow.attribute_timelines(exp, conv, 7))
+    assert set(got) == set(want)
+    assert all(got[k] == pytest.approx(want[k], rel=1e-7) for k in want)
+
+
 def test_grid_without_pairs(spark):
     exp = exposures(spark, [(i, i % 4, T0 - dt.timedelta(minutes=i * 97), f"c{i % 3}") for i in range(80)])
     conv = conversions(spark, [(i, i % 4, T0 - i * 9 * HOUR, 1.0 + i) for i in range(12)])
