@@ -145,7 +145,9 @@ def _matches(words: C.Words, items: Items):
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", errors: float = 0.2,
 ) -> DataFrame:
-    """(doc_id, item_id, distance, start, length): the best match of each item in each document, in words.
+    """(doc_id, item_id, distance, start, length, text_key): the best match of each item in each document, in words.
+
+    Of equally good matches the one that ends first counts, of these the shortest. ``text_key`` (xxhash64 of the text) tells rows of one id apart.
 
     Case and everything but letters and digits are ignored on both sides. Null or short items (under five words) and
     null or empty texts match nothing. Every row of either table is compared for itself, equal rows too; other columns
@@ -153,7 +155,8 @@ def find_leaks(
     block a pass over the documents.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, item_id long, distance int, start long, length long"
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    schema = "doc_id long, item_id long, distance int, start long, length long, text_key long"
 
     def against(block: list[tuple]) -> DataFrame:
         items = prepare(block, errors)
@@ -162,10 +165,10 @@ def find_leaks(
             for batch in batches:
                 for part in slices(batch, "text", C.CHUNK_BYTES):
                     found = list(_matches(plain_words(part.column("text")), items))
-                    ids = part.column("doc_id").to_pylist()
-                    columns = [[ids[f[0]] for f in found], [items.ids[f[1]] for f in found], *([f[k] for f in found] for k in (2, 3, 4))]
-                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "distance", "start", "length"])
+                    ids, keys = part.column("doc_id").to_pylist(), part.column("text_key").to_pylist()
+                    columns = [[ids[f[0]] for f in found], [items.ids[f[1]] for f in found], *([f[k] for f in found] for k in (2, 3, 4)), [keys[f[0]] for f in found]]
+                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "distance", "start", "length", "text_key"])
 
         return rows.mapInArrow(search, schema)
 

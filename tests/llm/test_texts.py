@@ -81,7 +81,7 @@ def test_decontamination(spark):
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
     got = decontamination.find_leaks(cases.table(spark, docs), bench, errors=0.2)
     want = [(1, 1, 0, 50, 20), (2, 2, 2, 0, 30), (7, 1, 0, 0, 20), (7, 1, 0, 0, 20), (None, 2, 0, 0, 30), (8, 1, 0, 0, 12)]
-    assert cases.ordered(got.collect()) == cases.ordered(want)
+    assert cases.ordered(got.drop("text_key").collect()) == cases.ordered(want)
     assert decontamination.find_leaks(cases.table(spark, []), bench).count() == 0
     assert decontamination.find_leaks(cases.table(spark, docs), bench.limit(0)).count() == 0
 
