@@ -33,8 +33,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within a fifth of its words."""
-    leaks = saved(decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"), errors=0.2).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    own_id, key = unused(docs, "_id"), unused(docs, "_key")
+    found = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"), errors=0.2)
+    leaks = saved(found.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(key)).distinct(), "leaks")
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.col("text").cast("string")) == F.col(key))
+    return docs.join(leaks, match, "left_anti").select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
