@@ -2,7 +2,7 @@
 
 Word counts come from all training documents. The words that occur often enough are the vocabulary of a recurrent net,
 which learns from every training document: in each round tasks train copies of it on the next piece of their chunks and
-the copies are averaged. Every other word gets the net's probability of another word times its share among them by
+the copies are averaged. Texts are read once and kept as numbers of their chunk's words. Every other word gets the net's probability of another word times its share among them by
 corpus counts. So the scores are those of one distribution over all words, comparable with the unigram base.
 """
 
@@ -12,12 +12,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adweave.llm import chunks as C
 from adweave.llm import gru
 from adweave.llm.common import fold_of, saved
+from adweave.llm.tokens import slices
 
 VOCABULARY = 4_096  # words of the net at least, if there are so many
 PASSES = 1  # times that every training token is learned from
@@ -26,22 +28,38 @@ SLICE = 1 << 18  # weights that are summed together
 LOG10 = float(np.log(10))
 
 
-class _Counts:
-    """The distinct words of a chunk."""
+LISTS = pa.schema([
+    ("range", pa.int32()), ("chunk", pa.int64()), ("size", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
+])
+_LISTS = "range int, chunk long, size int, hashes binary, counts binary, ids array<long>, lengths array<long>"
+CODES = -1  # in the place of a range: the row holds the words of a chunk as numbers
 
-    def __init__(self, rows: pa.Table, ranges: int):
-        self.words = C.words_of(rows["text"], lower=True)
-        self.distinct, number = np.unique(self.words.table[:, 0], return_inverse=True)
-        self.run = number[self.words.at]
-        self.range_ids, self.cuts = C.cut_points(self.distinct, 64, ranges)
 
-    def lists(self, chunk: int, trained: np.ndarray) -> list[dict]:
-        use = np.repeat(trained, np.diff(self.words.offsets))
-        counts = np.bincount(self.run[use], minlength=len(self.distinct)).astype(np.uint64)
-        return [
-            {"range": int(r), "chunk": chunk, "size": int(b - a), "hashes": C.coded(self.distinct[a:b], 8), "counts": C.planes(counts[a:b], 4)}
-            for r, a, b in zip(self.range_ids, self.cuts[:-1], self.cuts[1:], strict=True)
-        ]
+def _read(chunk: int, ids: pa.Array, texts: pa.Array, ranges: int, folds: int, held_fold: int) -> pa.Table:
+    """The distinct words of a chunk as lists of hashes with their training counts by hash range, and its texts as numbers of these words."""
+    words = C.words_of(texts, lower=True)
+    distinct, number = np.unique(words.table[:, 0], return_inverse=True)
+    codes, lengths = number[words.at], np.diff(words.offsets)
+    use = np.repeat(_trained(ids, folds, held_fold), lengths)
+    counts = np.bincount(codes[use], minlength=len(distinct)).astype(np.uint64)
+    owners, cuts = C.cut_points(distinct, 64, ranges)
+    rows = [
+        {"range": int(r), "chunk": chunk, "size": int(b - a), "hashes": C.coded(distinct[a:b], 8), "counts": C.planes(counts[a:b], 4)}
+        for r, a, b in zip(owners, cuts[:-1], cuts[1:], strict=True)
+    ]
+    rows.append({"range": CODES, "chunk": chunk, "size": len(distinct), "hashes": C.coded(distinct, 8), "counts": C.planes(codes, 4), "ids": ids.to_pylist(), "lengths": lengths.tolist()})
+    return pa.Table.from_pylist(rows, schema=LISTS)
+
+
+class _Texts:
+    """A chunk read back: sorted hashes of its words, texts as numbers of them."""
+
+    def __init__(self, row: dict):
+        self.distinct = C.decoded(row["hashes"], 8)
+        self.codes = C.from_planes(row["counts"], 4).astype(np.int64)
+        self.ids = pa.array(row["ids"], pa.int64())
+        self.lengths = np.asarray(row["lengths"], np.int64)
+        self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])
 
 
 def _merge(table: pa.Table, most: int):
@@ -66,28 +84,30 @@ def _merge(table: pa.Table, most: int):
     return [C.planes(answer[b - r["size"] : b], 8) for b, r in zip(ends, rows, strict=True)], extra
 
 
-def _trained(ids: pa.ChunkedArray, folds: int, held_fold: int) -> np.ndarray:
+def _trained(ids, folds: int, held_fold: int) -> np.ndarray:
     from zlib import crc32
 
     return np.asarray([crc32(b"" if i is None else str(i).encode()) % folds != held_fold for i in ids.to_pylist()], bool)
 
 
-def _learn(net: gru.Net, chunks: C.Chunks, numbered, end: int, folds: int, held_fold: int, passes: int) -> None:
+def _learn(net: gru.Net, texts: DataFrame, numbered, end: int, folds: int, held_fold: int, passes: int) -> None:
     """Trains ``net`` in ``ROUNDS`` on all training tokens of all chunks, ``passes`` times.
 
-    Each chunk's tokens are written once as ``ROUNDS`` pieces. In a round every chunk trains a copy of the net on its next
+    Each chunk's training tokens are written once as ``ROUNDS`` pieces. In a round every chunk trains a copy of the net on its next
     ``passes`` pieces; tasks add up what their copies learned, and slices of these sums are added up over the tasks.
     """
     names = [f"p{k}" for k in range(ROUNDS)]
 
-    def encode(rows: pa.Table) -> pa.Table:
-        rows = C.in_order(rows)
-        use = _trained(rows["doc_id"], folds, held_fold)
-        words = C.words_of(rows["text"].filter(pa.array(use)), lower=True)
-        stream = np.insert(numbered(words.table[:, 0])[words.at], words.offsets[1:], end)
-        return pa.table({k: pa.array([C.planes(x, 4)], pa.binary()) for k, x in zip(names, np.array_split(stream, ROUNDS), strict=True)})
+    def encode(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                held = _Texts(row)
+                use = _trained(held.ids, folds, held_fold)
+                ends = np.cumsum(held.lengths[use])
+                stream = np.insert(numbered(held.distinct)[held.codes[np.repeat(use, held.lengths)]], ends, end)
+                yield pa.RecordBatch.from_arrays([pa.array([C.planes(x, 4)], pa.binary()) for x in np.array_split(stream, ROUNDS)], names=names)
 
-    pieces = saved(chunks.rows.groupBy("chunk").applyInArrow(encode, ", ".join(f"{k} binary" for k in names)), "pieces")
+    pieces = saved(texts.mapInArrow(encode, ", ".join(f"{k} binary" for k in names)), "pieces")
     tasks = 2 * pieces.sparkSession.sparkContext.defaultParallelism  # each moves one net
     for turn in range(ROUNDS):
         these = [names[k % ROUNDS] for k in range(turn * passes, (turn + 1) * passes)]
@@ -123,16 +143,20 @@ def score_documents(
     net's words are all that make up more than 1 / sqrt(training tokens) of them, so the net grows slower than the corpus, and
     at least the ``vocabulary`` most frequent (ties by hash).
     """
-    chunks = C.in_chunks(docs, id_col, text_col)
-    ranges = chunks.ranges
-    outside = chunks.rows.where(fold_of("doc_id", folds) != held_fold)
-
-    def ask(rows: pa.Table) -> pa.Table:
-        rows = C.in_order(rows)
-        lists = _Counts(rows, ranges).lists(rows["chunk"][0].as_py(), _trained(rows["doc_id"], folds, held_fold))
-        return pa.Table.from_pylist(lists, schema=pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("size", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())]))
-
-    lists = chunks.rows.groupBy("chunk").applyInArrow(ask, "range int, chunk long, size int, hashes binary, counts binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(8, total // C.RANGE_BYTES)
+    outside = rows.where(fold_of("doc_id", folds) != held_fold)
+
+    def read(batches):
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in slices(batch, "text", C.CHUNK_BYTES):
+                yield from _read(chunk, part.column(0), part.column(1), ranges, folds, held_fold).to_batches()
+                chunk += 1
+
+    everything = saved(rows.mapInArrow(read, _LISTS), "words")
+    texts, lists = everything.where(F.col("range") == CODES), everything.where(F.col("range") != CODES)
     more = ", tokens long, kinds long, top array<struct<hash: long, count: long>>"
     answers = C.answered(lists, lambda t: _merge(t, max(vocabulary, VOCABULARY)), "counts", more)
     sums = answers.agg(F.sum("tokens"), F.sum("kinds")).first()
@@ -161,29 +185,29 @@ def score_documents(
         return np.where(hashes[at] == values, places[at], n)
 
     net = gru.new_net(counts, others)
-    _learn(net, chunks, numbered, end, folds, held_fold, passes)
+    _learn(net, texts, numbered, end, folds, held_fold, passes)
 
     scale = tokens + 0.5 * (kinds + 1)
     other_scale = others + 0.5 * (kinds - int((counts > 0).sum())) + 0.5
     log_end = float(np.log10((ends + 0.5) / scale))
 
     def judge(rows: pa.Table, found: pa.Table) -> pa.Table:
-        held = _Counts(rows, ranges)
-        known = C.gathered(found, held.cuts, held.range_ids, lambda data, size: C.from_planes(data, 8), np.uint64).astype(float)
-        offsets, number = held.words.offsets, numbered(held.distinct)
-        summed = lambda per_word: np.diff(np.concatenate([[0.0], np.cumsum(per_word[held.run])])[offsets])
+        held = _Texts(rows.to_pylist()[0])
+        owners, cuts = C.cut_points(held.distinct, 64, ranges)
+        known = C.gathered(found, cuts, owners, lambda data, size: C.from_planes(data, 8), np.uint64).astype(float)
+        offsets, number = held.offsets, numbered(held.distinct)
+        summed = lambda per_word: np.diff(np.concatenate([[0.0], np.cumsum(per_word[held.codes])])[offsets])
         base = summed(np.log10((known + 0.5) / scale)) + log_end
         other = np.where(number == n, np.log10((known + 0.5) / other_scale), 0.0)
-        ids = np.insert(number[held.run], offsets[1:], end)
+        ids = np.insert(number[held.codes], offsets[1:], end)
         bounds = offsets + np.arange(len(offsets))
         model = gru.score(net, [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], end) / LOG10 + summed(other)
         return pa.table({
-            "doc_id": rows["doc_id"], "held_out": pa.array(~_trained(rows["doc_id"], folds, held_fold)), "n_tokens": pa.array(np.diff(bounds)),
-            "n_known": pa.array(summed((known > 0).astype(float)).astype(np.int64) + (ends > 0)), "train_tokens": pa.array(np.full(len(rows), tokens)),
+            "doc_id": held.ids, "held_out": pa.array(~_trained(held.ids, folds, held_fold)), "n_tokens": pa.array(np.diff(bounds)),
+            "n_known": pa.array(summed((known > 0).astype(float)).astype(np.int64) + (ends > 0)), "train_tokens": pa.array(np.full(len(held.ids), tokens)),
             "base_score": pa.array(base), "score": pa.array(model),
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scores = saved(C.with_answers(chunks, answers.select("chunk", "range", "answer"), judge, schema), "scores")
-    chunks.drop()
-    return scores
+    answers = answers.select("chunk", "range", "answer")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge, schema)
