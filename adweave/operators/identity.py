@@ -13,6 +13,7 @@ from adweave.functions import scalar as fn
 from adweave.operators import models
 from adweave.operators.components import connected_components
 from adweave.operators.metrics import classification_report, confusion, ranking_metrics
+from adweave.session import cut_lineage
 
 # Blocking keys.
 BLOCKING = ("domain", "phone4", "city_ua")
@@ -130,16 +131,22 @@ def char_ngrams(text: str, low: int = 3, high: int = 5) -> Column:
 
 
 def tfidf(records: DataFrame, columns: Sequence[str] = PROFILE, min_df: int = 2, low: int = 3, high: int = 5) -> DataFrame:
-    """(record_id, term, weight): smoothed idf ln((1+N)/(1+df))+1, unit length per record."""
-    text = records.select("record_id", fn.profile_text(columns).alias("_t"))
-    counts = text.select("record_id", F.explode(char_ngrams("_t", low, high)).alias("term")).groupBy("record_id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    """(record_id, term, weight): smoothed idf ln((1+N)/(1+df))+1, unit length per record.
+
+    n-grams are cut once for each distinct word. Records meet them as packed lists, dealt by record, where the lists are
+    opened and counted, so the n-grams of records are not shuffled one by one.
+    """
+    split = F.array_remove(F.split(F.lower(fn.profile_text(columns)), r"\s+"), "")
+    held = records.select("record_id", F.explode(split).alias("_word")).groupBy("record_id", "_word").agg(F.count(F.lit(1)).alias("_n"))
+    grams = held.select("_word").distinct().withColumn("_grams", char_ngrams("_word", low, high))
+    packed = held.join(grams, "_word").select("record_id", "_n", "_grams").repartition("record_id")
+    opened = packed.select("record_id", "_n", F.explode("_grams").alias("term"))
+    counts = cut_lineage(opened.groupBy("record_id", "term").agg(F.sum("_n").alias("tf")))
     n = records.count()
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
     raw = counts.join(df, "term").select("record_id", "term", (F.col("tf") * (F.ln((1.0 + n) / (1 + F.col("df"))) + 1)).alias("w"))
-    norms = raw.groupBy("record_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, "record_id").select("record_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("record_id")))
+    return raw.select("record_id", "term", (F.col("w") / norm).alias("weight"))
 
 
 def sparse_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -150,11 +157,11 @@ def sparse_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return pairs.select("i", "j").join(dots, ["i", "j"], "left").select("i", "j", F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
 
 
-def svd_embedding(vectors: DataFrame, components: int = 48, max_terms: int = 65_000, index: str = "record_id") -> DataFrame:
+def svd_embedding(vectors: DataFrame, components: int = 48, index: str = "record_id") -> DataFrame:
     """(record_id, embedding): truncated SVD coordinates of each sparse row. Component signs are arbitrary."""
     from adweave.operators.decomposition import truncated_svd
 
-    return truncated_svd(vectors, index, components, max_terms)
+    return truncated_svd(vectors, index, components)
 
 
 def pair_features(pairs: DataFrame, records: DataFrame, embedding: DataFrame | None = None) -> DataFrame:

@@ -29,8 +29,13 @@ _KEYS = f"""SELECT record_id, person_id, nullif({_DOMAIN}, '') AS domain, nullif
   nullif(city || '|' || user_agent, '|') AS city_ua, nullif(email_hash, '') AS email_hash, nullif(lower(name), '') AS name, string_split(lower(name), ' ') AS tokens FROM identity"""
 _ALL_PAIRS = """SELECT a.person_id = b.person_id AS same FROM keys a JOIN keys b ON a.record_id < b.record_id
   AND (a.domain = b.domain OR a.phone4 = b.phone4 OR a.city_ua = b.city_ua)"""
-_PAIRS = """SELECT a.record_id AS i, b.record_id AS j, CAST(a.person_id = b.person_id AS INT) AS same_person FROM keys a JOIN keys b ON a.record_id < b.record_id
-  AND (a.email_hash = b.email_hash OR (a.name = b.name AND (a.domain = b.domain OR a.city_ua = b.city_ua)) OR (a.phone4 = b.phone4 AND len(list_intersect(a.tokens, b.tokens)) > 0))"""
+_PAIRS = " UNION ".join(
+    f"SELECT a.record_id AS i, b.record_id AS j, CAST(a.person_id = b.person_id AS INT) AS same_person FROM keys a JOIN keys b ON a.record_id < b.record_id AND {same}"
+    for same in (
+        "a.email_hash = b.email_hash", "a.name = b.name AND a.domain = b.domain", "a.name = b.name AND a.city_ua = b.city_ua",
+        "a.phone4 = b.phone4 AND len(list_intersect(a.tokens, b.tokens)) > 0",
+    )
+)
 PAIR_CTES = {"keys": _KEYS, "pairs": _PAIRS}
 
 

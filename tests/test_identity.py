@@ -3,6 +3,8 @@
 from collections import Counter
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from adweave.operators import identity as idn
 from adweave.operators.components import connected_components
 
@@ -112,3 +114,34 @@ def test_embedding_keeps_cosines_of_low_rank_rows(spark):
     table = truncated_svd(spark.createDataFrame(rows, "record_id long, term string, weight double"), "record_id", 3).collect()
     out = np.array([r["embedding"] for r in sorted(table, key=lambda r: r["record_id"])])
     assert np.allclose(out @ out.T, dense @ dense.T, atol=1e-6)
+
+
+def test_embedding_of_more_terms_than_a_driver_table(spark):
+    """80,000 terms: rows of their own terms are the singular vectors, their lengths the singular values."""
+    import numpy as np
+
+    from adweave.operators.decomposition import truncated_svd
+
+    length = lambda i: F.when(F.col("i") < 6, 100 * F.pow(F.lit(0.5), F.col("i"))).otherwise(0.01)
+    cells = spark.range(80_000).select((F.col("id") % 200).alias("i"), F.concat(F.lit("t"), "id").alias("term"))
+    cells = cells.select(F.col("i").alias("record_id"), "term", (length("i") / F.sqrt(F.lit(400.0))).alias("weight"))
+    table = {r["record_id"]: r["embedding"] for r in truncated_svd(cells, "record_id", 4).collect()}
+    assert len(table) == 200
+    for i in range(4):
+        want = np.zeros(4)
+        want[i] = 100 * 0.5**i
+        assert np.allclose(np.abs(table[i]), want, atol=1e-3)
+
+
+def test_embedding_singular_values_are_those_of_the_matrix(spark):
+    import numpy as np
+
+    from adweave.operators.decomposition import truncated_svd
+
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=(60, 12)) * (0.6 ** np.arange(12)) @ np.linalg.qr(rng.normal(size=(40, 12)))[0].T
+    rows = [(i, f"t{j}", float(dense[i, j])) for i in range(60) for j in range(40)]
+    table = truncated_svd(spark.createDataFrame(rows, "record_id long, term string, weight double"), "record_id", 6).collect()
+    found = np.linalg.norm([r["embedding"] for r in table], axis=0)
+    assert np.allclose(found, np.linalg.svd(dense, compute_uv=False)[:6], rtol=1e-4)
+    assert truncated_svd(spark.createDataFrame([], "record_id long, term string, weight double"), "record_id", 6).count() == 0
