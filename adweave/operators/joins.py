@@ -33,16 +33,35 @@ def _shape(pairs: DataFrame, lookback_days: int, min_lag_hours: float) -> DataFr
     )
 
 
+def _in_blocks(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_id: str, rows: int) -> DataFrame:
+    """The equi-join on ``keys`` with both sides of a large key cut into blocks of about ``rows``.
+
+    Each block of the left side meets each block of the right side in one place, so every pair comes out once and no
+    task has more than a block of either side for one key.
+    """
+    key = list(keys)
+    blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name)).where(F.col(name) > 1)
+    cuts = blocks(left, "_lb").join(blocks(right, "_rb"), key, "full").select(*key, F.coalesce("_lb", F.lit(1)).alias("_lb"), F.coalesce("_rb", F.lit(1)).alias("_rb"))
+
+    def dealt(df: DataFrame, own: str, own_blocks: str, id_col: str, other: str, other_blocks: str) -> DataFrame:
+        marked = df.join(cuts, key, "left")
+        marked = marked.withColumn(own, F.pmod(F.xxhash64(id_col), F.coalesce(own_blocks, F.lit(1))).cast("int"))
+        return marked.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other_blocks, F.lit(1)) - 1))).drop("_lb", "_rb")
+
+    return dealt(left, "_l", "_lb", left_id, "_r", "_rb").join(dealt(right, "_r", "_rb", right_id, "_l", "_lb"), [*key, "_l", "_r"]).drop("_l", "_r")
+
+
 def window_join(
-    exposures: DataFrame, conversions: DataFrame, lookback_days: int, min_lag_hours: float = 0.0
+    exposures: DataFrame, conversions: DataFrame, lookback_days: int, min_lag_hours: float = 0.0, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Pairs of the same user with ``min_lag ≤ hours between ≤ lookback*24``, both ends inclusive.
 
     One equi-join on user with the range as a residual join condition, so non-matching pairs are never
-    materialised. Row order is not part of a DataFrame; sort by (conversion_id, ts_exposure) to present.
+    materialised; users with more than ``hot_rows`` on a side are cut into blocks. Row order is not part of a
+    DataFrame; sort by (conversion_id, ts_exposure) to present.
     """
-    pairs = exposures.join(conversions, "user_id").where(_in_window(lookback_days, min_lag_hours))
-    return _shape(pairs, lookback_days, min_lag_hours)
+    pairs = _in_blocks(exposures, conversions, ["user_id"], "exposure_id", "conversion_id", hot_rows)
+    return _shape(pairs.where(_in_window(lookback_days, min_lag_hours)), lookback_days, min_lag_hours)
 
 
 def bucketed_window_join(
@@ -52,37 +71,17 @@ def bucketed_window_join(
     min_lag_hours: float = 0.0,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Same rows as :func:`window_join`, spread over time buckets and salts for heavy users.
+    """Same rows as :func:`window_join`, spread over time buckets, and over blocks for heavy (user, bucket)s.
 
     The bucket is as wide as the lookback, so a conversion can only see its own bucket and the one before.
-    A (user, bucket) with more than ``hot_rows`` exposures is cut into as many salts as needed; its
-    conversions are repeated once per salt, and every exposure has exactly one salt, so no pair is lost
-    or doubled.
     """
     width = int(lookback_days * 86_400_000_000)
     micros = lambda ts: F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP'1970-01-01 00:00:00', {ts})")
     touches = exposures.withColumn("_bucket", F.floor(micros("ts_exposure") / width))
-    heavy = (
-        touches.groupBy("user_id", "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select("user_id", "_bucket", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
-    )
-    keys = ["user_id", "_bucket"]
-    touches = (
-        touches.join(heavy, keys, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64("exposure_id"), F.coalesce("_salts", F.lit(1))).cast("int"))
-        .drop("_salts")
-    )
     own = F.floor(micros("ts_conversion") / width)
-    seekers = (
-        conversions.withColumn("_bucket", F.explode(F.array(own, own - 1)))
-        .join(heavy, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-        .drop("_salts")
-    )
-    pairs = touches.join(seekers, [*keys, "_salt"]).where(_in_window(lookback_days, min_lag_hours))
-    return _shape(pairs, lookback_days, min_lag_hours)
+    seekers = conversions.withColumn("_bucket", F.explode(F.array(own, own - 1)))
+    pairs = _in_blocks(touches, seekers, ["user_id", "_bucket"], "exposure_id", "conversion_id", hot_rows)
+    return _shape(pairs.where(_in_window(lookback_days, min_lag_hours)), lookback_days, min_lag_hours)
 
 
 def rank_touches(exposures: DataFrame) -> DataFrame:

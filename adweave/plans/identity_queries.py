@@ -244,6 +244,14 @@ def _(spark, d):
     return segments.journeys(_steps(spark, d))
 
 
+@_register(
+    "jrn1_journey_steps",
+    f"WITH steps AS ({_STEPS}) SELECT resolved_id, row_number() OVER (PARTITION BY resolved_id ORDER BY event_order, record_id) AS step, channel FROM steps",
+)
+def _(spark, d):
+    return segments.journey_steps(_steps(spark, d))
+
+
 # Short paths: one journey per user and day, so that equal paths occur.
 _DAILY = _STEPS.replace("user_id // 10 AS resolved_id", "user_id * 100 + day(ts) AS resolved_id")
 
@@ -260,7 +268,7 @@ def _(spark, d):
         fx.channel_of_props().alias("channel"),
         (F.col("event_type") == "purchase").cast("int").alias("conversion_event"),
     )
-    return segments.top_paths(segments.journeys(steps))
+    return segments.top_paths(steps)
 
 
 _TEXT = "trim(concat_ws(' ', nullif(lower(name), ''), nullif(lower(email), ''), nullif(phone, ''), nullif(lower(city), ''), nullif(lower(user_agent), '')))"

@@ -22,8 +22,8 @@ def _register(name, sql=None):
     return wrap
 
 
-def rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def rounded(df, *columns, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 _RANKED = "SELECT *, row_number() OVER (PARTITION BY model ORDER BY p DESC, key) AS rank FROM scored"
@@ -221,14 +221,42 @@ def _(spark, d):
     return rounded(met.bidding_report(fx.scored(spark, d)), "buy_rate", "realized_ctr", "revenue", "cost", "profit")
 
 
-@_register("met14_paired_bootstrap")
+def _steps_sql(x: str) -> str:
+    return " + ".join(f"CAST({x} >= {t} AS INT)" for t in met.POISSON_STEPS)
+
+
+def _bootstrap_ctes(pairs: int = 1000, seed: int = 42) -> dict[str, str]:
+    """2 * ``pairs`` replicates; every step of the finaliser is a column of its own."""
+    mix = lambda src, x, keep: (
+        f"SELECT {keep}, xor(c, c >> 16) AS m FROM (SELECT {keep}, xor(b, b >> 13) * {met.MIX[1]}::UBIGINT & 4294967295::UBIGINT AS c FROM "
+        f"(SELECT {keep}, xor(a, a >> 16) * {met.MIX[0]}::UBIGINT & 4294967295::UBIGINT AS b FROM (SELECT {keep}, {x} AS a FROM {src})))"
+    )
+    q = lambda x: f"least(greatest({x}, {met.EPS_DOUBLE!r}::DOUBLE), 1 - {met.EPS_DOUBLE!r}::DOUBLE)"
+    loss = lambda x: f"-(label * ln({q(x)}) + (1 - label) * ln(1 - {q(x)}))"
+    return {
+        "wide": "SELECT key, max(label)::DOUBLE AS label, max(p) FILTER (model = 'a') AS pa, max(p) FILTER (model = 'b') AS pb FROM scored GROUP BY key",
+        "delta": f"SELECT key::UBIGINT AS key, {loss('pa')} - ({loss('pb')}) AS ll, (pa - label) * (pa - label) - (pb - label) * (pb - label) AS br FROM wide",
+        "salts": mix(f"range(0, {pairs}) t(r)", f"(r + {seed})::UBIGINT", "r"),
+        "first": mix("(SELECT r, s.m AS s, key, ll, br FROM salts s, delta)", "xor(key & 4294967295::UBIGINT, s)", "r, key, ll, br"),
+        "bits": mix("(SELECT r, key, ll, br, m AS f FROM first)", "xor(f, key >> 32)", "r, ll, br"),
+        "weights": f"SELECT r, {_steps_sql('(m & 65535::UBIGINT)')} AS w, ll, br FROM bits UNION ALL SELECT r + {pairs}, {_steps_sql('(m >> 16)')}, ll, br FROM bits",
+        "reps": "SELECT r, sum(w * ll) / sum(w) AS ll, sum(w * br) / sum(w) AS br FROM weights GROUP BY r",
+        "tall": "SELECT 'log_loss' AS metric, ll AS v FROM reps UNION ALL SELECT 'brier', br FROM reps",
+    }
+
+
+_BOOTSTRAP = """SELECT metric, round(quantile_cont(v, 0.5), 9) AS median_delta, round(quantile_cont(v, 0.025), 9) AS ci95_low, round(quantile_cont(v, 0.975), 9) AS ci95_high,
+  quantile_cont(v, 0.025) > 0 AS significant_improvement FROM tall GROUP BY metric"""
+
+
+@_register("met14_paired_bootstrap", with_ctes(["scored"], _BOOTSTRAP, **_bootstrap_ctes()))
 def _(spark, d):
     wide = fx.scored(spark, d).groupBy("key").agg(
         F.max("label").alias("label"),
         F.max(F.when(F.col("model") == "a", F.col("p"))).alias("p_base"),
         F.max(F.when(F.col("model") == "b", F.col("p"))).alias("p_new"),
     )
-    return met.paired_bootstrap(wide, replicates=2000)
+    return rounded(met.paired_bootstrap(wide, replicates=2000), "median_delta", "ci95_low", "ci95_high", digits=9)
 
 
 @_register(

@@ -29,7 +29,7 @@ def read_event_stream(
 def read_touch_log(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Tab-separated touch log with a header, also gzipped; only the six used columns.
 
-    A gzip file cannot be split, so its one task hands the rows on to ``partitions`` tasks.
+    A gzip file cannot be split, so its one task hands the rows on to ``partitions`` tasks, or by a hash of the whole row.
     """
     columns = schemas.TOUCH_RAW.names
     header = spark.read.text(path).limit(1).first()
@@ -39,7 +39,7 @@ def read_touch_log(spark: SparkSession, path: str, partitions: int | None = None
         full = full.add(n, "string")
     rows = spark.read.option("sep", "\t").option("header", True).schema(full).csv(path).select(*columns)
     if path.endswith(".gz"):
-        return rows.repartition(partitions) if partitions else rows.repartition("uid")
+        return rows.repartition(partitions) if partitions else rows.repartition(F.xxhash64(*columns))
     return rows
 
 

@@ -32,11 +32,10 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 def write_measurement_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Persists the joined table, one folder per lookback window.
 
-    The rows are shuffled by conversion first, so later per-conversion work finds them together in files of
-    even size; a hot conversion is spread by its exposures.
+    The rows are dealt by conversion first, so later per-conversion work finds them together. Adaptive execution evens
+    the parts out by their measured sizes: small ones are merged, that of a hot conversion is split as often as it takes.
     """
-    spread = F.pmod(F.xxhash64("exposure_id"), F.lit(8))
-    df.repartition("conversion_id", spread).write.mode(mode).partitionBy("lookback_days").parquet(path)
+    df.hint("rebalance", "conversion_id").write.mode(mode).partitionBy("lookback_days").parquet(path)
 
 
 def append_scored(df: DataFrame, path: str, reset: bool = False) -> str:

@@ -153,3 +153,39 @@ def test_small_credit_stays_and_no_dust_appears(spark):
     conv = conversions(spark, [(i, 1, T0 - i * HOUR, 1e15) for i in range(40)] + [(99, 2, T0, 1e-15)])
     got = {(r["method"], r["channel"]): r["credit"] for r in credit_flow.attribute_timelines(exposures(spark, rows), conv, 7).collect()}
     assert got["linear", "tiny"] == pytest.approx(1e-15) and not [k for k in got if k[1] == "old"]
+
+
+@pytest.mark.parametrize("exposed, bought", [(5, 1200), (1200, 5), (300, 300)])
+def test_one_user_is_cut_into_blocks_on_both_sides(spark, exposed, bought):
+    exp = exposures(spark, [(i, 1, T0 - dt.timedelta(minutes=i % 50), f"c{i % 3}") for i in range(exposed)])
+    conv = conversions(spark, [(i, 1, T0 + dt.timedelta(minutes=i % 70), 1.0) for i in range(bought)] + [(9_999, 2, T0, 1.0)])
+    plain = exp.join(conv, "user_id").where("ts_conversion >= ts_exposure and ts_conversion <= ts_exposure + interval 1 day").count()
+    for join in (joins.window_join, joins.bucketed_window_join):
+        got = join(exp, conv, 1, hot_rows=100)
+        assert got.count() == got.select("exposure_id", "conversion_id").distinct().count() == plain
+    cut = joins._in_blocks(exp, conv.select("user_id", "conversion_id"), ["user_id"], "exposure_id", "conversion_id", 100)
+    assert cut.count() == exposed * bought
+
+
+def journey_events(spark, rows):
+    return spark.createDataFrame(rows, "resolved_id long, record_id long, event_order long, channel string, conversion_event int")
+
+
+def test_top_paths_of_one_long_and_many_short_identities(spark):
+    rows = [(0, i % 3, i, f"c{i * i % 7}", int(i == 5)) for i in range(3_000)]
+    for k in range(1, 60):
+        rows += [(k, 0, i, "abc"[(i + k % 4) % 3], int(i == 0 and k % 5 > 0)) for i in range(1 + k % 4)]
+    rows += [(100, 0, 1, None, 1), (101, 0, 1, None, 0), (102, 0, 2, "a", 1), (102, 0, 1, None, 0)]
+    want = {}
+    for k in {r[0] for r in rows}:
+        held = sorted((r for r in rows if r[0] == k), key=lambda r: (r[2], r[1]))
+        if any(r[4] for r in held):
+            path = " > ".join(r[3] for r in held if r[3] is not None)
+            want[path] = want.get(path, 0) + 1
+    top = sorted(want.items(), key=lambda x: (-x[1], x[0]))
+    df = journey_events(spark, rows)
+    for k in (1, 3, 50):
+        assert [(r["path"], r["n_converted_users"]) for r in segments.top_paths(df, k).collect()] == top[:k]
+    steps = segments.journey_steps(df).where("resolved_id = 0").collect()
+    assert sorted((r["step"], r["channel"]) for r in steps) == [(i + 1, f"c{i * i % 7}") for i in range(3_000)]
+    assert segments.top_paths(df.limit(0)).count() == 0
