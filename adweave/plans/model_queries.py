@@ -56,8 +56,13 @@ def _as_scored(df, model: str, p: str = "p"):
     return df.select(F.lit(model).alias("model"), F.col("customerID").alias("key"), F.col("label").cast("int").alias("label"), F.col(p).alias("p"))
 
 
-def _rounds(n: int = 10):
-    return lambda train: models.boosted_trees(n, 3).fit(train)
+# Rounds, depth and rate of the churn model and of the uplift models.
+CHURN_TREES = (250, 4, 0.05)
+UPLIFT_TREES = (200, 4, 0.05)
+
+
+def _trees(train):
+    return models.boosted_trees(*CHURN_TREES).fit(train)
 
 
 @_register("mdl1_logistic_regression")
@@ -80,7 +85,7 @@ def _(spark, d):
 @_register("mdl3_boosted_trees")
 def _(spark, d):
     train, test, _ = _churn_split(spark, d)
-    return models.evaluate(_as_scored(models.positive_probability(_rounds()(train), test), "trees"))
+    return models.evaluate(_as_scored(models.positive_probability(_trees(train), test), "trees"))
 
 
 @_register("mdl4_random_search")
@@ -94,7 +99,7 @@ def _(spark, d):
 @_register("mdl6_feature_importance")
 def _(spark, d):
     train, _, columns = _churn_split(spark, d)
-    return models.feature_importance(_rounds()(train), columns, spark)
+    return models.feature_importance(_trees(train), columns, spark)
 
 
 @_register("mdl7_permutation_importance")
@@ -120,7 +125,7 @@ def _(spark, d):
 def _calibration_parts(spark, d):
     train, test, _ = _churn_split(spark, d)
     hold = models.holdout_flag("customerID", 0.25, "calibration")
-    model = _rounds(5)(train.where(~hold))
+    model = _trees(train.where(~hold))
     return models.positive_probability(model, train.where(hold)), models.positive_probability(model, test)
 
 
@@ -154,8 +159,8 @@ def _uplift_parts(spark, d):
     return table.where(~test).persist(), table.where(test).persist()
 
 
-def _fit_small(rows):
-    return models.boosted_trees(5, 3).fit(rows)
+def _fit_uplift(rows):
+    return models.boosted_trees(*UPLIFT_TREES).fit(rows)
 
 
 def _learner(name, run):
@@ -166,10 +171,10 @@ def _learner(name, run):
         return uplift.lift_summary(scored, model=name.split("_", 1)[1])
 
 
-_learner("upl2_t_learner", lambda train, test: ulm.t_learner(train, test, _fit_small))
-_learner("upl3_s_learner", lambda train, test: ulm.s_learner(train, test, _UPLIFT_COLUMNS, _fit_small))
-_learner("upl4_x_learner", lambda train, test: ulm.x_learner(train, test, _fit_small, trees=10))
-_learner("upl5_r_learner", lambda train, test: ulm.r_learner(train, test, "key", _fit_small, trees=10))
+_learner("upl2_t_learner", lambda train, test: ulm.t_learner(train, test, _fit_uplift))
+_learner("upl3_s_learner", lambda train, test: ulm.s_learner(train, test, _UPLIFT_COLUMNS, _fit_uplift))
+_learner("upl4_x_learner", lambda train, test: ulm.x_learner(train, test, _fit_uplift))
+_learner("upl5_r_learner", lambda train, test: ulm.r_learner(train, test, "key", _fit_uplift))
 
 
 # ---- model operations --------------------------------------------------------------------------

@@ -140,3 +140,20 @@ def test_logistic_queries_run_to_the_default_iterations(spark, sf_dir, monkeypat
     monkeypatch.setattr(models, "logistic", lambda *a, **k: made.append(logistic(*a, **k)) or made[-1])
     QUERIES[name](spark, sf_dir)
     assert made and {m.getMaxIter() for m in made} == {100}
+
+
+def test_wide_categories_become_sparse_vectors(spark):
+    """5,000 levels: no column each, no list in one cell, and the same zeros and ones."""
+    from adweave.operators import features
+
+    rows = [(i, f"v{i % 5000:04d}", "x" if i % 3 else "y", float(i % 7)) for i in range(10_001)]
+    train = spark.createDataFrame(rows, "key long, wide string, slim string, amount double")
+    test = spark.createDataFrame([(1, "v0000", "x", 1.0), (2, "v0001", "y", 2.0), (3, "v4999", "x", 3.0), (4, "none", "x", None), (5, None, None, 0.0)], "key long, wide string, slim string, amount double")
+    numbered = {r["value"]: (r["place"], r["size"], r["n"]) for r in features.number_categories(train, ["wide"]).collect()}
+    assert numbered == {f"v{k:04d}": (k, 5000, 3 if k == 0 else 2) for k in range(5000)}
+    ready, names = features.design_matrix(train, test, ["amount"], ["slim", "wide"])
+    assert names == ["amount", "slim_y", "wide_levels"]
+    got = {r["key"]: r["wide_levels"] for r in models.assemble(ready, names).collect()}
+    assert {k: (v.size, list(v.indices)) for k, v in got.items()} == {1: (4999, []), 2: (4999, [4998]), 3: (4999, [0]), 4: (4999, []), 5: (4999, [])}
+    plain, _ = features.sparse_dummies(test, features.number_categories(train, ["wide"]), ["wide"], impute=False)
+    assert {r["key"]: r["wide_levels"].numNonzeros() for r in plain.collect()} == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0}
