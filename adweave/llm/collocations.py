@@ -15,15 +15,19 @@ of a part does not, are counted out by that; all others by their words, so two t
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adweave.llm import chunks as C
 from adweave.llm.common import saved
+from adweave.llm.tokens import slices
 
 SAMPLE = 0.25  # share of the documents that proposes phrases
 LOWERED = 0.8  # the sample's threshold is this part of the expected count
@@ -33,12 +37,13 @@ BITS = 48  # of a hash that travels
 _ENOUGH = 128  # added to a round
 
 _BLANKS, _MARKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(_BLANKS)], _KIND[list(_MARKS)] = 1, 2
-_LOW = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(_MARKS, b" " * len(_MARKS))), np.uint8)
+_KIND = bytes(1 if b in _BLANKS else 2 if b in _MARKS else 0 for b in range(256))
+_LOW = bytes(range(256)).lower().translate(bytes.maketrans(_MARKS, b" " * len(_MARKS)))
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
+CODES = -1  # in the place of a range: the row holds the words of a chunk as numbers
 LISTS = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("size", pa.int32()), ("hashes", pa.binary()), ("values", pa.binary()), ("counts", pa.binary())])
+CHUNKS = pa.schema([*LISTS, ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string()))])
 COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64()), ("known", pa.bool_())])
 _LISTS, _COUNTS = "range int, chunk long, size int, hashes binary, values binary, counts binary", "lang string, phrase string, size int, n long, known boolean"
 
@@ -67,15 +72,27 @@ def _numbered(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 class _Grams:
     """The words and pairs of a chunk, numbered by (language, word) and by pair."""
 
-    def __init__(self, rows: pa.Table, sample: float = 0.0):
-        texts = pc.fill_null(rows["text"].combine_chunks().cast(pa.large_string()), "")
-        texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+    def __init__(self, langs: pa.Array, words: pa.Array, hashes: np.ndarray, word: np.ndarray, joined: np.ndarray):
+        self.langs, self.words, self.word_hashes, self.word, self.joined = langs, words, hashes, word, joined
+        self.n_words = len(words)
+        at = np.flatnonzero(joined)
+        pairs, number = np.unique(word[at] * self.n_words + word[at + 1], return_inverse=True)
+        self.pair = np.full(len(word), -1)  # the pair that begins at each word
+        self.pair[at] = number
+        self.first, self.second = (pairs // self.n_words, pairs % self.n_words) if self.n_words else (pairs, pairs)
+        values = np.concatenate([hashes, _pair_hashes(hashes[self.first], hashes[self.second])]) >> np.uint64(64 - BITS)
+        self.hashes, self.place = np.unique(values, return_inverse=True)
+
+    @classmethod
+    def read(cls, ids: pa.Array, texts: pa.Array, lang: pa.Array, sample: float) -> _Grams:
+        """From texts; ``sampled`` marks the words of the documents that propose."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
-        raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and data.size else np.empty(0, np.uint8)
+        raw = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data is not None else b""
         ends = ends - ends[0]
-        kind = _KIND[raw]
-        plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends.tobytes()), pa.py_buffer(_LOW[raw].tobytes()))
+        kind = np.frombuffer(raw.translate(_KIND), np.uint8)
+        plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.translate(_LOW)))
         lists = pc.ascii_split_whitespace(plain)
         flat = lists.flatten()
         full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
@@ -85,29 +102,38 @@ class _Grams:
         begin[1:] &= kind[:-1] != 0
         starts = ends[:-1][np.diff(ends) > 0]
         begin[starts] = kind[starts] == 0
-        piece = np.cumsum(kind == 2)[begin]
+        piece = np.cumsum(kind == 2, dtype=np.int32)[begin]
         owner = np.repeat(np.arange(len(texts)), counts)
-        self.joined = (piece[1:] == piece[:-1]) & (owner[1:] == owner[:-1])  # a word and the next are in one piece
+        joined = (piece[1:] == piece[:-1]) & (owner[1:] == owner[:-1])  # a word and the next are in one piece
 
-        langs = rows["lang"].combine_chunks().dictionary_encode()
-        langs = langs.combine_chunks() if isinstance(langs, pa.ChunkedArray) else langs
+        langs = lang.dictionary_encode()
         vocabulary = max(len(coded.dictionary), 1)
         key = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner] * vocabulary + coded.indices.to_numpy(zero_copy_only=False)
-        distinct, self.word = _numbered(key, len(langs.dictionary) * vocabulary)
-        self.langs = langs.dictionary.take(pa.array(distinct // vocabulary))
-        self.words = coded.dictionary.take(pa.array(distinct % vocabulary))
-        self.n_words = len(distinct)
-        sampled = C.mixed(pc.fill_null(rows["doc_id"], -1).to_numpy().astype(np.uint64) + _PAIR) < np.uint64(int(min(sample, 1 - 2**-50) * 2**64))
-        self.sampled = sampled[owner]
-        at = np.flatnonzero(self.joined)
-        pairs, number = np.unique(self.word[at] * self.n_words + self.word[at + 1], return_inverse=True)
-        self.pair = np.full(len(self.word), -1)  # the pair that begins at each word
-        self.pair[at] = number
-        self.first, self.second = (pairs // self.n_words, pairs % self.n_words) if self.n_words else (pairs, pairs)
-
-        hashes = _word_hashes(self.langs.to_pylist(), self.words.to_pylist())
-        values = np.concatenate([hashes, _pair_hashes(hashes[self.first], hashes[self.second])]) >> np.uint64(64 - BITS)
-        self.hashes, self.place = np.unique(values, return_inverse=True)
+        distinct, word = _numbered(key, len(langs.dictionary) * vocabulary)
+        names, words = langs.dictionary.take(pa.array(distinct // vocabulary)), coded.dictionary.take(pa.array(distinct % vocabulary))
+        made = cls(names, words, _word_hashes(names.to_pylist(), words.to_pylist()), word, joined)
+        sampled = C.mixed(pc.fill_null(ids, -1).to_numpy(zero_copy_only=False).astype(np.uint64) + _PAIR) < np.uint64(int(min(sample, 1 - 2**-50) * 2**64))
+        made.sampled = sampled[owner]
+        return made
+
+    def packed(self, chunk: int) -> pa.Table:
+        """The chunk's row with its words as numbers."""
+        names = self.langs.dictionary_encode()
+        row = {
+            "range": CODES, "chunk": chunk, "size": len(self.word), "hashes": self.word_hashes.tobytes(), "values": C.planes(self.word, 4),
+            "counts": C.bits(self.joined) + C.planes(names.indices.to_numpy(zero_copy_only=False), 4), "langs": names.dictionary.to_pylist(), "words": self.words.to_pylist(),
+        }
+        return pa.Table.from_pylist([row], schema=CHUNKS)
+
+    @classmethod
+    def unpacked(cls, rows: pa.Table) -> _Grams:
+        size = rows["size"][0].as_py()
+        hashes, codes, more = (rows[c][0].as_buffer() for c in ("hashes", "values", "counts"))
+        bit_bytes = (max(size - 1, 0) + 7) // 8
+        words = rows["words"].combine_chunks().flatten()
+        names, number = rows["langs"].combine_chunks().flatten(), C.from_planes(more[bit_bytes:], 4).astype(np.int64)
+        joined = C.from_bits(more[:bit_bytes], max(size - 1, 0))
+        return cls(names.take(pa.array(number)), words, np.frombuffer(hashes, np.uint64), C.from_planes(codes, 4).astype(np.int64), joined)
 
     def lists(self, chunk: int, ranges: int, least: int) -> pa.Table:
         n = np.concatenate([np.bincount(self.word, minlength=self.n_words), np.bincount(self.pair[self.pair >= 0], minlength=len(self.first))])
@@ -166,7 +192,7 @@ def _lists(hashes: np.ndarray, values: np.ndarray, counts: np.ndarray, chunk: in
         {"range": int(r), "chunk": chunk, "size": int(b - a), "hashes": C.coded(hashes[a:b], BITS // 8), "values": values[a:b].tobytes(), "counts": C.planes(counts[a:b], width)}
         for r, a, b in zip(owners, cuts[:-1], cuts[1:], strict=True)
     ]
-    return pa.Table.from_pylist(rows, schema=LISTS)
+    return pa.Table.from_pylist(rows, schema=CHUNKS)
 
 
 def _levels(table: pa.Table, threshold: int, least: int) -> list[bytes]:
@@ -210,13 +236,13 @@ def _known_lists(frequent: DataFrame, ranges: int, width: int) -> DataFrame:
         hashes, levels = hashes[order], levels[order].astype(np.uint8)
         new = np.ones(len(hashes), bool)
         new[1:] = hashes[1:] != hashes[:-1]
-        return _lists(hashes[new], levels[new], np.zeros(int(new.sum()), np.int64), -1, ranges, width)
+        return _lists(hashes[new], levels[new], np.zeros(int(new.sum()), np.int64), -1, ranges, width).select(LISTS.names)
 
     rows = frequent.select("lang", "phrase", F.col("turn").cast("int")).mapInArrow(hashed, "range int, hash long, level int")
     return rows.groupBy("range").applyInArrow(listed, _LISTS)
 
 
-def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10, sample: float = SAMPLE, lowered: float = LOWERED) -> DataFrame:
+def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10, sample: float = SAMPLE, lowered: float = LOWERED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(lang, phrase, size, n, turn) of all phrases of 1 to 3 words with ``least`` occurrences or more in their language.
 
     ``sample`` is the share of the documents that proposes, ``lowered`` the part of the expected count that suffices there.
@@ -225,29 +251,46 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     into words ``[^\\x20\\x09]+``; occurrences overlap. Null languages are ``und``. The counts do not depend on the
     sample, which only decides how many passes there are (three at most).
     """
+    spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang")
-    chunks = C.in_chunks(docs, id_col, text_col, more=(lang,), chunk_bytes=CHUNK_BYTES)
-    ranges, threshold = chunks.ranges, max(1, round(lowered * sample * least))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), lang)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges, threshold = max(8, total // C.RANGE_BYTES), max(1, round(lowered * sample * least))
 
-    def ask(rows: pa.Table) -> pa.Table:
-        return _Grams(C.in_order(rows), sample).lists(rows["chunk"][0].as_py(), ranges, least)
+    def read(batches):
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in slices(batch, "text", chunk_bytes):
+                grams = _Grams.read(*part.columns, sample)
+                yield from grams.lists(chunk, ranges, least).to_batches()
+                yield from grams.packed(chunk).to_batches()
+                chunk += 1
+
+    # texts are read once; the chunks' words, as numbers, are bucketed, so that only answers travel to them
+    name = f"llm_chunks_{uuid.uuid4().hex}"
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * total // chunk_bytes)
+    rows.mapInArrow(read, f"{_LISTS}, langs array<string>, words array<string>").write.option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name)
+    everything = spark.table(name)
+    lists = everything.where(F.col("range") != CODES).select(*LISTS.names)
+    texts = everything.where(F.col("range") == CODES)
+    def counted(turn: int):
+        def count(rows: pa.Table, found: pa.Table) -> pa.Table:
+            return _Grams.unpacked(rows).counts(found, turn, ranges) if len(rows) else COUNTS.empty_table()
+
+        return count
 
-    lists = saved(chunks.rows.groupBy("chunk").applyInArrow(ask, _LISTS), "lists")
     frequent = None
     for turn in (1, 2, 3):
         told = lists if frequent is None else lists.unionByName(_known_lists(frequent.where("size in (1, 2)"), ranges, _width(least)))
         levels = C.answered(told, lambda table: _levels(table, threshold, least), "levels")
 
-        def count(rows: pa.Table, found: pa.Table, turn: int = turn) -> pa.Table:
-            return _Grams(rows).counts(found, turn, ranges) if len(rows) else COUNTS.empty_table()
-
-        parts = C.with_answers(chunks, levels, count, _COUNTS)
+        parts = texts.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(counted(turn), _COUNTS)
         sums = parts.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
         new = saved(sums.where((F.col("n") >= least) | (F.col("size") == 0)).withColumn("turn", F.lit(turn)), "frequent")
         frequent = new if frequent is None else frequent.unionByName(new)
         if new.where("size in (1, 2) and not known").isEmpty():
             break
-    chunks.drop()
+    spark.sql(f"DROP TABLE {name}")
     return frequent.select("lang", "phrase", "size", "n", "turn")
 
 
@@ -275,7 +318,7 @@ def scored(frequent: DataFrame, inside_percent: int = 50) -> DataFrame:
     return kept.join(totals, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
-def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10, most: int = 2_000, sample: float = SAMPLE, lowered: float = LOWERED) -> DataFrame:
+def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: int = 10, most: int = 2_000, sample: float = SAMPLE, lowered: float = LOWERED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``most`` phrases of 2 or 3 words.
 
     They come by score, then ``a``, both descending, then the phrase in byte order. ``a``, ``l`` and ``r`` are the
@@ -284,6 +327,6 @@ def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table, gives no rows.
     """
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    found = scored(frequent_phrases(docs, id_col, text_col, lang_col, least, sample, lowered))
+    found = scored(frequent_phrases(docs, id_col, text_col, lang_col, least, sample, lowered, chunk_bytes))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
     return ranked.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

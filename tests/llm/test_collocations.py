@@ -54,10 +54,9 @@ def frame(spark, rows: list[tuple]):
 
 
 @pytest.mark.parametrize(("sample", "lowered", "chunk_bytes"), [(0.25, 0.8, 900), (0.02, 0.8, 6 << 20), (0.6, 0.1, 4_000)])
-def test_collocations(spark, monkeypatch, sample, lowered, chunk_bytes):
-    monkeypatch.setattr(collocations, "CHUNK_BYTES", chunk_bytes)
+def test_collocations(spark, sample, lowered, chunk_bytes):
     rows = texts(1)
-    got = collocations.collocations(frame(spark, rows), least=5, most=15, sample=sample, lowered=lowered).collect()
+    got = collocations.collocations(frame(spark, rows), least=5, most=15, sample=sample, lowered=lowered, chunk_bytes=chunk_bytes).collect()
     assert cases.ordered(got) == cases.ordered(plain(rows, 5, 15))
     assert {r["lang"] for r in got} == {"en", "fr", "und"}
 
