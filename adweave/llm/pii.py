@@ -92,22 +92,26 @@ def find_personal_data(
     )
     found = saved(based.select("doc_id", "text_key", "base", texts.alias("near")), "entities")
 
-    near = found.where(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("n")).select("doc_id", "text_key", "n.*")
+    taken = F.transform("base", lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop"))).alias("taken")
+    near = found.where(F.size("near") > 0).select(F.struct("doc_id", "text_key").alias("doc"), taken, F.explode("near").alias("n")).select("doc", "taken", "n.*")
     sides = F.array(
         # a word that the border of the surroundings may cut is left out
         F.struct(F.when(F.col("first") > 0, F.regexp_replace("before", r"^[^\x20\x09-\x0D]+", "")).otherwise(F.col("before")).alias("side"), (F.col("first") + F.length("before")).alias("ends"), F.lit(None).cast("int").alias("begins")),
         F.struct(F.when(F.length("after") == around, F.regexp_replace("after", r"[^\x20\x09-\x0D]+$", "")).otherwise(F.col("after")).alias("side"), F.lit(None).cast("int").alias("ends"), F.col("stop").alias("begins")),
     )
-    near = near.select("doc_id", "text_key", "kind", "entity", F.xxhash64("before", "after").alias("context"), F.explode(sides).alias("s"))
-    near = near.select("doc_id", "text_key", "kind", "entity", "context", F.coalesce("s.begins", F.col("s.ends") - F.length("s.side")).alias("origin"), F.explode(matches(F.col("s.side"), r"[^\x20\x09-\x0D]+")).alias("w"))
+    near = near.select("doc", "taken", "kind", "entity", F.xxhash64("before", "after").alias("context"), F.explode(sides).alias("s"))
+    near = near.select("doc", "taken", "kind", "entity", "context", F.coalesce("s.begins", F.col("s.ends") - F.length("s.side")).alias("origin"), F.explode(matches(F.col("s.side"), r"[^\x20\x09-\x0D]+")).alias("w"))
     lead = F.length("w.found") - F.length(F.ltrim("w.found", F.lit(WORD_MARKS)))
     term = F.trim("w.found", F.lit(WORD_MARKS))
-    near = near.select("doc_id", "text_key", "kind", "entity", "context", F.lower(term).alias("term"), (F.col("origin") + F.col("w.start") + lead).alias("start"), F.length(term).alias("long"))
-    near = saved(near.where(F.col("term").rlike(r"^\p{L}{3,}$")), "surroundings")
+    near = near.select("doc", "taken", "kind", "entity", "context", F.lower(term).alias("term"), (F.col("origin") + F.col("w.start") + lead).alias("start"), F.length(term).alias("long"))
+    # any word may be a term, but not a part of an entity
+    outside = ~F.exists("taken", lambda e: (e["start"] < F.col("start") + F.col("long")) & (e["stop"] > F.col("start")))
+    near = saved(near.where(F.col("term").rlike(r"[\p{L}\p{N}]") & outside).drop("taken"), "surroundings")
 
-    pairs = near.groupBy("kind", "entity", "term").agg(F.count_distinct("context").alias("shared"), F.count_distinct("doc_id", "text_key", "start").alias("times")).where(F.col("shared") >= support)
+    place = F.struct("doc", "start")  # a null id is a value here
+    pairs = near.groupBy("kind", "entity", "term").agg(F.count_distinct("context").alias("shared"), F.count_distinct(place).alias("times")).where(F.col("shared") >= support)
     pairs = saved(pairs, "pairs")
-    seen = near.groupBy("kind", "entity").agg(F.count_distinct("doc_id", "text_key", "start").alias("words_near"))
+    seen = near.groupBy("kind", "entity").agg(F.count_distinct(place).alias("words_near"))
     wanted = pairs.select("term").distinct()
     # every word of every text is counted, before the join with the terms that matter
     corpus = word_counts(F.col("text"), rows)
@@ -116,7 +120,7 @@ def find_personal_data(
     told = pairs.join(counted, "term").join(seen, ["kind", "entity"])
     given = F.col("times") / F.col("n")
     told = told.where((given >= share) & (F.log2(given * F.lit(float(total)) / F.col("words_near")) >= bits)).select("kind", "entity", "term")
-    told = near.join(told, ["kind", "entity", "term"]).select("doc_id", "text_key", "start", (F.col("start") + F.col("long")).alias("stop"), "term").distinct()
+    told = near.join(told, ["kind", "entity", "term"]).select("doc.doc_id", "doc.text_key", "start", (F.col("start") + F.col("long")).alias("stop"), "term").distinct()
     terms = told.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "term"))).alias("terms"))
     terms = terms.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.transform("terms", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["stop"].alias("stop"), t["term"].alias("found"))).alias("terms"))
     none = F.array().cast(_NO_SPANS)

@@ -8,8 +8,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql.functions import col as F_col
 
-from adweave.llm import decontamination, lm_scoring, ngram_join, pii, secret_scan, substring_dedup, toxicity
+from adweave.llm import decontamination, lm_scoring, ngram_join, pii, secret_scan, spans, substring_dedup, toxicity
 from tests.llm import cases
 
 
@@ -287,6 +288,57 @@ def test_disclosing_terms(spark):
     assert pii.find_personal_data(cases.table(spark, [])).count() == 0
 
 
+def plain_terms(rows: list[tuple], support: int, share: float, bits: float) -> dict:
+    """(id, text) -> spans of the terms, from the definition."""
+    marks = spans.WORD_MARKS
+    trimmed = lambda w: w.strip(marks).lower()
+    corpus = Counter(t for _, text in rows for w in cases.words(text) if (t := trimmed(w)))
+    shared, times, near = {}, {}, {}
+    for i, text in rows:
+        base = base_spans(text) if text else []
+        for kind, start, stop in base:
+            first = max(start - pii.AROUND, 0)
+            before, after = text[first:start], text[stop : stop + pii.AROUND]
+            left = re.sub(r"^[^\x20\x09-\x0D]+", "", before) if first > 0 else before
+            right = re.sub(r"[^\x20\x09-\x0D]+$", "", after) if len(after) == pii.AROUND else after
+            for side, origin in ((left, start - len(left)), (right, stop)):
+                for w in re.finditer(r"[^\x20\x09-\x0D]+", side):
+                    at = origin + w.start() + len(w[0]) - len(w[0].lstrip(marks))
+                    term, end = trimmed(w[0]), at + len(w[0].strip(marks))
+                    if not any(c.isalnum() for c in term) or any(a < end and b > at for _, a, b in base):
+                        continue
+                    key = (kind, text[start:stop].lower())
+                    shared.setdefault((key, term), set()).add((before, after))
+                    times.setdefault((key, term), set()).add((i, text, at))
+                    near.setdefault(key, set()).add((i, text, at))
+    out: dict = {}
+    for (key, term), contexts in shared.items():
+        given = len(times[key, term]) / corpus[term]
+        if len(contexts) >= support and given >= share and math.log2(given * corpus.total() / len(near[key])) >= bits:
+            for i, text, at in times[key, term]:
+                out.setdefault((i, text), set()).add((at, at + len(term)))
+    return out
+
+
+def test_disclosing_terms_are_those_of_the_definition(spark):
+    rng = random.Random(12)
+    names = ["Quarlbert", "user_42x", "O'Neil-Ray", "77-A", "x"]
+    rows = []
+    for k in range(60):
+        who = rng.randrange(5)
+        entity = [f"{who}.p@mail.example", f"+49 170 12345{who}0", f"10.0.0.{who}"][rng.randrange(3)]
+        words = [cases.prose(k, rng.randrange(1, 40), 60), f"({names[who]}),", "writes", entity, cases.prose(k + 500, rng.randrange(1, 30), 60), names[rng.randrange(5)]]
+        rows.append((k // 2 if k % 7 else None, " ".join(words)))
+    rows += [(1, None), (2, ""), rows[3], (300, "plain " * 300)]
+    for support, share, bits in ((2, 0.5, 3.0), (1, 0.2, 1.0), (3, 0.5, 6.0)):
+        got = pii.find_personal_data(cases.table(spark, rows), support=support, share=share, bits=bits)
+        want = plain_terms(rows, support, share, bits)
+        keyed = got.join(cases.table(spark, rows).selectExpr("doc_id as i", "text as t", "xxhash64(text) as k").distinct(), [got["doc_id"].eqNullSafe(F_col("i")), got["text_key"] == F_col("k")])
+        for r in keyed.collect():
+            assert [tuple(s)[1:3] for s in r["terms"]] == sorted(want.get((r["i"], r["t"]), ())), (support, r["t"])
+        assert support == 3 or want
+
+
 def test_secret_scan(spark):
     rng = random.Random(6)
     key = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
