@@ -294,7 +294,10 @@ def _(spark, d):
     return encoded.select("customerID", *names)
 
 
-@_register("fea4_column_kinds")
+@_register(
+    "fea4_column_kinds",
+    with_ctes(["churn"], " UNION ALL ".join(f"""SELECT '{c}' AS "column", '{k}' AS kind, count("{c}") AS present FROM churn""" for k, cs in (("numeric", NUMERIC), ("categorical", CATEGORICAL)) for c in cs)),
+)
 def _(spark, d):
     numeric, categorical = fea.column_kinds(fx.churn(spark, d), ["customerID", "Churn"])
     counts = fx.churn(spark, d).agg(*[F.count(c).alias(c) for c in numeric + categorical])
@@ -408,9 +411,16 @@ def _(spark, d):
     return rounded(dq.categorical_drift(_halves(spark, d), _CAT), "chi_square", "psi", "js_distance")
 
 
-@_register("dq2_drift_report")
+_SCORES = f"""SELECT "column", 'numeric' AS kind, wasserstein_norm AS score FROM ({ORACLE['dq2_numeric_drift']})
+  UNION ALL SELECT "column", 'categorical', js_distance FROM ({ORACLE['dq2_categorical_drift']})"""
+
+
+@_register(
+    "dq2_drift_report",
+    f"""SELECT *, score >= {dq.DRIFT_LIMIT} AS drifted, round(avg(CAST(score >= {dq.DRIFT_LIMIT} AS DOUBLE)) OVER (), 6) AS drifted_share FROM ({_SCORES})""",
+)
 def _(spark, d):
-    return dq.drift_report(_halves(spark, d), _NUM, _CAT)
+    return rounded(dq.drift_report(_halves(spark, d), _NUM, _CAT), "score", "drifted_share")
 
 
 _PROFILED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
