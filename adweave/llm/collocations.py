@@ -273,6 +273,7 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     everything = spark.table(name)
     lists = everything.where(F.col("range") != CODES).select(*LISTS.names)
     texts = everything.where(F.col("range") == CODES)
+
     def counted(turn: int):
         def count(rows: pa.Table, found: pa.Table) -> pa.Table:
             return _Grams.unpacked(rows).counts(found, turn, ranges) if len(rows) else COUNTS.empty_table()
@@ -283,7 +284,6 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for turn in (1, 2, 3):
         told = lists if frequent is None else lists.unionByName(_known_lists(frequent.where("size in (1, 2)"), ranges, _width(least)))
         levels = C.answered(told, lambda table: _levels(table, threshold, least), "levels")
-
         parts = texts.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(counted(turn), _COUNTS)
         sums = parts.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
         new = saved(sums.where((F.col("n") >= least) | (F.col("size") == 0)).withColumn("turn", F.lit(turn)), "frequent")

@@ -29,7 +29,7 @@ from adweave.operators.components import connected_components
 
 FREQUENT = 16  # document frequency above which shingles are indexed in pairs
 SUBCLASSES = 8
-CELLS = 128  # classes of shingles that a set is counted by before it is compared with another
+CELLS, WIDE = 128, 16  # classes of shingles that a set is counted by before it is compared with another, and groups of these
 SLICE_BYTES = 3 << 20  # text of the documents whose words are held at once
 _SMALL_SALT, _PAIR_SALT = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x9E3779B97F4A7C15)
 
@@ -159,10 +159,11 @@ def _fits(i: str, j: str, percent: int) -> F.Column:
 
 
 def _overlap_fits(i: str, j: str, percent: int) -> F.Column:
-    """Whether two sets may reach the threshold by their numbers of shingles in each class."""
+    """Whether two sets may reach the threshold by their numbers of shingles in each class, in a few wide classes first."""
+    fits = lambda shared: shared * 100 >= (F.col(f"size_{i}") + F.col(f"size_{j}") - shared) * percent
+    wide = sum((F.least(F.col(f"wide_{i}")[k], F.col(f"wide_{j}")[k]) for k in range(WIDE)), F.lit(0))
     least = F.zip_with(f"cells_{i}", f"cells_{j}", lambda a, b: F.least(a, b))
-    shared = F.aggregate(least, F.lit(0), lambda total, x: total + x)
-    return shared * 100 >= (F.col(f"size_{i}") + F.col(f"size_{j}") - shared) * percent
+    return fits(wide) & fits(F.aggregate(least, F.lit(0), lambda total, x: total + x))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -234,16 +235,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     wanted = grouped.groupBy(F.col("j").alias("node")).agg(F.min("chunk").alias("chunk"))
 
     def take(rows: pa.Table, wanted: pa.Table) -> pa.Table:
-        schema = pa.schema([("node", pa.binary()), ("held", pa.list_(pa.int64())), ("cells", pa.list_(pa.int32()))])
+        schema = pa.schema([("node", pa.binary()), ("held", pa.list_(pa.int64())), ("cells", pa.list_(pa.int32())), ("wide", pa.list_(pa.int32()))])
         if not len(rows) or not len(wanted):
             return schema.empty_table()
         sets, names = _Sets(rows, words), set(wanted["node"].to_pylist())
         at = [k for k in sets.firsts.tolist() if sets.nodes[k] in names]
         lists = [sets.hash[sets.bounds[k] : sets.bounds[k + 1]].view(np.int64) for k in at]
         cells = [np.bincount((x.view(np.uint64) >> np.uint64(20)).astype(np.int64) % CELLS, minlength=CELLS).astype(np.int32) for x in lists]
-        return pa.table([pa.array([sets.nodes[k] for k in at], pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(cells, pa.list_(pa.int32()))], schema=schema)
+        return pa.table([pa.array([sets.nodes[k] for k in at], pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(cells, pa.list_(pa.int32())), pa.array([c.reshape(WIDE, -1).sum(1).astype(np.int32) for c in cells], pa.list_(pa.int32()))], schema=schema)
 
-    sets = saved(C.with_answers(chunks, wanted, take, "node binary, held array<long>, cells array<int>"), "sets")
+    sets = saved(C.with_answers(chunks, wanted, take, "node binary, held array<long>, cells array<int>, wide array<int>"), "sets")
     chunks.drop()
 
     others = grouped.where(F.col("j") != F.col("i"))
@@ -257,8 +258,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     mixed = placed.groupBy("sig").agg(F.min("resolved_id").alias("low"), F.max("resolved_id").alias("high")).where("low <> high").select("sig")
     # sizes that reach the threshold lie in one size step or in neighbouring ones
     step = F.floor(F.log("size") / F.log(F.lit(100.000001 / percent)) if percent < 100 else F.col("size")).cast("long")
-    placed = saved(placed.join(mixed, "sig").join(sets.select("node", "cells"), "node").withColumn("step", step), "unsettled")
-    side = lambda k: placed.select("sig", "step", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "alone", "resolved_id", "cells")))
+    placed = saved(placed.join(mixed, "sig").join(sets.select("node", "cells", "wide"), "node").withColumn("step", step), "unsettled")
+    side = lambda k: placed.select("sig", "step", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "alone", "resolved_id", "cells", "wide")))
     near = side("j").withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
     differ = (F.col("node_i") < F.col("node_j")) & (F.col("resolved_id_i") != F.col("resolved_id_j"))
     rest = side("i").join(near, ["sig", "step"]).where(differ & _fits("i", "j", percent) & _overlap_fits("i", "j", percent))
