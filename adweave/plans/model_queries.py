@@ -56,9 +56,8 @@ def _as_scored(df, model: str, p: str = "p"):
     return df.select(F.lit(model).alias("model"), F.col("customerID").alias("key"), F.col("label").cast("int").alias("label"), F.col(p).alias("p"))
 
 
-# Rounds, depth and rate of the churn model and of the uplift models.
+# Rounds, depth and rate of the churn model.
 CHURN_TREES = (250, 4, 0.05)
-UPLIFT_TREES = (200, 4, 0.05)
 
 
 def _trees(train):
@@ -160,7 +159,7 @@ def _uplift_parts(spark, d):
 
 
 def _fit_uplift(rows):
-    return models.boosted_trees(*UPLIFT_TREES).fit(rows)
+    return models.boosted_trees().fit(rows)
 
 
 def _learner(name, run):
