@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adweave.llm import chunks as C
+from adweave.llm.common import saved
 
 _LANE2 = 0xFFFFFFFF
 
@@ -161,4 +162,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         })
 
     schema = "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<start: long, length: long>>"
-    return C.with_answers(chunks, hits.unionByName(repeats), keep, schema)
+    kept = saved(C.with_answers(chunks, hits.unionByName(repeats), keep, schema), "kept")
+    chunks.drop()
+    return kept

@@ -22,6 +22,7 @@ def test_substring_dedup(spark, window):
     assert cases.ordered((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got) == cases.ordered(want)
     assert all(sum(s["length"] for s in r["spans"]) == r["n_removed"] for r in got)
     assert substring_dedup.remove_repeats(cases.table(spark, [])).count() == 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_chunks")]  # nor of the other operators
 
 
 @pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (2, 50)])
