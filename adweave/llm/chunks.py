@@ -119,7 +119,9 @@ def words_of(texts, lower: bool = False) -> Words:
         texts = texts.combine_chunks()
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    if lower:  # a slice is copied first: ascii_lower takes wrong bytes if the first offset is not 0
+        texts = pc.ascii_lower(texts.take(pa.array(np.arange(len(texts)))))
+    lists = pc.ascii_split_whitespace(texts)
     flat = lists.flatten()
     full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
     bounds = lists.offsets.to_numpy().astype(np.int64)

@@ -196,7 +196,15 @@ def score_documents(
         owners, cuts = C.cut_points(held.distinct, 64, ranges)
         known = C.gathered(found, cuts, owners, lambda data, size: C.from_planes(data, 8), np.uint64).astype(float)
         offsets, number = held.offsets, numbered(held.distinct)
-        summed = lambda per_word: np.diff(np.concatenate([[0.0], np.cumsum(per_word[held.codes])])[offsets])
+        filled = np.flatnonzero(held.lengths)
+
+        def summed(per_word: np.ndarray) -> np.ndarray:
+            """Sums of each text's words, text by text, so that a short text keeps its digits beside long ones."""
+            out = np.zeros(len(held.lengths))
+            if len(filled):
+                out[filled] = np.add.reduceat(per_word[held.codes], offsets[filled])
+            return out
+
         base = summed(np.log10((known + 0.5) / scale)) + log_end
         other = np.where(number == n, np.log10((known + 0.5) / other_scale), 0.0)
         ids = np.insert(number[held.codes], offsets[1:], end)

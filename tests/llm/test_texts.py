@@ -153,6 +153,30 @@ def test_lm_scoring(spark):
     assert alone["n_tokens"] == 1
 
 
+def test_words_of_a_slice():
+    import pyarrow as pa
+
+    from adweave.llm import chunks
+
+    texts = pa.array([f"Ab{k} \u00c4 {'X' * (k % 7)} cD" for k in range(200)])
+    for part in (texts.slice(120), texts.slice(50, 30), pa.chunked_array([texts]).slice(120)):
+        found = chunks.words_of(part, lower=True)
+        want = [cases.words(cases.lower(t)) for t in part.to_pylist()]
+        assert found.flat.to_pylist() == [w for t in want for w in t]
+        assert found.offsets.tolist() == [0, *np.cumsum([len(t) for t in want])]
+
+
+def test_lm_base_of_short_texts_beside_long_ones(spark):
+    rows = [(k, cases.prose(k, 6_000) if k % 3 == 0 else f"Kurz {k % 4}") for k in range(30)]
+    got = {r["doc_id"]: r["base_score"] for r in lm_scoring.score_documents(cases.table(spark, rows).coalesce(1)).collect()}
+    tokens = [[*cases.words(cases.lower(t)), None] for _, t in rows]
+    counts = Counter(w for k, t in enumerate(tokens) if zlib.crc32(str(k).encode()) % 5 != 1 for w in t)
+    n, v = sum(counts.values()), len(counts)
+    for k, t in enumerate(tokens):
+        base = math.fsum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
+        assert abs(got[k] - base) <= 1e-13 * len(t) + 1e-14 * abs(base)
+
+
 def test_lm_learns_from_every_training_document(spark):
     from pyspark.sql import functions as F
 
