@@ -145,3 +145,28 @@ def test_embedding_singular_values_are_those_of_the_matrix(spark):
     found = np.linalg.norm([r["embedding"] for r in table], axis=0)
     assert np.allclose(found, np.linalg.svd(dense, compute_uv=False)[:6], rtol=1e-4)
     assert truncated_svd(spark.createDataFrame([], "record_id long, term string, weight double"), "record_id", 6).count() == 0
+
+
+def test_pairs_bring_their_rows(spark):
+    """Pairs are never shuffled, nothing that grows is broadcast, and repeated or null ids give what joins with the records give."""
+    one = sample(spark, 120)
+    table = one.unionByName(one.where("record_id % 7 = 0").withColumn("city", F.lit("elsewhere"))).unionByName(one.limit(3).withColumn("record_id", F.lit(None).cast("long")))
+    kept = idn.candidate_pairs(table, idn.feature_inputs(table))
+    joined = idn.pair_features(idn.label_pairs(idn.candidate_pairs(table), table), table)
+    packed = idn.pair_features(idn.label_pairs(kept, table), table)
+    assert sorted(map(tuple, packed.collect())) == sorted(map(tuple, joined.collect())) and packed.columns == joined.columns
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 3  # of the blocks, and of each side with its rows; the pairs meet no records any more
+    executed = packed._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in executed
+
+
+def test_terms_are_not_broadcast(spark):
+    plan = []
+    held = idn.cut_lineage
+    try:
+        idn.cut_lineage = lambda df: plan.append(df._jdf.queryExecution().executedPlan().toString()) or held(df)
+        idn.tfidf(sample(spark, 40)).count()
+    finally:
+        idn.cut_lineage = held
+    assert plan and not any("Broadcast" in p for p in plan)
