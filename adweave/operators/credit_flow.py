@@ -37,7 +37,7 @@ def _touches(exposures: DataFrame) -> DataFrame:
     placed = scan.running(base, ["user_id"], order, {"pos": F.lit(1).cast("long")}).withColumn("pos", F.col("pos") - 1)
     placed = scan.running(placed, ["user_id", "channel"], order, {}, following={"next_t": ("t", False)})
     peers = base.groupBy("user_id", "t").agg(F.min_by("channel", "exposure_id").alias("peer_channel"))
-    return placed.join(peers, ["user_id", "t"])
+    return placed.join(peers.hint("merge"), ["user_id", "t"])
 
 
 def _conversion_stats(touches: DataFrame, conversions: DataFrame, reach: Column, lag: Column, half_life: float) -> DataFrame:
@@ -137,7 +137,7 @@ def _anchor_credit(stats: DataFrame, touches: DataFrame) -> DataFrame:
         spot("first", first), spot("last", first + n - 1), F.when(n > 2, spot("mid", first + F.floor(n / 2)))
     )
     wanted = stats.select("user_id", "value", "n", "u_rest", "w_rest", F.explode(F.array_compact(spots)).alias("s")).select("*", "s.*")
-    found = wanted.join(touches.select("user_id", "pos", "channel", "peer_channel"), ["user_id", "pos"])
+    found = wanted.join(touches.select("user_id", "pos", "channel", "peer_channel").hint("merge"), ["user_id", "pos"])
     value, many = F.col("value"), F.col("n") > 2
     is_first, is_last = F.col("spot") == "first", F.col("spot") == "last"
     ends = is_first | is_last
@@ -159,7 +159,7 @@ def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFram
     names = ["linear", "u_shape", "w_shape", "seen", "shapley_proxy", "markov_proxy"]
     value, some = F.col("value"), F.col("channels") > 0
     none = F.lit(None)
-    givers = stats.join(times, ["user_id", "conversion_id"]).select(
+    givers = stats.join(times.hint("merge"), ["user_id", "conversion_id"]).select(
         "user_id", "axis", F.lit(0).alias("turn"), F.col("conversion_id").alias("tie"), none.cast("long").alias("id"), none.cast("string").alias("kind"), F.lit(0.0).alias("span"),
         (value / F.col("n")).alias("linear"), (value / F.col("decay")).alias("time_decay"), F.col("u_rest").alias("u_shape"), F.col("w_rest").alias("w_shape"), F.lit(1.0).alias("seen"),
         F.when(some, value / F.nullif(F.col("channels"), F.lit(0))).otherwise(0.0).alias("shapley_proxy"), some.cast("double").alias("markov_proxy"),
@@ -178,7 +178,7 @@ def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFram
     faded = at("from", "time_decay") - at("past", "time_decay") * F.pow(F.lit(2.0), -F.max("span") / half_life)
     per_touch = sums.groupBy("user_id", F.col("id").alias("exposure_id")).agg(faded.alias("time_decay"), *every, *once)
     known = touches.select("user_id", "exposure_id", "channel").where(F.col("channel").isNotNull())
-    return per_touch.join(known, ["user_id", "exposure_id"]).select("user_id", "channel", "time_decay", *names)
+    return per_touch.join(known.hint("merge"), ["user_id", "exposure_id"]).select("user_id", "channel", "time_decay", *names)
 
 
 def _credit_rows(exposures: DataFrame, conversions: DataFrame, cells: Sequence[tuple[float, float]], half_life_hours: float) -> DataFrame:

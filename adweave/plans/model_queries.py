@@ -48,7 +48,8 @@ def _churn_split(spark, d):
     numeric = [*NUMERIC, "tenure_log1p", "monthlycharges_sq", "tenure_x_monthlycharges", "avg_charge_per_tenure"]
     table = models.stratified_holdout(table, "customerID", "label", 0.20).persist()
     ready, columns = fea.design_matrix(table.where("not is_test"), table, numeric, CATEGORICAL)
-    ready = models.assemble(ready, columns).select("customerID", "label", "is_test", "features", *columns).persist()
+    ready = models.assemble(ready, columns).select("customerID", "label", "is_test", "features", *columns)
+    ready = models.dealt(ready, "customerID")
     return ready.where("not is_test"), ready.where("is_test"), columns
 
 
@@ -153,7 +154,7 @@ _UPLIFT_COLUMNS = ["c_acctbal", "c_nationkey"]
 
 
 def _uplift_parts(spark, d):
-    table = models.assemble(fx.uplift(spark, d).drop("score"), _UPLIFT_COLUMNS)
+    table = models.dealt(models.assemble(fx.uplift(spark, d).drop("score"), _UPLIFT_COLUMNS), "key")
     test = models.holdout_flag("key", 0.3)
     return table.where(~test).persist(), table.where(test).persist()
 

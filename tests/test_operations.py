@@ -157,3 +157,31 @@ def test_wide_categories_become_sparse_vectors(spark):
     assert {k: (v.size, list(v.indices)) for k, v in got.items()} == {1: (4999, []), 2: (4999, [4998]), 3: (4999, [0]), 4: (4999, []), 5: (4999, [])}
     plain, _ = features.sparse_dummies(test, features.number_categories(train, ["wide"]), ["wide"], impute=False)
     assert {r["key"]: r["wide_levels"].numNonzeros() for r in plain.collect()} == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0}
+
+
+def test_training_rows_are_dealt_by_their_number(spark):
+    held = models.TRAIN_ROWS
+    try:
+        models.TRAIN_ROWS = 100
+        rows = models.dealt(spark.range(1_000).coalesce(1), "id")
+        assert rows.rdd.getNumPartitions() == 10 and rows.count() == 1_000 and rows.select("id").distinct().count() == 1_000
+        assert models.dealt(spark.range(0), "id").count() == 0
+    finally:
+        models.TRAIN_ROWS = held
+
+
+def test_growing_sides_are_not_broadcast(spark):
+    """Sizes guessed from compressed files must not send running sums or an SVD's basis through the driver."""
+    from adweave.operators import decomposition, scan
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    run = scan.running(spark.range(50).select("id", (F.col("id") % 3).alias("g")), ["g"], [F.col("id")], {"n": F.lit(1)})
+    assert "Broadcast" not in plan(run) and run.agg(F.max("n")).first()[0] == 17
+    plans, held = [], decomposition.cut_lineage
+    try:
+        decomposition.cut_lineage = lambda df: plans.append(plan(df)) or held(df)
+        cells = spark.createDataFrame([(k % 5, f"t{k % 7}", 1.0 + k) for k in range(20)], "row long, term string, weight double")
+        assert decomposition.truncated_svd(cells, "row", 2, passes=1).count() == 5
+    finally:
+        decomposition.cut_lineage = held
+    assert plans and not any("Broadcast" in p for p in plans)
