@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adweave.operators import scan
+from adweave.session import cut_lineage
 
 ACCURACY = 1_000  # a bracket reaches two of the sketch's rank errors, 1 / ACCURACY of the rows each, to either side
+BROADCAST_GROUPS = 10_000  # most groups whose brackets are broadcast
 
 
 def running_totals(
@@ -37,11 +39,16 @@ def positional_rank(df: DataFrame, score: str, key: str, by: Sequence[str] = (),
     return running_totals(df, score, key, {name: F.lit(1).cast("long")}, by, descending)
 
 
+def _beside_brackets(rows: DataFrame, brackets: DataFrame) -> DataFrame:
+    """``rows`` with the brackets of their group. A few brackets, counted first, are broadcast: dealt by group, the rows of one would be one task's."""
+    return rows.join(brackets.hint("broadcast" if brackets.count() <= BROADCAST_GROUPS else "merge"), "_g")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles as rows (by…, prob, quantile), for any number of groups.
 
-    The table is read twice and not shuffled: for the sketch, and for the counts of the distinct values in the brackets and
-    of everything between two brackets. Groups are told apart with nulls as a value of their own.
+    The table is read twice, and shuffled only if it has more than ``BROADCAST_GROUPS`` groups: for the sketch, and for the counts of the
+    distinct values in the brackets and of everything between two brackets. Groups are told apart with nulls as a value of their own.
     """
     by, probs = list(by), [float(p) for p in probs]
     named = F.struct(*by) if by else F.lit(0)
@@ -52,7 +59,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     k = len(probs)
     low = [F.col("_least") if edges[i] == 0 else F.when(F.col("_few"), F.col("_least")).otherwise(F.col("_e")[i]) for i in range(k)]
     high = [F.col("_most") if edges[k + i] == 1 else F.when(F.col("_few"), F.col("_most")).otherwise(F.col("_e")[k + i]) for i in range(k)]
-    brackets = sketch.select("_g", *[c.alias(f"_lo{i}") for i, c in enumerate(low)], *[c.alias(f"_hi{i}") for i, c in enumerate(high)])
+    brackets = cut_lineage(sketch.select("_g", *[c.alias(f"_lo{i}") for i, c in enumerate(low)], *[c.alias(f"_hi{i}") for i, c in enumerate(high)]))
     # values between two bracket ends share a slot, and slots rise with the values
     over = lambda i: (F.col("_value") >= F.col(f"_lo{i}"))
     past = lambda i: (F.col("_value") > F.col(f"_hi{i}"))
@@ -60,7 +67,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     inside = F.lit(False)
     for i in range(k):
         inside = inside | (over(i) & ~past(i))
-    counts = rows.join(brackets, "_g").select("_g", slot.alias("_slot"), F.when(inside, F.col("_value")).alias("_value")).groupBy("_g", "_slot", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = _beside_brackets(rows, brackets).select("_g", slot.alias("_slot"), F.when(inside, F.col("_value")).alias("_value")).groupBy("_g", "_slot", "_value").agg(F.count(F.lit(1)).alias("_n"))
     ranked = scan.running(counts, ["_g"], [F.col("_slot"), F.col("_value")], {"_cum": F.col("_n")}, totals=True).where("_value is not null")
     picked = quantiles_of_counts(ranked, "_g", "_value", "_n", "_cum", "_cum_all", probs)
     return picked.select(*[F.col(f"_g.{c}").alias(c) for c in by], "prob", "quantile")

@@ -92,6 +92,28 @@ def test_next_score_crosses_ranges(spark):
     assert all(r["to"] == r["score"] + 1 for r in table if r["score"] < 499)
 
 
+def test_rows_of_quantiles_are_not_dealt_by_group(spark):
+    """A few groups would be as many tasks, whatever the table's size; above a number of groups they are."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    limit, most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), ordered.BROADCAST_GROUPS
+    rows = spark.range(1_000).select(F.struct((F.col("id") % 3).alias("g")).alias("_g"), F.col("id").cast("double").alias("_value"))
+    brackets = rows.groupBy("_g").agg(F.min("_value").alias("_lo0"), F.max("_value").alias("_hi0"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        few = ordered._beside_brackets(rows, brackets)
+        assert "BroadcastHashJoin" in plan(few) and few.count() == 1_000
+        ordered.BROADCAST_GROUPS = 2
+        many = ordered._beside_brackets(rows, brackets)
+        assert "SortMergeJoin" in plan(many) and many.count() == 1_000
+        table = spark.range(1_001).select(F.when(F.col("id") % 2 == 0, "a").alias("g"), F.col("id").alias("v"))
+        for ordered.BROADCAST_GROUPS in (1, 2):
+            got = {r["g"]: r["quantile"] for r in ordered.exact_quantiles(table, "v", [0.5], ["g"]).collect()}
+            assert got == {"a": 500.0, None: 500.0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        ordered.BROADCAST_GROUPS = most
+
+
 def test_quantiles_match_linear_interpolation(spark):
     import numpy as np
 
