@@ -150,20 +150,23 @@ def _merge_counts(table: pa.Table) -> list[bytes]:
     return [answer[b - r["size"] : b].tobytes() for b, r in zip(ends, rows, strict=True)]
 
 
+def _reaches(shared: F.Column, i: str, j: str, percent: int) -> F.Column:
+    """Whether so many shingles in common reach the threshold. ``shared`` stands in it once: what a condition repeats, Spark works out for every pair."""
+    return shared.cast("long") * (100 + percent) >= (F.col(f"size_{i}") + F.col(f"size_{j}")) * percent
+
+
 def _fits(i: str, j: str, percent: int) -> F.Column:
     """Whether two sets may reach the threshold by their sizes and by what each holds that no other set does."""
     size_i, size_j, alone_i, alone_j = F.col(f"size_{i}"), F.col(f"size_{j}"), F.col(f"alone_{i}"), F.col(f"alone_{j}")
-    both = size_i + size_j
-    shared = F.least(size_i - alone_i, size_j - alone_j, F.floor((both - alone_i - alone_j) / 2))
-    return shared * 100 >= (both - shared) * percent
+    return _reaches(F.least(size_i - alone_i, size_j - alone_j, F.floor((size_i + size_j - alone_i - alone_j) / 2)), i, j, percent)
 
 
 def _overlap_fits(i: str, j: str, percent: int) -> F.Column:
     """Whether two sets may reach the threshold by their numbers of shingles in each class, in a few wide classes first."""
-    fits = lambda shared: shared * 100 >= (F.col(f"size_{i}") + F.col(f"size_{j}") - shared) * percent
     wide = sum((F.least(F.col(f"wide_{i}")[k], F.col(f"wide_{j}")[k]) for k in range(WIDE)), F.lit(0))
     least = F.zip_with(f"cells_{i}", f"cells_{j}", lambda a, b: F.least(a, b))
-    return fits(wide) & fits(F.aggregate(least, F.lit(0), lambda total, x: total + x))
+    every = F.aggregate(least, F.lit(0), lambda total, x: total + x)
+    return _reaches(wide, i, j, percent) & _reaches(every, i, j, percent)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -40,6 +40,29 @@ def test_ngram_join(spark, size, percent):
     assert cases.ordered(r[:3] for r in got) == cases.ordered(cases.components(rows, size, percent))
 
 
+def test_class_counts_are_compared_only_where_sizes_fit(spark):
+    """What a condition repeats is worked out before the conditions in front of it, for every pair."""
+    text = str(ngram_join._overlap_fits("i", "j", 90)) + str(ngram_join._fits("i", "j", 90))
+    assert text.count("aggregate(") == 1 and text.count("floor(") == 1
+    rng = random.Random(2)
+    rows = []
+    for k in range(300):
+        cells = [[rng.randrange(3) for _ in range(ngram_join.CELLS)] for _ in range(2)]
+        if k % 2:
+            cells[1] = [max(x - (rng.random() < 0.1), 0) for x in cells[0]]
+        wide = [[sum(c[at : at + ngram_join.CELLS // ngram_join.WIDE]) for at in range(0, ngram_join.CELLS, ngram_join.CELLS // ngram_join.WIDE)] for c in cells]
+        sizes = [sum(c) for c in cells]
+        rows.append((*cells, *wide, *sizes, *(rng.randrange(s // 8) for s in sizes)))
+    names = "cells_i array<int>, cells_j array<int>, wide_i array<int>, wide_j array<int>, size_i long, size_j long, alone_i long, alone_j long"
+    for percent in (50, 80, 90, 100):
+        got = spark.createDataFrame(rows, names).select("*", ngram_join._fits("i", "j", percent).alias("f"), ngram_join._overlap_fits("i", "j", percent).alias("o")).collect()
+        for r in got:
+            both = r.size_i + r.size_j
+            most = min(r.size_i - r.alone_i, r.size_j - r.alone_j, (both - r.alone_i - r.alone_j) // 2)
+            shared = sum(map(min, r.cells_i, r.cells_j))
+            assert r.f == (100 * most >= percent * (both - most)) and r.o == (100 * shared >= percent * (both - shared))
+
+
 def test_one_row_of_each_component_stays(spark):
     docs = cases.table(spark)
     groups = ngram_join.similar_documents(docs, words=5, percent=80)
