@@ -20,6 +20,7 @@ from adweave.llm import chunks as C
 from adweave.llm.tokens import slices
 
 BLOCK_ITEMS = 10_000  # items that a pass over the documents carries; more items take more passes
+SLICE_BYTES = 3 << 20  # text of the documents whose words are held at once
 SHORTEST = 5  # words of the shortest item that is searched; fewer words say nothing about a leak
 
 
@@ -78,7 +79,7 @@ class Items:
 
 def prepare(rows: list[tuple], errors: float) -> Items:
     held = plain_words(pa.array([t for _, t in rows], pa.string()))
-    windows, first = C.Windows(held), held.lane(0)
+    windows, first = C.Windows(held, lanes=1), held.lane(0)
     ids, words, budgets = [], [], []
     found: dict[int, list[tuple]] = {}
     for (key, _), a, b in zip(rows, held.offsets[:-1].tolist(), held.offsets[1:].tolist(), strict=True):
@@ -103,7 +104,7 @@ def prepare(rows: list[tuple], errors: float) -> Items:
 
 def _matches(words: C.Words, items: Items):
     """(document, item, distance, start, length) of the best match of each item in each document it is found in."""
-    windows, lane = C.Windows(words), words.lane(0)
+    windows, lane = C.Windows(words, lanes=1), words.lane(0)
     ends = words.ends
     regions: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for length, (hashes, owner, offset, firsts) in items.pieces.items():
@@ -142,6 +143,17 @@ def _matches(words: C.Words, items: Items):
             yield doc, item, *best
 
 
+def _leaks_of(batch: pa.RecordBatch, items: Items):
+    """The rows of ``find_leaks`` for a batch (doc_id, text, text_key). Words are held for a slice of its texts at a time."""
+    for part in slices(batch, "text", SLICE_BYTES):
+        found = list(_matches(plain_words(part.column("text")), items))
+        pa.default_memory_pool().release_unused()
+        ids, keys = part.column("doc_id").to_pylist(), part.column("text_key").to_pylist()
+        columns = [[ids[f[0]] for f in found], [items.ids[f[1]] for f in found], *([f[k] for f in found] for k in (2, 3, 4)), [keys[f[0]] for f in found]]
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "distance", "start", "length", "text_key"])
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", errors: float = 0.2,
 ) -> DataFrame:
@@ -163,12 +175,7 @@ def find_leaks(
 
         def search(batches):
             for batch in batches:
-                for part in slices(batch, "text", C.CHUNK_BYTES):
-                    found = list(_matches(plain_words(part.column("text")), items))
-                    ids, keys = part.column("doc_id").to_pylist(), part.column("text_key").to_pylist()
-                    columns = [[ids[f[0]] for f in found], [items.ids[f[1]] for f in found], *([f[k] for f in found] for k in (2, 3, 4)), [keys[f[0]] for f in found]]
-                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "item_id", "distance", "start", "length", "text_key"])
+                yield from _leaks_of(batch, items)
 
         return rows.mapInArrow(search, schema)
 

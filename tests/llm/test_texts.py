@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql.functions import col as F_col
 
@@ -111,6 +112,20 @@ def test_decontamination(spark):
     assert decontamination.find_leaks(cases.table(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_words_of_leaks_are_held_for_a_slice_of_a_batch(monkeypatch):
+    """A batch of many texts is searched slice by slice, with the same result."""
+    items = decontamination.prepare([(k, cases.prose(70 + k, 15)) for k in range(7)], 0.2)
+    texts = [f"{cases.prose(k, 60_000)} {cases.prose(70 + k % 7, 15)}" for k in range(40)]
+    batch = pa.record_batch([pa.array(range(40), pa.int64()), pa.array(texts), pa.array(range(40), pa.int64())], names=["doc_id", "text", "text_key"])
+    held, plain = [], decontamination.plain_words
+    monkeypatch.setattr(decontamination, "plain_words", lambda t: held.append(sum(map(len, t.to_pylist()))) or plain(t))
+    rows = lambda: sorted(tuple(r.values()) for part in decontamination._leaks_of(batch, items) for r in part.to_pylist())
+    found = rows()
+    assert sum(held) > 2 * max(held) and max(held) < 4 << 20 and [r[:2] for r in found] == [(k, k % 7) for k in range(40)]
+    monkeypatch.setattr(decontamination, "SLICE_BYTES", 1)
+    assert rows() == found
+
+
 def test_blocks_of_items_find_the_same(spark, monkeypatch):
     items = [(k, cases.prose(70 + k, 15)) for k in range(7)]
     docs = cases.table(spark, [(k, f"{cases.prose(k, 20)} {t}") for k, t in items])
