@@ -11,7 +11,9 @@ and these lie in the other's prefix as well. Sets too small for that bound index
 Sets that share a signature are compared with the group's most central set first (fewest shingles of its own). Only
 sets that are in different components after that are compared with each other, if their sizes and the numbers of their
 shingles in each of ``CELLS`` hash classes allow the threshold: two sets share no more of a class than the smaller
-number. No pair of one component is listed.
+number. No pair of one component is listed. Sets that are alike share hundreds of signatures, but are compared for one:
+each set carries the smallest of its signatures in each of ``LANES`` classes, and where two sets agree on some of these,
+the smallest of those is the signature that lists them.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from adweave.operators.components import connected_components
 FREQUENT = 16  # document frequency above which shingles are indexed in pairs
 SUBCLASSES = 8
 CELLS, WIDE = 128, 16  # classes of shingles that a set is counted by before it is compared with another, and groups of these
+LANES = 32  # classes of signatures of which a set carries the smallest
 SLICE_BYTES = 3 << 20  # text of the documents whose words are held at once
 _SMALL_SALT, _PAIR_SALT = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x9E3779B97F4A7C15)
 
@@ -169,6 +172,23 @@ def _overlap_fits(i: str, j: str, percent: int) -> F.Column:
     return _reaches(wide, i, j, percent) & _reaches(every, i, j, percent)
 
 
+def _unsettled_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """(i, j), i < j, for sets of ``placed`` that share a signature, lie in different components and may reach the threshold.
+
+    A row of ``placed`` is a set's signature with what is known of the set. A pair comes once if its sets agree on the smallest signature
+    of any class, else once for each signature that they share.
+    """
+    lane = F.pmod("sig", F.lit(LANES))
+    lows = placed.groupBy("node").agg(F.array_compact(F.array(*[F.min(F.when(lane == k, F.col("sig"))) for k in range(LANES)])).alias("lows"))
+    placed = placed.join(lows, "node")
+    side = lambda k: placed.select("sig", "step", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "alone", "resolved_id", "cells", "wide", "lows")))
+    near = side("j").withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
+    differ = (F.col("node_i") < F.col("node_j")) & (F.col("resolved_id_i") != F.col("resolved_id_j"))
+    listed = F.coalesce(F.array_min(F.array_intersect("lows_i", "lows_j")), F.col("sig")) == F.col("sig")
+    rest = side("i").join(near, ["sig", "step"]).where(differ & _fits("i", "j", percent) & listed & _overlap_fits("i", "j", percent))
+    return rest.select(F.col("node_i").alias("i"), F.col("node_j").alias("j"))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (i, j) whose sets reach the threshold. The set of j travels to i, whose partition may be split."""
     left = sets.select(F.col("node").alias("i"), F.col("held").alias("held_i"))
@@ -262,11 +282,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # sizes that reach the threshold lie in one size step or in neighbouring ones
     step = F.floor(F.log("size") / F.log(F.lit(100.000001 / percent)) if percent < 100 else F.col("size")).cast("long")
     placed = saved(placed.join(mixed, "sig").join(sets.select("node", "cells", "wide"), "node").withColumn("step", step), "unsettled")
-    side = lambda k: placed.select("sig", "step", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "alone", "resolved_id", "cells", "wide")))
-    near = side("j").withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
-    differ = (F.col("node_i") < F.col("node_j")) & (F.col("resolved_id_i") != F.col("resolved_id_j"))
-    rest = side("i").join(near, ["sig", "step"]).where(differ & _fits("i", "j", percent) & _overlap_fits("i", "j", percent))
-    rest = rest.select(F.col("node_i").alias("i"), F.col("node_j").alias("j")).distinct()
+    rest = _unsettled_pairs(placed, percent).distinct()
     links = first.unionByName(_linked(rest, sets, percent))
     resolved = connected_components(nodes, saved(links, "links"), "node")
     named = rows.join(resolved, "node", "left").withColumn("component", F.coalesce("resolved_id", "node"))

@@ -64,6 +64,23 @@ def test_class_counts_are_compared_only_where_sizes_fit(spark):
             assert r.f == (100 * most >= percent * (both - most)) and r.o == (100 * shared >= percent * (both - shared))
 
 
+def test_sets_that_share_many_signatures_are_listed_once(spark):
+    """A pair was listed for each signature in common. None may be lost, also not where the smallest signatures differ."""
+    rng = random.Random(2)
+    signatures = {k: set(rng.sample(range(-300, 300), 280)) for k in range(6)}  # most in common
+    signatures |= {k: {-500 - 100 * k - i for i in range(60)} | {900 + k // 2} for k in range(6, 12)}  # two in two share one, the largest they have
+    signatures |= {12: {1007}, 13: {1007, 1008}, 14: {1008}}
+    component = {k: k // 2 if k < 6 else k for k in signatures}
+    rows = [
+        (sig, bytes([k]), 100, 0, bytes([component[k]]), [100] * ngram_join.CELLS, [100 * ngram_join.CELLS // ngram_join.WIDE] * ngram_join.WIDE, 20 + k % 2)
+        for k, held in signatures.items() for sig in held
+    ]
+    placed = spark.createDataFrame(rows, "sig long, node binary, size long, alone long, resolved_id binary, cells array<int>, wide array<int>, step long")
+    got = Counter((r.i[0], r.j[0]) for r in ngram_join._unsettled_pairs(placed, 80).collect())
+    assert set(got) == {(i, j) for i in signatures for j in signatures if i < j and component[i] != component[j] and signatures[i] & signatures[j]}
+    assert all(n == 1 for n in got.values())
+
+
 def test_one_row_of_each_component_stays(spark):
     docs = cases.table(spark)
     groups = ngram_join.similar_documents(docs, words=5, percent=80)
