@@ -170,3 +170,10 @@ def test_terms_are_not_broadcast(spark):
     finally:
         idn.cut_lineage = held
     assert plan and not any("Broadcast" in p for p in plan)
+
+
+def test_counted_terms_are_not_broadcast(spark, tmp_path):
+    """The size of the counted terms is guessed from the records' files, so the join with their frequencies may not go by it."""
+    sample(spark, 40).write.parquet(str(tmp_path / "records"))
+    plan = idn.tfidf(spark.read.parquet(str(tmp_path / "records")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
