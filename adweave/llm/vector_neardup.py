@@ -11,6 +11,7 @@ of links and a spanning forest of their links, not the pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +26,8 @@ SAMPLE = 8_192  # vectors that the codebooks are fitted to; all vectors are stor
 CELL_ROWS = 64  # distinct vectors for which one more cell is made
 CODEWORDS = 256  # most codewords of a half; more vectors then share a cell
 STORED_BLOCK, PROBE_BLOCK = 2_048, 4_096
+PLACED_ROWS = 2_048  # vectors whose distances to the codewords are held at once
+SLICE_NUMBERS = 1 << 21  # most numbers of one side of the pairs that a task verifies at once
 
 
 @dataclass(frozen=True)
@@ -84,21 +87,40 @@ def build_index(sample: np.ndarray, rows: int, least: float, recall: float, seed
     return Index(books, min(visits, size * size))
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    parent = list(range(n))
+def _close(stored: np.ndarray, probes: np.ndarray, least: float, width: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places of probes, places of stored vectors) of all pairs with cosine ``least`` or more, those of a few probes at a time.
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
+    All pairs of a block may be links, so no more are held at once than have SLICE_NUMBERS components, or ``width`` numbers each.
+    """
+    units, lengths = [_units(v) for v in (stored, probes)], [np.linalg.norm(v, axis=1) for v in (stored, probes)]
+    step = max(1, SLICE_NUMBERS // (len(stored) * max(stored.shape[1], width)))
+    for k in range(0, len(probes), step):
+        i, j = np.nonzero(units[1][k : k + step] @ units[0].T >= least - 1e-9)
+        i += k
+        close = (probes[i] * stored[j]).sum(1) / (lengths[1][i] * lengths[0][j]) >= least
+        yield i[close], j[close]
+
+
+def _tied(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Adds links to the forest in ``parent`` and returns those that tie two of its trees."""
+    while ((up := parent[parent]) != parent).any():
+        parent[:] = up
+    apart = parent[i] != parent[j]
+    kept, root = [], {}
+
+    def top(x: int) -> int:
+        while x in root:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
         return x
 
-    kept = []
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        x, y = root(a), root(b)
+    for a, b, x, y in zip(i[apart].tolist(), j[apart].tolist(), parent[i[apart]].tolist(), parent[j[apart]].tolist(), strict=True):
+        x, y = top(x), top(y)
         if x != y:
-            parent[x] = y
+            root[x] = y
             kept.append((a, b))
+    for x in root:
+        parent[x] = top(x)
     return kept
 
 
@@ -136,7 +158,7 @@ def near_duplicates(
             for dim in np.unique(dims).tolist():
                 part, index = batch.filter(pa.array(dims == dim)), indexes[dim]
                 held = np.asarray(part.column("vector").flatten().to_numpy(zero_copy_only=False)).reshape(len(part), dim)
-                cells = multi_sequence(index.books, _units(held), index.visits)
+                cells = np.concatenate([multi_sequence(index.books, _units(held[k : k + PLACED_ROWS]), index.visits) for k in range(0, len(held), PLACED_ROWS)])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * cells.shape[1]), pa.array(cells.ravel().astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells[:, 0].astype(np.int32)), lists], names=[*part.schema.names, "home", "visited"])
 
@@ -160,20 +182,19 @@ def near_duplicates(
             return schema.empty_table()
         probes = probes.rename_columns([c.removeprefix("probe_") for c in probes.column_names])
         vectors = [np.stack(t["vector"].to_numpy()).astype(float) for t in (stored, probes)]
-        cosine = _units(vectors[1]) @ _units(vectors[0]).T
-        i, j = np.nonzero(cosine >= least - 1e-9)
-        a, b = vectors[1][i], vectors[0][j]
-        i, j = (x[(a * b).sum(1) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)) >= least] for x in (i, j))
         names = [t["node"].to_numpy() for t in (stored, probes)]
         copies = [t["copies"].to_numpy() for t in (stored, probes)]
-        other = names[1][i] != names[0][j]
-        i, j = i[other], j[other]
-        # the reverse of a link is found by the stored vector itself if it visits the probe's cell
-        seen = np.stack(stored["visited"].to_numpy())
-        alone = ~(seen[j] == probes["home"].to_numpy()[i][:, None]).any(1)
-        links = np.bincount(i, copies[0][j], len(probes)).astype(np.int64)
-        back = np.bincount(j[alone], copies[1][i[alone]], len(stored)).astype(np.int64)
-        tree = _forest(len(probes) + len(stored), i, j + len(probes))
+        seen, homes = np.stack(stored["visited"].to_numpy()), probes["home"].to_numpy()
+        links, back = np.zeros(len(probes), np.int64), np.zeros(len(stored), np.int64)
+        parent, tree = np.arange(len(probes) + len(stored)), []
+        for i, j in _close(*vectors, least, seen.shape[1]):
+            other = names[1][i] != names[0][j]
+            i, j = i[other], j[other]
+            # the reverse of a link is found by the stored vector itself if it visits the probe's cell
+            alone = ~(seen[j] == homes[i][:, None]).any(1)
+            links += np.bincount(i, copies[0][j], len(probes)).astype(np.int64)
+            back += np.bincount(j[alone], copies[1][i[alone]], len(stored)).astype(np.int64)
+            tree += _tied(parent, i, j + len(probes))
         both = np.concatenate([names[1], names[0]])
         counted = pa.table([pa.array(both), pa.array(np.concatenate([links, back])), pa.nulls(len(both), pa.string())], schema=schema)
         edges = pa.table([pa.array([both[x] for x, _ in tree], pa.string()), pa.array(np.zeros(len(tree), np.int64)), pa.array([both[y] for _, y in tree], pa.string())], schema=schema)

@@ -1,6 +1,7 @@
 """Near-duplicate vectors against all pairs."""
 
 import math
+import tracemalloc
 
 import numpy as np
 
@@ -75,3 +76,35 @@ def test_frontier_is_the_order():
     x = rng.standard_normal((50, 8))
     total = vector_neardup._distances(x[:, :4], books[0])[:, :, None] + vector_neardup._distances(x[:, 4:], books[1])[:, None, :]
     assert (vector_neardup.multi_sequence(books, x, 9) == np.argsort(total.reshape(50, -1), 1, kind="stable")[:, :9]).all()
+
+
+def test_a_block_of_links_is_verified_in_slices():
+    """All pairs of a block are links: what is held at once does not follow their number, and the trees are those of all pairs."""
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(32)
+    stored, probes = (centre + 0.005 * rng.standard_normal((n, 32)) for n in (1_024, 2_048))
+    tracemalloc.start()
+    parent, tree, pairs = np.arange(3_072), [], 0
+    for i, j in vector_neardup._close(stored, probes, 0.98):
+        tree += vector_neardup._tied(parent, i, j + 2_048)
+        pairs += len(i)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == 1_024 * 2_048 and len(tree) == 3_071 and most < 120e6  # their vectors alone are 1.07 GB
+
+
+def test_trees_are_those_of_the_links():
+    rng = np.random.default_rng(7)
+    links = rng.integers(0, 400, (350, 2))
+    parent, tree = np.arange(400), []
+    for part in np.array_split(links, 20):
+        tree += vector_neardup._tied(parent, part[:, 0], part[:, 1])
+    root = list(range(400))
+    for a, b in links.tolist():
+        root = [root[b] if x == root[a] else x for x in root]
+    again = list(range(400))
+    for a, b in tree:
+        assert again[a] != again[b]
+        again = [again[b] if x == again[a] else x for x in again]
+    same = lambda x: [x.index(v) for v in x]
+    assert same(again) == same(root)
