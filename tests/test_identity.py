@@ -177,3 +177,36 @@ def test_counted_terms_are_not_broadcast(spark, tmp_path):
     sample(spark, 40).write.parquet(str(tmp_path / "records"))
     plan = idn.tfidf(spark.read.parquet(str(tmp_path / "records")))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_embedding_of_many_blocks_and_columns_at_a_time(spark, monkeypatch):
+    """Cells are multiplied inside blocks of rows, so nothing is shuffled per cell; null rows and terms count as before."""
+    import numpy as np
+
+    from adweave.operators import decomposition
+
+    rng = np.random.default_rng(8)
+    dense = rng.normal(size=(90, 4)) @ rng.normal(size=(4, 30))
+    rows = [(i, f"t{j}", float(dense[i, j])) for i in range(90) for j in range(30)] + [(5, None, 3.0), (None, "t0", 1.0), (7, "t1", None)]
+    monkeypatch.setattr(decomposition, "BLOCK_CELLS", 400)
+    monkeypatch.setattr(decomposition, "BLOCK_NUMBERS", 30 * 5)
+    widths, product = [], decomposition._product
+    monkeypatch.setattr(decomposition, "_product", lambda cells, needs, basis, back: widths.append(len(basis.columns) - 1) or product(cells, needs, basis, back))
+    table = decomposition.truncated_svd(spark.createDataFrame(rows, "record_id long, term string, weight double"), "record_id", 4).collect()
+    got = {r["record_id"]: r["embedding"] for r in table}
+    assert len(table) == 91 and widths and max(widths) <= 5
+    out = np.array([got[i] for i in range(90)])
+    assert np.allclose(out @ out.T, dense @ dense.T, atol=1e-6)
+    assert np.allclose(np.array(got[None]) @ out.T, dense[:, 0] * 0 + (np.linalg.pinv(dense) @ dense)[0] @ dense.T, atol=1e-6)
+
+
+def test_files_of_earlier_steps_go(spark):
+    """The shuffle files of a step go when it is written; a table that is still used keeps its own."""
+    from adweave.session import cut_lineage
+
+    at = lambda: int(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size())
+    used = spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = at()
+    for _ in range(3):
+        assert cut_lineage(used).count() == 7
+    assert at() <= before + 3 and used.count() == 7  # those of the three counts at most
