@@ -12,6 +12,7 @@ row's own time, so a history may be of any length.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from adweave.session import cut_lineage
 
 DAY = 86_400_000_000
 HOUR = 3_600_000_000
+PASS_ROWS = 50_000_000  # exposures and conversions times cells that go through the passes together
 SUMMED = [*METHODS, "seen", "firsts", "lasts", "all_value", "covered"]
 
 
@@ -181,12 +183,16 @@ def _exposure_credit(stats: DataFrame, conversions: DataFrame, touches: DataFram
     return per_touch.join(known.hint("merge"), ["user_id", "exposure_id"]).select("user_id", "channel", "time_decay", *names)
 
 
-def _credit_rows(exposures: DataFrame, conversions: DataFrame, cells: Sequence[tuple[float, float]], half_life_hours: float) -> DataFrame:
+def _placed(exposures: DataFrame, conversions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Touches with their places, and conversions, written once for all branches and cells."""
+    return cut_lineage(_touches(exposures)), cut_lineage(conversions.select("user_id", "conversion_id", "conversion_value", "ts_conversion"))
+
+
+def _credit_rows(placed: tuple[DataFrame, DataFrame], cells: Sequence[tuple[float, float]], half_life_hours: float) -> DataFrame:
     """Rows (user_id, cell, channel, one column per rule, all_value, covered) whose sums are the credit.
 
-    A cell is a lookback in days and a least lag in hours. All cells go through the same passes: touches are placed once,
-    then a (cell, user) takes the place of a user. Touches, conversions and their statistics are written once and read by
-    all branches.
+    A cell is a lookback in days and a least lag in hours. All cells go through the same passes: a (cell, user) takes the
+    place of a user. The conversions' statistics are written once and read by all branches.
     """
     half_life = half_life_hours * HOUR
     grid = F.array(*[F.struct(F.lit(k).alias("cell"), F.lit(int(days * DAY)).alias("reach"), F.lit(int(hours * HOUR)).alias("lag")) for k, (days, hours) in enumerate(cells)])
@@ -196,8 +202,7 @@ def _credit_rows(exposures: DataFrame, conversions: DataFrame, cells: Sequence[t
         others = [c for c in rows.columns if c != "user_id"]
         return wide.select(F.struct(F.col("_c.cell").alias("cell"), F.col("user_id").alias("user")).alias("user_id"), *others, "_c.reach", "_c.lag")
 
-    touches = in_cells(cut_lineage(_touches(exposures)))
-    conversions = in_cells(cut_lineage(conversions.select("user_id", "conversion_id", "conversion_value", "ts_conversion")))
+    touches, conversions = map(in_cells, placed)
     reach, lag = F.col("reach"), F.col("lag")
     stats = cut_lineage(_rest_shares(_conversion_stats(touches, conversions, reach, lag, half_life)))
     rows = _exposure_credit(stats, conversions, touches, reach, lag, half_life)
@@ -235,7 +240,7 @@ def attribute_timelines(
 
     ``exposure_id`` and ``conversion_id`` must be unique. Histories may be of any length, and one user may hold all rows.
     """
-    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours)
+    rows = _credit_rows(_placed(exposures, conversions), [(lookback_days, min_lag_hours)], half_life_hours)
     return _credit_table(rows).drop("covered")
 
 
@@ -244,7 +249,7 @@ def slices_timelines(
     half_life_hours: float = 48.0,
 ) -> DataFrame:
     """``segment_slices`` without pairs, for user-level segment labels; a missing label is 'nan'."""
-    rows = _credit_rows(exposures, conversions, [(lookback_days, min_lag_hours)], half_life_hours)
+    rows = _credit_rows(_placed(exposures, conversions), [(lookback_days, min_lag_hours)], half_life_hours)
     per_user = rows.groupBy("user_id", "channel").agg(*[F.sum(m).alias(m) for m in SUMMED])
     named = per_user.join(labels.select("user_id", *segment_cols), "user_id", "left")
     value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
@@ -266,11 +271,18 @@ def credit_by_segment(exposures: DataFrame, conversions: DataFrame, labels: Data
 def robustness(
     exposures: DataFrame, conversions: DataFrame, windows: Sequence[int] = WINDOWS, lags: Sequence[int] = LAGS, half_life_hours: float = 48.0
 ) -> DataFrame:
-    """Robustness grid without pairs, all cells in one pass."""
+    """Robustness grid without pairs. Touches are placed once; as many cells go through the passes together as make PASS_ROWS rows, and
+    of each such group only the sums are kept, so the disk that is used does not grow with the number of cells."""
     total = conversions.select(F.count_distinct("conversion_id")).first()[0]
     grid = [(w, lag) for w in windows for lag in lags]
-    rows = _credit_rows(exposures, conversions, grid, half_life_hours)
-    table = _credit_table(rows, ["cell"])
+    placed = _placed(exposures, conversions)
+    step = max(1, PASS_ROWS // max(sum(p.count() for p in placed), 1))
+
+    def sums(k: int) -> DataFrame:
+        table = _credit_table(_credit_rows(placed, grid[k : k + step], half_life_hours), ["cell"]).withColumn("cell", F.col("cell") + k)
+        return cut_lineage(table) if step < len(grid) else table
+
+    table = reduce(DataFrame.unionByName, [sums(k) for k in range(0, len(grid), step)])
     pick = lambda k: F.element_at(F.array(*[F.lit(c[k]) for c in grid]), F.col("cell") + 1)
     cells = table.select(pick(0).alias("window_days"), pick(1).alias("min_lag"), "method", "channel", "credit", "covered")
     covered = cells.groupBy("window_days", "min_lag").agg(F.max("covered").alias("covered"))

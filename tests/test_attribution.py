@@ -147,6 +147,19 @@ def test_grid_without_pairs(spark):
     assert rounded(credit_flow.robustness(exp, conv, (1, 3), (0, 6))) == rounded(pairs)
 
 
+def test_grid_in_groups_of_cells(spark, monkeypatch):
+    """A few cells go through the passes at a time where all would make too many rows; the grid is the same."""
+    exp = exposures(spark, [(i, i % 4, T0 - dt.timedelta(minutes=i * 97), f"c{i % 3}") for i in range(80)])
+    conv = conversions(spark, [(i, i % 4, T0 - i * 9 * HOUR, 1.0 + i) for i in range(12)])
+    rounded = lambda grid: sorted((r["window_days"], r["min_lag_hours"], r["method"], round(r["total_credit"], 7), r["coverage_pct"], r["top_channel"]) for r in grid.collect())
+    want = rounded(credit_flow.robustness(exp, conv, (1, 3, 7), (0,)))
+    sizes, rows = [], credit_flow._credit_rows
+    monkeypatch.setattr(credit_flow, "PASS_ROWS", 2 * 92)
+    monkeypatch.setattr(credit_flow, "_credit_rows", lambda placed, cells, half_life: sizes.append(len(cells)) or rows(placed, cells, half_life))
+    assert rounded(credit_flow.robustness(exp, conv, (1, 3, 7), (0,))) == want and len(want) == 3 * 8
+    assert sizes == [2, 1]
+
+
 def test_small_credit_stays_and_no_dust_appears(spark):
     """A channel with tiny credit beside large totals has its row, one without touches in the window has none."""
     rows = [(i, 1, T0 - i * HOUR, "big") for i in range(50)] + [(90, 2, T0 - HOUR, "tiny"), (91, 1, T0 - 2_000 * HOUR, "old")]
